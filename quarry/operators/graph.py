@@ -9,19 +9,21 @@ Semantics (unnormalised PageRank over a multiset of directed edges):
 * the rank table is inner-joined with the edges by source, so a vertex without in-edges
   leaves after the first pass and a vertex without out-edges receives but never gives.
 
-Physical plan per pass: the edge table is de-duplicated once into
-``(src, dst, weight = multiplicity / out_degree)``, split into *cold* edges
-(hash-partitioned on ``src`` and cached, so the join with the rank table, which comes
-out of the ``groupBy(dst)`` already hash-partitioned on the vertex id, needs no
-exchange) and *hot* edges of the few sources whose fan-out exceeds ``R / (2n)``
-(``R`` = distinct edges, ``n`` = partitions). There are fewer than ``2n`` hot sources,
-so their ranks are broadcast to the hot edges, which stay spread over all partitions.
-The only shuffle per pass is the partial+final aggregation on ``dst``.
+Physical plan: the edge multiset is de-duplicated once into
+``(src, salt, dst, weight = multiplicity / out_degree)``, hash-partitioned on
+``(src, salt)`` and cached. ``salt`` is 0 except for the few *hot* sources whose fan-out
+exceeds ``R / (2n)`` (``R`` distinct edges, ``n`` partitions); their edges are spread
+over several salts so one huge source cannot fill one task. Each pass replicates the
+rank row of a hot source once per salt (a broadcast of fewer than ``2n`` rows tells
+which), shuffles the rank table -- vertex-sized -- to the cached edges' partitioning,
+joins without moving the edges, and aggregates contributions by ``dst`` with a
+map-side partial sum, so a hot destination is combined before it is shuffled.
 """
 
 from __future__ import annotations
 
 import math
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -82,15 +84,34 @@ def pagerank_as_written(edges: DataFrame, d: float = 0.85) -> DataFrame:
     return damped_sum(char_contributions(edges), d, out_key="id")
 
 
+@contextmanager
+def _cache_keeps_partitioning(spark):
+    """Cache with the plan's hash partitioning kept visible to later joins.
+
+    With AQE on, a cached plan normally reports unknown partitioning (AQE may change
+    it), which would make every pass re-shuffle the cached edges. Turning that off
+    while the cache entry is created keeps ``hashpartitioning(src, n)``.
+    """
+    key = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
 class PreparedEdges:
-    """De-duplicated, weighted, skew-split edge table reused by every pass."""
-
-    def __init__(self, cold: DataFrame, hot: DataFrame, hot_keys: DataFrame,
-                 sources: DataFrame, num_partitions: int, cached: list[DataFrame]):
-        self.cold = cold
-        self.hot = hot
-        self.hot_keys = hot_keys
-        self.sources = sources
+    """De-duplicated, weighted, salted edge table reused by every pass."""
+
+    def __init__(self, table: DataFrame, hot: DataFrame, sources: DataFrame,
+                 num_partitions: int, cached: list[DataFrame]):
+        self.table = table          # (src, salt, dst, weight), hash-partitioned on (src, salt)
+        self.hot = hot              # (src, n_salt) for hot sources; fewer than 2n rows
+        self.sources = sources      # (src) distinct sources
         self.num_partitions = num_partitions
         self._cached = cached
 
@@ -101,10 +122,13 @@ class PreparedEdges:
 
 def weighted_edges(edges: DataFrame, num_partitions: int | None = None,
                    persist: bool = True, hot_threshold: int | None = None) -> PreparedEdges:
-    """Build ``(src, dst, weight)`` with ``weight = multiplicity / out_degree``.
+    """Build ``(src, salt, dst, weight)`` with ``weight = multiplicity / out_degree``.
 
-    ``hot_threshold``: fan-out above which a source is *hot*; by default
-    ``ceil(R / (2n))`` so there are fewer than ``2n`` hot sources.
+    A source whose fan-out (distinct destinations) exceeds ``hot_threshold`` is *hot*:
+    its edges are spread over ``ceil(fanout / hot_threshold)`` salts by destination
+    hash, so no partition holds more than about ``hot_threshold`` of its edges. The
+    default threshold ``ceil(R / (2n))`` (``R`` distinct edges, ``n`` partitions)
+    guarantees fewer than ``2n`` hot sources, which bounds every broadcast below.
     """
     spark = edges.sparkSession
     n = num_partitions or shuffle_partitions(spark)
@@ -120,34 +144,35 @@ def weighted_edges(edges: DataFrame, num_partitions: int | None = None,
     if hot_threshold is None:
         distinct_edges = degree.agg(F.sum("fanout")).first()[0] or 0
         hot_threshold = max(1, math.ceil(distinct_edges / (2 * n)))
-    # Fewer than 2n rows by construction: safe to broadcast.
-    hot_degree = degree.where(F.col("fanout") > hot_threshold).select("src", "out_degree")
-    hot = (
-        dedup.join(F.broadcast(hot_degree), "src")
-        .select("src", "dst", (F.col("mult") / F.col("out_degree")).alias("weight"))
-        .repartition(n, "dst")
-    )
-    cold = (
-        dedup.join(F.broadcast(hot_degree.select("src")), "src", "left_anti")
+    # Fewer than 2n rows by construction (each has > R / 2n distinct edges).
+    hot_info = degree.where(F.col("fanout") > hot_threshold).select(
+        "src", F.col("out_degree").alias("hot_degree"),
+        F.ceil(F.col("fanout") / F.lit(hot_threshold)).cast("int").alias("n_salt"))
+    marked = dedup.join(F.broadcast(hot_info), "src", "left")
+    hot_edges = marked.where(F.col("hot_degree").isNotNull()).select(
+        "src", F.pmod(F.xxhash64("dst"), F.col("n_salt")).cast("int").alias("salt"), "dst",
+        (F.col("mult") / F.col("hot_degree")).alias("weight"))
+    cold_edges = (
+        marked.where(F.col("hot_degree").isNull())
         .join(degree.select("src", "out_degree"), "src")
-        .select("src", "dst", (F.col("mult") / F.col("out_degree")).alias("weight"))
-        .repartition(n, "src")
+        .select("src", F.lit(0).alias("salt"), "dst",
+                (F.col("mult") / F.col("out_degree")).alias("weight"))
     )
-    sources = degree.select("src").repartition(n, "src")
+    table = hot_edges.unionByName(cold_edges).repartition(n, "src", "salt")
     if persist:
-        cold = cold.persist(level)
-        hot = hot.persist(level)
-        cached += [cold, hot]
-    return PreparedEdges(cold, hot, hot_degree.select("src"), sources, n, cached)
+        with _cache_keeps_partitioning(spark):
+            table = table.persist(level)
+        cached.append(table)
+    return PreparedEdges(table, hot_info.select("src", "n_salt"), degree.select("src"), n, cached)
 
 
 def _pass(prepared: PreparedEdges, ranks: DataFrame, d: float) -> DataFrame:
-    cold = prepared.cold.join(ranks, "src").select(
-        "dst", (F.col("rank") * F.col("weight")).alias("contribution"))
-    hot_ranks = ranks.join(F.broadcast(prepared.hot_keys), "src", "left_semi")
-    hot = prepared.hot.join(F.broadcast(hot_ranks), "src").select(
+    """One pass; ``ranks`` is referenced once, so unrolled passes grow the plan linearly."""
+    expanded = ranks.join(F.broadcast(prepared.hot), "src", "left").select(
+        "src", "rank",
+        F.explode(F.sequence(F.lit(0), F.coalesce(F.col("n_salt"), F.lit(1)) - 1)).alias("salt"))
+    contribs = prepared.table.join(expanded.hint("shuffle_hash"), ["src", "salt"]).select(
         "dst", (F.col("rank") * F.col("weight")).alias("contribution"))
-    contribs = cold.unionByName(hot)
     return contribs.groupBy("dst").agg(
         (F.lit(1.0 - d) + F.lit(d) * F.sum("contribution")).alias("rank")
     ).withColumnRenamed("dst", "src")

@@ -80,3 +80,39 @@ SELECT event_id, CAST(CASE WHEN p < 20 * s THEN p // s ELSE p - 20 * s END AS IN
          count(*) OVER () // 20 AS s
   FROM ({ofx.B_ROWS}))
 """)
+
+
+# ------------------------------------------------------------------ indexing / batches
+
+oracle("dataset_split", f"SELECT event_id, {ofx.split_case('event_id', (80, 10, 10))} AS split FROM ({ofx.B_ROWS})")
+
+oracle("assign_batches", f"""
+SELECT event_id, 1 AS epoch, CAST(p % 4 AS INTEGER) AS rank, CAST((p // 4) // 64 AS INTEGER) AS step FROM (
+  SELECT event_id, row_number() OVER (ORDER BY {ofx.hash_int(42, '1', 'event_id')}, event_id) - 1 AS p
+  FROM ({ofx.B_ROWS}))
+""")
+
+# ----------------------------------------------------------------- sources and sorting
+
+_SORTED = f"""
+SELECT row_number() OVER (ORDER BY cca2 NULLS FIRST, "timestamp" NULLS FIRST, o_orderkey NULLS FIRST) - 1 AS pos, *
+FROM ({ofx.T_SORT})
+"""
+
+oracle("csv_scan", ofx.T_SORT)
+oracle("sort_by_keys", _SORTED)
+oracle("sort_single_partition", _SORTED)
+oracle("csv_sink", _SORTED)
+oracle("sort_csv_job", f"""
+SELECT 0 AS line_no, 'cca2,timestamp,o_orderkey,o_custkey,o_orderstatus' AS value
+UNION ALL
+SELECT pos + 1, concat_ws(',', coalesce(cca2, ''), "timestamp", o_orderkey, o_custkey, o_orderstatus)
+FROM ({_SORTED})
+""")
+
+oracle("text_edge_scan", ofx.G_TEXT)
+oracle("comment_filter", f"SELECT value FROM ({ofx.G_TEXT}) WHERE NOT starts_with(value, '#')")
+oracle("edge_parse", f"""
+SELECT regexp_extract(value, '^(\\S*)\\s+(\\S*)', 1) AS src, regexp_extract(value, '^(\\S*)\\s+(\\S*)', 2) AS dst
+FROM ({ofx.G_TEXT}) WHERE NOT starts_with(value, '#') AND regexp_matches(value, '\\s')
+""")

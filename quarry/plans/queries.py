@@ -12,8 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators import graph
-from quarry.operators.indexing import equal_random_buckets
+from quarry.operators.indexing import assign_batches, assign_split, equal_random_buckets, global_index
+from quarry.operators.sorting import read_lines_in_order, sort_csv, sort_to_one, with_sorted_position
 from quarry.plans import fixtures as fx
+from quarry.session import scratch_path
+from quarry.sinks import write_csv, write_rank_text
+from quarry.sources import drop_comments, parse_edges, read_edge_lines, read_table_csv
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -122,3 +126,87 @@ def q_pagerank_as_written(spark, sf):
 def q_equal_random_buckets(spark, sf):
     rows = fx.b_rows(spark, sf)
     return equal_random_buckets(rows, n=20, key="event_id", seed=42).select("event_id", "bucket")
+
+
+# ------------------------------------------------------------------ indexing / batches
+
+@query("dataset_split")
+def q_dataset_split(spark, sf):
+    return assign_split(fx.b_rows(spark, sf), "event_id", (80, 10, 10), seed=42).select("event_id", "split")
+
+
+@query("assign_batches")
+def q_assign_batches(spark, sf):
+    b = assign_batches(fx.b_rows(spark, sf).select("event_id"), "event_id", batch_size=64,
+                       shuffle=True, seed=42, epoch=1, world_size=4)
+    return b.select("event_id", "epoch", "rank", "step")
+
+
+# ----------------------------------------------------------------- sources and sorting
+
+def _t_sort_csv(spark, sf) -> str:
+    path = scratch_path(spark, "t_sort_csv")
+    write_csv(fx.t_sort(spark, sf), path)
+    return path
+
+
+@query("csv_scan")
+def q_csv_scan(spark, sf):
+    return read_table_csv(spark, _t_sort_csv(spark, sf))
+
+
+@query("sort_by_keys")
+def q_sort_by_keys(spark, sf):
+    return with_sorted_position(read_table_csv(spark, _t_sort_csv(spark, sf)), fx.SORT_KEYS)
+
+
+@query("sort_single_partition")
+def q_sort_single_partition(spark, sf):
+    one = sort_to_one(fx.t_sort(spark, sf), fx.SORT_KEYS)
+    # one partition: the id is the position in it
+    return one.withColumn("pos", F.monotonically_increasing_id())
+
+
+@query("sort_csv_job")
+def q_sort_csv_job(spark, sf):
+    dst = scratch_path(spark, "sorted_csv")
+    sort_csv(spark, _t_sort_csv(spark, sf), dst, fx.SORT_KEYS, single=True)
+    return read_lines_in_order(spark, dst)
+
+
+@query("csv_sink")
+def q_csv_sink(spark, sf):
+    path = scratch_path(spark, "csv_sink")
+    write_csv(fx.t_sort(spark, sf), path, sort_keys=fx.SORT_KEYS)
+    back = read_table_csv(spark, path).select(
+        "*", F.col("_metadata.file_name").alias("_file"), F.monotonically_increasing_id().alias("_mid"))
+    return global_index(back, ["_file", "_mid"], pos="pos").drop("_file", "_mid")
+
+
+def _g_text_dir(spark, sf) -> str:
+    path = scratch_path(spark, "g_text")
+    fx.g_text_lines(spark, sf).write.text(path)
+    return path
+
+
+@query("text_edge_scan")
+def q_text_edge_scan(spark, sf):
+    return read_edge_lines(spark, _g_text_dir(spark, sf))
+
+
+@query("comment_filter")
+def q_comment_filter(spark, sf):
+    return drop_comments(read_edge_lines(spark, _g_text_dir(spark, sf)), "#")
+
+
+@query("edge_parse")
+def q_edge_parse(spark, sf):
+    return parse_edges(read_edge_lines(spark, _g_text_dir(spark, sf)), mode="dropmalformed")
+
+
+@query("tuple_text_sink")
+def q_tuple_text_sink(spark, sf):
+    ranks = graph.pagerank(fx.g_chain(spark, sf), DAMPING, EPOCHS)
+    directory = scratch_path(spark, "ranks_out")
+    path = write_rank_text(ranks, directory)
+    return spark.read.text(path)

@@ -1,0 +1,79 @@
+"""Sinks: CSV, rank text, predictions, report text, training logs, checkpoints."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def write_csv(df: DataFrame, path: str, single: bool = False, sort_keys: Sequence[str] | None = None,
+              mode: str = "errorifexists", num_partitions: int | None = None) -> None:
+    """Header CSV.
+
+    ``single``: one part file (one writer task -- for results that must be one file).
+    With ``sort_keys`` and not ``single``: range-partitioned, sorted part files, so
+    reading the files in name order gives the global order without one big task.
+    """
+    out = df
+    if sort_keys:
+        if single:
+            out = out.repartition(1).sortWithinPartitions(*sort_keys)
+        else:
+            n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            out = out.repartitionByRange(n, *sort_keys).sortWithinPartitions(*sort_keys)
+    elif single:
+        out = out.repartition(1)
+    out.write.mode(mode).option("header", "true").csv(path)
+
+
+def rank_lines(ranks: DataFrame, key: str = "id", value: str = "rank") -> DataFrame:
+    """``('key', value)`` tuple text, one line per row."""
+    return ranks.select(F.concat(F.lit("('"), F.col(key).cast("string"), F.lit("', "),
+                                 F.col(value).cast("string"), F.lit(")")).alias("value"))
+
+
+def write_rank_text(ranks: DataFrame, directory: str, key: str = "id", value: str = "rank",
+                    mode: str = "errorifexists") -> str:
+    """Write tuple text under ``<directory>/wiki.txt``; fails if it exists (default)."""
+    path = directory.rstrip("/") + "/wiki.txt"
+    rank_lines(ranks, key, value).write.mode(mode).text(path)
+    return path
+
+
+def write_predictions(predictions: DataFrame, directory: str, order_col: str | None = None,
+                      mode: str = "errorifexists") -> str:
+    """``<directory>/output.csv`` with a header; rows in input order when ``order_col``
+    (range-partitioned, sorted part files; the column itself is not written)."""
+    path = directory.rstrip("/") + "/output.csv"
+    if order_col:
+        n = int(predictions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        out = predictions.repartitionByRange(n, order_col).sortWithinPartitions(order_col).drop(order_col)
+    else:
+        out = predictions
+    out.write.mode(mode).option("header", "true").csv(path)
+    return path
+
+
+def write_lines(lines: DataFrame, path: str, order_col: str = "line_no", mode: str = "overwrite",
+                partition_by: Sequence[str] | None = None) -> None:
+    """Text lines in ``order_col`` order. Reports and logs are small (one line per
+    label, epoch or sampled batch), so the ordered writer uses one task per partition
+    value."""
+    cols = list(partition_by or [])
+    if cols:
+        out = lines.repartition(*cols).sortWithinPartitions(*cols, order_col)
+    else:
+        out = lines.repartition(1).sortWithinPartitions(order_col)
+    writer = out.select(*cols, "value").write.mode(mode)
+    if cols:
+        writer = writer.partitionBy(*cols)
+    writer.text(path)
+
+
+def save_model(model: DataFrame, path: str, version: int) -> None:
+    """Parameters / optimizer slots of one version into ``path/version=<v>/``; saving a
+    version again replaces only that version's folder."""
+    (model.withColumn("version", F.lit(version).cast("int")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(path))
