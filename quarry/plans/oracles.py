@@ -116,3 +116,91 @@ oracle("edge_parse", f"""
 SELECT regexp_extract(value, '^(\\S*)\\s+(\\S*)', 1) AS src, regexp_extract(value, '^(\\S*)\\s+(\\S*)', 2) AS dst
 FROM ({ofx.G_TEXT}) WHERE NOT starts_with(value, '#') AND regexp_matches(value, '\\s')
 """)
+
+
+# --------------------------------------------------------------- scoring / evaluation
+
+def scored_sql(split: str = "validation") -> str:
+    """Class-mean model (train split) scored on ``split``: one row per (vec_id, class)
+    with logit and log-probability, plus the row's prediction, loss and batch."""
+    return f"""
+WITH x AS ({ofx.X_VEC}),
+cm AS (SELECT label AS c, i, avg(v) AS w FROM (
+         SELECT label, unnest(features) AS v, generate_subscripts(features, 1) AS i FROM x WHERE split = 'train')
+       GROUP BY label, i),
+tgt AS (SELECT vec_id, label, features, CAST((row_number() OVER (ORDER BY vec_id) - 1) // 16 AS INTEGER) AS batch
+        FROM x WHERE split = '{split}'),
+cells AS (SELECT vec_id, unnest(features) AS v, generate_subscripts(features, 1) AS i FROM tgt),
+z AS (SELECT vec_id, c, sum(v * w) AS logit FROM cells JOIN cm USING (i) GROUP BY vec_id, c),
+lp AS (SELECT vec_id, c, logit,
+              logit - max(logit) OVER w - ln(sum(exp(logit - max(logit) OVER w2)) OVER w) AS log_prob
+       FROM (SELECT *, 1 AS one FROM z) WINDOW w AS (PARTITION BY vec_id), w2 AS (PARTITION BY vec_id)),
+pred AS (SELECT vec_id, c AS pred FROM (
+           SELECT vec_id, c, row_number() OVER (PARTITION BY vec_id ORDER BY logit DESC, c) AS k FROM z) WHERE k = 1),
+rows AS (SELECT t.vec_id, t.label, t.batch, p.pred, -l.log_prob AS loss
+         FROM tgt t JOIN pred p USING (vec_id) JOIN lp l ON l.vec_id = t.vec_id AND l.c = t.label)
+"""
+
+
+def _lp_sql(split: str = "validation") -> str:
+    # log-softmax without nested window aggregates
+    return scored_sql(split).replace(
+        """lp AS (SELECT vec_id, c, logit,
+              logit - max(logit) OVER w - ln(sum(exp(logit - max(logit) OVER w2)) OVER w) AS log_prob
+       FROM (SELECT *, 1 AS one FROM z) WINDOW w AS (PARTITION BY vec_id), w2 AS (PARTITION BY vec_id)),""",
+        """zm AS (SELECT vec_id, max(logit) AS m FROM z GROUP BY vec_id),
+lse AS (SELECT z.vec_id, zm.m + ln(sum(exp(z.logit - zm.m))) AS s FROM z JOIN zm USING (vec_id) GROUP BY z.vec_id, zm.m),
+lp AS (SELECT z.vec_id, z.c, z.logit, z.logit - lse.s AS log_prob FROM z JOIN lse USING (vec_id)),""")
+
+
+SCORED = _lp_sql("validation")
+
+_MATRIX = """
+labs AS (SELECT label AS l FROM rows UNION SELECT pred FROM rows),
+cnt AS (SELECT label AS truth, pred, count(*) AS n FROM rows GROUP BY label, pred),
+m AS (SELECT a.l AS truth, b.l AS pred, CAST(coalesce(cnt.n, 0) AS BIGINT) AS n
+      FROM labs a CROSS JOIN labs b LEFT JOIN cnt ON cnt.truth = a.l AND cnt.pred = b.l),
+per AS (SELECT truth AS label, CAST(sum(CASE WHEN truth = pred THEN n ELSE 0 END) AS DOUBLE) AS tp,
+               CAST(sum(n) AS BIGINT) AS support FROM m GROUP BY truth),
+pr AS (SELECT pred AS label, CAST(sum(n) AS DOUBLE) AS predicted FROM m GROUP BY pred),
+rep AS (SELECT label, tp, support,
+               CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS precision,
+               CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall,
+               CASE WHEN predicted + support > 0 THEN 2 * tp / (predicted + support) ELSE 0.0 END AS f1_score
+        FROM per JOIN pr USING (label)),
+report AS (
+  SELECT CAST(label AS VARCHAR) AS label, precision, recall, f1_score, support FROM rep
+  UNION ALL SELECT 'accuracy', NULL, NULL, sum(tp) / sum(support), CAST(sum(support) AS BIGINT) FROM rep
+  UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1_score), CAST(sum(support) AS BIGINT) FROM rep
+  UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+                   sum(f1_score * support) / sum(support), CAST(sum(support) AS BIGINT) FROM rep)
+"""
+
+oracle("linear_logits", SCORED + "SELECT vec_id, CAST(c AS INTEGER) AS class, round(logit, 6) AS logit FROM lp")
+oracle("log_softmax", SCORED + "SELECT vec_id, CAST(c AS INTEGER) AS class, round(log_prob, 6) AS log_prob FROM lp")
+oracle("argmax_class", SCORED + "SELECT vec_id, label, CAST(pred AS INTEGER) AS pred FROM rows")
+oracle("cross_entropy", SCORED + "SELECT vec_id, round(loss, 6) AS loss FROM rows")
+oracle("score_join", _lp_sql("test").replace(
+    "JOIN lp l ON l.vec_id = t.vec_id AND l.c = t.label", "JOIN lp l ON l.vec_id = t.vec_id AND l.c = 0")
+    + "SELECT vec_id, CAST(pred AS INTEGER) AS pred FROM rows")
+oracle("batch_score", SCORED + "SELECT vec_id, batch, label, CAST(pred AS INTEGER) AS pred, round(loss, 6) AS loss FROM rows")
+oracle("accuracy", SCORED + "SELECT round(avg(CASE WHEN label = pred THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM rows")
+oracle("mean_of_batch_loss", SCORED + "SELECT round(avg(bl), 6) AS loss FROM (SELECT batch, avg(loss) AS bl FROM rows GROUP BY batch)")
+oracle("confusion_matrix", SCORED + "," + _MATRIX + "SELECT CAST(truth AS INTEGER) AS truth, CAST(pred AS INTEGER) AS pred, n FROM m")
+oracle("classification_report", SCORED + "," + _MATRIX + """
+SELECT label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1_score, 6) AS f1_score, support
+FROM report""")
+oracle("eval_report", SCORED + "," + _MATRIX + """
+SELECT 'summary' AS section, '' AS label, 'loss' AS metric,
+       round((SELECT avg(bl) FROM (SELECT batch, avg(loss) AS bl FROM rows GROUP BY batch)), 6) AS value
+UNION ALL SELECT 'summary', '', 'accuracy', round(avg(CASE WHEN label = pred THEN 1.0 ELSE 0.0 END), 6) FROM rows
+UNION ALL SELECT 'report', label, 'precision', round(precision, 6) FROM report WHERE precision IS NOT NULL
+UNION ALL SELECT 'report', label, 'recall', round(recall, 6) FROM report WHERE recall IS NOT NULL
+UNION ALL SELECT 'report', label, 'f1_score', round(f1_score, 6) FROM report
+UNION ALL SELECT 'report', label, 'support', CAST(support AS DOUBLE) FROM report
+UNION ALL SELECT 'matrix', CAST(truth AS VARCHAR) || '|' || CAST(pred AS VARCHAR), 'n', CAST(n AS DOUBLE) FROM m
+""")
+oracle("parameter_count", f"""
+SELECT CAST(count(DISTINCT label) * max(len(features)) + count(DISTINCT label) AS BIGINT) AS parameters
+FROM ({ofx.X_VEC}) WHERE split = 'train'
+""")

@@ -11,12 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.operators import evaluation as ev
 from quarry.operators import graph
+from quarry.operators.scoring import LinearModel, class_mean_model, load_linear, parameter_count, score_linear
 from quarry.operators.indexing import assign_batches, assign_split, equal_random_buckets, global_index
 from quarry.operators.sorting import read_lines_in_order, sort_csv, sort_to_one, with_sorted_position
 from quarry.plans import fixtures as fx
 from quarry.session import scratch_path
-from quarry.sinks import write_csv, write_rank_text
+from quarry.sinks import write_csv, write_rank_text, write_report
 from quarry.sources import drop_comments, parse_edges, read_edge_lines, read_table_csv
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -210,3 +212,97 @@ def q_tuple_text_sink(spark, sf):
     directory = scratch_path(spark, "ranks_out")
     path = write_rank_text(ranks, directory)
     return spark.read.text(path)
+
+
+# --------------------------------------------------------------- scoring / evaluation
+
+def _x_model(spark, sf) -> LinearModel:
+    x = fx.x_vec(spark, sf)
+    return load_linear(class_mean_model(x.where(F.col("split") == "train")))
+
+
+def _x_scored(spark, sf, split: str = "validation", with_label: bool = True) -> DataFrame:
+    """Class-mean model scored on one split; batch = position (by vec_id) div 16."""
+    x = fx.x_vec(spark, sf)
+    model = _x_model(spark, sf)
+    target = x.where(F.col("split") == split).drop("split")
+    batched = global_index(target, ["vec_id"], pos="pos").withColumn(
+        "batch", F.floor(F.col("pos") / 16).cast("int"))
+    return score_linear(batched, model, label="label" if with_label else None)
+
+
+@query("linear_logits")
+def q_linear_logits(spark, sf):
+    s = _x_scored(spark, sf)
+    return s.select("vec_id", F.posexplode("logits").alias("class", "logit")).select(
+        "vec_id", "class", r6("logit").alias("logit"))
+
+
+@query("log_softmax")
+def q_log_softmax(spark, sf):
+    s = _x_scored(spark, sf)
+    return s.select("vec_id", F.posexplode("log_probs").alias("class", "log_prob")).select(
+        "vec_id", "class", r6("log_prob").alias("log_prob"))
+
+
+@query("argmax_class")
+def q_argmax_class(spark, sf):
+    return _x_scored(spark, sf).select("vec_id", "label", "pred")
+
+
+@query("cross_entropy")
+def q_cross_entropy(spark, sf):
+    return _x_scored(spark, sf).select("vec_id", r6("loss").alias("loss"))
+
+
+@query("score_join")
+def q_score_join(spark, sf):
+    return _x_scored(spark, sf, split="test", with_label=False).select("vec_id", "pred")
+
+
+@query("batch_score")
+def q_batch_score(spark, sf):
+    s = _x_scored(spark, sf)
+    return s.select("vec_id", "batch", "label", "pred", r6("loss").alias("loss"))
+
+
+@query("accuracy")
+def q_accuracy(spark, sf):
+    return ev.accuracy(_x_scored(spark, sf)).select(r6("accuracy").alias("accuracy"))
+
+
+@query("confusion_matrix")
+def q_confusion_matrix(spark, sf):
+    return ev.confusion_matrix(_x_scored(spark, sf))
+
+
+@query("classification_report")
+def q_classification_report(spark, sf):
+    rep = ev.classification_report(_x_scored(spark, sf))
+    return rep.select("label", r6("precision").alias("precision"), r6("recall").alias("recall"),
+                      r6("f1_score").alias("f1_score"), "support")
+
+
+@query("mean_of_batch_loss")
+def q_mean_of_batch_loss(spark, sf):
+    return ev.mean_of_batch_loss(_x_scored(spark, sf), "batch").select(r6("loss").alias("loss"))
+
+
+@query("eval_report")
+def q_eval_report(spark, sf):
+    rep = ev.eval_report(_x_scored(spark, sf), "batch")
+    return rep.select("section", "label", "metric", r6("value").alias("value"))
+
+
+@query("parameter_count")
+def q_parameter_count(spark, sf):
+    x = fx.x_vec(spark, sf)
+    return parameter_count(class_mean_model(x.where(F.col("split") == "train")))
+
+
+@query("report_sink")
+def q_report_sink(spark, sf):
+    scored = _x_scored(spark, sf)
+    path = scratch_path(spark, "report")
+    write_report(ev.eval_report(scored, "batch"), path, checkpoint="class-mean")
+    return read_lines_in_order(spark, path)

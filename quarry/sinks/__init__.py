@@ -77,3 +77,46 @@ def save_model(model: DataFrame, path: str, version: int) -> None:
     version again replaces only that version's folder."""
     (model.withColumn("version", F.lit(version).cast("int")).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(path))
+
+
+def report_lines(report: DataFrame, checkpoint: str) -> DataFrame:
+    """Text of an evaluation report from the tidy ``eval_report`` table: header, loss
+    and accuracy, per-label table, confusion cells, separator. Few rows (labels^2)."""
+    r = report
+    summary = r.where(F.col("section") == "summary").groupBy().pivot("metric", ["loss", "accuracy"]).agg(F.first("value"))
+    head = summary.select(F.explode(F.array(
+        F.struct(F.lit(0).alias("k"), F.lit(f"Metrics for the checkpoint: {checkpoint}").alias("value")),
+        F.struct(F.lit(1).alias("k"), F.format_string("Test Loss: %.3f, Test Accuracy: %.3f",
+                                                       F.round("loss", 3), F.round("accuracy", 3)).alias("value")),
+        F.struct(F.lit(2).alias("k"), F.lit("Classification Report").alias("value")),
+        F.struct(F.lit(3).alias("k"), F.format_string("%14s%10s%10s%10s%10s", F.lit(""), F.lit("precision"),
+                                                       F.lit("recall"), F.lit("f1-score"), F.lit("support")).alias("value")),
+    )).alias("l")).select(F.col("l.k").cast("bigint").alias("line_no"), "l.value")
+    table = (r.where(F.col("section") == "report").groupBy("label")
+             .pivot("metric", ["precision", "recall", "f1_score", "support"]).agg(F.first("value")))
+    is_num = F.col("label").rlike("^[0-9]+$")
+    order = F.when(is_num, F.col("label").try_cast("bigint")).otherwise(
+        F.when(F.col("label") == "accuracy", F.lit(1 << 40)).when(F.col("label") == "macro avg", F.lit((1 << 40) + 1))
+        .otherwise(F.lit((1 << 40) + 2)))
+    fmt = F.when(F.col("precision").isNull(), F.format_string(
+        "%14s%10s%10s%10.3f%10d", F.col("label"), F.lit(""), F.lit(""), F.col("f1_score"), F.col("support").cast("long"))
+    ).otherwise(F.format_string("%14s%10.3f%10.3f%10.3f%10d", F.col("label"), F.col("precision"), F.col("recall"),
+                                F.col("f1_score"), F.col("support").cast("long")))
+    body = table.select((F.lit(10) + order).alias("line_no"), fmt.alias("value"))
+    tail_base = F.lit(1 << 50)
+    mat = r.where(F.col("section") == "matrix").select(
+        (tail_base + F.lit(1) + F.get(F.split("label", r"\|"), 0).try_cast("bigint") * F.lit(1 << 20)
+         + F.get(F.split("label", r"\|"), 1).try_cast("bigint")).alias("line_no"),
+        F.format_string("%s -> %s: %d", F.get(F.split("label", r"\|"), 0), F.get(F.split("label", r"\|"), 1),
+                        F.col("value").cast("long")).alias("value"))
+    spark = r.sparkSession
+    marks = spark.range(1).select(F.explode(F.array(
+        F.struct(tail_base.alias("line_no"), F.lit("Confusion Matrix").alias("value")),
+        F.struct((tail_base * 2).alias("line_no"), F.lit("--------------------").alias("value")),
+    )).alias("l")).select("l.*")
+    return head.unionByName(body).unionByName(mat).unionByName(marks)
+
+
+def write_report(report: DataFrame, path: str, checkpoint: str) -> None:
+    """``report.txt``-style text: one ordered file."""
+    write_lines(report_lines(report, checkpoint), path)
