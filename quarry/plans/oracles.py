@@ -204,3 +204,53 @@ oracle("parameter_count", f"""
 SELECT CAST(count(DISTINCT label) * max(len(features)) + count(DISTINCT label) AS BIGINT) AS parameters
 FROM ({ofx.X_VEC}) WHERE split = 'train'
 """)
+
+
+# ------------------------------------------------------------------------- telemetry
+
+_TELE_COLS = "epoch, batch_idx, event_id, round(loss, 6) AS loss, round(accuracy, 6) AS accuracy, round(duration, 6) AS duration"
+
+
+def _epochs_sql(skip_first: bool) -> str:
+    dur = "CASE WHEN batch_idx > 0 THEN duration END" if skip_first else "duration"
+    return f"""
+SELECT epoch, avg(loss) AS train_loss, avg(accuracy) AS train_accuracy, avg({dur}) AS avg_batch_duration,
+       sum(duration) AS epoch_duration, count(*) AS batches
+FROM ({ofx.L_TELE}) GROUP BY epoch
+"""
+
+
+def _epochs_out(skip_first: bool) -> str:
+    return f"""
+SELECT epoch, round(train_loss, 6) AS train_loss, round(train_accuracy, 6) AS train_accuracy,
+       round(avg_batch_duration, 6) AS avg_batch_duration, round(epoch_duration, 6) AS epoch_duration, batches
+FROM ({_epochs_sql(skip_first)})
+"""
+
+
+oracle("telemetry_sample", f"SELECT {_TELE_COLS} FROM ({ofx.L_TELE}) WHERE batch_idx % 20 = 0")
+oracle("telemetry_cap", f"SELECT {_TELE_COLS} FROM ({ofx.L_TELE}) WHERE batch_idx < 41")
+oracle("epoch_summary_skip_first", _epochs_out(True))
+oracle("epoch_summary_all", _epochs_out(False))
+oracle("run_summary", f"""
+SELECT round(avg(train_loss), 6) AS avg_train_loss, round(avg(train_accuracy), 6) AS avg_train_accuracy,
+       round(avg(epoch_duration), 6) AS avg_epoch_duration, round(avg(avg_batch_duration), 6) AS avg_batch_duration,
+       count(*) AS epochs
+FROM ({_epochs_sql(False)})
+""")
+oracle("eval_timing", f"""
+SELECT round(avg(duration), 6) AS avg_batch_duration, round(sum(duration), 6) AS duration, count(*) AS batches
+FROM ({ofx.L_TELE})
+""")
+oracle("format_log_line", f"""
+SELECT epoch, printf('Epoch: %d, Train Loss: %.3f, Train Accuracy: %.3f, Avg Batch Duration: %.3f seconds, Epoch Duration: %.3f seconds',
+                     epoch, round(train_loss, 3), round(train_accuracy, 3), round(avg_batch_duration, 3),
+                     round(epoch_duration, 3)) AS value
+FROM ({_epochs_sql(True)})
+""")
+oracle("warmup_linear_lr", f"""
+WITH t AS (SELECT CAST(3 * ceil(count(*) / 20.0) AS BIGINT) AS total FROM ({ofx.S_SENT}) WHERE split = 'train')
+SELECT step, round(5e-5 * CASE WHEN step < 100 THEN step / 100.0
+                         ELSE greatest(0.0, (total - step) / CAST(total - 100 AS DOUBLE)) END, 12) AS lr
+FROM (SELECT unnest(range(total)) AS step, total FROM t)
+""")

@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 
 from quarry.operators import evaluation as ev
 from quarry.operators import graph
+from quarry.operators import telemetry as tm
 from quarry.operators.scoring import LinearModel, class_mean_model, load_linear, parameter_count, score_linear
 from quarry.operators.indexing import assign_batches, assign_split, equal_random_buckets, global_index
 from quarry.operators.sorting import read_lines_in_order, sort_csv, sort_to_one, with_sorted_position
 from quarry.plans import fixtures as fx
 from quarry.session import scratch_path
-from quarry.sinks import write_csv, write_rank_text, write_report
+from quarry.sinks import write_csv, write_lines, write_rank_text, write_report
 from quarry.sources import drop_comments, parse_edges, read_edge_lines, read_table_csv
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -306,3 +307,70 @@ def q_report_sink(spark, sf):
     path = scratch_path(spark, "report")
     write_report(ev.eval_report(scored, "batch"), path, checkpoint="class-mean")
     return read_lines_in_order(spark, path)
+
+
+# ------------------------------------------------------------------------- telemetry
+
+def _tele_cols(df: DataFrame) -> DataFrame:
+    return df.select("epoch", "batch_idx", "event_id", r6("loss").alias("loss"),
+                     r6("accuracy").alias("accuracy"), r6("duration").alias("duration"))
+
+
+def _epochs_out(df: DataFrame) -> DataFrame:
+    return df.select("epoch", r6("train_loss").alias("train_loss"), r6("train_accuracy").alias("train_accuracy"),
+                     r6("avg_batch_duration").alias("avg_batch_duration"),
+                     r6("epoch_duration").alias("epoch_duration"), "batches")
+
+
+@query("telemetry_sample")
+def q_telemetry_sample(spark, sf):
+    return _tele_cols(tm.sample_batches(fx.l_tele(spark, sf), 20))
+
+
+@query("telemetry_cap")
+def q_telemetry_cap(spark, sf):
+    return _tele_cols(tm.cap_batches(fx.l_tele(spark, sf), 41))
+
+
+@query("epoch_summary_skip_first")
+def q_epoch_summary_skip_first(spark, sf):
+    return _epochs_out(tm.epoch_summary(fx.l_tele(spark, sf), skip_first=True))
+
+
+@query("epoch_summary_all")
+def q_epoch_summary_all(spark, sf):
+    return _epochs_out(tm.epoch_summary(fx.l_tele(spark, sf), skip_first=False))
+
+
+@query("run_summary")
+def q_run_summary(spark, sf):
+    r = tm.run_summary(tm.epoch_summary(fx.l_tele(spark, sf), skip_first=False))
+    return r.select(r6("avg_train_loss").alias("avg_train_loss"), r6("avg_train_accuracy").alias("avg_train_accuracy"),
+                    r6("avg_epoch_duration").alias("avg_epoch_duration"),
+                    r6("avg_batch_duration").alias("avg_batch_duration"), "epochs")
+
+
+@query("eval_timing")
+def q_eval_timing(spark, sf):
+    t = tm.eval_timing(fx.l_tele(spark, sf))
+    return t.select(r6("avg_batch_duration").alias("avg_batch_duration"), r6("duration").alias("duration"), "batches")
+
+
+@query("format_log_line")
+def q_format_log_line(spark, sf):
+    return tm.format_epoch_log(tm.epoch_summary(fx.l_tele(spark, sf), skip_first=True))
+
+
+@query("train_log_sink")
+def q_train_log_sink(spark, sf):
+    path = scratch_path(spark, "train_log")
+    write_lines(tm.train_log(fx.l_tele(spark, sf)), path)
+    return read_lines_in_order(spark, path)
+
+
+@query("warmup_linear_lr")
+def q_warmup_linear_lr(spark, sf):
+    n_train = fx.s_sent(spark, sf).where(F.col("split") == "train").count()
+    total = 3 * -(-n_train // 20)
+    return tm.lr_schedule(spark, total, warmup=100, base=5e-5).select(
+        "step", F.round("lr", 12).alias("lr"))
