@@ -96,7 +96,8 @@ L_TELE = """
 
 # raw 4x4x3 image: value index i = h*12 + w*3 + c (0-based) of the first 48 embedding values
 X_IMG_LONG = """
-  SELECT vec_id AS id, label, (i // 12) AS h, ((i % 12) // 3) AS w, (i % 3) AS c,
+  SELECT vec_id AS id, label, CAST(i // 12 AS INTEGER) AS h, CAST((i % 12) // 3 AS INTEGER) AS w,
+         CAST(i % 3 AS INTEGER) AS c,
          CAST(least(greatest(floor((CAST(x AS DOUBLE) + 1.0) * 127.5), 0), 255) AS INTEGER) AS v
   FROM (SELECT vec_id, label, unnest(embedding[1:48]) AS x, unnest(range(48)) AS i FROM embeddings)
 """

@@ -254,3 +254,27 @@ SELECT step, round(5e-5 * CASE WHEN step < 100 THEN step / 100.0
                          ELSE greatest(0.0, (total - step) / CAST(total - 100 AS DOUBLE)) END, 12) AS lr
 FROM (SELECT unnest(range(total)) AS step, total FROM t)
 """)
+
+
+# -------------------------------------------------------------------------- features
+
+oracle("scale_pixels", f"SELECT id, h, w, c, round(v / 255.0, 6) AS v FROM ({ofx.X_IMG_LONG})")
+oracle("normalize_channels", f"""
+SELECT id, h, w, c,
+       round((v / 255.0 - [125.3 / 255.0, 123.0 / 255.0, 113.9 / 255.0][c + 1])
+             / [63.0 / 255.0, 62.1 / 255.0, 66.7 / 255.0][c + 1], 6) AS v
+FROM ({ofx.X_IMG_LONG})
+""")
+oracle("random_crop", f"""
+WITH img AS ({ofx.X_IMG_LONG}),
+off AS (SELECT DISTINCT id, {ofx.hash_mod(3, 42, '1', 'id', "'y'")} AS oy, {ofx.hash_mod(3, 42, '1', 'id', "'x'")} AS ox FROM img),
+grid AS (SELECT off.id, g.h, g.w, g.c, off.oy, off.ox FROM off CROSS JOIN (SELECT DISTINCT h, w, c FROM img) g)
+SELECT grid.id, CAST(grid.h AS INTEGER) AS h, CAST(grid.w AS INTEGER) AS w, CAST(grid.c AS INTEGER) AS c,
+       coalesce(img.v, 0) AS v
+FROM grid LEFT JOIN img ON img.id = grid.id AND img.h = grid.h + grid.oy - 1 AND img.w = grid.w + grid.ox - 1
+                       AND img.c = grid.c
+""")
+oracle("random_flip", f"""
+SELECT id, h, CASE WHEN {ofx.hash_mod(1000, 42, '1', 'id', "'flip'")} < 500 THEN 3 - w ELSE w END AS w, c, v
+FROM ({ofx.X_IMG_LONG})
+""")

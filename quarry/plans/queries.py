@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators import evaluation as ev
+from quarry.operators import features as feat
 from quarry.operators import graph
 from quarry.operators import telemetry as tm
 from quarry.operators.scoring import LinearModel, class_mean_model, load_linear, parameter_count, score_linear
@@ -374,3 +375,27 @@ def q_warmup_linear_lr(spark, sf):
     total = 3 * -(-n_train // 20)
     return tm.lr_schedule(spark, total, warmup=100, base=5e-5).select(
         "step", F.round("lr", 12).alias("lr"))
+
+
+# -------------------------------------------------------------------------- features
+
+@query("scale_pixels")
+def q_scale_pixels(spark, sf):
+    cells = feat.image_cells(feat.scale_pixels(fx.x_img(spark, sf)), order="chw")
+    return cells.select("id", "h", "w", "c", r6("v").alias("v"))
+
+
+@query("normalize_channels")
+def q_normalize_channels(spark, sf):
+    norm = feat.normalize_channels(feat.scale_pixels(fx.x_img(spark, sf)))
+    return feat.image_cells(norm, order="chw").select("id", "h", "w", "c", r6("v").alias("v"))
+
+
+@query("random_crop")
+def q_random_crop(spark, sf):
+    return feat.image_cells(feat.random_crop(fx.x_img(spark, sf), pad=1, size=4, seed=42, epoch=1))
+
+
+@query("random_flip")
+def q_random_flip(spark, sf):
+    return feat.image_cells(feat.random_flip(fx.x_img(spark, sf), p=0.5, seed=42, epoch=1))
