@@ -278,3 +278,55 @@ oracle("random_flip", f"""
 SELECT id, h, CASE WHEN {ofx.hash_mod(1000, 42, '1', 'id', "'flip'")} < 500 THEN 3 - w ELSE w END AS w, c, v
 FROM ({ofx.X_IMG_LONG})
 """)
+
+
+# ------------------------------------------------------------------------------ text
+
+_TEXT = f"""
+WITH w AS (SELECT idx, split, label, sentence, regexp_extract_all(lower(sentence), '\\p{{L}}+') AS ws FROM ({ofx.S_SENT})),
+vc AS (SELECT word, count(*) AS cnt FROM (SELECT unnest(ws) AS word FROM w WHERE split = 'train') GROUP BY word),
+vocab AS (SELECT word, CAST(k + 3 AS INTEGER) AS id, cnt AS count FROM (
+            SELECT word, cnt, row_number() OVER (ORDER BY cnt DESC, word) AS k FROM vc) WHERE k <= 30522 - 4),
+tok AS (SELECT t.idx, t.pos, coalesce(v.id, 1) AS id FROM (
+          SELECT idx, unnest(ws[1:510]) AS word, generate_subscripts(ws[1:510], 1) AS pos FROM w) t
+        LEFT JOIN vocab v ON v.word = t.word),
+enc AS (SELECT w.idx, w.split, w.label, w.sentence, coalesce(list(tok.id ORDER BY tok.pos) FILTER (WHERE tok.id IS NOT NULL), []) AS ids
+        FROM w LEFT JOIN tok ON tok.idx = w.idx GROUP BY w.idx, w.split, w.label, w.sentence),
+"""
+
+oracle("build_vocab", _TEXT.rstrip().rstrip(",") + "\nSELECT word, id, count FROM vocab")
+oracle("encode_text", _TEXT + """
+x AS (SELECT 1 AS one)
+SELECT idx, label,
+       array_to_string(list_concat([2], ids, [3], list_transform(range(510 - len(ids)), lambda q: 0)), ' ') AS input_ids,
+       CAST(len(ids) + 2 AS INTEGER) AS mask_len, 0 AS type_sum, 512 AS length
+FROM enc
+""")
+
+_NB = _TEXT + """
+tr AS (SELECT label, unnest(ids) AS id FROM enc WHERE split = 'train'),
+cnt AS (SELECT label AS c, id, count(*) AS n FROM tr GROUP BY label, id),
+ctok AS (SELECT label AS c, count(*) AS n FROM tr GROUP BY label),
+cdoc AS (SELECT label AS c, count(*) AS n FROM enc WHERE split = 'train' GROUP BY label),
+nv AS (SELECT count(*) + 4 AS v FROM vocab),
+classes AS (SELECT c FROM cdoc),
+tgt_tok AS (SELECT idx, unnest(ids) AS id FROM enc WHERE split = '{split}'),
+tgt AS (SELECT idx, label, sentence FROM enc WHERE split = '{split}'),
+sc AS (SELECT t.idx, k.c,
+              ln(cdoc.n / (SELECT sum(n) FROM cdoc)) - count(tt.id) * ln(ctok.n + (SELECT v FROM nv))
+              + coalesce(sum(ln(coalesce(cnt.n, 0) + 1.0)), 0.0) AS score
+       FROM tgt t CROSS JOIN classes k JOIN cdoc ON cdoc.c = k.c JOIN ctok ON ctok.c = k.c
+       LEFT JOIN tgt_tok tt ON tt.idx = t.idx
+       LEFT JOIN cnt ON cnt.id = tt.id AND cnt.c = k.c
+       GROUP BY t.idx, k.c, cdoc.n, ctok.n),
+pr AS (SELECT idx, c AS pred FROM (SELECT idx, c, row_number() OVER (PARTITION BY idx ORDER BY score DESC, c) AS r FROM sc) WHERE r = 1)
+"""
+
+oracle("project_predictions", _NB.replace("{split}", "validation") + """
+SELECT t.idx, t.sentence AS Sentence, t.label AS GroundTruth, CAST(pr.pred AS INTEGER) AS Prediction
+FROM tgt t JOIN pr USING (idx)
+""")
+oracle("predictions_sink", _NB.replace("{split}", "test") + """
+SELECT row_number() OVER (ORDER BY t.idx) - 1 AS pos, t.sentence AS Sentence, CAST(pr.pred AS VARCHAR) AS Prediction
+FROM tgt t JOIN pr USING (idx)
+""")

@@ -15,12 +15,13 @@ from quarry.operators import evaluation as ev
 from quarry.operators import features as feat
 from quarry.operators import graph
 from quarry.operators import telemetry as tm
+from quarry.operators import text as txt
 from quarry.operators.scoring import LinearModel, class_mean_model, load_linear, parameter_count, score_linear
 from quarry.operators.indexing import assign_batches, assign_split, equal_random_buckets, global_index
 from quarry.operators.sorting import read_lines_in_order, sort_csv, sort_to_one, with_sorted_position
 from quarry.plans import fixtures as fx
 from quarry.session import scratch_path
-from quarry.sinks import write_csv, write_lines, write_rank_text, write_report
+from quarry.sinks import write_csv, write_lines, write_predictions, write_rank_text, write_report
 from quarry.sources import drop_comments, parse_edges, read_edge_lines, read_table_csv
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -399,3 +400,57 @@ def q_random_crop(spark, sf):
 @query("random_flip")
 def q_random_flip(spark, sf):
     return feat.image_cells(feat.random_flip(fx.x_img(spark, sf), p=0.5, seed=42, epoch=1))
+
+
+# ------------------------------------------------------------------------------ text
+
+VOCAB_SIZE = 30522
+MAX_LENGTH = 512
+
+
+def _text_model(spark, sf):
+    sent = fx.s_sent(spark, sf)
+    vocab = txt.build_vocab(sent.where(F.col("split") == "train"), max_size=VOCAB_SIZE)
+    vocab = vocab.checkpoint(eager=True)  # bounded by VOCAB_SIZE; reused by every encoding
+    return sent, vocab
+
+
+@query("build_vocab")
+def q_build_vocab(spark, sf):
+    return _text_model(spark, sf)[1]
+
+
+@query("encode_text")
+def q_encode_text(spark, sf):
+    sent, vocab = _text_model(spark, sf)
+    enc = txt.encode_text(sent, vocab, MAX_LENGTH, keep=("idx", "label"))
+    return enc.select("idx", "label", F.array_join("input_ids", " ").alias("input_ids"),
+                      F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("mask_len"),
+                      F.aggregate("token_type_ids", F.lit(0), lambda a, x: a + x).alias("type_sum"),
+                      F.size("input_ids").alias("length"))
+
+
+def _text_scored(spark, sf, split: str):
+    sent, vocab = _text_model(spark, sf)
+    n_vocab = vocab.count()
+    train = txt.encode_text(sent.where(F.col("split") == "train"), vocab, MAX_LENGTH, keep=("label",))
+    stats = txt.fit_token_counts(train).checkpoint(eager=True)  # classes x vocabulary
+    classes = sorted(r[0] for r in stats.select("label").distinct().collect())
+    target = txt.encode_text(sent.where(F.col("split") == split), vocab, MAX_LENGTH,
+                             keep=("idx", "sentence", "label"))
+    return txt.score_bag_of_ids(target, stats, classes, id_space=n_vocab + txt.FIRST_WORD_ID)
+
+
+@query("project_predictions")
+def q_project_predictions(spark, sf):
+    return txt.predictions_table(_text_scored(spark, sf, "validation"), "validation")
+
+
+@query("predictions_sink")
+def q_predictions_sink(spark, sf):
+    table = txt.predictions_table(_text_scored(spark, sf, "test"), "test")
+    directory = scratch_path(spark, "predictions")
+    path = write_predictions(table, directory, order_col="idx")
+    back = (spark.read.option("header", "true").option("multiLine", "true").csv(path)
+            .select("*", F.col("_metadata.file_name").alias("_file"), F.monotonically_increasing_id().alias("_mid")))
+    return global_index(back, ["_file", "_mid"], pos="pos").drop("_file", "_mid")

@@ -25,7 +25,13 @@ def write_csv(df: DataFrame, path: str, single: bool = False, sort_keys: Sequenc
             out = out.repartitionByRange(n, *sort_keys).sortWithinPartitions(*sort_keys)
     elif single:
         out = out.repartition(1)
-    out.write.mode(mode).option("header", "true").csv(path)
+    _csv_writer(out.write.mode(mode)).csv(path)
+
+
+def _csv_writer(writer):
+    # keep values exactly as they are (the CSV writer trims blanks by default)
+    return (writer.option("header", "true").option("ignoreLeadingWhiteSpace", "false")
+            .option("ignoreTrailingWhiteSpace", "false"))
 
 
 def rank_lines(ranks: DataFrame, key: str = "id", value: str = "rank") -> DataFrame:
@@ -52,7 +58,7 @@ def write_predictions(predictions: DataFrame, directory: str, order_col: str | N
         out = predictions.repartitionByRange(n, order_col).sortWithinPartitions(order_col).drop(order_col)
     else:
         out = predictions
-    out.write.mode(mode).option("header", "true").csv(path)
+    _csv_writer(out.write.mode(mode)).csv(path)
     return path
 
 
