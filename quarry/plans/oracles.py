@@ -330,3 +330,43 @@ oracle("predictions_sink", _NB.replace("{split}", "test") + """
 SELECT row_number() OVER (ORDER BY t.idx) - 1 AS pos, t.sentence AS Sentence, CAST(pr.pred AS VARCHAR) AS Prediction
 FROM tgt t JOIN pr USING (idx)
 """)
+
+
+# -------------------------------------------------------------------------- training
+
+_BATCHED = f"""
+WITH x AS ({ofx.X_VEC}),
+t AS (SELECT vec_id, label, features,
+             row_number() OVER (ORDER BY {ofx.hash_int(42, '1', 'vec_id')}, vec_id) - 1 AS p
+      FROM x WHERE split = 'train'),
+b AS (SELECT vec_id, label, features, CAST(p % 4 AS INTEGER) AS rank, CAST((p // 4) // 64 AS INTEGER) AS step FROM t),
+"""
+
+oracle("collate_batches", _BATCHED + """
+z AS (SELECT 1)
+SELECT 1 AS epoch, rank, step, CAST(count(*) AS INTEGER) AS size, min(vec_id) AS first_id, max(vec_id) AS last_id,
+       CAST(sum(label) AS BIGINT) AS label_sum
+FROM b GROUP BY rank, step
+""")
+
+# gradient of the mean cross-entropy at zero weights: softmax is 1/C for every class
+_ZERO_GRAD = _BATCHED + """
+k AS (SELECT max(label) + 1 AS nc, max(len(features)) AS nd FROM b),
+cls AS (SELECT unnest(range(nc)) AS c FROM k),
+cells AS (SELECT step, rank, label, unnest(features) AS v, generate_subscripts(features, 1) - 1 AS d FROM b),
+rg AS (SELECT step, rank, c, d, avg((1.0 / (SELECT nc FROM k) - CASE WHEN label = c THEN 1.0 ELSE 0.0 END) * v) AS g
+       FROM cells CROSS JOIN cls GROUP BY step, rank, c, d),
+rb AS (SELECT step, rank, c, avg(1.0 / (SELECT nc FROM k) - CASE WHEN label = c THEN 1.0 ELSE 0.0 END) AS g
+       FROM b CROSS JOIN cls GROUP BY step, rank, c),
+parts AS (SELECT step, rank, CAST(c * (SELECT nd FROM k) + d AS INTEGER) AS j, g FROM rg
+          UNION ALL SELECT step, rank, CAST((SELECT nc * nd FROM k) + c AS INTEGER), g FROM rb)
+"""
+
+oracle("combine_gather_mean", _ZERO_GRAD + "SELECT step, j, round(avg(g), 6) AS grad FROM parts GROUP BY step, j")
+oracle("combine_allreduce", _ZERO_GRAD + "SELECT step, j, round(sum(g / 4.0), 6) AS grad FROM parts GROUP BY step, j")
+oracle("combine_equivalence", _ZERO_GRAD + """
+SELECT round(max(abs(a - s)), 9) AS max_abs_diff FROM (SELECT step, j, avg(g) AS a, sum(g / 4.0) AS s FROM parts GROUP BY step, j)
+""")
+oracle("softmax_gradient_step", _ZERO_GRAD + """
+SELECT j, round(avg(g), 6) AS grad, round(-0.1 * avg(g), 6) AS weight FROM parts WHERE step = 0 GROUP BY j
+""")

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,13 +18,14 @@ from quarry.operators import features as feat
 from quarry.operators import graph
 from quarry.operators import telemetry as tm
 from quarry.operators import text as txt
+from quarry.operators import training as tr
 from quarry.operators.scoring import LinearModel, class_mean_model, load_linear, parameter_count, score_linear
 from quarry.operators.indexing import assign_batches, assign_split, equal_random_buckets, global_index
 from quarry.operators.sorting import read_lines_in_order, sort_csv, sort_to_one, with_sorted_position
 from quarry.plans import fixtures as fx
 from quarry.session import scratch_path
-from quarry.sinks import write_csv, write_lines, write_predictions, write_rank_text, write_report
-from quarry.sources import drop_comments, parse_edges, read_edge_lines, read_table_csv
+from quarry.sinks import save_model, write_csv, write_lines, write_predictions, write_rank_text, write_report
+from quarry.sources import drop_comments, load_model, parse_edges, read_edge_lines, read_table_csv
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -454,3 +457,136 @@ def q_predictions_sink(spark, sf):
     back = (spark.read.option("header", "true").option("multiLine", "true").csv(path)
             .select("*", F.col("_metadata.file_name").alias("_file"), F.monotonically_increasing_id().alias("_mid")))
     return global_index(back, ["_file", "_mid"], pos="pos").drop("_file", "_mid")
+
+
+# -------------------------------------------------------------------------- training
+
+WORLD = 4
+RANK_BATCH = 64
+
+
+def _x_train(spark, sf) -> DataFrame:
+    return fx.x_vec(spark, sf).where(F.col("split") == "train").drop("split")
+
+
+def _x_batched(spark, sf, epoch: int = 1) -> DataFrame:
+    return assign_batches(_x_train(spark, sf), "vec_id", RANK_BATCH, shuffle=True, seed=42,
+                          epoch=epoch, world_size=WORLD)
+
+
+def _x_shape(df: DataFrame) -> tuple[int, int]:
+    row = df.agg(F.max("label"), F.max(F.size("features"))).first()
+    return int(row[0]) + 1, int(row[1])
+
+
+def _zero_parts(spark, sf) -> DataFrame:
+    batched = _x_batched(spark, sf)
+    classes, dim = _x_shape(batched)
+    return tr.partial_gradients(batched, tr.zero_model(classes, dim))
+
+
+@query("collate_batches")
+def q_collate_batches(spark, sf):
+    c = tr.collate_batches(_x_batched(spark, sf), key="vec_id")
+    return c.select("epoch", "rank", "step", F.size("ids").alias("size"),
+                    F.element_at("ids", 1).alias("first_id"), F.element_at("ids", -1).alias("last_id"),
+                    F.aggregate("labels", F.lit(0).cast("bigint"), lambda a, y: a + y).alias("label_sum"))
+
+
+@query("combine_gather_mean")
+def q_combine_gather_mean(spark, sf):
+    g = tr.combine_gradients(_zero_parts(spark, sf), "gather_mean")
+    return g.select("step", "j", r6("grad").alias("grad"))
+
+
+@query("combine_allreduce")
+def q_combine_allreduce(spark, sf):
+    g = tr.combine_gradients(_zero_parts(spark, sf), "allreduce", WORLD)
+    return g.select("step", "j", r6("grad").alias("grad"))
+
+
+@query("combine_equivalence")
+def q_combine_equivalence(spark, sf):
+    return tr.combine_check(_zero_parts(spark, sf), WORLD).select(
+        F.round("max_abs_diff", 9).alias("max_abs_diff"))
+
+
+@query("softmax_gradient_step")
+def q_softmax_gradient_step(spark, sf):
+    """One data-parallel SGD step from zero weights on step 0 (first step: v = g)."""
+    batched = _x_batched(spark, sf)
+    classes, dim = _x_shape(batched)
+    model = tr.zero_model(classes, dim)
+    parts = tr.partial_gradients(batched.where(F.col("step") == 0), model)
+    g = tr.combine_gradients(parts, "gather_mean")
+    opt = tr.SGD()
+    # zero weights: weight decay adds nothing and the momentum buffer starts at g
+    return g.select("j", r6("grad").alias("grad"), r6(F.lit(-opt.lr) * F.col("grad")).alias("weight"))
+
+
+def _theta_frame(spark, state: tr.TrainState) -> DataFrame:
+    theta = state.theta
+    return spark.createDataFrame([(int(j), float(v)) for j, v in enumerate(theta)], "j int, value double") \
+        .select("j", r6("value").alias("value"))
+
+
+def _fit(spark, sf, optimizer_factory, epochs: int = 1, state=None, on_epoch_end=None):
+    train_df = _x_train(spark, sf)
+    classes, dim = _x_shape(train_df)
+    opt = optimizer_factory(train_df)
+    if state is None:
+        model = tr.zero_model(classes, dim)
+        state = tr.TrainState(model, opt.init(np.concatenate([model.weight.ravel(), model.bias])))
+    return tr.train(train_df, state, opt, epochs=epochs, batch_size=RANK_BATCH, world_size=WORLD,
+                    max_batches=41, seed=42, key="vec_id", on_epoch_end=on_epoch_end), opt
+
+
+def _adamw(train_df):
+    n = train_df.count()
+    steps = min(41, -(-(-(-n // WORLD)) // RANK_BATCH))
+    return tr.AdamW(lr=5e-3, warmup=2, total_steps=3 * steps)
+
+
+@query("train_sgd")
+def q_train_sgd(spark, sf):
+    state, _ = _fit(spark, sf, lambda df: tr.SGD(), epochs=1)
+    return _theta_frame(spark, state)
+
+
+@query("train_adamw")
+def q_train_adamw(spark, sf):
+    state, _ = _fit(spark, sf, _adamw, epochs=3)
+    return _theta_frame(spark, state)
+
+
+@query("checkpoint_sink")
+def q_checkpoint_sink(spark, sf):
+    path = scratch_path(spark, "checkpoints")
+    _fit(spark, sf, lambda df: tr.SGD(), epochs=2,
+         on_epoch_end=lambda st: save_model(tr.state_frame(spark, st), path, st.epoch))
+    back = spark.read.parquet(path)
+    return back.select("version", "name", "slot", "shape", F.size("values").alias("n_values"), "step", "epoch")
+
+
+@query("checkpoint_load")
+def q_checkpoint_load(spark, sf):
+    path = scratch_path(spark, "checkpoints")
+    _fit(spark, sf, lambda df: tr.SGD(), epochs=1,
+         on_epoch_end=lambda st: save_model(tr.state_frame(spark, st), path, st.epoch))
+    state = tr.state_from_frame(load_model(spark, path, 1), tr.SGD())
+    scored = score_linear(fx.x_vec(spark, sf).where(F.col("split") == "validation"), state.model)
+    return scored.select("vec_id", "label", "pred", r6("loss").alias("loss"))
+
+
+@query("train_resume")
+def q_train_resume(spark, sf):
+    """Two epochs straight vs one epoch, save, load, one more epoch: max |difference|."""
+    straight, _ = _fit(spark, sf, lambda df: tr.SGD(), epochs=2)
+    path = scratch_path(spark, "resume")
+    _fit(spark, sf, lambda df: tr.SGD(), epochs=1,
+         on_epoch_end=lambda st: save_model(tr.state_frame(spark, st), path, st.epoch))
+    loaded = tr.state_from_frame(load_model(spark, path, 1), tr.SGD())
+    resumed, _ = _fit(spark, sf, lambda df: tr.SGD(), epochs=1, state=loaded)
+    diff = float(np.max(np.abs(straight.theta - resumed.theta)))
+    return (_theta_frame(spark, resumed).withColumnRenamed("value", "resumed")
+            .withColumn("max_abs_diff_to_straight", F.lit(round(diff, 12))))
