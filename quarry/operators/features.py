@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.hashing import hash_mod
@@ -19,21 +19,16 @@ CHANNEL_MEAN_255 = (125.3, 123.0, 113.9)
 CHANNEL_STD_255 = (63.0, 62.1, 66.7)
 
 
-def _dims(col: Column):
-    h = F.size(col)
-    w = F.size(F.get(col, 0))
-    c = F.size(F.get(F.get(col, 0), 0))
-    return h, w, c
-
-
 def scale_pixels(images: DataFrame, col: str = "pixels", out: str = "pixels") -> DataFrame:
-    """uint8 H x W x C -> doubles / 255 in C x H x W order."""
+    """uint8 H x W x C -> doubles / 255 in C x H x W order.
+
+    Walks the image with ``transform`` once per channel (no per-element indexing into
+    the whole image, which would re-evaluate an upstream expression per element).
+    """
     p = F.col(col)
-    h, w, c = _dims(p)
-    chw = F.transform(F.sequence(F.lit(0), c - 1), lambda ci: F.transform(
-        F.sequence(F.lit(0), h - 1), lambda hi: F.transform(
-            F.sequence(F.lit(0), w - 1),
-            lambda wi: F.get(F.get(F.get(p, hi), wi), ci).cast("double") / F.lit(255.0))))
+    channels = F.size(F.get(F.get(p, 0), 0))
+    chw = F.transform(F.sequence(F.lit(0), channels - 1), lambda ci: F.transform(
+        p, lambda row: F.transform(row, lambda px: F.get(px, ci).cast("double") / F.lit(255.0))))
     return images.withColumn(out, chw)
 
 
@@ -54,20 +49,15 @@ def random_crop(images: DataFrame, pad: int = 4, size: int = 32, seed: int = 0,
     """Zero-pad by ``pad`` on every side and cut a ``size`` x ``size`` window at a seeded
     offset in ``0 .. 2*pad`` per axis; works on raw H x W x C pixels."""
     p = F.col(col)
-    h, w, c = _dims(p)
-    oy = hash_mod(2 * pad + 1, seed, epoch, F.col(key), "y")
-    ox = hash_mod(2 * pad + 1, seed, epoch, F.col(key), "x")
-    zero = F.array_repeat(F.lit(0), c)
-
-    def pixel(hi, wi):
-        y = hi + oy - pad
-        x = wi + ox - pad
-        inside = (y >= 0) & (y < h) & (x >= 0) & (x < w)
-        return F.when(inside, F.get(F.get(p, y.cast("int")), x.cast("int"))).otherwise(zero)
-
-    out = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda hi: F.transform(
-        F.sequence(F.lit(0), F.lit(size - 1)), lambda wi: pixel(hi, wi)))
-    return images.withColumn(col, out)
+    oy = hash_mod(2 * pad + 1, seed, epoch, F.col(key), "y").cast("int")
+    ox = hash_mod(2 * pad + 1, seed, epoch, F.col(key), "x").cast("int")
+    zero_px = F.array_repeat(F.lit(0), F.size(F.get(F.get(p, 0), 0)))
+    side = F.array_repeat(zero_px, F.lit(pad))
+    wide = F.transform(p, lambda row: F.concat(side, row, side))
+    zero_row = F.array_repeat(zero_px, F.size(F.get(p, 0)) + 2 * pad)
+    padded = F.concat(F.array_repeat(zero_row, F.lit(pad)), wide, F.array_repeat(zero_row, F.lit(pad)))
+    window = F.transform(F.slice(padded, oy + 1, F.lit(size)), lambda row: F.slice(row, ox + 1, F.lit(size)))
+    return images.withColumn(col, window)
 
 
 def random_flip(images: DataFrame, p: float = 0.5, seed: int = 0, epoch: int = 0,

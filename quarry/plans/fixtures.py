@@ -128,10 +128,13 @@ def x_vec(spark: SparkSession, sf_dir: str) -> DataFrame:
 def x_img(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First 48 embedding values as a raw 4x4 RGB image (H x W x C ints 0..255)."""
     e = table(spark, sf_dir, "embeddings")
-    raw = F.transform(F.slice("embedding", 1, 48),
-                      lambda x: F.least(F.greatest(F.floor((x.cast("double") + 1.0) * 127.5), F.lit(0)), F.lit(255)).cast("int"))
-    hwc = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda h: F.transform(
-        F.sequence(F.lit(0), F.lit(3)), lambda w: F.slice(raw, h * 12 + w * 3 + 1, 3)))
+
+    def px(h, w, c):
+        x = F.get(F.col("embedding"), h * 12 + w * 3 + c).cast("double")
+        return F.least(F.greatest(F.floor((x + 1.0) * 127.5), F.lit(0)), F.lit(255)).cast("int")
+
+    axis4, axis3 = F.sequence(F.lit(0), F.lit(3)), F.sequence(F.lit(0), F.lit(2))
+    hwc = F.transform(axis4, lambda h: F.transform(axis4, lambda w: F.transform(axis3, lambda c: px(h, w, c))))
     return e.select(F.col("vec_id").alias("id"), hwc.alias("pixels"), "label")
 
 

@@ -14,8 +14,34 @@ D = "0.85::DOUBLE"
 ONE_MINUS_D = "0.15::DOUBLE"
 
 
+def _positive_zero(sql: str) -> str:
+    """Wrap every ``round(...)`` as ``(round(...) + 0.0)``: DuckDB can round to -0.0
+    where Spark's decimal rounding gives 0.0."""
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_"):
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k = 0, j + 5
+        while True:
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        out.append(sql[i:j] + "(round(" + _positive_zero(sql[j + 6:k]) + ") + 0.0)")
+        i = k + 1
+
+
 def oracle(name: str, sql: str) -> None:
-    ORACLES[name] = sql.strip()
+    ORACLES[name] = _positive_zero(sql.strip())
 
 
 def pagerank_sql(edges_sql: str, epochs: int = 10) -> str:
