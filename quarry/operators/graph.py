@@ -180,13 +180,17 @@ def _pass(prepared: PreparedEdges, ranks: DataFrame, d: float) -> DataFrame:
 
 def pagerank(edges: DataFrame, d: float = 0.85, epochs: int = 10,
              num_partitions: int | None = None, persist: bool = True,
-             checkpoint_every: int = 3, hot_threshold: int | None = None) -> DataFrame:
+             checkpoint_every: int | None = None, hot_threshold: int | None = None) -> DataFrame:
     """Iterate contributions -> damped sum ``epochs`` times; returns ``(id, rank)``.
 
     ``epochs = 0`` returns the initial ranks. The rank table is cut from its lineage
     with a reliable checkpoint every ``checkpoint_every`` passes (the plan would
-    otherwise grow by one join and one aggregation per pass).
+    otherwise grow by one join and one aggregation per pass; a checkpoint also bounds
+    the recomputation after a lost executor). Default: every 3 passes with cached
+    edges, every 5 without (each checkpoint job re-derives uncached edges).
     """
+    if checkpoint_every is None:
+        checkpoint_every = 3 if persist else 5
     spark = edges.sparkSession
     checkpoint_root(spark)
     prepared = weighted_edges(edges, num_partitions, persist, hot_threshold)
