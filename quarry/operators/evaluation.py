@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_LABELS = 10_000
+MAX_LABELS = 2_000
 
 
 def accuracy(scored: DataFrame, truth: str = "label", pred: str = "pred") -> DataFrame:
@@ -42,8 +42,12 @@ def confusion_matrix(scored: DataFrame, truth: str = "label", pred: str = "pred"
     # the matrix share one pass over the scored rows
     counts = cells(scored, truth, pred).checkpoint(eager=True)
     labels = label_set(counts)
-    grid = spark.createDataFrame([(t, p) for t in labels for p in labels], counts.select("truth", "pred").schema)
-    # grid is labels^2 rows (labels checked above): broadcast it and keep its rows
+    # the label list (at most MAX_LABELS values) goes into the plan; the labels^2 grid is
+    # generated inside the tasks, then broadcast (bounded by MAX_LABELS^2)
+    label_type = counts.schema["truth"].dataType
+    lits = [F.lit(v).cast(label_type) for v in labels]
+    grid = (spark.range(len(labels)).select(F.get(F.array(*lits), F.col("id").cast("int")).alias("truth"))
+            .select("truth", F.explode(F.array(*lits)).alias("pred")))
     return (F.broadcast(grid).join(counts, ["truth", "pred"], "left")
             .select("truth", "pred", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")))
 

@@ -42,15 +42,14 @@ def join_ranks(edges: DataFrame, ranks: DataFrame) -> DataFrame:
     return edges.join(ranks, "src", "inner")
 
 
-def adjacency(edges: DataFrame) -> DataFrame:
-    """Destinations per source (duplicates kept) and the out-degree.
+def adjacency(edges: DataFrame, hot_threshold: int | None = None) -> DataFrame:
+    """Adjacency in flat form: ``(src, dst, multiplicity, out_degree)`` per distinct edge.
 
-    Collects lists, so it is meant for inspection; PageRank itself works on the flat
-    weighted edge table from :func:`weighted_edges`.
+    Flat rows instead of one list per source, so a source with a huge fan-out never
+    becomes one huge record; the out-degree reaches hot sources by broadcast.
     """
-    return edges.groupBy("src").agg(
-        F.collect_list("dst").alias("neighbors"), F.count(F.lit(1)).alias("out_degree")
-    )
+    table, _, _ = salted_edges(edges, hot_threshold=hot_threshold)
+    return table.select("src", "dst", F.col("mult").alias("multiplicity"), "out_degree")
 
 
 def contributions(edges_with_rank: DataFrame) -> DataFrame:
@@ -68,6 +67,11 @@ def damped_sum(contribs: DataFrame, d: float = 0.85, key: str = "dst",
     ).withColumnRenamed(key, out_key)
 
 
+def map_values(df: DataFrame, fn, value: str = "rank") -> DataFrame:
+    """Change the value column, keep the key (e.g. the damping ``(1-d) + d * sum``)."""
+    return df.withColumn(value, fn(F.col(value)))
+
+
 def char_contributions(edges: DataFrame, rank: float = 1.0) -> DataFrame:
     """As-written contribution step: every *character* of ``dst`` receives
     ``rank / length(dst)``; an empty ``dst`` hands out nothing."""
@@ -120,58 +124,85 @@ class PreparedEdges:
             df.unpersist()
 
 
-def weighted_edges(edges: DataFrame, num_partitions: int | None = None,
-                   persist: bool = True, hot_threshold: int | None = None) -> PreparedEdges:
-    """Build ``(src, salt, dst, weight)`` with ``weight = multiplicity / out_degree``.
+def salted_edges(edges: DataFrame, num_partitions: int | None = None,
+                 hot_threshold: int | None = None, degree: DataFrame | None = None):
+    """De-duplicate and salt an edge multiset.
+
+    Returns ``(table, hot, degree)``: ``table`` is ``(src, salt, dst, mult, out_degree)``
+    hash-partitioned on ``(src, salt)``; ``hot`` is ``(src, n_salt, hot_degree)`` for the
+    hot sources; ``degree`` is ``(src, out_degree, fanout)``.
 
     A source whose fan-out (distinct destinations) exceeds ``hot_threshold`` is *hot*:
     its edges are spread over ``ceil(fanout / hot_threshold)`` salts by destination
     hash, so no partition holds more than about ``hot_threshold`` of its edges. The
     default threshold ``ceil(R / (2n))`` (``R`` distinct edges, ``n`` partitions)
-    guarantees fewer than ``2n`` hot sources, which bounds every broadcast below.
+    guarantees fewer than ``2n`` hot sources, which bounds every broadcast of ``hot``.
     """
     spark = edges.sparkSession
     n = num_partitions or shuffle_partitions(spark)
     dedup = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("mult"))
-    degree = dedup.groupBy("src").agg(
-        F.sum("mult").alias("out_degree"), F.count(F.lit(1)).alias("fanout")
-    )
-    level = StorageLevel.MEMORY_AND_DISK
-    cached: list[DataFrame] = []
-    if persist:
-        degree = degree.persist(level)
-        cached.append(degree)
+    if degree is None:
+        degree = dedup.groupBy("src").agg(
+            F.sum("mult").alias("out_degree"), F.count(F.lit(1)).alias("fanout"))
     if hot_threshold is None:
         distinct_edges = degree.agg(F.sum("fanout")).first()[0] or 0
         hot_threshold = max(1, math.ceil(distinct_edges / (2 * n)))
     # Fewer than 2n rows by construction (each has > R / 2n distinct edges).
-    hot_info = degree.where(F.col("fanout") > hot_threshold).select(
+    hot = degree.where(F.col("fanout") > hot_threshold).select(
         "src", F.col("out_degree").alias("hot_degree"),
         F.ceil(F.col("fanout") / F.lit(hot_threshold)).cast("int").alias("n_salt"))
-    marked = dedup.join(F.broadcast(hot_info), "src", "left")
+    marked = dedup.join(F.broadcast(hot), "src", "left")
     hot_edges = marked.where(F.col("hot_degree").isNotNull()).select(
-        "src", F.pmod(F.xxhash64("dst"), F.col("n_salt")).cast("int").alias("salt"), "dst",
-        (F.col("mult") / F.col("hot_degree")).alias("weight"))
+        "src", F.pmod(F.xxhash64("dst"), F.col("n_salt")).cast("int").alias("salt"), "dst", "mult",
+        F.col("hot_degree").alias("out_degree"))
+    # cold sources have at most hot_threshold distinct edges: a plain shuffle join is even
     cold_edges = (
         marked.where(F.col("hot_degree").isNull())
         .join(degree.select("src", "out_degree"), "src")
-        .select("src", F.lit(0).alias("salt"), "dst",
-                (F.col("mult") / F.col("out_degree")).alias("weight"))
+        .select("src", F.lit(0).alias("salt"), "dst", "mult", "out_degree")
     )
     table = hot_edges.unionByName(cold_edges).repartition(n, "src", "salt")
+    return table, hot, degree
+
+
+def weighted_edges(edges: DataFrame, num_partitions: int | None = None,
+                   persist: bool = True, hot_threshold: int | None = None) -> PreparedEdges:
+    """Cached ``(src, salt, dst, weight)`` with ``weight = multiplicity / out_degree``
+    (see :func:`salted_edges`)."""
+    spark = edges.sparkSession
+    n = num_partitions or shuffle_partitions(spark)
+    dedup = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("mult"))
+    degree = dedup.groupBy("src").agg(
+        F.sum("mult").alias("out_degree"), F.count(F.lit(1)).alias("fanout"))
+    level = StorageLevel.MEMORY_AND_DISK
+    cached: list[DataFrame] = []
+    if persist:
+        degree = degree.persist(level)
+        cached.append(degree)
+    full, hot, degree = salted_edges(edges, n, hot_threshold, degree)
+    table = full.select("src", "salt", "dst", (F.col("mult") / F.col("out_degree")).alias("weight"))
     if persist:
         with _cache_keeps_partitioning(spark):
             table = table.persist(level)
         cached.append(table)
-    return PreparedEdges(table, hot_info.select("src", "n_salt"), degree.select("src"), n, cached)
+    return PreparedEdges(table, hot.select("src", "n_salt"), degree.select("src"), n, cached)
 
 
-def _pass(prepared: PreparedEdges, ranks: DataFrame, d: float) -> DataFrame:
-    """One pass; ``ranks`` is referenced once, so unrolled passes grow the plan linearly."""
-    expanded = ranks.join(F.broadcast(prepared.hot), "src", "left").select(
+def expand_ranks(ranks: DataFrame, hot: DataFrame) -> DataFrame:
+    """One rank row per salt of its source (hot sources get several)."""
+    return ranks.join(F.broadcast(hot.select("src", "n_salt")), "src", "left").select(
         "src", "rank",
         F.explode(F.sequence(F.lit(0), F.coalesce(F.col("n_salt"), F.lit(1)) - 1)).alias("salt"))
-    contribs = prepared.table.join(expanded.hint("shuffle_hash"), ["src", "salt"]).select(
+
+
+def join_ranks_salted(table: DataFrame, ranks: DataFrame, hot: DataFrame) -> DataFrame:
+    """Skew-safe edge-rank join: salted edges meet the salt-expanded rank rows."""
+    return table.join(expand_ranks(ranks, hot).hint("shuffle_hash"), ["src", "salt"])
+
+
+def _pass(prepared: PreparedEdges, ranks: DataFrame, d: float) -> DataFrame:
+    """One pass; ``ranks`` is referenced once, so unrolled passes grow the plan linearly."""
+    contribs = join_ranks_salted(prepared.table, ranks, prepared.hot).select(
         "dst", (F.col("rank") * F.col("weight")).alias("contribution"))
     return contribs.groupBy("dst").agg(
         (F.lit(1.0 - d) + F.lit(d) * F.sum("contribution")).alias("rank")

@@ -63,8 +63,8 @@ oracle("initial_ranks", f"SELECT DISTINCT src, 1.0::DOUBLE AS rank FROM ({ofx.G_
 oracle("edge_rank_join", f"SELECT src, dst, 1.0::DOUBLE AS rank FROM ({ofx.G_CHAIN})")
 
 oracle("adjacency", f"""
-SELECT src, array_to_string(list_sort(list(dst)), ' ') AS neighbors, count(*) AS out_degree
-FROM ({ofx.G_CHAIN}) GROUP BY src
+SELECT src, dst, count(*) AS multiplicity, CAST(sum(count(*)) OVER (PARTITION BY src) AS BIGINT) AS out_degree
+FROM ({ofx.G_CHAIN}) GROUP BY src, dst
 """)
 
 oracle("contributions", f"""
@@ -74,6 +74,8 @@ SELECT e.src, e.dst, round(1.0::DOUBLE / deg.n, 6) AS contribution FROM e JOIN d
 
 oracle("damped_sum", pagerank_sql(ofx.G_CHAIN, epochs=1))
 
+oracle("map_values", pagerank_sql(ofx.G_CHAIN, epochs=1))
+
 oracle("char_contributions", f"""
 SELECT unnest(string_split(dst, '')) AS ch, round(1.0::DOUBLE / length(dst), 6) AS contribution
 FROM ({ofx.G_CHARS}) WHERE length(dst) > 0
@@ -329,6 +331,14 @@ SELECT idx, label,
 FROM enc
 """)
 
+oracle("drop_columns", _TEXT + """
+x AS (SELECT 1 AS one)
+SELECT label,
+       array_to_string(list_concat([2], ids, [3], list_transform(range(510 - len(ids)), lambda q: 0)), ' ') AS input_ids,
+       CAST(len(ids) + 2 AS INTEGER) AS mask_len
+FROM enc
+""")
+
 _NB = _TEXT + """
 tr AS (SELECT label, unnest(ids) AS id FROM enc WHERE split = 'train'),
 cnt AS (SELECT label AS c, id, count(*) AS n FROM tr GROUP BY label, id),

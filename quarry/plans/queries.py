@@ -53,35 +53,46 @@ def q_initial_ranks(spark, sf):
 
 @query("edge_rank_join")
 def q_edge_rank_join(spark, sf):
-    edges = fx.g_chain(spark, sf)
-    return graph.join_ranks(edges, graph.initial_ranks(edges)).select("src", "dst", "rank")
+    """Edges joined to the initial ranks by source, one row per edge (duplicates kept)."""
+    table, hot, degree = graph.salted_edges(fx.g_chain(spark, sf))
+    ranks = degree.select("src", F.lit(1.0).cast("double").alias("rank"))
+    joined = graph.join_ranks_salted(table, ranks, hot)
+    return joined.select("src", "dst", "rank", F.explode(F.array_repeat(F.lit(1), F.col("mult").cast("int"))).alias("_e")) \
+        .drop("_e")
 
 
 @query("adjacency")
 def q_adjacency(spark, sf):
-    adj = graph.adjacency(fx.g_chain(spark, sf))
-    return adj.select("src", F.array_join(F.array_sort("neighbors"), " ").alias("neighbors"),
-                      "out_degree")
-
-
-def _first_pass_inputs(spark, sf):
-    edges = fx.g_chain(spark, sf)
-    deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("out_degree"))
-    ranked = graph.join_ranks(edges, graph.initial_ranks(edges)).join(deg, "src")
-    return ranked
+    return graph.adjacency(fx.g_chain(spark, sf))
 
 
 @query("contributions")
 def q_contributions(spark, sf):
-    ranked = _first_pass_inputs(spark, sf)
-    return ranked.select("src", "dst", r6(F.col("rank") / F.col("out_degree")).alias("contribution"))
+    """First-pass contribution of every edge: rank / out-degree of its source."""
+    table, hot, degree = graph.salted_edges(fx.g_chain(spark, sf))
+    ranks = degree.select("src", F.lit(1.0).cast("double").alias("rank"))
+    joined = graph.join_ranks_salted(table, ranks, hot)
+    return joined.select("src", "dst", r6(F.col("rank") / F.col("out_degree")).alias("contribution"),
+                         F.explode(F.array_repeat(F.lit(1), F.col("mult").cast("int"))).alias("_e")).drop("_e")
 
 
 @query("damped_sum")
 def q_damped_sum(spark, sf):
-    contribs = graph.contributions(_first_pass_inputs(spark, sf))
-    out = graph.damped_sum(contribs, DAMPING, out_key="id")
-    return out.select("id", r6("rank").alias("rank"))
+    """One pass: per destination (1 - d) + d * sum of contributions."""
+    return _ranks(graph.pagerank(fx.g_chain(spark, sf), DAMPING, epochs=1))
+
+
+@query("map_values")
+def q_map_values(spark, sf):
+    """First pass as two steps: sum of contributions per destination, then the damping
+    applied to the value only."""
+    table, hot, degree = graph.salted_edges(fx.g_chain(spark, sf))
+    ranks = degree.select("src", F.lit(1.0).cast("double").alias("rank"))
+    joined = graph.join_ranks_salted(table, ranks, hot)
+    sums = joined.groupBy(F.col("dst").alias("id")).agg(
+        F.sum(F.col("rank") * F.col("mult") / F.col("out_degree")).alias("rank"))
+    damped = graph.map_values(sums, lambda v: F.lit(1.0 - DAMPING) + F.lit(DAMPING) * v)
+    return _ranks(damped)
 
 
 @query("char_contributions")
@@ -433,6 +444,16 @@ def q_encode_text(spark, sf):
                       F.size("input_ids").alias("length"))
 
 
+@query("drop_columns")
+def q_drop_columns(spark, sf):
+    """Training-mode encoding: ``idx`` and ``sentence`` are dropped after encoding."""
+    sent, vocab = _text_model(spark, sf)
+    enc = txt.encode_text(sent, vocab, MAX_LENGTH, keep=("label",))
+    return enc.select(*[c for c in enc.columns if c not in ("input_ids", "attention_mask", "token_type_ids")],
+                      F.array_join("input_ids", " ").alias("input_ids"),
+                      F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("mask_len"))
+
+
 def _text_scored(spark, sf, split: str):
     sent, vocab = _text_model(spark, sf)
     n_vocab = vocab.count()
