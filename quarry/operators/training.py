@@ -1,9 +1,10 @@
 """Data-parallel training of a linear softmax classifier on Spark.
 
 * rows get ``(epoch, rank, step)`` from :func:`assign_batches` (disjoint rank shards);
-* every ``(step, rank)`` batch -- at most ``batch_size`` rows -- computes its mean
-  cross-entropy gradient in one pandas function (Arrow batches, NumPy inside); this is
-  the only Python that runs in tasks;
+* every task sums the cross-entropy gradient of its rows per ``(step, rank)`` batch in
+  one pandas function over Arrow batches (NumPy inside; the only Python that runs in
+  tasks), and a grouped aggregation adds the model-sized partial sums into each
+  rank's mean gradient;
 * the rank gradients are combined by a grouped aggregation (``gather_mean``: average
   over the ranks present; ``allreduce``: sum of ``g / world_size``);
 * the driver holds the model (classes x features + classes values, size-checked) and
@@ -25,40 +26,76 @@ from quarry.operators.indexing import assign_batches
 from quarry.operators.scoring import MAX_PARAMETERS, LinearModel
 
 GRAD_SCHEMA = "epoch int, step int, rank int, n long, loss double, correct long, grad array<double>"
+PARTIAL_SCHEMA = "epoch int, step int, rank int, j int, value double"
+_FLUSH_KEYS = 256
 
 
-def _grad_fn(weight: np.ndarray, bias: np.ndarray):
+def _partial_fn(weight: np.ndarray, bias: np.ndarray):
+    """Per task: stream Arrow batches, keep per-(epoch, step, rank) sums of the
+    cross-entropy gradient (model-sized), emit them in long form. ``j = -3, -2, -1``
+    carry row count, loss sum and correct count."""
     w = np.asarray(weight, dtype=np.float64)
     b = np.asarray(bias, dtype=np.float64)
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = np.stack(pdf["features"].to_numpy()).astype(np.float64)
-        y = pdf["label"].to_numpy().astype(np.int64)
-        n = len(y)
-        z = x @ w.T + b
-        z = z - z.max(axis=1, keepdims=True)
-        logp = z - np.log(np.exp(z).sum(axis=1, keepdims=True))
-        p = np.exp(logp)
-        rows = np.arange(n)
-        loss = float(-logp[rows, y].mean())
-        correct = int((np.argmax(logp, axis=1) == y).sum())
-        p[rows, y] -= 1.0
-        grad = np.concatenate([(p.T @ x / n).ravel(), p.mean(axis=0)])
-        return pd.DataFrame({
-            "epoch": [int(pdf["epoch"].iloc[0])], "step": [int(pdf["step"].iloc[0])],
-            "rank": [int(pdf["rank"].iloc[0])], "n": [n], "loss": [loss], "correct": [correct],
-            "grad": [grad.tolist()],
-        })
+    width = w.size + b.size
+
+    def emit(acc):
+        for (e, s, r), vec in acc.items():
+            yield pd.DataFrame({"epoch": e, "step": s, "rank": r,
+                                "j": np.arange(-3, width, dtype=np.int32), "value": vec})
+
+    def fn(batches):
+        acc: dict = {}
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            for key, g in pdf.groupby(["epoch", "step", "rank"], sort=False):
+                x = np.stack(g["features"].to_numpy()).astype(np.float64)
+                y = g["label"].to_numpy().astype(np.int64)
+                n = len(y)
+                z = x @ w.T + b
+                z = z - z.max(axis=1, keepdims=True)
+                logp = z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+                rows = np.arange(n)
+                p = np.exp(logp)
+                head = [n, float(-logp[rows, y].sum()), float((np.argmax(logp, axis=1) == y).sum())]
+                p[rows, y] -= 1.0
+                vec = np.concatenate([head, (p.T @ x).ravel(), p.sum(axis=0)])
+                key = tuple(int(k) for k in key)
+                if key in acc:
+                    acc[key] += vec
+                else:
+                    acc[key] = vec
+            if len(acc) > _FLUSH_KEYS:  # partial sums may be emitted early: they are summed later
+                yield from emit(acc)
+                acc = {}
+        yield from emit(acc)
 
     return fn
 
 
 def partial_gradients(batched: DataFrame, model: LinearModel) -> DataFrame:
     """One row per ``(epoch, step, rank)``: batch size, mean loss, correct count and the
-    mean gradient (weight row-major, then bias)."""
+    mean gradient (weight row-major, then bias).
+
+    Each task sums gradients of its rows per batch key (NumPy on Arrow batches); the
+    model-sized partial sums are added up by a grouped aggregation, so no batch is ever
+    gathered into one task, however large ``batch_size`` is.
+    """
     cols = batched.select("epoch", "step", "rank", F.col("features").cast("array<double>").alias("features"),
                           F.col("label").cast("long").alias("label"))
-    return cols.groupBy("epoch", "step", "rank").applyInPandas(_grad_fn(model.weight, model.bias), GRAD_SCHEMA)
+    partial = cols.mapInPandas(_partial_fn(model.weight, model.bias), PARTIAL_SCHEMA)
+    sums = partial.groupBy("epoch", "step", "rank", "j").agg(F.sum("value").alias("value"))
+    # one model-sized record per (epoch, step, rank)
+    per_key = sums.groupBy("epoch", "step", "rank").agg(
+        F.array_sort(F.collect_list(F.struct("j", "value"))).alias("_v"))
+    n = F.get(F.col("_v"), 0)["value"]
+    body = F.filter(F.col("_v"), lambda t: t["j"] >= 0)
+    return per_key.select(
+        "epoch", "step", "rank", n.cast("long").alias("n"),
+        (F.get(F.col("_v"), 1)["value"] / n).alias("loss"),
+        F.get(F.col("_v"), 2)["value"].cast("long").alias("correct"),
+        F.transform(body, lambda t: t["value"] / n).alias("grad"),
+    )
 
 
 def combine_gradients(parts: DataFrame, how: str = "gather_mean", world_size: int | None = None) -> DataFrame:

@@ -398,11 +398,47 @@ parts AS (SELECT step, rank, CAST(c * (SELECT nd FROM k) + d AS INTEGER) AS j, g
           UNION ALL SELECT step, rank, CAST((SELECT nc * nd FROM k) + c AS INTEGER), g FROM rb)
 """
 
-oracle("combine_gather_mean", _ZERO_GRAD + "SELECT step, j, round(avg(g), 6) AS grad FROM parts GROUP BY step, j")
-oracle("combine_allreduce", _ZERO_GRAD + "SELECT step, j, round(sum(g / 4.0), 6) AS grad FROM parts GROUP BY step, j")
+oracle("combine_gather_mean", _ZERO_GRAD + "SELECT step, j, round(avg(g), 9) AS grad FROM parts GROUP BY step, j")
+oracle("combine_allreduce", _ZERO_GRAD + "SELECT step, j, round(sum(g / 4.0), 9) AS grad FROM parts GROUP BY step, j")
 oracle("combine_equivalence", _ZERO_GRAD + """
 SELECT round(max(abs(a - s)), 9) AS max_abs_diff FROM (SELECT step, j, avg(g) AS a, sum(g / 4.0) AS s FROM parts GROUP BY step, j)
 """)
 oracle("softmax_gradient_step", _ZERO_GRAD + """
-SELECT j, round(avg(g), 6) AS grad, round(-0.1 * avg(g), 6) AS weight FROM parts WHERE step = 0 GROUP BY j
+SELECT j, round(avg(g), 9) AS grad, round(-0.1 * avg(g), 9) AS weight FROM parts WHERE step = 0 GROUP BY j
 """)
+
+
+def _sgd_full_batch_sql(steps: int = 3, lr: float = 0.1, momentum: float = 0.9, wd: float = 1e-4) -> str:
+    """Full-batch SGD from zero weights, unrolled: g = mean grad + wd * w; v = m * v + g
+    (v = g on the first step); w = w - lr * v. Parameters are ``(j, w)`` with
+    ``j = c * D + d`` for weights and ``C * D + c`` for biases."""
+    ctes = [f"x AS ({ofx.X_VEC})",
+            "t AS (SELECT vec_id AS i, label, features FROM x WHERE split = 'train')",
+            "k AS (SELECT max(label) + 1 AS nc, max(len(features)) AS nd, count(*) AS nrows FROM t)",
+            "cls AS (SELECT unnest(range(nc)) AS c FROM k)",
+            "cells AS (SELECT i, unnest(features) AS v, generate_subscripts(features, 1) - 1 AS d FROM t)",
+            "p0 AS (SELECT unnest(range(nc * nd + nc)) AS j, 0.0::DOUBLE AS w, 0.0::DOUBLE AS mom FROM k)"]
+    for s in range(steps):
+        cur, nxt = f"p{s}", f"p{s + 1}"
+        mom = "" if s == 0 else f"{momentum} * p.mom + "
+        ctes += [
+            f"zw{s} AS (SELECT cells.i, cls.c, sum(cells.v * wt.w) AS zw FROM cells CROSS JOIN cls CROSS JOIN k "
+            f"JOIN {cur} wt ON wt.j = cls.c * k.nd + cells.d GROUP BY cells.i, cls.c)",
+            f"z{s} AS (SELECT zw.i, zw.c, zw.zw + bb.w AS z FROM zw{s} zw CROSS JOIN k "
+            f"JOIN {cur} bb ON bb.j = k.nc * k.nd + zw.c)",
+            f"zm{s} AS (SELECT i, max(z) AS m FROM z{s} GROUP BY i)",
+            f"lse{s} AS (SELECT z.i, zm.m + ln(sum(exp(z.z - zm.m))) AS s FROM z{s} z JOIN zm{s} zm ON zm.i = z.i "
+            f"GROUP BY z.i, zm.m)",
+            f"r{s} AS (SELECT z.i, z.c, exp(z.z - l.s) - CASE WHEN t.label = z.c THEN 1.0 ELSE 0.0 END AS e "
+            f"FROM z{s} z JOIN lse{s} l ON l.i = z.i JOIN t ON t.i = z.i)",
+            f"g{s} AS (SELECT CAST(r.c * k.nd + cells.d AS BIGINT) AS j, sum(r.e * cells.v) / any_value(k.nrows) AS g "
+            f"FROM r{s} r JOIN cells ON cells.i = r.i CROSS JOIN k GROUP BY r.c, cells.d, k.nd "
+            f"UNION ALL SELECT CAST(k.nc * k.nd + r.c AS BIGINT), sum(r.e) / any_value(k.nrows) "
+            f"FROM r{s} r CROSS JOIN k GROUP BY r.c, k.nc, k.nd)",
+            f"{nxt} AS (SELECT j, w - {lr} * v AS w, v AS mom FROM (SELECT p.j, p.w, "
+            f"{mom}(g.g + {wd} * p.w) AS v FROM {cur} p JOIN g{s} g ON g.j = p.j))",
+        ]
+    return "WITH " + ",\n".join(ctes) + f"\nSELECT CAST(j AS INTEGER) AS j, round(w, 6) AS value FROM p{steps}"
+
+
+oracle("train_sgd_full_batch", _sgd_full_batch_sql())

@@ -44,6 +44,12 @@ def r6(c) -> "F.Column":
     return F.round(F.col(c) if isinstance(c, str) else c, 6)
 
 
+def r9(c) -> "F.Column":
+    """Gradients at zero weights are 1/C - k/(batch * ranks): at most 8 decimals, so a
+    6-digit rounding can sit exactly on a tie; 9 digits cannot."""
+    return F.round(F.col(c) if isinstance(c, str) else c, 9)
+
+
 # ------------------------------------------------------------------------ graph: steps
 
 @query("initial_ranks")
@@ -517,13 +523,13 @@ def q_collate_batches(spark, sf):
 @query("combine_gather_mean")
 def q_combine_gather_mean(spark, sf):
     g = tr.combine_gradients(_zero_parts(spark, sf), "gather_mean")
-    return g.select("step", "j", r6("grad").alias("grad"))
+    return g.select("step", "j", r9("grad").alias("grad"))
 
 
 @query("combine_allreduce")
 def q_combine_allreduce(spark, sf):
     g = tr.combine_gradients(_zero_parts(spark, sf), "allreduce", WORLD)
-    return g.select("step", "j", r6("grad").alias("grad"))
+    return g.select("step", "j", r9("grad").alias("grad"))
 
 
 @query("combine_equivalence")
@@ -542,7 +548,7 @@ def q_softmax_gradient_step(spark, sf):
     g = tr.combine_gradients(parts, "gather_mean")
     opt = tr.SGD()
     # zero weights: weight decay adds nothing and the momentum buffer starts at g
-    return g.select("j", r6("grad").alias("grad"), r6(F.lit(-opt.lr) * F.col("grad")).alias("weight"))
+    return g.select("j", r9("grad").alias("grad"), r9(F.lit(-opt.lr) * F.col("grad")).alias("weight"))
 
 
 def _theta_frame(spark, state: tr.TrainState) -> DataFrame:
@@ -574,6 +580,18 @@ def q_train_sgd(spark, sf):
     return _theta_frame(spark, state)
 
 
+@query("train_sgd_full_batch")
+def q_train_sgd_full_batch(spark, sf):
+    """Three full-batch SGD steps (momentum 0.9, weight decay 1e-4, lr 0.1) on one rank."""
+    train_df = _x_train(spark, sf)
+    classes, dim = _x_shape(train_df)
+    model = tr.zero_model(classes, dim)
+    state = tr.TrainState(model, tr.SGD().init(None))
+    state = tr.train(train_df, state, tr.SGD(), epochs=3, batch_size=1 << 40, world_size=1,
+                     max_batches=None, seed=42, key="vec_id")
+    return _theta_frame(spark, state)
+
+
 @query("train_adamw")
 def q_train_adamw(spark, sf):
     state, _ = _fit(spark, sf, _adamw, epochs=3)
