@@ -122,3 +122,43 @@ def assign_batches(df: DataFrame, key: str, batch_size: int, shuffle: bool = Fal
         F.pmod(F.col("pos"), F.lit(world_size)).cast("int").alias("rank"),
         F.floor(local / F.lit(batch_size)).cast("int").alias("step"),
     )
+
+
+def next_in_group(df: DataFrame, group: str, order: Sequence[str], value: str,
+                  out: str = "next_value") -> DataFrame:
+    """``lead(value) over (partition by group order by order...)`` without a per-group
+    window: rows get global positions under ``(group, order...)`` and each row is
+    joined to the row one position later, kept only if it is in the same group.
+    Range partitioning and the positional equi-join spread even a group that holds a
+    large share of all rows over many tasks. Rows without a successor get null."""
+    ranked = global_index(df, [group, *order], pos="_ng_pos")
+    succ = ranked.select((F.col("_ng_pos") - 1).alias("_ng_pos"), F.col(group).alias("_ng_group"),
+                         F.col(value).alias(out))
+    joined = ranked.join(succ, "_ng_pos", "left")
+    return joined.select(*[c for c in df.columns],
+                         F.when(F.col("_ng_group") == F.col(group), F.col(out)).alias(out))
+
+
+def lead_in_group(df: DataFrame, group: str, order: Sequence[str], value: str,
+                  out: str = "next_value", hot_threshold: int | None = None) -> DataFrame:
+    """``lead(value)`` within ``group`` in ``order``, skew-safe.
+
+    Groups of at most ``hot_threshold`` rows (default ``ceil(N / (2n))``) use an
+    ordinary window partitioned by the group; the few larger groups (fewer than ``2n``
+    by construction, so their keys are fetched once as a literal list) go through
+    :func:`next_in_group`, which spreads a group over many tasks. One small aggregate
+    job decides whether there are any.
+    """
+    spark = df.sparkSession
+    n = shuffle_partitions(spark)
+    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_lg_n"))
+    total, largest = sizes.agg(F.sum("_lg_n"), F.max("_lg_n")).first()
+    if hot_threshold is None:
+        hot_threshold = max(1, -(-(total or 0) // (2 * n)))
+    w = Window.partitionBy(group).orderBy(*order)
+    if not largest or largest <= hot_threshold:
+        return df.withColumn(out, F.lead(value).over(w))
+    hot = [r[0] for r in sizes.where(F.col("_lg_n") > hot_threshold).select(group).collect()]
+    is_hot = F.col(group).isin(hot)
+    cold = df.where(~is_hot).withColumn(out, F.lead(value).over(w))
+    return cold.unionByName(next_in_group(df.where(is_hot), group, order, value, out))

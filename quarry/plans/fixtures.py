@@ -6,11 +6,11 @@ the work grows with the tables. The SQL twins live in :mod:`quarry.plans.oracles
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.hashing import hash_mod
-from quarry.operators.indexing import assign_split, global_index
+from quarry.operators.indexing import assign_split, global_index, lead_in_group
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,15 +22,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def g_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Part-to-next-part edges inside each order (ordered by line number, part key).
 
-    The window is partitioned by order; an order holds a handful of lines.
+    The successor comes from a window per order, except for orders so large that one
+    task would hold too much of the table: those are spread over many tasks by global
+    positions and a positional join (:func:`lead_in_group`).
     """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey")
-    return (
-        li.select(F.col("l_partkey").cast("string").alias("src"),
-                  F.lead("l_partkey").over(w).cast("string").alias("dst"))
-        .where(F.col("dst").isNotNull())
-    )
+    nxt = lead_in_group(li, "l_orderkey", ["l_linenumber", "l_partkey"], "l_partkey", out="_next")
+    return nxt.where(F.col("_next").isNotNull()).select(
+        F.col("l_partkey").cast("string").alias("src"), F.col("_next").cast("string").alias("dst"))
 
 
 def g_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,3 +43,13 @@ def test_split_is_stable_and_proportional(spark):
     counts = {r["split"]: r["count"] for r in s}
     assert abs(counts["train"] / 20000 - 0.8) < 0.02
     assert abs(counts["test"] / 20000 - 0.1) < 0.02
+
+
+def test_lead_in_group_hot_and_cold_paths_agree(spark):
+    from quarry.operators.indexing import lead_in_group
+    rows = [(0 if i < 300 else i % 17, i % 5, i) for i in range(600)]  # group 0 holds half the rows
+    df = spark.createDataFrame(rows, "g long, a int, v long")
+    want = {r["v"]: r["nxt"] for r in lead_in_group(df, "g", ["a", "v"], "v", "nxt", hot_threshold=10**9).collect()}
+    got = {r["v"]: r["nxt"] for r in lead_in_group(df, "g", ["a", "v"], "v", "nxt", hot_threshold=50).collect()}
+    assert got == want
+    assert sum(1 for x in want.values() if x is None) == 17
