@@ -23,7 +23,8 @@ def with_sorted_position(df: DataFrame, keys: Sequence[str], pos: str = "pos") -
 
 
 def sort_to_one(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Sorted rows in exactly one partition.
+    """Sorted rows in exactly one partition -- for small outputs only, since one task
+    holds everything.
 
     ``repartition(1).sortWithinPartitions`` -- sorting first and then moving to one
     partition would not keep the order across the exchange.
@@ -31,10 +32,27 @@ def sort_to_one(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.repartition(1).sortWithinPartitions(*keys)
 
 
-def sort_csv(spark, src: str, dst: str, keys: Sequence[str], single: bool = True,
+def sort_to_ordered_partitions(df: DataFrame, keys: Sequence[str], num_partitions: int | None = None) -> DataFrame:
+    """Sorted rows as a sequence of range partitions: every key in partition ``i`` sorts
+    before every key in partition ``i + 1`` and each partition is sorted, so reading the
+    partitions (or their part files) in order gives the single sorted sequence without
+    any task holding all rows."""
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+
+
+def ordered_position(df: DataFrame, pos: str = "pos") -> DataFrame:
+    """0-based position of each row in partition order (partition id, row in partition),
+    from per-partition counts -- the layout is checkpointed first so it is fixed."""
+    tagged = df.select("*", F.spark_partition_id().alias("_op_pid"), F.monotonically_increasing_id().alias("_op_mid"))
+    return global_index(tagged, ["_op_pid", "_op_mid"], pos=pos).drop("_op_pid", "_op_mid")
+
+
+def sort_csv(spark, src: str, dst: str, keys: Sequence[str], single: bool = False,
              schema=None) -> None:
-    """Read a header CSV, sort by ``keys`` and write a header CSV: one file when
-    ``single`` (as the studied job does), else ordered part files."""
+    """Read a header CSV, sort by ``keys`` and write header CSV part files in global
+    order (part files in name order = the sorted file). ``single=True`` writes one
+    file through one task, as the studied job does; use it for small outputs."""
     df = read_table_csv(spark, src, schema)
     write_csv(df, dst, single=single, sort_keys=list(keys))
 

@@ -131,12 +131,7 @@ oracle("csv_scan", ofx.T_SORT)
 oracle("sort_by_keys", _SORTED)
 oracle("sort_single_partition", _SORTED)
 oracle("csv_sink", _SORTED)
-oracle("sort_csv_job", f"""
-SELECT 0 AS line_no, 'cca2,timestamp,o_orderkey,o_custkey,o_orderstatus' AS value
-UNION ALL
-SELECT pos + 1, concat_ws(',', coalesce(cca2, ''), "timestamp", o_orderkey, o_custkey, o_orderstatus)
-FROM ({_SORTED})
-""")
+oracle("sort_csv_job", _SORTED)
 
 oracle("text_edge_scan", ofx.G_TEXT)
 oracle("comment_filter", f"SELECT value FROM ({ofx.G_TEXT}) WHERE NOT starts_with(value, '#')")

@@ -21,7 +21,8 @@ from quarry.operators import text as txt
 from quarry.operators import training as tr
 from quarry.operators.scoring import LinearModel, class_mean_model, load_linear, parameter_count, score_linear
 from quarry.operators.indexing import assign_batches, assign_split, equal_random_buckets, global_index
-from quarry.operators.sorting import read_lines_in_order, sort_csv, sort_to_one, with_sorted_position
+from quarry.operators.sorting import (ordered_position, read_lines_in_order, sort_csv, sort_to_ordered_partitions,
+                                     with_sorted_position)
 from quarry.plans import fixtures as fx
 from quarry.session import scratch_path
 from quarry.sinks import save_model, write_csv, write_lines, write_predictions, write_rank_text, write_report
@@ -187,16 +188,21 @@ def q_sort_by_keys(spark, sf):
 
 @query("sort_single_partition")
 def q_sort_single_partition(spark, sf):
-    one = sort_to_one(fx.t_sort(spark, sf), fx.SORT_KEYS)
-    # one partition: the id is the position in it
-    return one.withColumn("pos", F.monotonically_increasing_id())
+    """Re-aimed: the sorted result as globally ordered range partitions (the single
+    sorted sequence, without one task holding every row); ``pos`` is the position in
+    partition order, which must equal the sorted position."""
+    ordered = sort_to_ordered_partitions(fx.t_sort(spark, sf), fx.SORT_KEYS)
+    return ordered_position(ordered)
 
 
 @query("sort_csv_job")
 def q_sort_csv_job(spark, sf):
+    """CSV -> sort -> CSV part files in global order; read back in file order."""
     dst = scratch_path(spark, "sorted_csv")
-    sort_csv(spark, _t_sort_csv(spark, sf), dst, fx.SORT_KEYS, single=True)
-    return read_lines_in_order(spark, dst)
+    sort_csv(spark, _t_sort_csv(spark, sf), dst, fx.SORT_KEYS)
+    back = read_table_csv(spark, dst).select(
+        "*", F.col("_metadata.file_name").alias("_file"), F.monotonically_increasing_id().alias("_mid"))
+    return global_index(back, ["_file", "_mid"], pos="pos").drop("_file", "_mid")
 
 
 @query("csv_sink")

@@ -47,7 +47,7 @@ def test_sort_csv_single_file(spark):
     dst = scratch_path(spark, "dst_csv")
     df = spark.createDataFrame([(f"c{i % 3}", str(i), str(i)) for i in range(50)], "cca2 string, timestamp string, k string")
     write_csv(df, src)
-    sort_csv(spark, src, dst, ["cca2", "timestamp"])
+    sort_csv(spark, src, dst, ["cca2", "timestamp"], single=True)
     lines = [r["value"] for r in read_lines_in_order(spark, dst).orderBy("line_no").collect()]
     assert lines[0] == "cca2,timestamp,k"
     body = [tuple(x.split(",")) for x in lines[1:]]
@@ -71,3 +71,12 @@ def test_rank_text_fails_if_present(spark):
     assert spark.read.text(d + "/wiki.txt").collect()[0]["value"] == "('a', 1.0)"
     with pytest.raises(Exception):
         write_rank_text(ranks, d)
+
+
+def test_ordered_part_files_concatenate_to_sorted(spark):
+    from quarry.operators.sorting import ordered_position, sort_to_ordered_partitions
+    df = spark.range(0, 3000).select((F.col("id") * 7919 % 3001).cast("string").alias("k"))
+    ordered = sort_to_ordered_partitions(df, ["k"], num_partitions=6)
+    assert ordered.rdd.getNumPartitions() == 6
+    rows = ordered_position(ordered).orderBy("pos").collect()
+    assert [r["k"] for r in rows] == sorted(r["k"] for r in rows)
