@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 from quarry.functions.arrays import argmax_index, array_dot, array_log_softmax
 
 MAX_PARAMETERS = 5_000_000
+# Largest model written into the plan as literals; bigger models are shipped to each
+# task once, inside a vectorised (Arrow batch) scoring function.
+MAX_LITERAL_PARAMETERS = 100_000
 
 
 @dataclass
@@ -90,9 +93,43 @@ def linear_logits(df: DataFrame, model: LinearModel, features: str = "features",
     return df.withColumn(out, logits)
 
 
+def _score_batches(model: LinearModel, features: str, label: str | None, columns: list[str]):
+    w, b = model.weight, model.bias
+
+    def fn(batches):
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            x = np.stack(pdf[features].to_numpy()).astype(np.float64)
+            z = x @ w.T + b
+            zs = z - z.max(axis=1, keepdims=True)
+            logp = zs - np.log(np.exp(zs).sum(axis=1, keepdims=True))
+            out = pdf[columns].copy()
+            out["logits"] = list(z)
+            out["log_probs"] = list(logp)
+            out["pred"] = np.argmax(logp, axis=1).astype(np.int32)
+            if label:
+                out["loss"] = -logp[np.arange(len(out)), pdf[label].to_numpy().astype(np.int64)]
+            yield out
+
+    return fn
+
+
 def score_linear(df: DataFrame, model: LinearModel, features: str = "features",
                  label: str | None = "label") -> DataFrame:
-    """Logits, log-probabilities, predicted class and (with a label) the row loss."""
+    """Logits, log-probabilities, predicted class and (with a label) the row loss.
+
+    Small models become plan literals (JVM-side array expressions); larger ones are
+    applied per Arrow batch with NumPy, the parameters shipped once per task.
+    """
+    if model.weight.size + model.bias.size > MAX_LITERAL_PARAMETERS:
+        columns = df.columns
+        from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructType
+        schema = StructType(df.schema.fields[:]).add("logits", ArrayType(DoubleType())) \
+            .add("log_probs", ArrayType(DoubleType())).add("pred", IntegerType())
+        if label:
+            schema = schema.add("loss", DoubleType())
+        return df.mapInPandas(_score_batches(model, features, label, columns), schema)
     out = linear_logits(df, model, features)
     out = out.withColumn("log_probs", array_log_softmax(F.col("logits")))
     out = out.withColumn("pred", argmax_index(F.col("log_probs")))

@@ -126,3 +126,17 @@ def test_combiners_with_a_missing_rank(spark):
     ar = {(r["step"], r["j"]): r["grad"] for r in tr.combine_gradients(parts, "allreduce", 2).collect()}
     assert gm[(0, 0)] == 2.0 and ar[(0, 0)] == 2.0
     assert gm[(1, 0)] == 5.0 and ar[(1, 0)] == 2.5  # one rank present: mean over present ranks vs / world
+
+
+def test_large_model_scoring_path_matches_literal_path(spark, monkeypatch):
+    from quarry.operators import scoring
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([(i, rng.normal(size=6).tolist(), int(i % 3)) for i in range(40)],
+                               "id long, features array<double>, label int")
+    model = LinearModel(rng.normal(size=(3, 6)), rng.normal(size=3))
+    small = {r["id"]: (r["pred"], r["loss"]) for r in score_linear(df, model).collect()}
+    monkeypatch.setattr(scoring, "MAX_LITERAL_PARAMETERS", 1)
+    big = {r["id"]: (r["pred"], r["loss"]) for r in scoring.score_linear(df, model).collect()}
+    assert small.keys() == big.keys()
+    for k in small:
+        assert small[k][0] == big[k][0] and small[k][1] == pytest.approx(big[k][1], rel=1e-12)
