@@ -124,6 +124,16 @@ class PreparedEdges:
             df.unpersist()
 
 
+EDGES_PER_PARTITION = 250_000
+
+
+def edge_partitions(spark, distinct_edges: int) -> int:
+    """Partitions for the cached edge table: about ``EDGES_PER_PARTITION`` distinct edges
+    each, at least the default parallelism, at most ``spark.sql.shuffle.partitions``."""
+    floor = spark.sparkContext.defaultParallelism
+    return max(1, min(shuffle_partitions(spark), max(floor, math.ceil(distinct_edges / EDGES_PER_PARTITION))))
+
+
 def salted_edges(edges: DataFrame, num_partitions: int | None = None,
                  hot_threshold: int | None = None, degree: DataFrame | None = None):
     """De-duplicate and salt an edge multiset.
@@ -139,13 +149,15 @@ def salted_edges(edges: DataFrame, num_partitions: int | None = None,
     guarantees fewer than ``2n`` hot sources, which bounds every broadcast of ``hot``.
     """
     spark = edges.sparkSession
-    n = num_partitions or shuffle_partitions(spark)
     dedup = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("mult"))
     if degree is None:
         degree = dedup.groupBy("src").agg(
             F.sum("mult").alias("out_degree"), F.count(F.lit(1)).alias("fanout"))
-    if hot_threshold is None:
+    distinct_edges = None
+    if hot_threshold is None or num_partitions is None:
         distinct_edges = degree.agg(F.sum("fanout")).first()[0] or 0
+    n = num_partitions or edge_partitions(spark, distinct_edges)
+    if hot_threshold is None:
         hot_threshold = max(1, math.ceil(distinct_edges / (2 * n)))
     # Fewer than 2n rows by construction (each has > R / 2n distinct edges).
     hot = degree.where(F.col("fanout") > hot_threshold).select(
@@ -170,7 +182,6 @@ def weighted_edges(edges: DataFrame, num_partitions: int | None = None,
     """Cached ``(src, salt, dst, weight)`` with ``weight = multiplicity / out_degree``
     (see :func:`salted_edges`)."""
     spark = edges.sparkSession
-    n = num_partitions or shuffle_partitions(spark)
     dedup = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("mult"))
     degree = dedup.groupBy("src").agg(
         F.sum("mult").alias("out_degree"), F.count(F.lit(1)).alias("fanout"))
@@ -179,6 +190,7 @@ def weighted_edges(edges: DataFrame, num_partitions: int | None = None,
     if persist:
         degree = degree.persist(level)
         cached.append(degree)
+    n = num_partitions or edge_partitions(spark, degree.agg(F.sum("fanout")).first()[0] or 0)
     full, hot, degree = salted_edges(edges, n, hot_threshold, degree)
     table = full.select("src", "salt", "dst", (F.col("mult") / F.col("out_degree")).alias("weight"))
     if persist:
