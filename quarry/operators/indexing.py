@@ -35,10 +35,12 @@ def global_index(df: DataFrame, keys: Sequence, pos: str = "pos", total: str | N
     """
     spark = df.sparkSession
     checkpoint_root(spark)
-    n = num_partitions or shuffle_partitions(spark)
     order = _cols(keys)
+    # Without an explicit count AQE may merge adjacent (small) range partitions, which
+    # keeps the global order and avoids hundreds of near-empty tasks on small inputs.
+    by_range = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
     ranged = (
-        df.repartitionByRange(n, *order)
+        by_range
         .sortWithinPartitions(*order)
         .withColumn("_gi_pid", F.spark_partition_id())
         .withColumn("_gi_mid", F.monotonically_increasing_id())
