@@ -471,7 +471,7 @@ def _text_scored(spark, sf, split: str):
     n_vocab = vocab.count()
     train = txt.encode_text(sent.where(F.col("split") == "train"), vocab, MAX_LENGTH, keep=("label",))
     stats = txt.fit_token_counts(train).checkpoint(eager=True)  # classes x vocabulary
-    classes = sorted(r[0] for r in stats.select("label").distinct().collect())
+    classes = ev.label_set(stats.select(F.col("label").alias("truth"), F.col("label").alias("pred")))
     target = txt.encode_text(sent.where(F.col("split") == split), vocab, MAX_LENGTH,
                              keep=("idx", "sentence", "label"))
     return txt.score_bag_of_ids(target, stats, classes, id_space=n_vocab + txt.FIRST_WORD_ID)
