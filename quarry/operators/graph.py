@@ -114,7 +114,7 @@ class PreparedEdges:
     def __init__(self, table: DataFrame, hot: DataFrame, sources: DataFrame,
                  num_partitions: int, cached: list[DataFrame]):
         self.table = table          # (src, salt, dst, weight), hash-partitioned on (src, salt)
-        self.hot = hot              # (src, n_salt) for hot sources; fewer than 2n rows
+        self.hot = hot              # (src, n_salt) for hot sources (< 2n rows), None if none
         self.sources = sources      # (src) distinct sources
         self.num_partitions = num_partitions
         self._cached = cached
@@ -153,12 +153,17 @@ def salted_edges(edges: DataFrame, num_partitions: int | None = None,
     if degree is None:
         degree = dedup.groupBy("src").agg(
             F.sum("mult").alias("out_degree"), F.count(F.lit(1)).alias("fanout"))
-    distinct_edges = None
-    if hot_threshold is None or num_partitions is None:
-        distinct_edges = degree.agg(F.sum("fanout")).first()[0] or 0
+    distinct_edges, max_fanout = degree.agg(F.sum("fanout"), F.max("fanout")).first()
+    distinct_edges, max_fanout = distinct_edges or 0, max_fanout or 0
     n = num_partitions or edge_partitions(spark, distinct_edges)
     if hot_threshold is None:
         hot_threshold = max(1, math.ceil(distinct_edges / (2 * n)))
+    if max_fanout <= hot_threshold:
+        # no hot source: one salt for everyone, nothing to broadcast
+        table = (dedup.join(degree.select("src", "out_degree"), "src")
+                 .select("src", F.lit(0).alias("salt"), "dst", "mult", "out_degree")
+                 .repartition(n, "src", "salt"))
+        return table, None, degree
     # Fewer than 2n rows by construction (each has > R / 2n distinct edges).
     hot = degree.where(F.col("fanout") > hot_threshold).select(
         "src", F.col("out_degree").alias("hot_degree"),
@@ -197,17 +202,19 @@ def weighted_edges(edges: DataFrame, num_partitions: int | None = None,
         with _cache_keeps_partitioning(spark):
             table = table.persist(level)
         cached.append(table)
-    return PreparedEdges(table, hot.select("src", "n_salt"), degree.select("src"), n, cached)
+    return PreparedEdges(table, None if hot is None else hot.select("src", "n_salt"), degree.select("src"), n, cached)
 
 
-def expand_ranks(ranks: DataFrame, hot: DataFrame) -> DataFrame:
+def expand_ranks(ranks: DataFrame, hot: DataFrame | None) -> DataFrame:
     """One rank row per salt of its source (hot sources get several)."""
+    if hot is None:
+        return ranks.select("src", "rank", F.lit(0).alias("salt"))
     return ranks.join(F.broadcast(hot.select("src", "n_salt")), "src", "left").select(
         "src", "rank",
         F.explode(F.sequence(F.lit(0), F.coalesce(F.col("n_salt"), F.lit(1)) - 1)).alias("salt"))
 
 
-def join_ranks_salted(table: DataFrame, ranks: DataFrame, hot: DataFrame) -> DataFrame:
+def join_ranks_salted(table: DataFrame, ranks: DataFrame, hot: DataFrame | None) -> DataFrame:
     """Skew-safe edge-rank join: salted edges meet the salt-expanded rank rows."""
     return table.join(expand_ranks(ranks, hot).hint("shuffle_hash"), ["src", "salt"])
 
