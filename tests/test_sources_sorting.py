@@ -35,11 +35,13 @@ def test_read_edge_lines_directory(spark):
 
 
 def test_text_ordering_and_nulls_first(spark):
-    df = spark.createDataFrame([("US", "10", "1"), ("US", "9", "2"), (None, "5", "3"), ("AR", "7", "4")],
+    df = spark.createDataFrame([("US", "10", "1"), ("US", "9", "2"), (None, "5", "3"), ("AR", "7", "4"),
+                                ("", "1", "5")],
                                "cca2 string, timestamp string, o_orderkey string")
     one = sort_to_one(df, ["cca2", "timestamp", "o_orderkey"])
     assert one.rdd.getNumPartitions() == 1
-    assert [r["o_orderkey"] for r in one.collect()] == ["3", "4", "1", "2"]
+    # nulls first, then the empty string, then text order ("10" < "9")
+    assert [r["o_orderkey"] for r in one.collect()] == ["3", "5", "4", "1", "2"]
 
 
 def test_sort_csv_single_file(spark):
