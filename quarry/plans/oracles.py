@@ -87,6 +87,7 @@ oracle("pagerank", pagerank_sql(ofx.G_CHAIN))
 oracle("pagerank_ragged", pagerank_sql(ofx.G_RAGGED))
 oracle("pagerank_partitioned", pagerank_sql(ofx.G_CHAIN))
 oracle("pagerank_persisted", pagerank_sql(ofx.G_CHAIN))
+oracle("tuple_text_sink", pagerank_sql(ofx.G_CHAIN))
 
 _BUCKETED = f"""
 SELECT src, dst, CASE WHEN p < 20 * s THEN p // s ELSE p - 20 * s END AS bucket FROM (

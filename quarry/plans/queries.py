@@ -240,7 +240,11 @@ def q_tuple_text_sink(spark, sf):
     ranks = graph.pagerank(fx.g_chain(spark, sf), DAMPING, EPOCHS)
     directory = scratch_path(spark, "ranks_out")
     path = write_rank_text(ranks, directory)
-    return spark.read.text(path)
+    # parse the written ('key', value) lines back: a malformed line yields no match
+    pattern = r"^\('(.*)', (.*)\)$"
+    lines = spark.read.text(path)
+    return lines.select(F.regexp_extract("value", pattern, 1).alias("id"),
+                        r6(F.regexp_extract("value", pattern, 2).try_cast("double")).alias("rank"))
 
 
 # --------------------------------------------------------------- scoring / evaluation
