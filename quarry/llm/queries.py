@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import fingerprint, mixing, urls
+from quarry.llm import fingerprint, language, mixing, neardup, quality, substrings, urls
 from quarry.llm.store import table
 
 #: production parameters
@@ -29,6 +29,22 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.withColumn("mix_rate", F.round("mix_rate", 6))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score; rows with crc32(doc_id) mod 5 = 0 are not learned."""
+    held = quality.held_out(F.col("doc_id"), 5, 0)
+    scored = quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), learn_from=~held)
+    return scored.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language; rows with crc32(doc_id) mod 4 = 2 are not learned."""
+    docs = table(spark, sf_dir, "documents")
+    learned = language.learned_rows(F.col("doc_id"), 4, 2)
+    model = language.train(docs.where(learned))
+    found = language.identify(docs, model)
+    return found.select("doc_id", (~learned).alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url judged by the rules, else by the list: the addresses of pages whose
     document (its number is in the path) is labelled low quality."""
@@ -41,6 +57,18 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "listed", "canonical")
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its words in repeated 20-word windows."""
+    done = substrings.remove_repeats(table(spark, sf_dir, "documents"), window=20)
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's component at a similarity of 0.85 of 3-word shingles."""
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.Likeness(words=3, percent=85))
+    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
 def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and of its edited form."""
     return fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
@@ -48,7 +76,11 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_quality": op2_quality,
+    "op3_language": op3_language,
     "op4_url_filter": op4_url_filter,
+    "op5_substring_dedup": op5_substring_dedup,
+    "op6_near_duplicates": op6_near_duplicates,
     "op10_fingerprint": op10_fingerprint,
 }
 
@@ -100,5 +132,34 @@ SELECT u.page_id, u.host, u.path, b.rule, l.canonical IS NOT NULL AS listed, u.c
   coalesce(b.v, CASE WHEN l.canonical IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
 FROM urls u LEFT JOIN best b ON u.page_id = b.page_id AND u.host = b.host AND u.path = b.path
   LEFT JOIN listed l ON u.canonical = l.canonical
+""",
+    "op6_near_duplicates": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+    ELSE [words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] FOR i IN range(1, len(words) - 1)] END) AS shingles FROM w),
+n AS (SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n FROM s),
+flat AS (SELECT doc_id, unnest(shingles) AS x FROM s),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM flat a JOIN flat b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * i >= 85 * (p.n + q.n - i)),
+sym AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.doc_id, e.b FROM reach r JOIN sym e ON r.other = e.a)
+SELECT n.doc_id, n.n AS n_shingles, c.component_id, n.doc_id = c.component_id AS kept
+FROM n JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id)
+""",
+    # quadratic in a text's words only through arrays of at most its own length
+    "op5_substring_dedup": r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+wins AS (SELECT doc_id, unnest(range(1, len(words) - 18)) AS s, words FROM w WHERE len(words) >= 20),
+keyed AS (SELECT doc_id, s, md5(array_to_string(words[s:s + 19], ' ')) AS h FROM wins),
+later AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY h ORDER BY doc_id, s) AS r FROM keyed) WHERE r > 1),
+gone AS (SELECT DISTINCT doc_id, s + i AS p FROM later, range(0, 20) t(i)),
+flat AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS p FROM w),
+kept AS (SELECT f.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY f.p) AS text
+         FROM flat f LEFT JOIN gone g ON f.doc_id = g.doc_id AND f.p = g.p WHERE g.p IS NULL GROUP BY f.doc_id)
+SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
 """,
 }
