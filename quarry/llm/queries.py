@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import fingerprint, language, mixing, neardup, quality, substrings, urls
+from quarry.llm import decontaminate, fingerprint, html, language, licenses, mixing, neardup, quality, substrings, urls
 from quarry.llm.store import table
 
 #: production parameters
@@ -69,6 +69,21 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items, as (doc_id, item_id) pairs; clean ones have no row."""
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every license statement in the documents."""
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text."""
+    return html.main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and of its edited form."""
     return fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
@@ -81,6 +96,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_filter": op4_url_filter,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_near_duplicates": op6_near_duplicates,
+    "op7_decontamination": op7_decontamination,
+    "op8_license_scan": op8_license_scan,
+    "op9_html_text": op9_html_text,
     "op10_fingerprint": op10_fingerprint,
 }
 
