@@ -8,11 +8,14 @@
    differs in at most `allowed` coordinates, so it agrees within the ``allowed + 1`` rarest
    of either member. Values that a single document has can't agree and are only counted;
    a document with more than ``allowed`` of them is skipped.
-3. Prefix lists are merged round by round. First every member meets the list's leader (the
-   one with the fewest lone coordinates). Then only pairs that are still in different
-   components and can reach the match threshold from their positions are formed: that
-   leaves out no link that could join two components, without pairing a group's members.
-4. Pairs with enough equal coordinates are confirmed on the full shingle sets.
+3. Every member of a prefix list meets the list's leader (the one with the fewest lone
+   coordinates). Pairs with enough equal coordinates are confirmed on the full sets, and
+   the links give components.
+4. The rest: members of lists that still hold several components are posted once more,
+   under the rarest of their shingles that a link can't miss, and only pairs of different
+   components that can still reach the threshold from their positions are formed, matched
+   and confirmed. That leaves out no link that could join two components, and it never
+   pairs the members of a group with each other.
 
 The only loss is that of the signature: a pair at the threshold differs in more than
 `allowed` coordinates with a probability below 1e-6.
@@ -146,13 +149,60 @@ def _matching(pairs: DataFrame, reps: DataFrame, like: Likeness) -> DataFrame:
     return joined.where(filled - equal <= room).select("x", "y")
 
 
-def _possible(x: str, y: str, like: Likeness) -> Column:
-    """Whether two postings of one list can still be a link: sizes, and the coordinates from
-    the common one on (rarest first) enough for both."""
+def _prefix_lists(elements: DataFrame, facts: DataFrame) -> DataFrame:
+    """Postings (doc, n, room, filled, lone, c, at): each document under the ``room + 1`` rarest
+    of its ``filled`` elements, less the ``lone`` ones that only it has. ``elements``: (doc, c),
+    ``facts``: (doc, n, room, filled)."""
+    common = elements.groupBy("c").agg(F.count(F.lit(1)).alias("docs")).where("docs > 1")
+    mine = elements.join(common, "c").groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("docs", "c"))).alias("shared"))
+    lone = F.col("filled") - F.size("shared")
+    return (facts.join(mine, "doc").where(lone <= F.col("room"))
+            .select("doc", "n", "room", "filled", lone.alias("lone"),
+                    F.posexplode(F.slice("shared", F.lit(1), (F.col("room") + 1 - lone).cast("int"))).alias("i", "e"))
+            .select("doc", "n", "room", "filled", "lone", F.col("e.c").alias("c"), (F.col("lone") + F.col("i")).alias("at")))
+
+
+def _rest(x: str, y: str) -> Column:
+    """Most elements that two postings of a list can share, the list's being their rarest one."""
+    return F.least(F.col(f"{x}.filled") - F.col(f"{x}.at"), F.col(f"{y}.filled") - F.col(f"{y}.at"))
+
+
+def _sizes_fit(x: str, y: str, like: Likeness) -> Column:
     nx, ny = F.col(f"{x}.n"), F.col(f"{y}.n")
-    rest = F.least(F.col(f"{x}.filled") - F.col(f"{x}.at"), F.col(f"{y}.filled") - F.col(f"{y}.at"))
-    need = F.greatest(F.col(f"{x}.filled") - F.col(f"{x}.room"), F.col(f"{y}.filled") - F.col(f"{y}.room"))
-    return (F.least(nx, ny) * 100 >= F.greatest(nx, ny) * like.percent) & (rest >= need)
+    return F.least(nx, ny) * 100 >= F.greatest(nx, ny) * like.percent
+
+
+def _shingles(texts: DataFrame, like: Likeness) -> DataFrame:
+    """(doc, c) per distinct shingle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, data, offs in slices(batches, "_text"):
+            row, shingle = _sets(Words(data, offs, fold=LOWER_AZ), part.num_rows, like.words)
+            yield pa.RecordBatch.from_arrays([part.column("doc").take(pa.array(row)), signed(shingle)], ["doc", "c"])
+
+    return texts.mapInArrow(run, "doc bigint, c bigint")
+
+
+def _other_components(texts: DataFrame, facts: DataFrame, labels: DataFrame, like: Likeness) -> DataFrame:
+    """Pairs (x, y) of ``labels`` (doc, component) in different components that can be a link,
+    by the exact prefix filter on their full sets."""
+    t = like.percent
+    own = facts.join(labels, "doc").select("doc", "n", "component")
+    exact = own.select("doc", "n", (F.col("n") - F.ceil(F.col("n") * t / 100)).alias("room"), F.col("n").alias("filled"))
+    shingles = _shingles(texts.join(labels.select("doc"), "doc", "left_semi"), like)
+    posts = _prefix_lists(shingles, exact).join(labels, "doc").select("c", "component", F.struct("doc", "n", "filled", "at").alias("p"))
+    posts = written(posts, "shingle-postings")
+    sizes = posts.groupBy("c", "component").agg(F.count(F.lit(1)).alias("k"))
+    major = (sizes.groupBy("c").agg(F.max(F.struct("k", "component")).alias("m"), F.count(F.lit(1)).alias("parts"))
+             .where("parts > 1").select("c", F.col("m.component").alias("major")))
+    several = posts.join(major, "c")
+    # each list's greatest component meets the others, but not itself
+    left = several.where("component <> major").select("c", F.col("component").alias("cx"), F.col("p").alias("x"))
+    right = several.select("c", F.col("component").alias("cy"), "major", F.col("p").alias("y"))
+    enough = _rest("x", "y") * (100 + t) >= (F.col("x.n") + F.col("y.n")) * t
+    once = (F.col("cy") == F.col("major")) | (F.col("x.doc") < F.col("y.doc"))
+    return (left.join(right, "c").where((F.col("cx") != F.col("cy")) & once & enough & _sizes_fit("x", "y", like))
+            .select(F.least("x.doc", "y.doc").alias("x"), F.greatest("x.doc", "y.doc").alias("y")))
 
 
 def near_duplicates(docs: DataFrame, like: Likeness = Likeness(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -173,39 +223,28 @@ def near_duplicates(docs: DataFrame, like: Likeness = Likeness(), key: str = "do
     reps = written(reps, "classes")
     coords = reps.select("doc", F.posexplode("sig").alias("bin", "value")).where("value >= 0").select(
         "doc", (F.col("bin") * F.lit(1 << 32) + F.col("value")).alias("c"))
-    common = coords.groupBy("c").agg(F.count(F.lit(1)).alias("docs")).where("docs > 1")
-    room = like.allowed(F.col("n"))
-    facts = reps.select("doc", "n", room.alias("room"), F.size(F.filter("sig", lambda v: v >= 0)).alias("filled"))
-    mine = coords.join(common, "c").groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("docs", "c"))).alias("shared"))
-    lone = F.col("filled") - F.size("shared")
-    prefix = (facts.join(mine, "doc").where(lone <= F.col("room"))
-              .select("doc", "n", "room", "filled", lone.alias("lone"), F.posexplode(F.slice("shared", F.lit(1), F.col("room") + 1 - lone)).alias("i", "e"))
-              .select("doc", "n", "room", "filled", "lone", F.col("e.c").alias("c"), (F.col("lone") + F.col("i")).alias("at")))
-    posts = written(prefix, "postings")
+    facts = reps.select("doc", "n", like.allowed(F.col("n")).alias("room"), F.size(F.filter("sig", lambda v: v >= 0)).alias("filled"))
+    posts = written(_prefix_lists(coords, facts), "postings")
     wanted = posts.select("doc").distinct()
     texts = written(docs.select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("_text")).join(wanted, "doc"), "texts")
 
-    leaders = posts.groupBy("c").agg(F.min(F.struct("lone", "doc", "n", "filled", "room", "at")).alias("y"), F.count(F.lit(1)).alias("members")).where("members > 1")
-    to_leader = (posts.select("c", F.struct("lone", "doc", "n", "filled", "room", "at").alias("x")).join(leaders, "c")
-                 .where((F.col("x.doc") != F.col("y.doc")) & _possible("x", "y", like))
+    member = F.struct("lone", "doc", "n", "filled", "room", "at")
+    leaders = posts.groupBy("c").agg(F.min(member).alias("y"), F.count(F.lit(1)).alias("members")).where("members > 1")
+    enough = _rest("x", "y") >= F.greatest(F.col("x.filled") - F.col("x.room"), F.col("y.filled") - F.col("y.room"))
+    to_leader = (posts.select("c", member.alias("x")).join(leaders, "c")
+                 .where((F.col("x.doc") != F.col("y.doc")) & enough & _sizes_fit("x", "y", like))
                  .select(F.least("x.doc", "y.doc").alias("x"), F.greatest("x.doc", "y.doc").alias("y")))
-    links = written(_confirmed(_matching(to_leader, reps, like), texts, like).select(F.col("x").alias("a"), F.col("y").alias("b")), "links")
+    ends = [F.col("x").alias("a"), F.col("y").alias("b")]
+    links = written(_confirmed(_matching(to_leader, reps, like), texts, like).select(*ends), "links")
     parts = components(links)
 
-    # the rest: members of a list that are in different components
-    labelled = posts.join(parts.select(F.col("id").alias("doc"), "component"), "doc", "left").withColumn(
-        "component", F.coalesce("component", "doc"))
-    labelled = written(labelled, "labelled")
-    sizes = labelled.groupBy("c", "component").agg(F.count(F.lit(1)).alias("k"))
-    major = (sizes.groupBy("c").agg(F.max(F.struct("k", "component")).alias("m"), F.count(F.lit(1)).alias("parts"))
-             .where("parts > 1").select("c", F.col("m.component").alias("major")))
-    open_lists = labelled.join(major, "c").select("c", "component", "major", F.struct("doc", "n", "filled", "room", "at").alias("p"))
-    left = open_lists.where("component <> major").select("c", F.col("component").alias("cx"), F.col("p").alias("x"))
-    right = open_lists.select("c", F.col("component").alias("cy"), "major", F.col("p").alias("y"))
-    rest = (left.join(right, "c").where((F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("major")) | (F.col("x.doc") < F.col("y.doc")))
-                                        & _possible("x", "y", like))
-            .select(F.least("x.doc", "y.doc").alias("x"), F.greatest("x.doc", "y.doc").alias("y")))
-    more = written(_confirmed(_matching(rest, reps, like), texts, like).select(F.col("x").alias("a"), F.col("y").alias("b")), "links")
+    # the rest: members of lists that hold several components
+    labelled = written(posts.join(parts.withColumnRenamed("id", "doc"), "doc", "left")
+                       .select("c", "doc", F.coalesce("component", "doc").alias("component")), "labelled")
+    several = labelled.groupBy("c").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("c")
+    open_docs = written(labelled.join(several, "c").select("doc", "component").distinct(), "open")
+    rest = _other_components(texts, facts, open_docs, like)
+    more = written(_confirmed(_matching(rest, reps, like), texts, like).select(*ends), "links")
     parts = components(links.unionByName(more))
 
     classes = reps.join(parts.select(F.col("id").alias("doc"), "component"), "doc", "left").select(
