@@ -152,8 +152,9 @@ class Network:
 
 def fit_network(x: np.ndarray, y: np.ndarray, hidden: int = 24, steps: int = 1500, batch: int = 512,
                 rate: float = 0.004, decay: float = 1e-3, seed: int = 5) -> Network:
-    """Fit on nine tenths of the rows (in their given order), calibrate the temperature on the
-    others by least log loss. Without both classes the score is the constant class share."""
+    """Fit on nine tenths of the rows (in their given order); the others choose the step to stop
+    at and the temperature, both by least log loss. Without both classes the score is the
+    constant class share."""
     share = float(y.mean()) if len(y) else 0.5
     center = x.mean(axis=0) if len(x) else np.zeros(FEATURES)
     scale = x.std(axis=0) + 1e-3 if len(x) else np.ones(FEATURES)
@@ -166,6 +167,8 @@ def fit_network(x: np.ndarray, y: np.ndarray, hidden: int = 24, steps: int = 150
     p = [rng.normal(0, np.sqrt(2 / FEATURES), (FEATURES, hidden)), np.zeros(hidden),
          rng.normal(0, np.sqrt(1 / hidden), hidden), np.array(np.log(share / (1 - share)))]
     z = (xt - center) / scale
+    log_loss = lambda logits, truth: np.logaddexp(0, np.where(truth == 1, -logits, logits)).mean()
+    best, best_loss = [a.copy() for a in p], np.inf
     m, v = [np.zeros_like(a) for a in p], [np.zeros_like(a) for a in p]
     for step in range(1, steps + 1):
         at = rng.integers(0, len(yt), min(batch, len(yt)))
@@ -179,11 +182,14 @@ def fit_network(x: np.ndarray, y: np.ndarray, hidden: int = 24, steps: int = 150
             m[i] = 0.9 * m[i] + 0.1 * g
             v[i] = 0.999 * v[i] + 0.001 * g * g
             p[i] = p[i] - pace * (m[i] / (1 - 0.9 ** step)) / (np.sqrt(v[i] / (1 - 0.999 ** step)) + 1e-8)
-    net = Network(center, scale, p[0], p[1], p[2], float(p[3]))
-    logits, truth = net.logits(x[held]), y[held]
-    if 0 < truth.mean() < 1:
-        loss = lambda t: np.logaddexp(0, -np.where(truth == 1, logits, -logits) / t).mean()
-        net.temperature = float(min(np.geomspace(0.25, 8, 121), key=loss))
+        if step % 25 == 0:
+            now = log_loss(Network(center, scale, p[0], p[1], p[2], float(p[3])).logits(x[held]), y[held])
+            if now < best_loss:
+                best, best_loss = [a.copy() for a in p], now
+    net = Network(center, scale, best[0], best[1], best[2], float(best[3]))
+    if 0 < y[held].mean() < 1:
+        logits = net.logits(x[held])
+        net.temperature = float(min(np.geomspace(0.25, 8, 121), key=lambda t: log_loss(logits / t, y[held])))
     return net
 
 
