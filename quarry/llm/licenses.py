@@ -126,7 +126,7 @@ def align(template: np.ndarray, words: np.ndarray, diagonal: int, band: int = BA
             top = max(options, key=lambda o: (o[0], o[1]))
             if top[0] > 0:
                 new_score[k], new_match[k], new_origin[k] = top
-                if top[0] > best[0]:
+                if (top[0], top[1]) > best[:2]:
                     best = (int(top[0]), int(top[1]), int(top[2]), j + 1)
         score, match, origin = new_score, new_match, new_origin
     return best[1], best[2], best[3]
@@ -154,19 +154,24 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, key
             at, template, position = at[good], template[good], position[good]
             diagonal = at - position
             out: list[tuple] = []
-            order = np.lexsort((diagonal, template, row[at]))
-            done: tuple[int, int, int] | None = None
+            order = np.lexsort((at, template, row[at]))
+            place = (-1, -1)
             for i in order:
-                r, t, d = int(row[at[i]]), int(template[i]), int(diagonal[i])
-                if done is not None and done[:2] == (r, t) and d - done[2] <= BAND:
-                    continue  # the band of an alignment already made
-                lo = max(first[r], d - BAND)
-                hi = min(first[r + 1], d + len(index.words[t]) + 2 * BAND)
+                r, t, d, here = int(row[at[i]]), int(template[i]), int(diagonal[i]), int(at[i])
+                if (r, t) != place:
+                    place, taken, refused = (r, t), int(first[r]), (0, 0)
+                # inside a reported span, or in a band that has been aligned in vain
+                if here < taken or here < refused[1] and abs(d - refused[0]) <= BAND // 2:
+                    continue
+                lo = max(taken, d - BAND)
+                hi = min(int(first[r + 1]), d + len(index.words[t]) + 2 * BAND)
                 n, a, b = align(index.words[t], words[lo:hi], d - lo)
-                done = (r, t, d)
                 share = n / len(index.words[t])
                 if share >= coverage:
+                    taken = lo + b
                     out.append((r, index.names[t], n, share, int(lo - first[r] + a), int(lo - first[r] + b)))
+                else:
+                    refused = (d, hi)
             rows, names, n, share, a, b = zip(*out) if out else ((),) * 6
             yield pa.RecordBatch.from_arrays(
                 [part.column(0).take(pa.array(rows, pa.int64())), pa.array(names, pa.string()), pa.array(n, pa.int32()),
