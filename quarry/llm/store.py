@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -33,3 +34,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def splittable(key: str) -> Column:
+    """An integer join key for a table and an aggregate of it by the same key. The aggregate is
+    already dealt by ``key``, and a join on the bare key would take it as it is; Spark splits
+    a hot key only if both sides are dealt for the join, which another form of it brings."""
+    return F.col(key).bitwiseXOR(F.lit(1))

@@ -26,12 +26,41 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
+from quarry.llm.store import splittable
 from quarry.llm.textops import Words, joined_hashes, mix, signed, slices, window_hashes
 
-_SEGMENT = "doc bigint, s0 int, n int, lead int, h5 bigint, hseg bigint, own_copy boolean"
+#: ``at`` packs the first window, the number of windows and the distance to the anchor (32,
+#: 16 and 16 bits), so rows stay short and order by position. Nothing is nullable: every
+#: reader of the segments then has the same plan below its exchange, which Spark reuses.
+_SEGMENT = StructType([StructField("doc", LongType(), False), StructField("at", LongType(), False), StructField("h5", IntegerType(), False),
+                       StructField("hseg", LongType(), False)])
+_EXTENDED = StructType([StructField("doc", LongType(), False), StructField("s0", LongType(), False), StructField("lead", IntegerType(), False),
+                        StructField("h5", IntegerType(), False), StructField("left10", LongType()), StructField("right10", LongType()),
+                        StructField("w20", ArrayType(LongType(), False), False)])
+#: in place of the distance: a run of segments that stand earlier in the same batch
+_OWN_COPY = 0xFFFF
+
+
+def _first_window(at: Column) -> Column:
+    return F.shiftright(at, 32)
+
+
+def _windows(at: Column) -> Column:
+    return F.shiftright(at, 16).bitwiseAND(F.lit(0xFFFF))
+
+
+def _lead(at: Column) -> Column:
+    return at.bitwiseAND(F.lit(0xFFFF))
+
+
+def _span(first: Column, length: Column | int) -> Column:
+    """A word range as one long: 24 bits of length."""
+    return F.shiftleft(first.cast("bigint"), 24).bitwiseOR(length if isinstance(length, Column) else F.lit(length))
 
 
 class _Slice:
@@ -71,9 +100,19 @@ class _Slice:
         return starts[first], starts[last], anchor[first]
 
 
-def _segments(docs: DataFrame, key: str, text: str, base: int) -> DataFrame:
-    """One row per segment: document, first window, number of windows, distance to the
-    anchor, hashes; ``own_copy`` marks a segment that stands earlier in the same batch."""
+def _short(h: np.ndarray) -> np.ndarray:
+    """The upper 32 bits as int32."""
+    return (h >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("_text"))
+
+
+def _segments(texts: DataFrame, base: int) -> DataFrame:
+    """One row per segment: document, packed position, hashes. Neighbouring segments that stand
+    earlier in the same batch are known to be copies; they make one row together, marked
+    ``_OWN_COPY``, with a hash of its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -85,27 +124,30 @@ def _segments(docs: DataFrame, key: str, text: str, base: int) -> DataFrame:
                 doc = rows.column("doc").to_numpy(zero_copy_only=False)[w.row[lo]]
                 n = hi - lo + 1
                 seg = mix(s.w20[lo] + mix(s.w20[hi] + n.astype(np.uint64)))
-                parts.append((doc, lo - w.first[w.row[lo]], n, anchor - lo, s.w5[anchor], seg))
+                parts.append((doc, (lo - w.first[w.row[lo]]) << 32 | n << 16 | (anchor - lo), _short(s.w5[anchor]), seg))
             if not parts:
                 continue
-            doc, s0, n, lead, h5, seg = (np.concatenate(x) for x in zip(*parts))
-            own = np.ones(len(doc), dtype=bool)
-            order = np.lexsort((s0, doc, seg))
-            seg_o, h5_o = seg[order], h5[order]
-            own[order] = np.concatenate(([False], (seg_o[1:] == seg_o[:-1]) & (h5_o[1:] == h5_o[:-1]))) if len(doc) else False
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(doc.astype(np.int64)), pa.array(s0.astype(np.int32)), pa.array(n.astype(np.int32)),
-                 pa.array(lead.astype(np.int32)), signed(h5), signed(seg), pa.array(own)],
-                ["doc", "s0", "n", "lead", "h5", "hseg", "own_copy"])
-
-    rows = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("_text"))
-    return rows.mapInArrow(run, _SEGMENT)
+            doc, at, h5, seg = (np.concatenate(x) for x in zip(*parts))
+            own = np.zeros(len(doc), dtype=bool)
+            order = np.lexsort((at, doc, h5, seg))
+            own[order[1:]] = (seg[order[1:]] == seg[order[:-1]]) & (h5[order[1:]] == h5[order[:-1]])
+            s0, n = at >> 32, at >> 16 & 0xFFFF
+            head = np.ones(len(doc), dtype=bool)  # of a run of neighbouring copies, or any other segment
+            head[1:] = ~(own[1:] & own[:-1] & (doc[1:] == doc[:-1]) & (s0[1:] == s0[:-1] + n[:-1]) & (s0[1:] >> 14 == s0[:-1] >> 14))
+            heads = np.flatnonzero(head)
+            n = np.add.reduceat(n, heads) if len(heads) else n
+            doc, at, h5, seg, own = doc[heads], at[heads], h5[heads], seg[heads], own[heads]
+            at = np.where(own, at >> 32 << 32 | n << 16 | _OWN_COPY, at)
+            seg = np.where(own, mix(doc.astype(np.uint64) + mix(at.astype(np.uint64))), seg)
+            yield pa.RecordBatch.from_arrays([pa.array(doc.astype(np.int64)), pa.array(at), pa.array(h5), signed(seg)], ["doc", "at", "h5", "hseg"])
+
+    return texts.mapInArrow(run, _SEGMENT)
 
 
 def _extended(candidates: DataFrame, base: int) -> DataFrame:
     """Level 10 and 20 hashes of candidate segments: one row per segment with its doubled
     anchors (``left10``, ``right10``; null where that window is not inside the segment) and
-    the hashes of its windows. ``candidates``: doc, _text, segs (s0, n, lead, h5)."""
+    the hashes of its windows. ``candidates``: doc, _text, segs (at, h5)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offs in slices(batches, "_text"):
@@ -114,7 +156,8 @@ def _extended(candidates: DataFrame, base: int) -> DataFrame:
             lists = rows.column("segs")
             per_row = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
             fields = lists.flatten()
-            s0, n, lead = (fields.field(f).to_numpy(zero_copy_only=False).astype(np.int64) for f in ("s0", "n", "lead"))
+            at = fields.field("at").to_numpy(zero_copy_only=False)
+            s0, n, lead = at >> 32, at >> 16 & 0xFFFF, at & 0xFFFF
             row = np.repeat(np.arange(rows.num_rows), per_row)
             lo = w.first[row] + s0
             inside = lo + n - 1 + 4 * base <= w.first[row + 1]  # a repeated key with another text
@@ -125,43 +168,49 @@ def _extended(candidates: DataFrame, base: int) -> DataFrame:
             left = np.where(has_left, s.w10[np.maximum(a - base, 0)] if len(a) else 0, np.uint64(0))
             right = np.where(has_right, s.w10[np.minimum(a, max(0, len(s.w10) - 1))] if len(a) else 0, np.uint64(0))
             ends = np.cumsum(n)
-            at = np.arange(ends[-1] if len(n) else 0) - np.repeat(ends - n, n) + np.repeat(lo, n)
+            every = np.arange(ends[-1] if len(n) else 0) - np.repeat(ends - n, n) + np.repeat(lo, n)
             doc = rows.column("doc").to_numpy(zero_copy_only=False)[row]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(doc.astype(np.int64)), pa.array(s0.astype(np.int32)), pa.array(lead.astype(np.int32)), pa.array(h5),
+                [pa.array(doc.astype(np.int64)), pa.array(s0), pa.array(lead.astype(np.int32)), pa.array(h5),
                  pa.array(mix(left).view(np.int64), mask=~has_left), pa.array(mix(right).view(np.int64), mask=~has_right),
-                 pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), signed(mix(s.w20[at])))],
+                 pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), signed(mix(s.w20[every])))],
                 ["doc", "s0", "lead", "h5", "left10", "right10", "w20"])
 
-    return candidates.mapInArrow(run, "doc bigint, s0 int, lead int, h5 bigint, left10 bigint, right10 bigint, w20 array<bigint>")
+    return candidates.mapInArrow(run, _EXTENDED)
+
+
+def _joined(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` with the columns of ``groups``, an aggregate of them by ``keys``; a hot key splits."""
+    other = groups.select(splittable(keys[0]).alias("_k"), *[F.col(k).alias(f"_{k}") for k in keys[1:]],
+                          *[c for c in groups.columns if c not in keys])
+    same = splittable(keys[0]) == F.col("_k")
+    for k in keys[1:]:
+        same = same & (F.col(k) == F.col(f"_{k}"))
+    return rows.join(other, same).drop("_k", *[f"_{k}" for k in keys[1:]])
 
 
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 20) -> DataFrame:
-    """(doc, spans): per document the word ranges ``struct<a, b>`` [a, b) covered by windows
-    whose words also start earlier (smaller key, or same document further left).
+    """(doc, spans): per document the word ranges (`_span`) covered by windows whose words also
+    start earlier (smaller key, or same document further left).
 
     ``window`` must be a multiple of 4. Documents without such a window are not listed.
     """
     if window < 4 or window % 4:
         raise ValueError("window must be a multiple of 4")
     base = window // 4
-    found = _segments(docs, key, text, base)
-    # equal segments: the copies known to be later in their own batch only travel along,
-    # spread by document, so that they add nothing to a common segment's group
-    group = Window.partitionBy("h5", "hseg", F.when(F.col("own_copy"), F.col("doc")))
-    seen = found.withColumn("first", F.min(F.struct("doc", "s0")).over(group))
-    is_first = ~F.col("own_copy") & (F.col("first.doc") == F.col("doc")) & (F.col("first.s0") == F.col("s0"))
-    seen = seen.withColumn("is_first", is_first).drop("first", "own_copy")
-    later = seen.where("not is_first").select(
-        "doc", F.struct(F.col("s0").alias("a"), (F.col("s0") + F.col("n") - 1 + window).alias("b")).alias("span"))
+    texts = _texts(docs, key, text)
+    # a common segment's group has one row per batch: the batch's other copies are marked
+    group = Window.partitionBy("h5", "hseg")
+    seen = _segments(texts, base).withColumn("first", F.min(F.struct("doc", "at")).over(group))
+    is_first = (_lead(F.col("at")) != _OWN_COPY) & (F.col("first") == F.struct("doc", "at"))
+    later = seen.where(~is_first).select("doc", _span(_first_window(F.col("at")), _windows(F.col("at")) + (window - 1)).alias("span"))
 
     # level 5
-    firsts = seen.where("is_first").select("h5", "doc", "s0", "n", "lead")
+    firsts = seen.where(is_first).select("h5", "doc", "at")
     shared5 = firsts.groupBy("h5").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h5")
-    level5 = firsts.join(shared5, "h5").groupBy("doc").agg(F.collect_list(F.struct("s0", "n", "lead", "h5")).alias("segs"))
+    level5 = _joined(firsts, shared5, ["h5"]).groupBy("doc").agg(F.collect_list(F.struct("at", "h5")).alias("segs"))
 
     # level 10
-    texts = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("_text"))
     extended = _extended(texts.join(level5, "doc"), base)
     # windows with offset <= lead - base hold the left doubling, the others the right one;
     # each goes along with the doubling that decides on it
@@ -172,46 +221,75 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", win
         side(1, "right10", F.col("s0") + split, F.slice("w20", split + 1, F.size("w20")))),
         lambda x: x["h10"].isNotNull() & (F.size(x["w20"]) > 0)))).select("doc", "h5", "side.*")
     shared10 = ten.groupBy("h5", "i", "h10").agg(F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
-    level10 = ten.join(shared10, ["h5", "i", "h10"])
+    level10 = _joined(ten, shared10, ["h10", "h5", "i"])
 
     # level 20
     windows = (level10.select("doc", "h5", "at", F.posexplode("w20").alias("o", "h20"))
                .select("h5", "h20", "doc", (F.col("at") + F.col("o")).alias("at")))
     firsts20 = windows.groupBy("h5", "h20").agg(F.min(F.struct("doc", "at")).alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    again = (windows.join(firsts20.select("h5", "h20", "first"), ["h5", "h20"])
+    again = (_joined(windows, firsts20.select("h5", "h20", "first"), ["h20", "h5"])
              .where((F.col("first.doc") != F.col("doc")) | (F.col("first.at") != F.col("at")))
-             .select("doc", F.struct(F.col("at").alias("a"), (F.col("at") + window).alias("b")).alias("span")))
+             .select("doc", _span(F.col("at"), window).alias("span")))
     return later.unionByName(again).groupBy("doc").agg(F.collect_list("span").alias("spans"))
 
 
-def _kept(rows: pa.RecordBatch, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(words per row, removed per row, kept bytes, their offsets) of a slice; kept words are
-    joined by one space."""
+def _kept(rows: pa.RecordBatch, data: np.ndarray, offs: np.ndarray, layout: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(words per row, removed per row, kept bytes, their offsets) of a slice. Kept words are
+    joined by one space, or, with ``layout``, keep the white space that follows them."""
     w = Words(data, offs)
     lists = rows.column("spans")
     per_row = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-    fields = lists.flatten()
+    spans = lists.flatten().to_numpy(zero_copy_only=False)
     row = np.repeat(np.arange(rows.num_rows), per_row)
     cover = np.zeros(len(w.hash) + 1, dtype=np.int64)
-    for field, sign in (("a", 1), ("b", -1)):
-        at = np.minimum(w.first[row] + fields.field(field).to_numpy(zero_copy_only=False).astype(np.int64), w.first[row + 1])
-        np.add.at(cover, at, sign)
-    kept = np.cumsum(cover)[:-1] <= 0
+    for place, sign in ((spans >> 24, 1), ((spans >> 24) + (spans & 0xFFFFFF), -1)):
+        np.add.at(cover, np.minimum(w.first[row] + place, w.first[row + 1]), sign)
+    index = np.flatnonzero(np.cumsum(cover)[:-1] <= 0)
     n_words = np.diff(w.first)
-    index = np.flatnonzero(kept)
     n_kept = np.bincount(w.row[index], minlength=rows.num_rows)
-    last = np.zeros(len(index), dtype=bool)
-    if len(index):
+    start, end = w.start[index], w.end[index]
+    if layout:  # a row that loses nothing stays byte for byte
+        end = np.minimum(np.append(w.start, len(data))[index + 1], offs[w.row[index] + 1])
+        whole = n_kept == n_words
+        cut = ~whole[w.row[index]]
+        rows_at = np.concatenate((w.row[index][cut], np.flatnonzero(whole)))
+        start, end = np.concatenate((start[cut], offs[:-1][whole])), np.concatenate((end[cut], offs[1:][whole]))
+        source = data
+    else:
+        rows_at = w.row[index]
+        last = np.ones(len(index), dtype=bool)
         last[:-1] = w.row[index][1:] != w.row[index][:-1]
-        last[-1] = True
-    marks = np.zeros(len(data) + 2, dtype=np.int32)
-    np.add.at(marks, w.start[index], 1)
-    np.add.at(marks, w.end[index] + ~last, -1)
-    spaced = np.append(data, np.uint8(0x20))
-    spaced[np.append(w.end[index][~last], len(data))] = 0x20
-    taken = np.cumsum(marks)[:len(data) + 1] > 0
-    sizes = np.bincount(w.row[index], weights=(w.end - w.start)[index] + ~last, minlength=rows.num_rows).astype(np.int64)
-    return n_words, n_words - n_kept, spaced[taken], np.append(0, np.cumsum(sizes))
+        source = np.append(data, np.uint8(0x20))
+        source[end[~last]] = 0x20
+        end = end + ~last
+    marks = np.zeros(len(source) + 1, dtype=np.int32)
+    np.add.at(marks, start, 1)
+    np.add.at(marks, end, -1)
+    sizes = np.bincount(rows_at, weights=end - start, minlength=rows.num_rows).astype(np.int64)
+    return n_words, n_words - n_kept, source[np.cumsum(marks)[:len(source)] > 0], np.append(0, np.cumsum(sizes))
+
+
+def _cut(docs: DataFrame, key: str, text: str, window: int, columns: list[str], layout: bool) -> DataFrame:
+    """(doc, n_words, n_removed, kept_text, columns...) for every row of ``docs``."""
+    # the same rows as read for the candidates: one exchange of the text serves both
+    rows = docs.select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("_text"), *columns)
+    spans = repeated_spans(docs, key, text, window)
+    joined = rows.where("doc is not null").join(spans, "doc", "left")
+    keyless = rows.where("doc is null").withColumn("spans", F.lit(None).cast(joined.schema["spans"].dataType))
+    joined = joined.unionByName(keyless)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, data, offs in slices(batches, "_text"):
+            n_words, n_removed, kept, at = _kept(part, data, offs, layout)
+            texts = pa.LargeStringArray.from_buffers(len(n_words), pa.py_buffer(at.astype(np.int64).tobytes()), pa.py_buffer(kept.tobytes()))
+            if layout:
+                texts = pc.if_else(part.column("_text").is_valid(), texts, pa.scalar(None, pa.large_string()))
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc"), pa.array(n_words.astype(np.int64)), pa.array(n_removed.astype(np.int64)), texts.cast(pa.string()),
+                 *[part.column(c) for c in columns]], ["doc", "n_words", "n_removed", "kept_text", *columns])
+
+    schema = "doc bigint, n_words bigint, n_removed bigint, kept_text string"
+    return joined.mapInArrow(run, ", ".join([schema, *[f"`{c}` {t}" for c, t in docs.dtypes if c in columns]]))
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 20) -> DataFrame:
@@ -225,15 +303,19 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     are not carried; an empty table gives no rows.
     """
     kind = dict(docs.dtypes)[key]
-    rows = docs.select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("_text"))
-    joined = rows.join(repeated_spans(docs, key, text, window), "doc", "left")
+    done = _cut(docs, key, text, window, [], False)
+    return done.select(F.col("doc").cast(kind).alias(key), "n_words", "n_removed", "kept_text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, offs in slices(batches, "_text"):
-            n_words, n_removed, kept, at = _kept(part, data, offs)
-            texts = pa.LargeStringArray.from_buffers(len(n_words), pa.py_buffer(at.astype(np.int64).tobytes()), pa.py_buffer(kept.tobytes()))
-            yield pa.RecordBatch.from_arrays([part.column("doc"), pa.array(n_words.astype(np.int64)), pa.array(n_removed.astype(np.int64)),
-                                              texts.cast(pa.string())], ["doc", "n_words", "n_removed", "kept_text"])
 
-    done = joined.mapInArrow(run, "doc bigint, n_words bigint, n_removed bigint, kept_text string")
-    return done.select(F.col("doc").cast(kind).alias(key), "n_words", "n_removed", "kept_text")
+def cut_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 20) -> DataFrame:
+    """The rows of ``docs`` with all their columns, repeated windows cut out of ``text`` as by
+    `remove_repeats` but with the layout of what stays; texts without a repeat are
+    unchanged, and rows that lose all their words are left out."""
+    other = [c for c in docs.columns if c not in (key, text)]
+    clash = {c: f"_c{i}" for i, c in enumerate(other)}
+    renamed = docs.select(key, text, *[F.col(c).alias(clash[c]) for c in other])
+    kind = dict(docs.dtypes)[key]
+    done = _cut(renamed, key, text, window, list(clash.values()), True).where("n_removed = 0 or n_removed < n_words")
+    back = {v: k for k, v in clash.items()}
+    made = done.select(F.col("doc").cast(kind).alias(key), F.col("kept_text").alias(text), *[F.col(v).alias(k) for v, k in back.items()])
+    return made.select(docs.columns)
