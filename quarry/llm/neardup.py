@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.components import components
-from quarry.llm.store import written
+from quarry.llm.store import splittable, written
 from quarry.llm.textops import LOWER_AZ, WORD_BASE, Words, mix, signed, slices, window_hashes
 
 BINS = 64
@@ -153,8 +153,8 @@ def _prefix_lists(elements: DataFrame, facts: DataFrame) -> DataFrame:
     """Postings (doc, n, room, filled, lone, c, at): each document under the ``room + 1`` rarest
     of its ``filled`` elements, less the ``lone`` ones that only it has. ``elements``: (doc, c),
     ``facts``: (doc, n, room, filled)."""
-    common = elements.groupBy("c").agg(F.count(F.lit(1)).alias("docs")).where("docs > 1")
-    mine = elements.join(common, "c").groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("docs", "c"))).alias("shared"))
+    common = elements.groupBy("c").agg(F.count(F.lit(1)).alias("docs")).where("docs > 1").select(splittable("c").alias("k"), "docs")
+    mine = elements.join(common, splittable("c") == F.col("k")).groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("docs", "c"))).alias("shared"))
     lone = F.col("filled") - F.size("shared")
     return (facts.join(mine, "doc").where(lone <= F.col("room"))
             .select("doc", "n", "room", "filled", lone.alias("lone"),
@@ -194,8 +194,8 @@ def _other_components(texts: DataFrame, facts: DataFrame, labels: DataFrame, lik
     posts = written(posts, "shingle-postings")
     sizes = posts.groupBy("c", "component").agg(F.count(F.lit(1)).alias("k"))
     major = (sizes.groupBy("c").agg(F.max(F.struct("k", "component")).alias("m"), F.count(F.lit(1)).alias("parts"))
-             .where("parts > 1").select("c", F.col("m.component").alias("major")))
-    several = posts.join(major, "c")
+             .where("parts > 1").select(splittable("c").alias("k"), F.col("m.component").alias("major")))
+    several = posts.join(major, splittable("c") == F.col("k")).drop("k")
     # each list's greatest component meets the others, but not itself
     left = several.where("component <> major").select("c", F.col("component").alias("cx"), F.col("p").alias("x"))
     right = several.select("c", F.col("component").alias("cy"), "major", F.col("p").alias("y"))
@@ -230,8 +230,9 @@ def near_duplicates(docs: DataFrame, like: Likeness = Likeness(), key: str = "do
 
     member = F.struct("lone", "doc", "n", "filled", "room", "at")
     leaders = posts.groupBy("c").agg(F.min(member).alias("y"), F.count(F.lit(1)).alias("members")).where("members > 1")
+    leaders = leaders.select(splittable("c").alias("k"), "y")
     enough = _rest("x", "y") >= F.greatest(F.col("x.filled") - F.col("x.room"), F.col("y.filled") - F.col("y.room"))
-    to_leader = (posts.select("c", member.alias("x")).join(leaders, "c")
+    to_leader = (posts.select("c", member.alias("x")).join(leaders, splittable("c") == F.col("k"))
                  .where((F.col("x.doc") != F.col("y.doc")) & enough & _sizes_fit("x", "y", like))
                  .select(F.least("x.doc", "y.doc").alias("x"), F.greatest("x.doc", "y.doc").alias("y")))
     ends = [F.col("x").alias("a"), F.col("y").alias("b")]
@@ -241,8 +242,8 @@ def near_duplicates(docs: DataFrame, like: Likeness = Likeness(), key: str = "do
     # the rest: members of lists that hold several components
     labelled = written(posts.join(parts.withColumnRenamed("id", "doc"), "doc", "left")
                        .select("c", "doc", F.coalesce("component", "doc").alias("component")), "labelled")
-    several = labelled.groupBy("c").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("c")
-    open_docs = written(labelled.join(several, "c").select("doc", "component").distinct(), "open")
+    several = labelled.groupBy("c").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select(splittable("c").alias("k"))
+    open_docs = written(labelled.join(several, splittable("c") == F.col("k")).select("doc", "component").distinct(), "open")
     rest = _other_components(texts, facts, open_docs, like)
     more = written(_confirmed(_matching(rest, reps, like), texts, like).select(*ends), "links")
     parts = components(links.unionByName(more))
