@@ -32,7 +32,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: rows of an Arrow batch between the JVM and Python
+BATCH_ROWS = 2_000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of ``sf_dir``. Its texts have kilobytes each, so Spark's default of 10,000 rows an
+    Arrow batch would take tens of megabytes several times over in every Python worker; a
+    session with larger batches is set to ``BATCH_ROWS``."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15 | 1)
 WORD_BASE = _U(0xD1342543DE82EF95)
