@@ -10,7 +10,7 @@ twice the length: 5, then 10, then 20.
   per segment, not per word, is enough to find them all.
 * Equal segments are collapsed to their first occurrence; every other occurrence is
   removed at once. A task first collapses its own, so a passage that a third of all
-  documents share is one row per task and batch in the shuffle.
+  documents share is about one row per task in the shuffle.
 * Level 5: segments whose anchor words also stand in another segment. Level 10: those
   whose anchor, doubled to the left or the right, still repeats. Level 20: the single
   windows of these, each judged against its first occurrence.
@@ -42,7 +42,7 @@ _SEGMENT = StructType([StructField("doc", LongType(), False), StructField("at",
 _EXTENDED = StructType([StructField("doc", LongType(), False), StructField("s0", LongType(), False), StructField("lead", IntegerType(), False),
                         StructField("h5", IntegerType(), False), StructField("left10", LongType()), StructField("right10", LongType()),
                         StructField("w20", ArrayType(LongType(), False), False)])
-#: in place of the distance: a run of segments that stand earlier in the same batch
+#: in place of the distance: a run of segments that the same task has met earlier
 _OWN_COPY = 0xFFFF
 
 
@@ -110,11 +110,12 @@ def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _segments(texts: DataFrame, base: int) -> DataFrame:
-    """One row per segment: document, packed position, hashes. Neighbouring segments that stand
-    earlier in the same batch are known to be copies; they make one row together, marked
-    ``_OWN_COPY``, with a hash of its own."""
+    """One row per segment: document, packed position, hashes. Neighbouring segments that a task
+    has met in an earlier document, or earlier in the same, are known to be copies; they
+    make one row together, marked ``_OWN_COPY``, with a hash of its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, known_doc = np.empty(0, np.uint64), np.empty(0, np.int64)  # posted by this task, 16 bytes a segment
         for batch in batches:
             parts = []
             for rows, data, offs in slices(iter([batch]), "_text"):
@@ -131,6 +132,13 @@ def _segments(texts: DataFrame, base: int) -> DataFrame:
             own = np.zeros(len(doc), dtype=bool)
             order = np.lexsort((at, doc, h5, seg))
             own[order[1:]] = (seg[order[1:]] == seg[order[:-1]]) & (h5[order[1:]] == h5[order[:-1]])
+            both = mix(seg ^ h5.view(np.uint32))
+            if len(known):
+                at_known = np.minimum(np.searchsorted(known, both), len(known) - 1)
+                own |= (known[at_known] == both) & (known_doc[at_known] < doc)
+            known, known_doc = np.concatenate((known, both[~own])), np.concatenate((known_doc, doc[~own]))
+            order = np.lexsort((known_doc, known))
+            known, known_doc = known[order], known_doc[order]
             s0, n = at >> 32, at >> 16 & 0xFFFF
             head = np.ones(len(doc), dtype=bool)  # of a run of neighbouring copies, or any other segment
             head[1:] = ~(own[1:] & own[:-1] & (doc[1:] == doc[:-1]) & (s0[1:] == s0[:-1] + n[:-1]) & (s0[1:] >> 14 == s0[:-1] >> 14))
@@ -195,11 +203,16 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", win
 
     ``window`` must be a multiple of 4. Documents without such a window are not listed.
     """
+    return _spans(_texts(docs, key, text), _texts(docs, key, text), window)
+
+
+def _spans(texts: DataFrame, rows: DataFrame, window: int) -> DataFrame:
+    """`repeated_spans` of ``texts`` (doc, _text). ``rows`` are the same with all columns that the
+    caller joins the spans to: both joins then read one exchange of the text."""
     if window < 4 or window % 4:
         raise ValueError("window must be a multiple of 4")
     base = window // 4
-    texts = _texts(docs, key, text)
-    # a common segment's group has one row per batch: the batch's other copies are marked
+    # a common segment's group has about one row per task: its other copies are marked
     group = Window.partitionBy("h5", "hseg")
     seen = _segments(texts, base).withColumn("first", F.min(F.struct("doc", "at")).over(group))
     is_first = (_lead(F.col("at")) != _OWN_COPY) & (F.col("first") == F.struct("doc", "at"))
@@ -211,7 +224,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     level5 = _joined(firsts, shared5, ["h5"]).groupBy("doc").agg(F.collect_list(F.struct("at", "h5")).alias("segs"))
 
     # level 10
-    extended = _extended(texts.join(level5, "doc"), base)
+    extended = _extended(rows.join(level5, "doc"), base)
     # windows with offset <= lead - base hold the left doubling, the others the right one;
     # each goes along with the doubling that decides on it
     split = F.greatest(F.col("lead") - base + 1, F.lit(0))
@@ -271,10 +284,9 @@ def _kept(rows: pa.RecordBatch, data: np.ndarray, offs: np.ndarray, layout: bool
 
 def _cut(docs: DataFrame, key: str, text: str, window: int, columns: list[str], layout: bool) -> DataFrame:
     """(doc, n_words, n_removed, kept_text, columns...) for every row of ``docs``."""
-    # the same rows as read for the candidates: one exchange of the text serves both
     rows = docs.select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("_text"), *columns)
-    spans = repeated_spans(docs, key, text, window)
-    joined = rows.where("doc is not null").join(spans, "doc", "left")
+    keyed = rows.where("doc is not null")
+    joined = keyed.join(_spans(_texts(docs, key, text), keyed, window), "doc", "left")
     keyless = rows.where("doc is null").withColumn("spans", F.lit(None).cast(joined.schema["spans"].dataType))
     joined = joined.unionByName(keyless)
 
