@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.mixing import uniform
 from quarry.llm.store import written
 from quarry.llm.textops import BYTE_VALUES, LOWER_AZ, SEPARATOR, mix, slices, span_hashes
 
@@ -203,9 +204,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     """(key, score, predicted) for every row of ``docs``: the calibrated probability of label 1.
 
     ``labels`` is (key, label 0/1); only rows with ``learn_from`` (a condition on ``key``)
-    and a label are learned, at most ``max_labels`` of them, those with the least md5 of the
-    key. Word statistics cover all documents. Null and empty texts get the score of zero
-    features; repeated rows and null keys are scored like others; without labels every score
+    and a label are learned, at most ``max_labels`` of them, drawn by a hash of the key. Word
+    statistics cover all documents. Null and empty texts get the score of zero features; repeated rows and null keys are scored like others; without labels every score
     is 0.5; an empty table gives no rows. Other columns are not carried.
     """
     vectors = word_vectors(docs, text)
@@ -215,8 +215,10 @@ def score_quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
         features_in = features.where(learn_from)
     else:
         features_in = features
-    sample = (features_in.join(known, features_in[key] == F.col("_k")).select(F.md5(F.col("_k").cast("string")).alias("o"), "features", "_y")
-              .orderBy("o").limit(max_labels).toPandas())
+    labelled = features_in.join(known, features_in[key] == F.col("_k")).select(uniform(F.lit("labels"), F.col("_k")).alias("o"), "features", "_y")
+    # a hash threshold, not a sort: no more than the sample itself comes to the driver
+    share = max_labels / max(labelled.count(), 1)
+    sample = labelled.where(F.col("o") < share).toPandas().sort_values("o", kind="stable")[:max_labels]
     x = np.array(sample["features"].tolist(), dtype=np.float64).reshape(-1, FEATURES)
     net = fit_network(x, sample["_y"].to_numpy(dtype=np.float64))
     kind = dict(features.dtypes)[key]
