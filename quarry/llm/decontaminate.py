@@ -21,13 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.licenses import plain_words
+from quarry.llm.store import written
 from quarry.llm.textops import LOWER_AZ, Words, mix, signed, slices, span_hashes, window_hashes
 
 WINDOW = 8
 #: least words of a window that are no placeholder
 LITERALS = 4
 #: least share of an item's windows that must stand in a text on one alignment
-COVERAGE = 0.5
+COVERAGE = 0.3
 BITMAP_BITS = 1 << 24
 
 #: fixed values: unit words, recognised after a number
@@ -165,8 +166,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     found = _windows(side(docs, key, text), lengths, shared, False)
     b = wanted.distinct().select(F.col("id").alias("item"), F.col("at").alias("iat"), "len", "h", F.col("slots").alias("islots"))
     total = b.groupBy("item").agg(F.count(F.lit(1)).alias("total"))
-    hits = (found.join(b, ["h", "len"]).where(F.size("slots") == F.size("islots"))
-            .select("id", "item", (F.col("at") - F.col("iat")).alias("shift"), "iat", F.arrays_zip(F.col("islots").alias("b"), F.col("slots").alias("d")).alias("pairs")))
+    # written, so that the corpus is scanned once
+    hits = written(found.join(b, ["h", "len"]).where(F.size("slots") == F.size("islots"))
+            .select("id", "item", (F.col("at") - F.col("iat")).alias("shift"), "iat", F.arrays_zip(F.col("islots").alias("b"), F.col("slots").alias("d")).alias("pairs")), "benchmark-hits")
     # values of one alignment: at most the item's placeholders
     values = (hits.select("id", "item", "shift", F.explode("pairs").alias("p")).groupBy("id", "item", "shift", "p.b")
               .agg(F.min("p.d").alias("d"), F.max("p.d").alias("e"))
