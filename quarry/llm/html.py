@@ -28,10 +28,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.store import written
 from quarry.llm.urls import url_host
 
 MIN_PAGES = 10
 THRESHOLD = 0.4
+#: removed nodes that are sent to every task (8 bytes each and a host name)
+BROADCAST_NODES = 200_000
 #: weight of a node's content against its presentation
 CONTENT_WEIGHT = 0.9
 
@@ -78,16 +81,18 @@ class Block:
     text: str
 
 
-def _names(attributes: str) -> tuple[str, bool]:
-    """(class words without digits, whether a name or attribute marks the element as cut)."""
+def _names(attributes: str, in_article: bool) -> tuple[str, bool]:
+    """(class words without digits, whether a name or attribute marks the element as cut). The
+    header of an article is part of it, that of a page is not."""
     words, cut = [], False
+    marks = CUT_NAMES - {"header"} if in_article else CUT_NAMES
     for m in _NAMED.finditer(attributes):
         kind, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if kind == "hidden" or kind == "aria-hidden" and value == "true":
             cut = True
         elif kind != "aria-hidden":
             parts = re.split(r"[\s_\-:]+", value)
-            cut |= any(p in CUT_NAMES for p in parts)
+            cut |= any(p in marks for p in parts)
             if kind == "class":
                 words.append(_DIGITS.sub("", value))
     return ".".join(words), cut
@@ -145,7 +150,7 @@ def parse(page: str) -> tuple[list[Block], dict[str, str]]:
         if tag in VOID:
             continue
         up = stack[-1]
-        words, named = _names(m[3])
+        words, named = _names(m[3], up.article)
         article = up.article or tag in ("article", "main") or "role" in m[3] and re.search(r"role\s*=\s*[\"']?(main|article)\b", m[3]) is not None
         cut = up.cut or tag in CUT or named and tag not in ("body", "html") or tag == "header" and not up.article
         if cut and not up.cut:
@@ -242,8 +247,11 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
     """
     kind, url_kind = dict(pages.dtypes)[key], dict(pages.dtypes)[url]
     rows = pages.select(F.col(key).alias("_id"), F.col(url).alias("_url"), url_host(F.col(url)).alias("host"), F.col(html).alias("_html"))
-    low = (node_importance(_features(rows)).where((F.col("pages") >= MIN_PAGES) & (F.col("importance") < THRESHOLD))
-           .groupBy("host").agg(F.collect_set("path").alias("low")))
+    low = written(node_importance(_features(rows)).where((F.col("pages") >= MIN_PAGES) & (F.col("importance") < THRESHOLD))
+                  .groupBy("host").agg(F.collect_set("path").alias("low")), "low-branches")
+    nodes, hosts = low.agg(F.sum(F.size("low")), F.count(F.lit(1))).first()
+    if (nodes or 0) + hosts <= BROADCAST_NODES:
+        low = F.broadcast(low)  # beyond that the pages are dealt by host; AQE splits a hot one
     judged = rows.join(low, "host", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
