@@ -2,16 +2,19 @@
 
 Everything is computed from the ``(truth, pred) -> n`` cell counts, an aggregation
 with a map-side partial count, so only classes x classes cells are shuffled however
-many rows were scored.
+many rows were scored. A report needs one pass over the scored rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.session import checkpoint_root
+
+#: labels up to which the confusion matrix lists its zero cells as well
 MAX_LABELS = 2_000
 
 
@@ -25,71 +28,68 @@ def cells(scored: DataFrame, truth: str = "label", pred: str = "pred") -> DataFr
         F.count(F.lit(1)).alias("n"))
 
 
+def _labels(counts: DataFrame) -> DataFrame:
+    return counts.select(F.col("truth").alias("label")).union(counts.select("pred")).distinct()
+
+
 def label_set(cell_counts: DataFrame, max_labels: int = MAX_LABELS) -> list:
     """Sorted union of labels seen as truth or prediction (bounded and checked)."""
-    labels = (cell_counts.select(F.col("truth").alias("label"))
-              .union(cell_counts.select(F.col("pred").alias("label"))).distinct())
-    values = sorted(r[0] for r in labels.limit(max_labels + 1).collect())
+    values = sorted(r[0] for r in _labels(cell_counts).limit(max_labels + 1).collect())
     if len(values) > max_labels:
         raise ValueError(f"more than {max_labels} distinct labels")
     return values
 
 
-def confusion_matrix(scored: DataFrame, truth: str = "label", pred: str = "pred") -> DataFrame:
-    """``(truth, pred, n)`` over every pair of the sorted label union, zero cells included."""
-    spark: SparkSession = scored.sparkSession
-    # the cell table is tiny (classes^2 rows); checkpointing it lets the label set and
-    # the matrix share one pass over the scored rows
-    counts = cells(scored, truth, pred).checkpoint(eager=True)
-    labels = label_set(counts)
-    # the label list (at most MAX_LABELS values) goes into the plan; the labels^2 grid is
-    # generated inside the tasks, then broadcast (bounded by MAX_LABELS^2)
-    label_type = counts.schema["truth"].dataType
-    lits = [F.lit(v).cast(label_type) for v in labels]
-    grid = (spark.range(len(labels)).select(F.get(F.array(*lits), F.col("id").cast("int")).alias("truth"))
-            .select("truth", F.explode(F.array(*lits)).alias("pred")))
-    return (F.broadcast(grid).join(counts, ["truth", "pred"], "left")
+def _matrix(counts: DataFrame, max_labels: int = MAX_LABELS) -> DataFrame:
+    """``(truth, pred, n)`` from cell counts; with zero cells up to ``max_labels`` labels, sparse
+    beyond."""
+    labels = _labels(counts)
+    if labels.limit(max_labels + 1).count() > max_labels:
+        return counts.select("truth", "pred", F.col("n").cast("bigint").alias("n"))
+    kind = counts.schema["truth"].dataType
+    lits = [F.lit(v).cast(kind) for v in label_set(counts, max_labels)]
+    spark = counts.sparkSession
+    # the label list goes into the plan; the labels^2 grid is generated inside the tasks
+    grid = (spark.range(len(lits)).select(F.get(F.array(*lits), F.col("id").cast("int")).alias("truth"))
+            .select("truth", F.explode(F.array(*lits)).alias("pred"))) if lits else counts.select("truth", "pred")
+    return (grid.join(counts, ["truth", "pred"], "left")
             .select("truth", "pred", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")))
 
 
+def confusion_matrix(scored: DataFrame, truth: str = "label", pred: str = "pred", max_labels: int = MAX_LABELS) -> DataFrame:
+    """``(truth, pred, n)`` over every pair of the label union, zero cells included; beyond
+    ``max_labels`` labels only the cells that occur."""
+    checkpoint_root(scored.sparkSession)
+    # the cell table has labels^2 rows at most; checkpointing it lets the label set and the
+    # matrix share one pass over the scored rows
+    return _matrix(cells(scored, truth, pred).checkpoint(eager=True), max_labels)
+
+
 def _row(order, label, p, r, f, support):
     return F.struct(F.lit(order).cast("bigint").alias("order"), F.lit(label).alias("label"),
                     p.cast("double").alias("precision"), r.cast("double").alias("recall"),
                     f.cast("double").alias("f1_score"), support.cast("bigint").alias("support"))
 
 
-def classification_report(scored: DataFrame, truth: str = "label", pred: str = "pred",
-                          names: Sequence[str] | None = None) -> DataFrame:
-    """Per label precision, recall, f1 and support, then ``accuracy``, ``macro avg`` and
-    ``weighted avg`` rows. A zero denominator gives 0. Columns:
-    ``label, precision, recall, f1_score, support`` (the accuracy row carries its value
-    in ``f1_score`` and leaves precision/recall null)."""
-    m = confusion_matrix(scored, truth, pred)
-    per = m.groupBy(F.col("truth").alias("label")).agg(
-        F.sum(F.when(F.col("truth") == F.col("pred"), F.col("n")).otherwise(0)).alias("tp"),
-        F.sum("n").alias("support"))
-    predicted = m.groupBy(F.col("pred").alias("label")).agg(F.sum("n").alias("predicted"))
-    per = per.join(predicted, "label")
-    zero = F.lit(0.0).cast("double")
-
-    def safe(num, den):
-        return F.when(den > 0, num.cast("double") / den).otherwise(zero)
+def _safe(num: Column, den: Column) -> Column:
+    return F.when(den > 0, num.cast("double") / den).otherwise(F.lit(0.0).cast("double"))
 
+
+def _report(counts: DataFrame, names: Sequence[str] | None) -> DataFrame:
+    hit = F.sum(F.when(F.col("truth") == F.col("pred"), F.col("n")).otherwise(0))
+    true = counts.groupBy(F.col("truth").alias("label")).agg(hit.alias("tp"), F.sum("n").alias("support"))
+    guessed = counts.groupBy(F.col("pred").alias("label")).agg(F.sum("n").alias("predicted"))
+    per = true.join(guessed, "label", "full").fillna(0, ["tp", "support", "predicted"])
     per = per.select(
-        "label",
-        safe(F.col("tp"), F.col("predicted")).alias("precision"),
-        safe(F.col("tp"), F.col("support")).alias("recall"),
-        safe(2 * F.col("tp"), F.col("predicted") + F.col("support")).alias("f1_score"),
-        F.col("support").cast("bigint").alias("support"),
-        F.col("tp"),
-    )
+        "label", _safe(F.col("tp"), F.col("predicted")).alias("precision"), _safe(F.col("tp"), F.col("support")).alias("recall"),
+        _safe(2 * F.col("tp"), F.col("predicted") + F.col("support")).alias("f1_score"),
+        F.col("support").cast("bigint").alias("support"), "tp")
+    # one row per label, so the window is as small as the label set
+    order = F.row_number().over(Window.orderBy("label")) - 1
+    text = F.col("label").cast("string")
     if names is not None:
-        name_map = F.create_map(*[x for i, nm in enumerate(names) for x in (F.lit(i), F.lit(nm))])
-        label_text = F.coalesce(name_map[F.col("label")], F.col("label").cast("string"))
-    else:
-        label_text = F.col("label").cast("string")
-    rows = per.select(F.col("label").cast("bigint").alias("order"), label_text.alias("label"),
-                      "precision", "recall", "f1_score", "support")
+        text = F.coalesce(F.get(F.array(*[F.lit(n) for n in names]), order), text)
+    rows = per.select(order.cast("bigint").alias("order"), text.alias("label"), "precision", "recall", "f1_score", "support")
     tot = per.agg(
         F.sum("support").alias("total"), F.sum("tp").alias("tp"),
         F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1_score").alias("mf"),
@@ -99,14 +99,24 @@ def classification_report(scored: DataFrame, truth: str = "label", pred: str = "
     )
     total = F.col("total")
     summary = tot.select(F.explode(F.array(
-        _row(1 << 40, "accuracy", F.lit(None), F.lit(None), safe(F.col("tp"), total), total),
+        _row(1 << 40, "accuracy", F.lit(None), F.lit(None), _safe(F.col("tp"), total), total),
         _row((1 << 40) + 1, "macro avg", F.col("mp"), F.col("mr"), F.col("mf"), total),
-        _row((1 << 40) + 2, "weighted avg", safe(F.col("wp"), total), safe(F.col("wr"), total),
-             safe(F.col("wf"), total), total),
+        _row((1 << 40) + 2, "weighted avg", _safe(F.col("wp"), total), _safe(F.col("wr"), total),
+             _safe(F.col("wf"), total), total),
     )).alias("r")).select("r.*")
     return rows.unionByName(summary)
 
 
+def classification_report(scored: DataFrame, truth: str = "label", pred: str = "pred",
+                          names: Sequence[str] | None = None) -> DataFrame:
+    """Per label precision, recall, f1 and support, then ``accuracy``, ``macro avg`` and
+    ``weighted avg`` rows. A zero denominator gives 0. Labels of any orderable type; ``names``
+    replace the labels in their sorted order. Columns: ``order`` (of the lines), ``label,
+    precision, recall, f1_score, support`` (the accuracy row carries its value in
+    ``f1_score`` and leaves precision/recall null)."""
+    return _report(cells(scored, truth, pred), names)
+
+
 def mean_of_batch_loss(scored: DataFrame, batch_col: str = "batch", loss: str = "loss") -> DataFrame:
     """Unweighted mean over batches of each batch's mean row loss (a short last batch
     weighs as much as a full one)."""
@@ -116,26 +126,36 @@ def mean_of_batch_loss(scored: DataFrame, batch_col: str = "batch", loss: str =
 
 def eval_report(scored: DataFrame, batch_col: str = "batch", truth: str = "label", pred: str = "pred",
                 names: Sequence[str] | None = None, version: str | None = None) -> DataFrame:
-    """One tidy table ``(section, label, metric, value)``: loss and accuracy, the report
-    rows, and the confusion cells (label ``"<truth>|<pred>"``)."""
-    v = F.lit(version).cast("string")
-    loss = mean_of_batch_loss(scored, batch_col).select(
-        F.lit("summary").alias("section"), F.lit("").alias("label"), F.lit("loss").alias("metric"),
-        F.col("loss").alias("value"))
-    acc = accuracy(scored, truth, pred).select(
-        F.lit("summary").alias("section"), F.lit("").alias("label"), F.lit("accuracy").alias("metric"),
-        F.col("accuracy").alias("value"))
-    rep = classification_report(scored, truth, pred, names)
-    rep_long = rep.select("label", F.explode(F.array(
-        F.struct(F.lit("precision").alias("metric"), F.col("precision").alias("value")),
-        F.struct(F.lit("recall").alias("metric"), F.col("recall").alias("value")),
-        F.struct(F.lit("f1_score").alias("metric"), F.col("f1_score").alias("value")),
-        F.struct(F.lit("support").alias("metric"), F.col("support").cast("double").alias("value")),
-    )).alias("m")).where(F.col("m.value").isNotNull()).select(
-        F.lit("report").alias("section"), "label", "m.metric", "m.value")
-    mat = confusion_matrix(scored, truth, pred).select(
-        F.lit("matrix").alias("section"),
-        F.concat_ws("|", F.col("truth").cast("string"), F.col("pred").cast("string")).alias("label"),
-        F.lit("n").alias("metric"), F.col("n").cast("double").alias("value"))
-    out = loss.unionByName(acc).unionByName(rep_long).unionByName(mat)
-    return out.withColumn("version", v) if version is not None else out
+    """One tidy table ``(section, label, other, metric, value, position)``: loss and accuracy,
+    the report rows, and the confusion cells (``label`` truth, ``other`` prediction).
+    ``position`` orders the rows of a section.
+
+    The scored rows are read once, into ``(batch, truth, pred) -> n, loss`` sums.
+    """
+    checkpoint_root(scored.sparkSession)
+    sums = scored.groupBy(F.col(batch_col).alias("batch"), F.col(truth).alias("truth"), F.col(pred).alias("pred")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("loss").alias("loss")).checkpoint(eager=True)
+    counts = sums.groupBy("truth", "pred").agg(F.sum("n").alias("n"))
+    nothing = F.lit(None).cast("string")
+
+    def part(df, section, label, other, metric, value, position):
+        return df.select(F.lit(section).alias("section"), label.alias("label"), other.alias("other"), metric.alias("metric"),
+                         value.cast("double").alias("value"), position.cast("bigint").alias("position"))
+
+    loss = sums.groupBy("batch").agg((F.sum("loss") / F.sum("n")).alias("l")).agg(F.avg("l").alias("v"))
+    right = counts.agg(_safe(F.sum(F.when(F.col("truth") == F.col("pred"), F.col("n")).otherwise(0)), F.sum("n")).alias("v"))
+    rep = _report(counts, names)
+    metrics = ("precision", "recall", "f1_score", "support")
+    long = rep.select("order", "label", F.posexplode(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics])).alias("i", "m")).where("m.value is not null")
+    matrix = _matrix(counts)
+    # one row per label
+    order = _labels(counts).select("label", (F.row_number().over(Window.orderBy("label")) - 1).alias("o"))
+    placed = (matrix.join(order.withColumnsRenamed({"label": "truth", "o": "ot"}), "truth")
+              .join(order.withColumnsRenamed({"label": "pred", "o": "op"}), "pred"))
+    out = (part(loss, "summary", F.lit(""), nothing, F.lit("loss"), F.col("v"), F.lit(0))
+           .unionByName(part(right, "summary", F.lit(""), nothing, F.lit("accuracy"), F.col("v"), F.lit(1)))
+           .unionByName(part(long, "report", F.col("label"), nothing, F.col("m.metric"), F.col("m.value"), F.col("order") * 4 + F.col("i")))
+           .unionByName(part(placed, "matrix", F.col("truth").cast("string"), F.col("pred").cast("string"), F.lit("n"), F.col("n"),
+                             F.col("ot") * F.lit(1 << 31) + F.col("op"))))
+    return out.withColumn("version", F.lit(version)) if version is not None else out

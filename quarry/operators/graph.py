@@ -53,9 +53,9 @@ def adjacency(edges: DataFrame, hot_threshold: int | None = None) -> DataFrame:
 
 
 def contributions(edges_with_rank: DataFrame) -> DataFrame:
-    """``(dst, contribution)`` from ``(src, dst, rank, out_degree)`` rows (one per edge)."""
+    """``(src, dst, contribution)`` from ``(src, dst, rank, out_degree)`` rows (one per edge)."""
     return edges_with_rank.select(
-        "dst", (F.col("rank") / F.col("out_degree")).alias("contribution")
+        "src", "dst", (F.col("rank") / F.col("out_degree")).alias("contribution")
     )
 
 
@@ -92,11 +92,11 @@ def pagerank_as_written(edges: DataFrame, d: float = 0.85) -> DataFrame:
 def _cache_keeps_partitioning(spark):
     """Cache with the plan's hash partitioning kept visible to later joins.
 
-    With AQE on, a cached plan normally reports unknown partitioning (AQE may change
-    it), which would make every pass re-shuffle the cached edges. Turning that off
-    while the cache entry is created keeps ``hashpartitioning(src, n)``.
+    An adaptive plan reports unknown partitioning once it is cached, which would make every
+    pass shuffle the cached edges again. With adaptive execution off while the cache entry
+    is made, ``hashpartitioning(src, n)`` stays known.
     """
-    key = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
+    key = "spark.sql.adaptive.enabled"
     old = spark.conf.get(key, None)
     spark.conf.set(key, "false")
     try:
@@ -128,10 +128,10 @@ EDGES_PER_PARTITION = 250_000
 
 
 def edge_partitions(spark, distinct_edges: int) -> int:
-    """Partitions for the cached edge table: about ``EDGES_PER_PARTITION`` distinct edges
-    each, at least the default parallelism, at most ``spark.sql.shuffle.partitions``."""
-    floor = spark.sparkContext.defaultParallelism
-    return max(1, min(shuffle_partitions(spark), max(floor, math.ceil(distinct_edges / EDGES_PER_PARTITION))))
+    """Partitions for the edge table: about ``EDGES_PER_PARTITION`` distinct edges each, so the
+    count grows with the graph; at least the session's parallelism and shuffle partitions
+    (a join would deal a table with fewer partitions anew)."""
+    return max(shuffle_partitions(spark), spark.sparkContext.defaultParallelism, math.ceil(distinct_edges / EDGES_PER_PARTITION))
 
 
 def salted_edges(edges: DataFrame, num_partitions: int | None = None,
@@ -139,7 +139,7 @@ def salted_edges(edges: DataFrame, num_partitions: int | None = None,
     """De-duplicate and salt an edge multiset.
 
     Returns ``(table, hot, degree)``: ``table`` is ``(src, salt, dst, mult, out_degree)``
-    hash-partitioned on ``(src, salt)``; ``hot`` is ``(src, n_salt, hot_degree)`` for the
+    hash-partitioned on ``(src, salt)``, or on ``src`` without hot sources; ``hot`` is ``(src, n_salt, hot_degree)`` for the
     hot sources; ``degree`` is ``(src, out_degree, fanout)``.
 
     A source whose fan-out (distinct destinations) exceeds ``hot_threshold`` is *hot*:
@@ -162,13 +162,15 @@ def salted_edges(edges: DataFrame, num_partitions: int | None = None,
         # no hot source: one salt for everyone, nothing to broadcast
         table = (dedup.join(degree.select("src", "out_degree"), "src")
                  .select("src", F.lit(0).alias("salt"), "dst", "mult", "out_degree")
-                 .repartition(n, "src", "salt"))
+                 .repartition(n, "src"))
         return table, None, degree
-    # Fewer than 2n rows by construction (each has > R / 2n distinct edges).
+    # Fewer than 2n rows with the default threshold (each has > R / 2n distinct edges); a
+    # smaller threshold makes more, and Catalyst then chooses the join by their size.
+    bounded = hot_threshold >= math.ceil(distinct_edges / (2 * n))
     hot = degree.where(F.col("fanout") > hot_threshold).select(
         "src", F.col("out_degree").alias("hot_degree"),
         F.ceil(F.col("fanout") / F.lit(hot_threshold)).cast("int").alias("n_salt"))
-    marked = dedup.join(F.broadcast(hot), "src", "left")
+    marked = dedup.join(F.broadcast(hot) if bounded else hot, "src", "left")
     hot_edges = marked.where(F.col("hot_degree").isNotNull()).select(
         "src", F.pmod(F.xxhash64("dst"), F.col("n_salt")).cast("int").alias("salt"), "dst", "mult",
         F.col("hot_degree").alias("out_degree"))
@@ -209,14 +211,16 @@ def expand_ranks(ranks: DataFrame, hot: DataFrame | None) -> DataFrame:
     """One rank row per salt of its source (hot sources get several)."""
     if hot is None:
         return ranks.select("src", "rank", F.lit(0).alias("salt"))
-    return ranks.join(F.broadcast(hot.select("src", "n_salt")), "src", "left").select(
+    return ranks.join(hot.select("src", "n_salt"), "src", "left").select(
         "src", "rank",
         F.explode(F.sequence(F.lit(0), F.coalesce(F.col("n_salt"), F.lit(1)) - 1)).alias("salt"))
 
 
 def join_ranks_salted(table: DataFrame, ranks: DataFrame, hot: DataFrame | None) -> DataFrame:
     """Skew-safe edge-rank join: salted edges meet the salt-expanded rank rows."""
-    return table.join(expand_ranks(ranks, hot).hint("shuffle_hash"), ["src", "salt"])
+    if hot is None:  # a constant salt would be folded away, and with it the table's partitioning
+        return table.join(ranks.select("src", "rank"), "src")
+    return table.join(expand_ranks(ranks, hot), ["src", "salt"])
 
 
 def _pass(prepared: PreparedEdges, ranks: DataFrame, d: float) -> DataFrame:
@@ -250,4 +254,8 @@ def pagerank(edges: DataFrame, d: float = 0.85, epochs: int = 10,
         ranks = _pass(prepared, ranks, d)
         if checkpoint_every and epoch % checkpoint_every == 0 and epoch != epochs:
             ranks = ranks.checkpoint(eager=True)
+    if persist and epochs:
+        # the result must not hold on to the cached edges: cut it off, then free them
+        ranks = ranks.checkpoint(eager=True)
+        prepared.release()
     return ranks.withColumnRenamed("src", "id")

@@ -24,6 +24,13 @@ def _cols(keys: Sequence) -> list[Column]:
     return [F.col(k) if isinstance(k, str) else k for k in keys]
 
 
+def spread_ties(df: DataFrame, order: Sequence[Column]) -> list[Column]:
+    """Order keys for range partitioning: rows that tie on ``order`` are told apart by a hash
+    of the whole row, so one key value that holds much of the table spans many ranges."""
+    hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return [*order, F.xxhash64(*hashable)] if hashable else list(order)
+
+
 def global_index(df: DataFrame, keys: Sequence, pos: str = "pos", total: str | None = None,
                  num_partitions: int | None = None) -> DataFrame:
     """Append ``pos`` = 0-based rank of each row under ``ORDER BY keys``.
@@ -35,7 +42,7 @@ def global_index(df: DataFrame, keys: Sequence, pos: str = "pos", total: str | N
     """
     spark = df.sparkSession
     checkpoint_root(spark)
-    order = _cols(keys)
+    order = spread_ties(df, _cols(keys))
     # Without an explicit count AQE may merge adjacent (small) range partitions, which
     # keeps the global order and avoids hundreds of near-empty tasks on small inputs.
     by_range = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
@@ -138,14 +145,14 @@ def next_in_group(df: DataFrame, group: str, order: Sequence[str], value: str,
                          F.col(value).alias(out))
     joined = ranked.join(succ, "_ng_pos", "left")
     return joined.select(*[c for c in df.columns],
-                         F.when(F.col("_ng_group") == F.col(group), F.col(out)).alias(out))
+                         F.when(F.col("_ng_group").eqNullSafe(F.col(group)), F.col(out)).alias(out))
 
 
 def lead_in_group(df: DataFrame, group: str, order: Sequence[str], value: str,
                   out: str = "next_value", hot_threshold: int | None = None) -> DataFrame:
     """``lead(value)`` within ``group`` in ``order``, skew-safe.
 
-    Groups of at most ``hot_threshold`` rows (default ``ceil(N / (2n))``) use an
+    A null ``group`` is a group like any other. Groups of at most ``hot_threshold`` rows (default ``ceil(N / (2n))``) use an
     ordinary window partitioned by the group; the few larger groups (fewer than ``2n``
     by construction, so their keys are fetched once as a literal list) go through
     :func:`next_in_group`, which spreads a group over many tasks. One small aggregate
@@ -161,6 +168,7 @@ def lead_in_group(df: DataFrame, group: str, order: Sequence[str], value: str,
     if not largest or largest <= hot_threshold:
         return df.withColumn(out, F.lead(value).over(w))
     hot = [r[0] for r in sizes.where(F.col("_lg_n") > hot_threshold).select(group).collect()]
-    is_hot = F.col(group).isin(hot)
+    # null is a group like any other: membership must never be null
+    is_hot = F.coalesce(F.col(group).isin([h for h in hot if h is not None]), F.lit(None in hot))
     cold = df.where(~is_hot).withColumn(out, F.lead(value).over(w))
     return cold.unionByName(next_in_group(df.where(is_hot), group, order, value, out))

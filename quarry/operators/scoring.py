@@ -17,16 +17,15 @@ from pyspark.sql import functions as F
 
 from quarry.functions.arrays import argmax_index, array_dot, array_log_softmax
 
-MAX_PARAMETERS = 5_000_000
-# Largest model written into the plan as literals; bigger models are shipped to each
-# task once, inside a vectorised (Arrow batch) scoring function.
-MAX_LITERAL_PARAMETERS = 100_000
+#: documented limit of a model that the driver holds and the plan carries
+MAX_PARAMETERS = 1_000_000
 
 
 @dataclass
 class LinearModel:
     weight: np.ndarray  # (classes, features)
     bias: np.ndarray    # (classes,)
+    labels: list | None = None  # the class of each row; None: 0, 1, 2, ...
 
     @property
     def classes(self) -> int:
@@ -35,12 +34,15 @@ class LinearModel:
     def to_frame(self, spark) -> DataFrame:
         rows = [("weight", [int(s) for s in self.weight.shape], [float(v) for v in self.weight.ravel()], True),
                 ("bias", [int(self.bias.shape[0])], [float(v) for v in self.bias], True)]
+        if self.labels is not None:
+            rows.append(("labels", [len(self.labels)], [float(v) for v in self.labels], False))
         return spark.createDataFrame(
             rows, "name string, shape array<int>, values array<double>, trainable boolean")
 
 
 def class_mean_model(train: DataFrame, features: str = "features", label: str = "label") -> DataFrame:
-    """Weights = per-class mean feature vector, bias 0, as a parameter table.
+    """Weights = per-class mean feature vector, bias 0, as a parameter table; ``labels`` holds
+    the class of each weight row, so classes may have gaps.
 
     The element-wise mean is a (label, position) aggregation with a map-side partial
     sum; only classes x features cells are shuffled.
@@ -64,7 +66,9 @@ def class_mean_model(train: DataFrame, features: str = "features", label: str =
         F.array_repeat(F.lit(0.0).cast("double"), F.get(F.col("shape"), 0)).alias("values"),
         F.lit(True).alias("trainable"),
     )
-    return weight.unionByName(bias)
+    labels = per_class.agg(F.sort_array(F.collect_list(F.col(label).cast("double"))).alias("values")).select(
+        F.lit("labels").alias("name"), F.array(F.size("values")).alias("shape"), "values", F.lit(False).alias("trainable"))
+    return weight.unionByName(bias).unionByName(labels)
 
 
 def load_linear(model: DataFrame, max_parameters: int = MAX_PARAMETERS) -> LinearModel:
@@ -77,7 +81,8 @@ def load_linear(model: DataFrame, max_parameters: int = MAX_PARAMETERS) -> Linea
     wshape, wvals = params["weight"]
     w = np.asarray(wvals, dtype=np.float64).reshape(wshape)
     b = np.asarray(params["bias"][1], dtype=np.float64) if "bias" in params else np.zeros(wshape[0])
-    return LinearModel(w, b)
+    labels = [int(v) for v in params["labels"][1]] if "labels" in params else None
+    return LinearModel(w, b, labels)
 
 
 def _literal_matrix(m: np.ndarray) -> Column:
@@ -93,54 +98,28 @@ def linear_logits(df: DataFrame, model: LinearModel, features: str = "features",
     return df.withColumn(out, logits)
 
 
-def _score_batches(model: LinearModel, features: str, label: str | None, columns: list[str]):
-    w, b = model.weight, model.bias
-
-    def fn(batches):
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            x = np.stack(pdf[features].to_numpy()).astype(np.float64)
-            z = x @ w.T + b
-            zs = z - z.max(axis=1, keepdims=True)
-            logp = zs - np.log(np.exp(zs).sum(axis=1, keepdims=True))
-            out = pdf[columns].copy()
-            out["logits"] = list(z)
-            out["log_probs"] = list(logp)
-            out["pred"] = np.argmax(logp, axis=1).astype(np.int32)
-            if label:
-                out["loss"] = -logp[np.arange(len(out)), pdf[label].to_numpy().astype(np.int64)]
-            yield out
-
-    return fn
-
-
 def score_linear(df: DataFrame, model: LinearModel, features: str = "features",
                  label: str | None = "label") -> DataFrame:
-    """Logits, log-probabilities, predicted class and (with a label) the row loss.
-
-    Small models become plan literals (JVM-side array expressions); larger ones are
-    applied per Arrow batch with NumPy, the parameters shipped once per task.
-    """
-    if model.weight.size + model.bias.size > MAX_LITERAL_PARAMETERS:
-        columns = df.columns
-        from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructType
-        schema = StructType(df.schema.fields[:]).add("logits", ArrayType(DoubleType())) \
-            .add("log_probs", ArrayType(DoubleType())).add("pred", IntegerType())
-        if label:
-            schema = schema.add("loss", DoubleType())
-        return df.mapInPandas(_score_batches(model, features, label, columns), schema)
+    """Logits, log-probabilities (in the model's class order), predicted class and (with a
+    label) the row loss, as array expressions whatever the model's size."""
+    if model.weight.size + model.bias.size > MAX_PARAMETERS:
+        raise ValueError(f"model has more than {MAX_PARAMETERS} parameters")
     out = linear_logits(df, model, features)
     out = out.withColumn("log_probs", array_log_softmax(F.col("logits")))
-    out = out.withColumn("pred", argmax_index(F.col("log_probs")))
-    if label:
-        out = out.withColumn("loss", row_loss(F.col("log_probs"), F.col(label)))
-    return out
+    place = argmax_index(F.col("log_probs"))
+    if model.labels is None:
+        out = out.withColumn("pred", place)
+        truth = F.col(label) if label else None
+    else:
+        classes = F.array(*[F.lit(int(v)) for v in model.labels])
+        out = out.withColumn("pred", F.get(classes, place))
+        truth = F.array_position(classes, F.col(label).cast("int")) - 1 if label else None
+    return out.withColumn("loss", row_loss(F.col("log_probs"), truth)) if label else out
 
 
 def row_loss(log_probs: Column, truth: Column) -> Column:
-    """Cross-entropy of one row: ``-log_softmax[truth]``."""
-    return -F.element_at(log_probs, truth + 1)
+    """Cross-entropy of one row: ``-log_softmax[truth]``; null for a class the model lacks."""
+    return -F.get(log_probs, truth.cast("int"))
 
 
 def parameter_count(model: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.indexing import global_index
+from quarry.operators.indexing import global_index, spread_ties
 from quarry.sinks import write_csv
 from quarry.sources import read_table_csv
 
@@ -38,7 +38,8 @@ def sort_to_ordered_partitions(df: DataFrame, keys: Sequence[str], num_partition
     partitions (or their part files) in order gives the single sorted sequence without
     any task holding all rows."""
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    order = spread_ties(df, [F.col(k) for k in keys])
+    return df.repartitionByRange(n, *order).sortWithinPartitions(*order)
 
 
 def ordered_position(df: DataFrame, pos: str = "pos") -> DataFrame:
@@ -54,7 +55,10 @@ def sort_csv(spark, src: str, dst: str, keys: Sequence[str], single: bool = Fals
     order (part files in name order = the sorted file). ``single=True`` writes one
     file through one task, as the studied job does; use it for small outputs."""
     df = read_table_csv(spark, src, schema)
-    write_csv(df, dst, single=single, sort_keys=list(keys))
+    if single:
+        write_csv(df, dst, single=True, sort_keys=list(keys))
+    else:
+        write_csv(sort_to_ordered_partitions(df, keys), dst)
 
 
 def read_lines_in_order(spark, path: str, pos: str = "line_no") -> DataFrame:

@@ -6,6 +6,8 @@ a grouped aggregation (partial + final), so no epoch is ever gathered in one tas
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,13 @@ EPOCH_LINE = ("Epoch: %d, Train Loss: %.3f, Train Accuracy: %.3f, "
               "Avg Batch Duration: %.3f seconds, Epoch Duration: %.3f seconds")
 BATCH_LINE = ("Batch Idx: %d, Batch Loss: %.3f, Batch Accuracy: %.3f, "
               "Batch Duration: %.3f seconds")
+TEXT_BATCH_LINE = ("Epoch: %d, Train Batch Idx: %d, Train Batch Loss: %.3f, Train Batch Accuracy: %.3f, "
+                   "Train Batch Duration: %.3f seconds")
+TEXT_EPOCH_LINE = ("Epoch: %d, Train Loss: %.3f, Train Accuracy: %.3f, "
+                   "Train Duration: %.3f seconds, Avg Train Batch Duration: %.3f seconds")
+TEXT_RUN_LINE = ("Avg Train Loss: %.3f, Avg Train Accuracy: %.3f, "
+                 "Avg Train Duration: %.3f seconds, Avg Train Batch Duration: %.3f seconds")
+LOG_HEADER = "Logs for the checkpoint stored at: %s/"
 
 
 def sample_batches(tele: DataFrame, every: int = 20) -> DataFrame:
@@ -26,11 +35,11 @@ def cap_batches(tele: DataFrame, max_batches: int = 41) -> DataFrame:
     return tele.where(F.col("batch_idx") < max_batches)
 
 
-def epoch_summary(tele: DataFrame, skip_first: bool = True) -> DataFrame:
-    """Per epoch: mean loss, mean accuracy, mean batch duration (without batch 0 when
+def epoch_summary(tele: DataFrame, skip_first: bool = True, by: Sequence[str] = ("epoch",)) -> DataFrame:
+    """Per epoch (or per ``by`` columns): mean loss, mean accuracy, mean batch duration (without batch 0 when
     ``skip_first``; null if nothing is left) and epoch duration (sum of durations)."""
     dur = F.when(F.col("batch_idx") > 0, F.col("duration")) if skip_first else F.col("duration")
-    return tele.groupBy("epoch").agg(
+    return tele.groupBy(*by).agg(
         F.avg("loss").alias("train_loss"),
         F.avg("accuracy").alias("train_accuracy"),
         F.avg(dur).alias("avg_batch_duration"),
@@ -70,29 +79,59 @@ def lr_schedule(spark: SparkSession, total: int, warmup: int = 100, base: float
     return spark.range(total).select(F.col("id").alias("step"), lr_at(F.col("id"), total, warmup, base).alias("lr"))
 
 
+def _three(*columns: str) -> list[Column]:
+    return [F.round(c, 3) for c in columns]
+
+
 def format_epoch_log(epochs: DataFrame, rank: Column | None = None) -> DataFrame:
     """Fixed-format epoch lines; values are rounded to 3 digits before printing."""
-    line = F.format_string(EPOCH_LINE, F.col("epoch"), F.round("train_loss", 3), F.round("train_accuracy", 3),
-                           F.round("avg_batch_duration", 3), F.round("epoch_duration", 3))
+    line = F.format_string(EPOCH_LINE, F.col("epoch"), *_three("train_loss", "train_accuracy", "avg_batch_duration", "epoch_duration"))
     if rank is not None:
         line = F.concat(F.lit("Rank: "), rank.cast("string"), F.lit(", "), line)
-    return epochs.select("epoch", line.alias("value"))
+    return epochs.select(*[c for c in ("rank", "epoch") if c in epochs.columns], line.alias("value"))
 
 
 def format_batch_log(tele: DataFrame) -> DataFrame:
-    line = F.format_string(BATCH_LINE, F.col("batch_idx"), F.round("loss", 3), F.round("accuracy", 3),
-                           F.round("duration", 3))
+    line = F.format_string(BATCH_LINE, F.col("batch_idx"), *_three("loss", "accuracy", "duration"))
+    return tele.select(*[c for c in ("rank", "epoch") if c in tele.columns], "batch_idx", line.alias("value"))
+
+
+def format_text_batch_log(tele: DataFrame) -> DataFrame:
+    """Batch lines of text training."""
+    line = F.format_string(TEXT_BATCH_LINE, F.col("epoch"), F.col("batch_idx"), *_three("loss", "accuracy", "duration"))
     return tele.select("epoch", "batch_idx", line.alias("value"))
 
 
-def train_log(tele: DataFrame, every: int = 20, max_batches: int | None = 41) -> DataFrame:
-    """Log lines of a run in order: per epoch, its sampled batch lines then the epoch
-    line. ``line_no`` orders them (epoch-major)."""
+def format_text_epoch_log(epochs: DataFrame) -> DataFrame:
+    """Epoch lines of text training (another order of the fields)."""
+    line = F.format_string(TEXT_EPOCH_LINE, F.col("epoch"), *_three("train_loss", "train_accuracy", "epoch_duration", "avg_batch_duration"))
+    return epochs.select("epoch", line.alias("value"))
+
+
+def format_text_run_log(run: DataFrame) -> DataFrame:
+    """The closing line of text training."""
+    return run.select(F.format_string(TEXT_RUN_LINE, *_three("avg_train_loss", "avg_train_accuracy", "avg_epoch_duration",
+                                                             "avg_batch_duration")).alias("value"))
+
+
+def train_log(tele: DataFrame, every: int = 20, max_batches: int | None = None, checkpoint: str | None = None) -> DataFrame:
+    """Log lines of a run in order: with ``checkpoint`` its header, then per epoch its sampled
+    batch lines and the epoch line. ``line_no`` orders them (epoch-major). ``max_batches``
+    caps an epoch only if set. With a ``rank`` column every rank has a log of its own,
+    whose epoch lines name it."""
     t = cap_batches(tele, max_batches) if max_batches else tele
+    ranks = ["rank"] if "rank" in tele.columns else []
     batches = format_batch_log(sample_batches(t, every)).select(
-        "epoch", (F.col("batch_idx").cast("bigint")).alias("k"), "value")
-    epochs = format_epoch_log(epoch_summary(t, skip_first=True)).select(
-        "epoch", F.lit(1 << 40).cast("bigint").alias("k"), "value")
+        *ranks, "epoch", (F.col("batch_idx").cast("bigint")).alias("k"), "value")
+    summary = epoch_summary(t, skip_first=True, by=(*ranks, "epoch"))
+    epochs = format_epoch_log(summary, F.col("rank") if ranks else None).select(
+        *ranks, "epoch", F.lit(1 << 40).cast("bigint").alias("k"), "value")
     both = batches.unionByName(epochs)
-    return both.select(((F.col("epoch").cast("bigint") * F.lit(1 << 41)) + F.col("k")).alias("line_no"),
-                       "epoch", "value")
+    number = (F.col("epoch").cast("bigint") * F.lit(1 << 41)) + F.col("k")
+    lines = both.select(number.alias("line_no"), *ranks, "epoch", "value")
+    if checkpoint is None:
+        return lines
+    who = t.select(*ranks).distinct() if ranks else t.sparkSession.range(1).select()
+    header = who.select(F.lit(-1).cast("bigint").alias("line_no"), *ranks, F.lit(None).cast("int").alias("epoch"),
+                        F.lit(LOG_HEADER % checkpoint).alias("value"))
+    return lines.unionByName(header)

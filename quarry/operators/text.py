@@ -1,122 +1,172 @@
 """Text: vocabulary, fixed-length encoding, bag-of-ids class scoring, predictions.
 
-Words are runs of Unicode letters of the lower-cased text, taken from the whole text.
-The vocabulary holds at most ``max_size`` words (its size bound is what makes the
-broadcast joins below safe); encoding keeps the first ``max_length - 2`` words of each
-text, as a fixed-length encoder does.
+Words are runs of Unicode letters of the lower-cased text, taken from the whole text, and
+the vocabulary holds every word unless a size is asked for. Encoding is row-local: each
+task looks its rows' words up in the vocabulary and cuts them into consecutive windows of
+``max_length`` positions, so no token is shuffled and rows that share a key stay apart.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+
+from quarry.operators.indexing import global_index
 
 # Fixed special-token ids (padding, unknown, sequence start, sequence end).
 PAD_ID, UNK_ID, CLS_ID, SEP_ID = 0, 1, 2, 3
 FIRST_WORD_ID = 4
 WORD_PATTERN = r"\p{L}+"
 
+#: vocabulary rows that are sent to the tasks (about 100 bytes each); a larger one is joined
+MAX_SHIPPED_WORDS = 2_000_000
+#: class x word figures that are sent to the tasks (8 bytes each)
+MAX_SHIPPED_SCORES = 16_000_000
+
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(WORD_PATTERN), 0)
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD_PATTERN), 0)
 
 
-def build_vocab(docs: DataFrame, text: str = "sentence", max_size: int = 30522) -> DataFrame:
-    """``(word, id, count)`` for the ``max_size - 4`` most frequent words, ordered by
-    count descending then word; ids start after the four special ids."""
+def build_vocab(docs: DataFrame, text: str = "sentence", max_size: int | None = None) -> DataFrame:
+    """``(word, id, count)`` ordered by count descending then word; ids start after the four
+    special ids. All words, or with ``max_size`` the ``max_size - 4`` most frequent. The
+    numbering is distributed, so the vocabulary never meets in one task."""
     counts = docs.select(F.explode(words(F.col(text))).alias("word")).groupBy("word").agg(
         F.count(F.lit(1)).alias("count"))
-    top = counts.orderBy(F.col("count").desc(), F.col("word")).limit(max_size - FIRST_WORD_ID)
-    # at most max_size rows: numbering them in one window is bounded work
-    order = Window.orderBy(F.col("count").desc(), F.col("word"))
-    return top.select("word", (F.row_number().over(order) + FIRST_WORD_ID - 1).cast("int").alias("id"),
-                      "count")
+    ranked = global_index(counts.withColumn("_rarity", -F.col("count")), ["_rarity", "word"], pos="_pos")
+    if max_size is not None:
+        ranked = ranked.where(F.col("_pos") < max_size - FIRST_WORD_ID)
+    return ranked.select("word", (F.col("_pos") + FIRST_WORD_ID).cast("int").alias("id"), "count")
 
 
-def encode_text(docs: DataFrame, vocab: DataFrame, max_length: int = 512, text: str = "sentence",
-                keep: Sequence[str] = ("idx", "label"), key: str = "idx") -> DataFrame:
-    """``input_ids`` = [CLS] + word ids (unknown -> [UNK]) cut to ``max_length - 2`` +
-    [SEP], padded with [PAD] to ``max_length``; ``attention_mask`` 1 on real positions;
-    ``token_type_ids`` all 0. Only ``keep`` columns survive (drop ``sentence`` and
-    ``idx`` for training input, keep them for predictions).
+def _windows(ids: np.ndarray, max_length: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    room = max_length - 2
+    for at in range(0, max(1, len(ids)), room):
+        part = ids[at:at + room]
+        row = np.full(max_length, PAD_ID, dtype=np.int32)
+        row[0], row[1:1 + len(part)], row[1 + len(part)] = CLS_ID, part, SEP_ID
+        mask = np.zeros(max_length, dtype=np.int32)
+        mask[:len(part) + 2] = 1
+        yield at // room, row, mask
+
+
+def _lookup_ids(docs: DataFrame, vocab: DataFrame, text: str, keep: list[str], shipped: int) -> tuple[DataFrame, dict | None]:
+    """Rows with ``_words`` and the dictionary to send along, or, for a vocabulary of more than
+    ``shipped`` words, rows with the joined ids in ``_ids`` and no dictionary."""
+    rows = docs.select(*keep, words(F.col(text)).alias("_words"))
+    found = vocab.select("word", "id").limit(shipped + 1).toPandas()
+    if len(found) <= shipped:
+        return rows, dict(zip(found["word"], found["id"]))
+    tagged = rows.withColumn("_row", F.monotonically_increasing_id()).checkpoint()  # fixes the row numbers
+    ids = (tagged.select("_row", F.posexplode("_words").alias("pos", "word")).join(vocab.select("word", "id"), "word", "left")
+           .groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("pos", F.coalesce("id", F.lit(UNK_ID)).alias("id")))).alias("_t")))
+    joined = tagged.join(ids, "_row", "left").withColumn(
+        "_ids", F.coalesce(F.transform("_t", lambda t: t["id"].cast("int")), F.expr("cast(array() as array<int>)")))
+    return joined.drop("_row", "_t", "_words"), None
 
-    Token rows carry only ``key``; the kept columns are joined back once per row.
+
+def encode_text(docs: DataFrame, vocab: DataFrame, max_length: int = 512, text: str = "sentence",
+                keep: Sequence[str] = ("idx", "label"), shipped: int = MAX_SHIPPED_WORDS) -> DataFrame:
+    """Whole texts as consecutive windows: ``keep`` columns, ``window`` (0-based), ``input_ids`` =
+    [CLS] + up to ``max_length - 2`` word ids (unknown -> [UNK]) + [SEP], padded with [PAD]
+    to ``max_length``; ``attention_mask`` 1 on real positions; ``token_type_ids`` all 0.
+
+    Window 0 is what a fixed-length encoder that truncates would give; a null text or one
+    without words has one empty window. Only ``keep`` columns survive (drop ``sentence``
+    and ``idx`` for training input, keep them for predictions).
     """
-    room = max_length - 2
-    toks = docs.select(key, F.posexplode_outer(F.slice(words(F.col(text)), 1, room)).alias("pos", "word"))
-    # the vocabulary is bounded by its max_size: broadcast it
-    ids = toks.join(F.broadcast(vocab.select("word", "id")), "word", "left").select(
-        key, "pos", F.coalesce(F.col("id"), F.lit(UNK_ID)).alias("id"))
-    grouped = ids.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "id")))).alias("_t"))
-    body = F.transform(F.col("_t"), lambda s: s["id"].cast("int"))
-    n = F.size(body)
-    pad = F.lit(room) - n
-    encoded = grouped.select(
-        key,
-        F.concat(F.array(F.lit(CLS_ID)), body, F.array(F.lit(SEP_ID)), F.array_repeat(F.lit(PAD_ID), pad)).alias("input_ids"),
-        F.concat(F.array_repeat(F.lit(1), n + 2), F.array_repeat(F.lit(0), pad)).alias("attention_mask"),
-        F.array_repeat(F.lit(0), F.lit(max_length)).alias("token_type_ids"),
-    )
-    rest = [c for c in keep if c != key]
-    out = docs.select(key, *rest).join(encoded, key) if rest else encoded
-    return out if key in keep else out.drop(key)
-
-
-def real_tokens(encoded: DataFrame, key: str = "idx") -> DataFrame:
-    """``(key, id)`` for every non-special position of the encoded rows."""
-    return encoded.select(key, F.explode("input_ids").alias("id")).where(F.col("id") >= UNK_ID)\
-        .where(~F.col("id").isin(CLS_ID, SEP_ID))
+    keep = list(keep)
+    rows, ids_of = _lookup_ids(docs, vocab, text, keep, shipped)
+    source = "_words" if ids_of is not None else "_ids"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        zeros = np.zeros(max_length, dtype=np.int32)
+        for batch in batches:
+            origin, window, ids, masks = [], [], [], []
+            for i, tokens in enumerate(batch[source]):
+                codes = np.asarray([ids_of.get(t, UNK_ID) for t in tokens] if ids_of is not None else tokens, dtype=np.int32)
+                for w, row, mask in _windows(codes, max_length):
+                    origin.append(i)
+                    window.append(w)
+                    ids.append(row)
+                    masks.append(mask)
+            out = batch[keep].iloc[origin].reset_index(drop=True)
+            yield out.assign(window=np.asarray(window, dtype=np.int32), input_ids=ids, attention_mask=masks,
+                             token_type_ids=[zeros] * len(ids))
+
+    array = ArrayType(IntegerType())
+    schema = StructType([*[docs.schema[c] for c in keep], StructField("window", IntegerType()), StructField("input_ids", array),
+                         StructField("attention_mask", array), StructField("token_type_ids", array)])
+    return rows.mapInPandas(run, schema)
 
 
 def fit_token_counts(encoded_train: DataFrame, label: str = "label") -> DataFrame:
     """Class statistics of a bag-of-ids classifier: ``(label, id, count)`` plus, per
     class, ``docs`` and ``tokens`` (as rows with ``id = -1`` and ``-2``). Bounded by
-    classes x vocabulary."""
+    classes x vocabulary. A text counts as one document however many windows it has."""
     toks = encoded_train.select(label, F.explode("input_ids").alias("id")).where(
         (F.col("id") >= UNK_ID) & ~F.col("id").isin(CLS_ID, SEP_ID))
     per_id = toks.groupBy(label, "id").agg(F.count(F.lit(1)).alias("count"))
     per_class_tokens = toks.groupBy(label).agg(F.count(F.lit(1)).alias("count")).withColumn("id", F.lit(-2))
-    per_class_docs = encoded_train.groupBy(label).agg(F.count(F.lit(1)).alias("count")).withColumn("id", F.lit(-1))
+    first = encoded_train.where("window = 0")
+    per_class_docs = first.groupBy(label).agg(F.count(F.lit(1)).alias("count")).withColumn("id", F.lit(-1))
     return per_id.unionByName(per_class_docs.select(label, "id", "count")).unionByName(
         per_class_tokens.select(label, "id", "count"))
 
 
-def score_bag_of_ids(encoded: DataFrame, stats: DataFrame, classes: Sequence[int], id_space: int,
-                     key: str = "idx", label: str = "label") -> DataFrame:
+def score_bag_of_ids(encoded: DataFrame, stats: DataFrame, classes: Sequence, id_space: int,
+                     key: str = "idx", label: str = "label", keep: Sequence[str] = ()) -> DataFrame:
     """Multinomial class scores with add-one smoothing over ``id_space`` ids:
     ``score[c] = ln(docs_c / docs) + sum over tokens ln((count_c(id) + 1) / (tokens_c + id_space))``;
-    ``pred`` = first class with the highest score.
+    ``pred`` = first class with the highest score. One row per ``key`` and ``keep`` columns
+    (their values must be the same in all windows of a key).
 
-    The per-id class counts are bounded by the vocabulary, so they are broadcast; each
-    row's tokens are then summed in one aggregation by ``key`` (at most
-    ``max_length`` tokens per row).
+    The class figures per id (classes x ids, size-checked) are sent to the tasks; a window's
+    tokens are summed where it lies, and only window sums are shuffled.
     """
-    stats = stats.withColumnRenamed(label, "_c")
-    # 2 x classes numbers
-    totals = {(r["_c"], r["id"]): r["count"] for r in stats.where(F.col("id") < 0).collect()}
-    n_docs = sum(totals.get((c, -1), 0) for c in classes)
-    wide = stats.where(F.col("id") >= 0).groupBy("id").pivot("_c", list(classes)).agg(F.first("count"))
-    toks = real_tokens(encoded, key).join(F.broadcast(wide), "id", "left")
-    sums = toks.groupBy(key).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.sum(F.log(F.coalesce(F.col(str(c)), F.lit(0)) + 1.0)).alias(f"_m{c}") for c in classes])
-    rows = encoded.drop("input_ids", "attention_mask", "token_type_ids").join(sums, key, "left")
-    scores = []
-    for c in classes:
-        docs_c = totals.get((c, -1), 0)
-        prior = math.log(docs_c / n_docs) if docs_c else float("-inf")
-        denom = math.log(totals.get((c, -2), 0) + id_space)
-        scores.append(F.lit(prior) + F.coalesce(F.col(f"_m{c}"), F.lit(0.0))
-                      - F.coalesce(F.col("_n"), F.lit(0)).cast("double") * F.lit(denom))
-    arr = F.array(*scores)
+    if len(classes) * id_space > MAX_SHIPPED_SCORES:
+        raise ValueError(f"{len(classes)} classes x {id_space} ids are more than {MAX_SHIPPED_SCORES} figures")
+    found = stats.select(F.col(label).alias("c"), "id", "count").toPandas()
+    table = np.zeros((id_space, len(classes)))
+    docs_of, tokens_of = np.zeros(len(classes)), np.zeros(len(classes))
+    place = {c: i for i, c in enumerate(classes)}
+    for c, i, n in zip(found["c"], found["id"], found["count"]):
+        if i == -1:
+            docs_of[place[c]] = n
+        elif i == -2:
+            tokens_of[place[c]] = n
+        else:
+            table[i, place[c]] = n
+    logs = np.log(table + 1.0)
+    denominators = [math.log(t + id_space) for t in tokens_of]
+    priors = [math.log(d / docs_of.sum()) if d else float("-inf") for d in docs_of]
+    sums = [f"_m{i}" for i in range(len(classes))]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = batch[[key, *keep]].reset_index(drop=True)
+            ids = np.stack(batch["input_ids"].to_numpy()) if len(batch) else np.zeros((0, 1), dtype=np.int64)
+            real = (ids >= UNK_ID) & (ids != CLS_ID) & (ids != SEP_ID)
+            out["_n"] = real.sum(axis=1)
+            for i, name in enumerate(sums):
+                out[name] = (logs[ids, i] * real).sum(axis=1)
+            yield out
+
+    schema = StructType([*[encoded.schema[c] for c in (key, *keep)], *StructType.fromDDL("_n bigint, " + ", ".join(f"{m} double" for m in sums)).fields])
+    scored = encoded.select(key, *keep, "input_ids").mapInPandas(run, schema)
+    total = scored.groupBy(key).agg(*[F.first(c).alias(c) for c in keep], F.sum("_n").alias("_n"), *[F.sum(m).alias(m) for m in sums])
+    arr = F.array(*[F.lit(p) + F.col(m) - F.col("_n").cast("double") * F.lit(d) for p, m, d in zip(priors, sums, denominators)])
     labels = F.array(*[F.lit(c) for c in classes])
-    return (rows.withColumn("scores", arr)
-            .withColumn("pred", F.element_at(labels, F.array_position(arr, F.array_max(arr)).cast("int")))
-            .drop("_n", *[f"_m{c}" for c in classes]))
+    return (total.withColumn("scores", arr)
+            .withColumn("pred", F.element_at(labels, F.array_position("scores", F.array_max("scores")).cast("int")))
+            .drop("_n", *sums))
 
 
 def predictions_table(scored: DataFrame, mode: str = "validation") -> DataFrame:

@@ -1,47 +1,51 @@
 """Data-parallel training of a linear softmax classifier on Spark.
 
-* rows get ``(epoch, rank, step)`` from :func:`assign_batches` (disjoint rank shards);
+* rows get ``(epoch, rank, step)`` from :func:`assign_batches` (disjoint rank shards) and
+  are spread by (rank, step, chunk), so the ranks of a step, and the chunks of a rank, are
+  worked on at once;
 * every task sums the cross-entropy gradient of its rows per ``(step, rank)`` batch in
   one pandas function over Arrow batches (NumPy inside; the only Python that runs in
-  tasks), and a grouped aggregation adds the model-sized partial sums into each
-  rank's mean gradient;
+  tasks), and a grouped aggregation adds the model-sized partial sums;
 * the rank gradients are combined by a grouped aggregation (``gather_mean``: average
-  over the ranks present; ``allreduce``: sum of ``g / world_size``);
+  over the ranks present; ``allreduce``: sum of ``g / world_size``), in the same job;
 * the driver holds the model (classes x features + classes values, size-checked) and
   applies the optimizer update; data never passes through it.
 """
 
 from __future__ import annotations
 
-import math
+import time
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.indexing import assign_batches
 from quarry.operators.scoring import MAX_PARAMETERS, LinearModel
+from quarry.session import shuffle_partitions
 
-GRAD_SCHEMA = "epoch int, step int, rank int, n long, loss double, correct long, grad array<double>"
-PARTIAL_SCHEMA = "epoch int, step int, rank int, j int, value double"
-_FLUSH_KEYS = 256
+#: long form: ``j`` = -2 loss, -1 correct predictions, then weights row by row, then biases
+GRADIENT_SCHEMA = "epoch int, step int, rank int, j int, value double, rows long"
+_FIRST = -2
+#: bytes of partial sums that a task holds before it emits them
+_FLUSH_BYTES = 64 << 20
 
 
 def _partial_fn(weight: np.ndarray, bias: np.ndarray):
-    """Per task: stream Arrow batches, keep per-(epoch, step, rank) sums of the
-    cross-entropy gradient (model-sized), emit them in long form. ``j = -3, -2, -1``
-    carry row count, loss sum and correct count."""
+    """Per task: stream Arrow batches, keep per-(epoch, step, rank) sums of loss, correct
+    predictions and the cross-entropy gradient, emit them in long form with the number of
+    rows behind them."""
     w = np.asarray(weight, dtype=np.float64)
     b = np.asarray(bias, dtype=np.float64)
     width = w.size + b.size
 
     def emit(acc):
-        for (e, s, r), vec in acc.items():
-            yield pd.DataFrame({"epoch": e, "step": s, "rank": r,
-                                "j": np.arange(-3, width, dtype=np.int32), "value": vec})
+        for (e, s, r), (n, vec) in acc.items():
+            yield pd.DataFrame({"epoch": e, "step": s, "rank": r, "j": np.arange(_FIRST, width, dtype=np.int32),
+                                "value": vec, "rows": n})
 
     def fn(batches):
         acc: dict = {}
@@ -51,21 +55,18 @@ def _partial_fn(weight: np.ndarray, bias: np.ndarray):
             for key, g in pdf.groupby(["epoch", "step", "rank"], sort=False):
                 x = np.stack(g["features"].to_numpy()).astype(np.float64)
                 y = g["label"].to_numpy().astype(np.int64)
-                n = len(y)
                 z = x @ w.T + b
                 z = z - z.max(axis=1, keepdims=True)
                 logp = z - np.log(np.exp(z).sum(axis=1, keepdims=True))
-                rows = np.arange(n)
+                rows = np.arange(len(y))
                 p = np.exp(logp)
-                head = [n, float(-logp[rows, y].sum()), float((np.argmax(logp, axis=1) == y).sum())]
+                head = [float(-logp[rows, y].sum()), float((np.argmax(logp, axis=1) == y).sum())]
                 p[rows, y] -= 1.0
                 vec = np.concatenate([head, (p.T @ x).ravel(), p.sum(axis=0)])
                 key = tuple(int(k) for k in key)
-                if key in acc:
-                    acc[key] += vec
-                else:
-                    acc[key] = vec
-            if len(acc) > _FLUSH_KEYS:  # partial sums may be emitted early: they are summed later
+                n, held = acc.get(key, (0, 0.0))
+                acc[key] = (n + len(y), held + vec)
+            if len(acc) * (width - _FIRST) * 8 > _FLUSH_BYTES:  # they are summed later anyway
                 yield from emit(acc)
                 acc = {}
         yield from emit(acc)
@@ -74,28 +75,28 @@ def _partial_fn(weight: np.ndarray, bias: np.ndarray):
 
 
 def partial_gradients(batched: DataFrame, model: LinearModel) -> DataFrame:
-    """One row per ``(epoch, step, rank)``: batch size, mean loss, correct count and the
-    mean gradient (weight row-major, then bias).
+    """``(epoch, step, rank, j, value, rows)``: each rank's mean loss (j = -2), mean correct
+    (-1) and mean gradient (weights row by row, then biases), and its batch size.
 
-    Each task sums gradients of its rows per batch key (NumPy on Arrow batches); the
-    model-sized partial sums are added up by a grouped aggregation, so no batch is ever
-    gathered into one task, however large ``batch_size`` is.
+    Each task sums the rows it has per batch; the model-sized partial sums are added up by
+    a grouped aggregation, so no batch is ever gathered into one task, however large
+    ``batch_size`` is, and no gradient becomes one record.
     """
     cols = batched.select("epoch", "step", "rank", F.col("features").cast("array<double>").alias("features"),
                           F.col("label").cast("long").alias("label"))
-    partial = cols.mapInPandas(_partial_fn(model.weight, model.bias), PARTIAL_SCHEMA)
-    sums = partial.groupBy("epoch", "step", "rank", "j").agg(F.sum("value").alias("value"))
-    # one model-sized record per (epoch, step, rank)
-    per_key = sums.groupBy("epoch", "step", "rank").agg(
-        F.array_sort(F.collect_list(F.struct("j", "value"))).alias("_v"))
-    n = F.get(F.col("_v"), 0)["value"]
-    body = F.filter(F.col("_v"), lambda t: t["j"] >= 0)
-    return per_key.select(
-        "epoch", "step", "rank", n.cast("long").alias("n"),
-        (F.get(F.col("_v"), 1)["value"] / n).alias("loss"),
-        F.get(F.col("_v"), 2)["value"].cast("long").alias("correct"),
-        F.transform(body, lambda t: t["value"] / n).alias("grad"),
-    )
+    partial = cols.mapInPandas(_partial_fn(model.weight, model.bias), GRADIENT_SCHEMA)
+    return partial.groupBy("epoch", "step", "rank", "j").agg(
+        (F.sum("value") / F.sum("rows")).alias("value"), F.sum("rows").alias("rows"))
+
+
+def _combiner(how: str, world_size: int | None) -> Column:
+    if how == "gather_mean":
+        return F.avg("value")
+    if how == "allreduce":
+        if not world_size:
+            raise ValueError("allreduce needs world_size")
+        return F.sum(F.col("value") / F.lit(float(world_size)))
+    raise ValueError(f"unknown combiner {how!r}")
 
 
 def combine_gradients(parts: DataFrame, how: str = "gather_mean", world_size: int | None = None) -> DataFrame:
@@ -104,16 +105,7 @@ def combine_gradients(parts: DataFrame, how: str = "gather_mean", world_size: in
     ``gather_mean``: unweighted mean over the ranks present in the step;
     ``allreduce``: every rank divides by ``world_size``, then the shares are summed.
     """
-    cells = parts.select("epoch", "step", "rank", F.posexplode("grad").alias("j", "g"))
-    if how == "gather_mean":
-        agg = F.avg("g")
-    elif how == "allreduce":
-        if not world_size:
-            raise ValueError("allreduce needs world_size")
-        agg = F.sum(F.col("g") / F.lit(float(world_size)))
-    else:
-        raise ValueError(f"unknown combiner {how!r}")
-    return cells.groupBy("epoch", "step", "j").agg(agg.alias("grad"))
+    return parts.where("j >= 0").groupBy("epoch", "step", "j").agg(_combiner(how, world_size).alias("grad"))
 
 
 def combine_check(parts: DataFrame, world_size: int) -> DataFrame:
@@ -195,7 +187,8 @@ class TrainState:
     optimizer_state: dict
     step: int = 0
     epoch: int = 0
-    telemetry: list = field(default_factory=list)
+    loss: float | None = None  # mean training loss of the last epoch
+    telemetry: list = field(default_factory=list)  # (epoch, batch_idx, loss, accuracy, duration)
 
     @property
     def theta(self) -> np.ndarray:
@@ -213,69 +206,88 @@ def _set_theta(model: LinearModel, theta: np.ndarray) -> LinearModel:
     return LinearModel(theta[: c * d].reshape(c, d).copy(), theta[c * d:].copy())
 
 
+def spread_batches(batched: DataFrame, key: str, world_size: int, partitions: int) -> DataFrame:
+    """Rows dealt by (rank, chunk of the key): every step lies in at least ``world_size``
+    partitions (rows permitting), a full-batch step in all of them. Sorted by step, so a
+    cached scan for one step skips the others."""
+    # several chunks a partition, so ranges of them come out even
+    chunks = max(1, -(-4 * partitions // world_size))
+    slot = F.col("rank") * F.lit(chunks) + F.pmod(F.xxhash64(F.col(key)), F.lit(chunks))
+    return batched.repartitionByRange(partitions, slot).sortWithinPartitions("step")
+
+
 def train(df: DataFrame, state: TrainState, optimizer, epochs: int = 1, batch_size: int = 64,
           world_size: int = 4, max_batches: int | None = 41, seed: int = 42, key: str = "id",
           how: str = "gather_mean", on_epoch_end=None) -> TrainState:
-    """Mini-batch training, one distributed gradient job per step.
+    """Mini-batch training, one distributed job per step.
 
-    Each epoch re-shuffles with a seeded permutation, shards it over ``world_size``
-    ranks, keeps the first ``max_batches`` steps, and caches the batched rows
-    range-partitioned by step so that each step's scan skips the other steps' batches.
-    ``on_epoch_end(state)`` is called after every epoch (e.g. to save a checkpoint).
+    Each epoch re-shuffles with a seeded permutation, shards it over ``world_size`` ranks,
+    keeps the first ``max_batches`` steps (the documented bound on the rows a run fits on;
+    None: all), and caches the rows spread by :func:`spread_batches`. A step's job returns
+    the combined gradient, loss and correct share. ``on_epoch_end(state)`` is called after
+    every epoch (e.g. to save a checkpoint).
     """
+    spark = df.sparkSession
+    partitions = max(world_size, spark.sparkContext.defaultParallelism, shuffle_partitions(spark))
     for _ in range(epochs):
         epoch = state.epoch + 1
         batched = assign_batches(df, key, batch_size, shuffle=True, seed=seed, epoch=epoch,
                                  world_size=world_size)
         if max_batches is not None:
             batched = batched.where(F.col("step") < max_batches)
-        steps_in_epoch = (batched.agg(F.max("step")).first()[0])
-        steps_in_epoch = 0 if steps_in_epoch is None else steps_in_epoch + 1
-        n = max(1, min(steps_in_epoch, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-        batched = batched.repartitionByRange(n, "step").persist(StorageLevel.MEMORY_AND_DISK)
-        for s in range(steps_in_epoch):
+        batched = spread_batches(batched, key, world_size, partitions).persist(StorageLevel.MEMORY_AND_DISK)
+        last = batched.agg(F.max("step")).first()[0]
+        losses = []
+        for s in range(0 if last is None else last + 1):
+            began = time.perf_counter()
             parts = partial_gradients(batched.where(F.col("step") == s), state.model)
-            parts = parts.persist()
-            combined = combine_gradients(parts, how, world_size).orderBy("j").select("grad").collect()
-            stats = parts.agg(F.avg("loss"), F.sum("correct"), F.sum("n")).first()
-            parts.unpersist()
-            g = np.asarray([r[0] for r in combined], dtype=np.float64)
-            theta = optimizer.update(state.theta, g, state.optimizer_state, state.step)
+            cells = parts.groupBy("j").agg(_combiner(how, world_size).alias("g"), F.avg("value").alias("mean"),
+                                           (F.sum(F.col("value") * F.col("rows")) / F.sum("rows")).alias("share")).toPandas()
+            cells = cells.sort_values("j")
+            theta = optimizer.update(state.theta, cells["g"].to_numpy()[-_FIRST:], state.optimizer_state, state.step)
             state.model = _set_theta(state.model, theta)
-            state.telemetry.append((epoch, s, float(stats[0]), float(stats[1]) / float(stats[2])))
+            losses.append(float(cells["mean"].iloc[0]))
+            state.telemetry.append((epoch, s, losses[-1], float(cells["share"].iloc[1]), time.perf_counter() - began))
             state.step += 1
         batched.unpersist()
         state.epoch = epoch
+        state.loss = float(np.mean(losses)) if losses else None
         if on_epoch_end is not None:
             on_epoch_end(state)
     return state
 
 
+def telemetry_frame(spark, state: TrainState) -> DataFrame:
+    """The run's batches as telemetry rows, the input of the summaries and logs."""
+    return spark.createDataFrame(state.telemetry, "epoch int, batch_idx int, loss double, accuracy double, duration double")
+
+
 # ------------------------------------------------------------------------ checkpoints
 
 CHECKPOINT_SCHEMA = ("name string, slot string, shape array<int>, values array<double>, "
-                     "trainable boolean, step long, epoch int")
+                     "trainable boolean, step long, epoch int, loss double")
 
 
 def state_frame(spark, state: TrainState) -> DataFrame:
     """Parameters and optimizer slots of a training state as a table."""
     c, d = state.model.weight.shape
-    rows = [("weight", "value", [c, d], state.model.weight.ravel().tolist(), True, state.step, state.epoch),
-            ("bias", "value", [c], state.model.bias.tolist(), True, state.step, state.epoch)]
+    rows = [("weight", "value", [c, d], state.model.weight.ravel().tolist(), True, state.step, state.epoch, state.loss),
+            ("bias", "value", [c], state.model.bias.tolist(), True, state.step, state.epoch, state.loss)]
     for slot, arr in state.optimizer_state.items():
         if arr is None:
             continue
         flat = np.asarray(arr, dtype=np.float64)
-        rows.append(("weight", slot, [c, d], flat[: c * d].tolist(), False, state.step, state.epoch))
-        rows.append(("bias", slot, [c], flat[c * d:].tolist(), False, state.step, state.epoch))
+        rows.append(("weight", slot, [c, d], flat[: c * d].tolist(), False, state.step, state.epoch, state.loss))
+        rows.append(("bias", slot, [c], flat[c * d:].tolist(), False, state.step, state.epoch, state.loss))
     return spark.createDataFrame(rows, CHECKPOINT_SCHEMA)
 
 
 def state_from_frame(frame: DataFrame, optimizer) -> TrainState:
     """Rebuild a training state from a loaded checkpoint (model-sized rows)."""
-    rows = frame.select("name", "slot", "shape", "values", "step", "epoch").collect()
-    if sum(math.prod(r["shape"]) for r in rows) > 4 * MAX_PARAMETERS:
+    values = F.aggregate("shape", F.lit(1).cast("bigint"), lambda a, s: a * s)
+    if (frame.agg(F.sum(values)).first()[0] or 0) > 4 * MAX_PARAMETERS:
         raise ValueError("checkpoint too large for driver-side updates")
+    rows = frame.select("name", "slot", "shape", "values", "step", "epoch", "loss").collect()
     by = {(r["name"], r["slot"]): r for r in rows}
     w = by[("weight", "value")]
     model = LinearModel(np.asarray(w["values"]).reshape(w["shape"]), np.asarray(by[("bias", "value")]["values"]))
@@ -285,4 +297,4 @@ def state_from_frame(frame: DataFrame, optimizer) -> TrainState:
         if ("weight", slot) in by:
             opt_state[slot] = np.concatenate([np.asarray(by[("weight", slot)]["values"]),
                                               np.asarray(by[("bias", slot)]["values"])])
-    return TrainState(model, opt_state, step=int(w["step"]), epoch=int(w["epoch"]))
+    return TrainState(model, opt_state, step=int(w["step"]), epoch=int(w["epoch"]), loss=w["loss"])

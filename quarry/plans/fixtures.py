@@ -125,15 +125,17 @@ def x_vec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def x_img(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First 48 embedding values as a raw 4x4 RGB image (H x W x C ints 0..255)."""
+    """All 64 embedding values as a raw 8x8 RGB image (H x W x C ints 0..255): a pixel's three
+    channels are its value, the negative value and half the value."""
     e = table(spark, sf_dir, "embeddings")
 
-    def px(h, w, c):
-        x = F.get(F.col("embedding"), h * 12 + w * 3 + c).cast("double")
+    def px(h, w, factor):
+        x = F.get(F.col("embedding"), h * 8 + w).cast("double") * factor
         return F.least(F.greatest(F.floor((x + 1.0) * 127.5), F.lit(0)), F.lit(255)).cast("int")
 
-    axis4, axis3 = F.sequence(F.lit(0), F.lit(3)), F.sequence(F.lit(0), F.lit(2))
-    hwc = F.transform(axis4, lambda h: F.transform(axis4, lambda w: F.transform(axis3, lambda c: px(h, w, c))))
+    axis = F.sequence(F.lit(0), F.lit(7))
+    factors = F.array(*[F.lit(f) for f in (1.0, -1.0, 0.5)])
+    hwc = F.transform(axis, lambda h: F.transform(axis, lambda w: F.transform(factors, lambda f: px(h, w, f))))
     return e.select(F.col("vec_id").alias("id"), hwc.alias("pixels"), "label")
 
 
@@ -149,6 +151,13 @@ def s_sent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_split(df, "idx", (80, 10, 10), seed=42)
 
 
+def s_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as ``(idx, sentence, label)``; the label is null where there is none."""
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("idx"), F.col("text").alias("sentence"))
+    lab = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("idx"), F.col("quality").alias("label"))
+    return d.join(lab, "idx", "left")
+
+
 # ------------------------------------------------------------------------ telemetry
 
 def l_tele(spark: SparkSession, sf_dir: str) -> DataFrame:

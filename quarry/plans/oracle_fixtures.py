@@ -94,10 +94,16 @@ L_TELE = """
         FROM events)
 """
 
-# raw 4x4x3 image: value index i = h*12 + w*3 + c (0-based) of the first 48 embedding values
+# all documents, labelled or not
+S_DOCS = """
+  SELECT d.doc_id AS idx, d.text AS sentence, l.quality AS label
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+"""
+
+# raw 8x8x3 image: value i = h*8 + w (0-based) of the embedding, channels x, -x and x/2
 X_IMG_LONG = """
-  SELECT vec_id AS id, label, CAST(i // 12 AS INTEGER) AS h, CAST((i % 12) // 3 AS INTEGER) AS w,
-         CAST(i % 3 AS INTEGER) AS c,
-         CAST(least(greatest(floor((CAST(x AS DOUBLE) + 1.0) * 127.5), 0), 255) AS INTEGER) AS v
-  FROM (SELECT vec_id, label, unnest(embedding[1:48]) AS x, unnest(range(48)) AS i FROM embeddings)
+  SELECT vec_id AS id, label, CAST(i // 8 AS INTEGER) AS h, CAST(i % 8 AS INTEGER) AS w, c,
+         CAST(least(greatest(floor((CAST(x AS DOUBLE) * f + 1.0) * 127.5), 0), 255) AS INTEGER) AS v
+  FROM (SELECT vec_id, label, unnest(embedding) AS x, unnest(range(64)) AS i FROM embeddings),
+       (VALUES (0, 1.0::DOUBLE), (1, -1.0::DOUBLE), (2, 0.5::DOUBLE)) k(c, f)
 """

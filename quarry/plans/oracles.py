@@ -87,7 +87,7 @@ oracle("pagerank", pagerank_sql(ofx.G_CHAIN))
 oracle("pagerank_ragged", pagerank_sql(ofx.G_RAGGED))
 oracle("pagerank_partitioned", pagerank_sql(ofx.G_CHAIN))
 oracle("pagerank_persisted", pagerank_sql(ofx.G_CHAIN))
-oracle("tuple_text_sink", pagerank_sql(ofx.G_CHAIN))
+oracle("tuple_text_sink", f"SELECT '(''' || id || ''', ' || CAST(rank + 0.0 AS VARCHAR) || ')' AS value FROM ({pagerank_sql(ofx.G_CHAIN)})")
 
 _BUCKETED = f"""
 SELECT src, dst, CASE WHEN p < 20 * s THEN p // s ELSE p - 20 * s END AS bucket FROM (
@@ -128,6 +128,11 @@ SELECT row_number() OVER (ORDER BY cca2 NULLS FIRST, "timestamp" NULLS FIRST, o_
 FROM ({ofx.T_SORT})
 """
 
+oracle("sort_typed", f"""
+SELECT row_number() OVER (ORDER BY CAST("timestamp" AS INTEGER), CAST(o_orderkey AS BIGINT)) - 1 AS pos, cca2,
+       CAST("timestamp" AS INTEGER) AS "timestamp", CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey, o_orderstatus
+FROM ({ofx.T_SORT})
+""")
 oracle("csv_scan", ofx.T_SORT)
 oracle("sort_by_keys", _SORTED)
 oracle("sort_single_partition", _SORTED)
@@ -144,16 +149,18 @@ FROM ({ofx.G_TEXT}) WHERE NOT starts_with(value, '#') AND regexp_matches(value,
 
 # --------------------------------------------------------------- scoring / evaluation
 
-def scored_sql(split: str = "validation") -> str:
+def scored_sql(split: str | None = "validation") -> str:
     """Class-mean model (train split) scored on ``split``: one row per (vec_id, class)
-    with logit and log-probability, plus the row's prediction, loss and batch."""
+    with logit and log-probability, plus the row's prediction, loss and batch. Without a
+    split the whole table is scored."""
+    chosen = f"WHERE split = '{split}'" if split else ""
     return f"""
 WITH x AS ({ofx.X_VEC}),
 cm AS (SELECT label AS c, i, avg(v) AS w FROM (
          SELECT label, unnest(features) AS v, generate_subscripts(features, 1) AS i FROM x WHERE split = 'train')
        GROUP BY label, i),
 tgt AS (SELECT vec_id, label, features, CAST((row_number() OVER (ORDER BY vec_id) - 1) // 16 AS INTEGER) AS batch
-        FROM x WHERE split = '{split}'),
+        FROM x {chosen}),
 cells AS (SELECT vec_id, unnest(features) AS v, generate_subscripts(features, 1) AS i FROM tgt),
 z AS (SELECT vec_id, c, sum(v * w) AS logit FROM cells JOIN cm USING (i) GROUP BY vec_id, c),
 lp AS (SELECT vec_id, c, logit,
@@ -166,7 +173,7 @@ rows AS (SELECT t.vec_id, t.label, t.batch, p.pred, -l.log_prob AS loss
 """
 
 
-def _lp_sql(split: str = "validation") -> str:
+def _lp_sql(split: str | None = "validation") -> str:
     # log-softmax without nested window aggregates
     return scored_sql(split).replace(
         """lp AS (SELECT vec_id, c, logit,
@@ -178,6 +185,7 @@ lp AS (SELECT z.vec_id, z.c, z.logit, z.logit - lse.s AS log_prob FROM z JOIN ls
 
 
 SCORED = _lp_sql("validation")
+SCORED_ALL = _lp_sql(None)
 
 _MATRIX = """
 labs AS (SELECT label AS l FROM rows UNION SELECT pred FROM rows),
@@ -200,11 +208,11 @@ report AS (
                    sum(f1_score * support) / sum(support), CAST(sum(support) AS BIGINT) FROM rep)
 """
 
-oracle("linear_logits", SCORED + "SELECT vec_id, CAST(c AS INTEGER) AS class, round(logit, 6) AS logit FROM lp")
-oracle("log_softmax", SCORED + "SELECT vec_id, CAST(c AS INTEGER) AS class, round(log_prob, 6) AS log_prob FROM lp")
-oracle("argmax_class", SCORED + "SELECT vec_id, label, CAST(pred AS INTEGER) AS pred FROM rows")
-oracle("cross_entropy", SCORED + "SELECT vec_id, round(loss, 6) AS loss FROM rows")
-oracle("score_join", _lp_sql("test").replace(
+oracle("linear_logits", SCORED_ALL + "SELECT vec_id, CAST(c AS INTEGER) AS class, round(logit, 6) AS logit FROM lp")
+oracle("log_softmax", SCORED_ALL + "SELECT vec_id, CAST(c AS INTEGER) AS class, round(log_prob, 6) AS log_prob FROM lp")
+oracle("argmax_class", SCORED_ALL + "SELECT vec_id, label, CAST(pred AS INTEGER) AS pred FROM rows")
+oracle("cross_entropy", SCORED_ALL + "SELECT vec_id, round(loss, 6) AS loss FROM rows")
+oracle("score_join", SCORED_ALL.replace(
     "JOIN lp l ON l.vec_id = t.vec_id AND l.c = t.label", "JOIN lp l ON l.vec_id = t.vec_id AND l.c = 0")
     + "SELECT vec_id, CAST(pred AS INTEGER) AS pred FROM rows")
 oracle("batch_score", SCORED + "SELECT vec_id, batch, label, CAST(pred AS INTEGER) AS pred, round(loss, 6) AS loss FROM rows")
@@ -272,6 +280,37 @@ SELECT epoch, printf('Epoch: %d, Train Loss: %.3f, Train Accuracy: %.3f, Avg Bat
                      round(epoch_duration, 3)) AS value
 FROM ({_epochs_sql(True)})
 """)
+
+def _printed(columns: str, line: str, values: str, source: str) -> str:
+    return f"SELECT {columns} printf('{line}', {values}) AS value FROM ({source})"
+
+
+_BATCH_FORM = "Batch Idx: %d, Batch Loss: %.3f, Batch Accuracy: %.3f, Batch Duration: %.3f seconds"
+_BATCH_VALUES = "batch_idx, round(loss, 3), round(accuracy, 3), round(duration, 3)"
+oracle("format_batch_log", _printed("epoch, batch_idx,", _BATCH_FORM, _BATCH_VALUES, ofx.L_TELE))
+oracle("format_text_batch_log", _printed(
+    "epoch, batch_idx,", "Epoch: %d, Train Batch Idx: %d, Train Batch Loss: %.3f, Train Batch Accuracy: %.3f, Train Batch Duration: %.3f seconds",
+    "epoch, " + _BATCH_VALUES, ofx.L_TELE))
+oracle("format_text_epoch_log", _printed(
+    "epoch,", "Epoch: %d, Train Loss: %.3f, Train Accuracy: %.3f, Train Duration: %.3f seconds, Avg Train Batch Duration: %.3f seconds",
+    "epoch, round(train_loss, 3), round(train_accuracy, 3), round(epoch_duration, 3), round(avg_batch_duration, 3)", _epochs_sql(False)))
+oracle("format_text_run_log", _printed(
+    "", "Avg Train Loss: %.3f, Avg Train Accuracy: %.3f, Avg Train Duration: %.3f seconds, Avg Train Batch Duration: %.3f seconds",
+    "round(avg(train_loss), 3), round(avg(train_accuracy), 3), round(avg(epoch_duration), 3), round(avg(avg_batch_duration), 3)", _epochs_sql(False)))
+
+oracle("train_log_sink", f"""
+WITH t AS (SELECT *, CAST(event_id % 4 AS INTEGER) AS rank FROM ({ofx.L_TELE})),
+lines AS (
+  SELECT rank, 'Logs for the checkpoint stored at: /checkpoints/' || run || '/' AS value
+  FROM (SELECT DISTINCT rank FROM t), (VALUES ('first'), ('second')) r(run)
+  UNION ALL SELECT rank, value FROM (
+    SELECT rank, printf('{_BATCH_FORM}', {_BATCH_VALUES}) AS value FROM t WHERE batch_idx % 20 = 0
+    UNION ALL
+    SELECT rank, 'Rank: ' || rank || ', ' || printf('Epoch: %d, Train Loss: %.3f, Train Accuracy: %.3f, Avg Batch Duration: %.3f seconds, Epoch Duration: %.3f seconds',
+      epoch, round(avg(loss), 3), round(avg(accuracy), 3), round(avg(CASE WHEN batch_idx > 0 THEN duration END), 3), round(sum(duration), 3))
+    FROM t GROUP BY rank, epoch), (VALUES (1), (2)) twice(n))
+SELECT rank, value, count(*) AS n FROM lines GROUP BY rank, value
+""")
 oracle("warmup_linear_lr", f"""
 WITH t AS (SELECT CAST(3 * ceil(count(*) / 20.0) AS BIGINT) AS total FROM ({ofx.S_SENT}) WHERE split = 'train')
 SELECT step, round(5e-5 * CASE WHEN step < 100 THEN step / 100.0
@@ -299,7 +338,7 @@ FROM grid LEFT JOIN img ON img.id = grid.id AND img.h = grid.h + grid.oy - 1 AND
                        AND img.c = grid.c
 """)
 oracle("random_flip", f"""
-SELECT id, h, CASE WHEN {ofx.hash_mod(1000, 42, '1', 'id', "'flip'")} < 500 THEN 3 - w ELSE w END AS w, c, v
+SELECT id, h, CASE WHEN {ofx.hash_mod(1000, 42, '1', 'id', "'flip'")} < 500 THEN 7 - w ELSE w END AS w, c, v
 FROM ({ofx.X_IMG_LONG})
 """)
 
@@ -307,73 +346,68 @@ FROM ({ofx.X_IMG_LONG})
 # ------------------------------------------------------------------------------ text
 
 _TEXT = f"""
-WITH w AS (SELECT idx, split, label, sentence, regexp_extract_all(lower(sentence), '\\p{{L}}+') AS ws FROM ({ofx.S_SENT})),
-vc AS (SELECT word, count(*) AS cnt FROM (SELECT unnest(ws) AS word FROM w WHERE split = 'train') GROUP BY word),
-vocab AS (SELECT word, CAST(k + 3 AS INTEGER) AS id, cnt AS count FROM (
-            SELECT word, cnt, row_number() OVER (ORDER BY cnt DESC, word) AS k FROM vc) WHERE k <= 30522 - 4),
-tok AS (SELECT t.idx, t.pos, coalesce(v.id, 1) AS id FROM (
-          SELECT idx, unnest(ws[1:510]) AS word, generate_subscripts(ws[1:510], 1) AS pos FROM w) t
-        LEFT JOIN vocab v ON v.word = t.word),
-enc AS (SELECT w.idx, w.split, w.label, w.sentence, coalesce(list(tok.id ORDER BY tok.pos) FILTER (WHERE tok.id IS NOT NULL), []) AS ids
-        FROM w LEFT JOIN tok ON tok.idx = w.idx GROUP BY w.idx, w.split, w.label, w.sentence),
+WITH docs AS ({ofx.S_DOCS}),
+sent AS ({ofx.S_SENT}),
+w AS (SELECT idx, label, sentence, regexp_extract_all(lower(coalesce(sentence, '')), '\\p{{L}}+') AS ws FROM docs),
+vc AS (SELECT word, count(*) AS cnt FROM (SELECT unnest(ws) AS word FROM w) GROUP BY word),
+vocab AS (SELECT word, CAST(row_number() OVER (ORDER BY cnt DESC, word) + 3 AS INTEGER) AS id, cnt AS count FROM vc),
+tok AS (SELECT t.idx, t.pos, v.id FROM (
+          SELECT idx, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS pos FROM w) t JOIN vocab v ON v.word = t.word),
+win AS (SELECT idx, label, unnest(range(greatest(1, CAST(ceil(len(ws) / 510.0) AS BIGINT)))) AS wno FROM w),
+enc AS (SELECT n.idx, n.label, CAST(n.wno AS INTEGER) AS wno,
+               coalesce(list(tok.id ORDER BY tok.pos) FILTER (WHERE tok.id IS NOT NULL), []) AS ids
+        FROM win n LEFT JOIN tok ON tok.idx = n.idx AND tok.pos // 510 = n.wno GROUP BY n.idx, n.label, n.wno)
 """
 
-oracle("build_vocab", _TEXT.rstrip().rstrip(",") + "\nSELECT word, id, count FROM vocab")
-oracle("encode_text", _TEXT + """
-x AS (SELECT 1 AS one)
-SELECT idx, label,
-       array_to_string(list_concat([2], ids, [3], list_transform(range(510 - len(ids)), lambda q: 0)), ' ') AS input_ids,
-       CAST(len(ids) + 2 AS INTEGER) AS mask_len, 0 AS type_sum, 512 AS length
-FROM enc
-""")
+_PADDED = """array_to_string(list_concat([2], ids, [3], list_transform(range(510 - len(ids)), lambda q: 0)), ' ') AS input_ids,
+       CAST(len(ids) + 2 AS INTEGER) AS mask_len, 0 AS type_sum, 512 AS length"""
 
-oracle("drop_columns", _TEXT + """
-x AS (SELECT 1 AS one)
-SELECT label,
-       array_to_string(list_concat([2], ids, [3], list_transform(range(510 - len(ids)), lambda q: 0)), ' ') AS input_ids,
-       CAST(len(ids) + 2 AS INTEGER) AS mask_len
-FROM enc
-""")
+oracle("build_vocab", _TEXT + "SELECT word, id, count FROM vocab")
+oracle("encode_text", _TEXT + f'SELECT idx, wno AS "window", {_PADDED} FROM enc')
+oracle("drop_columns", _TEXT + f'SELECT CAST(label AS VARCHAR) AS label, wno AS "window", {_PADDED} FROM enc')
 
-_NB = _TEXT + """
-tr AS (SELECT label, unnest(ids) AS id FROM enc WHERE split = 'train'),
-cnt AS (SELECT label AS c, id, count(*) AS n FROM tr GROUP BY label, id),
+_NB = _TEXT.rstrip() + """,
+train AS (SELECT idx, label FROM sent WHERE split = 'train'),
+tr AS (SELECT train.label, tok.id FROM train JOIN tok USING (idx)),
+wcnt AS (SELECT label AS c, id, count(*) AS n FROM tr GROUP BY label, id),
 ctok AS (SELECT label AS c, count(*) AS n FROM tr GROUP BY label),
-cdoc AS (SELECT label AS c, count(*) AS n FROM enc WHERE split = 'train' GROUP BY label),
+cdoc AS (SELECT label AS c, count(*) AS n FROM train GROUP BY label),
 nv AS (SELECT count(*) + 4 AS v FROM vocab),
 classes AS (SELECT c FROM cdoc),
-tgt_tok AS (SELECT idx, unnest(ids) AS id FROM enc WHERE split = '{split}'),
-tgt AS (SELECT idx, label, sentence FROM enc WHERE split = '{split}'),
 sc AS (SELECT t.idx, k.c,
               ln(cdoc.n / (SELECT sum(n) FROM cdoc)) - count(tt.id) * ln(ctok.n + (SELECT v FROM nv))
-              + coalesce(sum(ln(coalesce(cnt.n, 0) + 1.0)), 0.0) AS score
-       FROM tgt t CROSS JOIN classes k JOIN cdoc ON cdoc.c = k.c JOIN ctok ON ctok.c = k.c
-       LEFT JOIN tgt_tok tt ON tt.idx = t.idx
-       LEFT JOIN cnt ON cnt.id = tt.id AND cnt.c = k.c
+              + coalesce(sum(ln(coalesce(wcnt.n, 0) + 1.0)), 0.0) AS score
+       FROM docs t CROSS JOIN classes k JOIN cdoc ON cdoc.c = k.c JOIN ctok ON ctok.c = k.c
+       LEFT JOIN tok tt ON tt.idx = t.idx
+       LEFT JOIN wcnt ON wcnt.id = tt.id AND wcnt.c = k.c
        GROUP BY t.idx, k.c, cdoc.n, ctok.n),
-pr AS (SELECT idx, c AS pred FROM (SELECT idx, c, row_number() OVER (PARTITION BY idx ORDER BY score DESC, c) AS r FROM sc) WHERE r = 1)
+best AS (SELECT idx, c AS pred FROM (SELECT idx, c, row_number() OVER (PARTITION BY idx ORDER BY score DESC, c) AS r FROM sc) WHERE r = 1)
 """
 
-oracle("project_predictions", _NB.replace("{split}", "validation") + """
-SELECT t.idx, t.sentence AS Sentence, t.label AS GroundTruth, CAST(pr.pred AS INTEGER) AS Prediction
-FROM tgt t JOIN pr USING (idx)
+oracle("project_predictions", _NB + """
+SELECT t.idx, t.sentence AS Sentence, CAST(t.label AS VARCHAR) AS GroundTruth, CAST(best.pred AS INTEGER) AS Prediction
+FROM docs t JOIN best USING (idx)
 """)
-oracle("predictions_sink", _NB.replace("{split}", "test") + """
-SELECT row_number() OVER (ORDER BY t.idx) - 1 AS pos, t.sentence AS Sentence, CAST(pr.pred AS VARCHAR) AS Prediction
-FROM tgt t JOIN pr USING (idx)
+oracle("predictions_sink", _NB + """
+SELECT row_number() OVER (ORDER BY t.idx) - 1 AS pos, t.sentence AS Sentence, CAST(best.pred AS VARCHAR) AS Prediction
+FROM docs t JOIN best USING (idx)
 """)
 
 
 # -------------------------------------------------------------------------- training
 
-_BATCHED = f"""
+def _batched(where: str) -> str:
+    return f"""
 WITH x AS ({ofx.X_VEC}),
 t AS (SELECT vec_id, label, features,
              row_number() OVER (ORDER BY {ofx.hash_int(42, '1', 'vec_id')}, vec_id) - 1 AS p
-      FROM x WHERE split = 'train'),
+      FROM x {where}),
 b AS (SELECT vec_id, label, features, CAST(p % 4 AS INTEGER) AS rank, CAST((p // 4) // 64 AS INTEGER) AS step FROM t),
 """
 
+
+_BATCHED = _batched("")
+
 oracle("collate_batches", _BATCHED + """
 z AS (SELECT 1)
 SELECT 1 AS epoch, rank, step, CAST(count(*) AS INTEGER) AS size, min(vec_id) AS first_id, max(vec_id) AS last_id,
@@ -382,7 +416,7 @@ FROM b GROUP BY rank, step
 """)
 
 # gradient of the mean cross-entropy at zero weights: softmax is 1/C for every class
-_ZERO_GRAD = _BATCHED + """
+_ZERO_GRAD_BODY = """
 k AS (SELECT max(label) + 1 AS nc, max(len(features)) AS nd FROM b),
 cls AS (SELECT unnest(range(nc)) AS c FROM k),
 cells AS (SELECT step, rank, label, unnest(features) AS v, generate_subscripts(features, 1) - 1 AS d FROM b),
@@ -393,13 +427,14 @@ rb AS (SELECT step, rank, c, avg(1.0 / (SELECT nc FROM k) - CASE WHEN label = c
 parts AS (SELECT step, rank, CAST(c * (SELECT nd FROM k) + d AS INTEGER) AS j, g FROM rg
           UNION ALL SELECT step, rank, CAST((SELECT nc * nd FROM k) + c AS INTEGER), g FROM rb)
 """
+_ZERO_GRAD = _BATCHED + _ZERO_GRAD_BODY
 
 oracle("combine_gather_mean", _ZERO_GRAD + "SELECT step, j, round(avg(g), 9) AS grad FROM parts GROUP BY step, j")
 oracle("combine_allreduce", _ZERO_GRAD + "SELECT step, j, round(sum(g / 4.0), 9) AS grad FROM parts GROUP BY step, j")
 oracle("combine_equivalence", _ZERO_GRAD + """
 SELECT round(max(abs(a - s)), 9) AS max_abs_diff FROM (SELECT step, j, avg(g) AS a, sum(g / 4.0) AS s FROM parts GROUP BY step, j)
 """)
-oracle("softmax_gradient_step", _ZERO_GRAD + """
+oracle("softmax_gradient_step", _batched("WHERE split = 'train'") + _ZERO_GRAD_BODY + """
 SELECT j, round(avg(g), 9) AS grad, round(-0.1 * avg(g), 9) AS weight FROM parts WHERE step = 0 GROUP BY j
 """)
 
@@ -438,3 +473,112 @@ def _sgd_full_batch_sql(steps: int = 3, lr: float = 0.1, momentum: float = 0.9,
 
 
 oracle("train_sgd_full_batch", _sgd_full_batch_sql())
+
+
+def _train_sql(epochs: int, steps: int = 2, adamw: bool = False) -> str:
+    """``epochs`` x ``steps`` mini-batch steps of 4 ranks x 64 rows from zero weights, unrolled
+    (the vector table of sf0.01 and below has two steps an epoch). ``p<i>`` are the
+    parameters ``(j, w, a, b)`` after i steps, ``loss<i>`` the step's mean rank loss.
+
+    SGD: v = g + 1e-4 w, plus 0.9 times the last v; w -= 0.1 v. AdamW: g clipped to norm 1,
+    then decoupled decay 0.01, moments 0.9 and 0.999 with bias correction, rate 5e-3 with 2
+    warm-up steps and linear decay to 0.
+    """
+    total = epochs * steps
+    ctes = [f"x AS ({ofx.X_VEC})", "t AS (SELECT vec_id AS i, label, features FROM x WHERE split = 'train')",
+            "k AS (SELECT max(label) + 1 AS nc, max(len(features)) AS nd FROM t)", "cls AS (SELECT unnest(range(nc)) AS c FROM k)",
+            "cells AS (SELECT i, unnest(features) AS v, generate_subscripts(features, 1) - 1 AS d FROM t)",
+            "p0 AS (SELECT unnest(range(nc * nd + nc)) AS j, 0.0::DOUBLE AS w, 0.0::DOUBLE AS a, 0.0::DOUBLE AS b FROM k)"]
+    for e in range(1, epochs + 1):
+        # a row's weight in its step: the mean over its rank's rows, then over the ranks present
+        ctes += [f"o{e} AS (SELECT i, p % 4 AS rank, (p // 4) // 64 AS step FROM "
+                 f"(SELECT i, row_number() OVER (ORDER BY {ofx.hash_int(42, f"'{e}'", 'i')}, i) - 1 AS p FROM t))",
+                 f"n{e} AS (SELECT step, rank, count(*) AS n FROM o{e} GROUP BY step, rank)",
+                 f"q{e} AS (SELECT step, count(*) AS ranks FROM n{e} GROUP BY step)"]
+    for n in range(total):
+        e, s = n // steps + 1, n % steps
+        if adamw:
+            lr = 5e-3 * (n / 2 if n < 2 else max(0.0, (total - n) / max(1, total - 2)))
+            update = (f"SELECT j, w * (1 - {lr!r} * 0.01) - {lr!r} * (a / (1 - pow(0.9, {n + 1}))) / (sqrt(b / (1 - pow(0.999, {n + 1}))) + 1e-8) AS w, a, b "
+                      f"FROM (SELECT p.j, p.w, 0.9 * p.a + 0.1 * h.g AS a, 0.999 * p.b + 0.001 * h.g * h.g AS b FROM p{n} p JOIN h{n} h ON h.j = p.j)")
+            clip = f"SELECT j, g * least(1.0, 1.0 / ((SELECT sqrt(sum(g * g)) FROM g{n}) + 1e-6)) AS g FROM g{n}"
+        else:
+            update = (f"SELECT j, w - 0.1 * a AS w, a, b FROM (SELECT p.j, p.w, p.b, {'0.9 * p.a + ' if n else ''}(h.g + 1e-4 * p.w) AS a "
+                      f"FROM p{n} p JOIN h{n} h ON h.j = p.j)")
+            clip = f"SELECT j, g FROM g{n}"
+        ctes += [
+            f"m{n} AS (SELECT o.i, 1.0::DOUBLE / nn.n / qq.ranks AS share FROM o{e} o JOIN n{e} nn ON nn.step = o.step AND nn.rank = o.rank "
+            f"JOIN q{e} qq ON qq.step = o.step WHERE o.step = {s})",
+            f"c{n} AS (SELECT cells.i, cells.d, cells.v FROM cells WHERE cells.i IN (SELECT i FROM m{n}))",
+            f"zw{n} AS (SELECT x.i, cls.c, sum(x.v * wt.w) AS zw FROM c{n} x CROSS JOIN cls CROSS JOIN k "
+            f"JOIN p{n} wt ON wt.j = cls.c * k.nd + x.d GROUP BY x.i, cls.c)",
+            f"z{n} AS (SELECT zw.i, zw.c, zw.zw + bb.w AS z FROM zw{n} zw CROSS JOIN k JOIN p{n} bb ON bb.j = k.nc * k.nd + zw.c)",
+            f"zm{n} AS (SELECT i, max(z) AS m FROM z{n} GROUP BY i)",
+            f"s{n} AS (SELECT z.i, zm.m + ln(sum(exp(z.z - zm.m))) AS s FROM z{n} z JOIN zm{n} zm ON zm.i = z.i GROUP BY z.i, zm.m)",
+            f"r{n} AS (SELECT z.i, z.c, m.share * (exp(z.z - s.s) - CASE WHEN t.label = z.c THEN 1.0 ELSE 0.0 END) AS e, "
+            f"CASE WHEN t.label = z.c THEN m.share * (s.s - z.z) ELSE 0.0 END AS l FROM z{n} z JOIN s{n} s ON s.i = z.i JOIN t ON t.i = z.i JOIN m{n} m ON m.i = z.i)",
+            f"loss{n} AS (SELECT sum(l) AS l FROM r{n})",
+            f"g{n} AS (SELECT CAST(r.c * k.nd + x.d AS BIGINT) AS j, sum(r.e * x.v) AS g FROM r{n} r JOIN c{n} x ON x.i = r.i CROSS JOIN k "
+            f"GROUP BY r.c, x.d, k.nd UNION ALL SELECT CAST(k.nc * k.nd + r.c AS BIGINT), sum(r.e) FROM r{n} r CROSS JOIN k GROUP BY r.c, k.nc, k.nd)",
+            f"h{n} AS ({clip})", f"p{n + 1} AS ({update})"]
+    return "WITH " + ",\n".join(ctes) + "\n"
+
+
+oracle("train_sgd", _train_sql(1) + "SELECT CAST(j AS INTEGER) AS j, round(w, 6) AS value FROM p2")
+oracle("train_adamw", _train_sql(3, adamw=True) + "SELECT CAST(j AS INTEGER) AS j, round(w, 6) AS value FROM p6")
+oracle("train_resume", _train_sql(2) + "SELECT CAST(j AS INTEGER) AS j, round(w, 6) AS resumed, 0.0::DOUBLE AS max_abs_diff_to_straight FROM p4")
+oracle("checkpoint_sink", _train_sql(2) + """
+SELECT v.version, n.name, sl.slot, CASE WHEN n.name = 'weight' THEN k.nc || 'x' || k.nd ELSE CAST(k.nc AS VARCHAR) END AS shape,
+       CAST(CASE WHEN n.name = 'weight' THEN k.nc * k.nd ELSE k.nc END AS INTEGER) AS n_values, CAST(2 * v.version AS BIGINT) AS step, v.version AS epoch,
+       round(CASE v.version WHEN 1 THEN ((SELECT l FROM loss0) + (SELECT l FROM loss1)) / 2 ELSE ((SELECT l FROM loss2) + (SELECT l FROM loss3)) / 2 END, 6) AS loss
+FROM (VALUES (1), (2)) v(version), (VALUES ('weight'), ('bias')) n(name), (VALUES ('value'), ('momentum')) sl(slot), k
+""")
+oracle("checkpoint_load", _train_sql(1) + """,
+y AS (SELECT vec_id AS i, label, features FROM x WHERE split = 'validation'),
+yc AS (SELECT i, unnest(features) AS v, generate_subscripts(features, 1) - 1 AS d FROM y),
+q AS (SELECT yc.i, cls.c, sum(yc.v * wt.w) + any_value(bb.w) AS z FROM yc CROSS JOIN cls CROSS JOIN k JOIN p2 wt ON wt.j = cls.c * k.nd + yc.d
+      JOIN p2 bb ON bb.j = k.nc * k.nd + cls.c GROUP BY yc.i, cls.c),
+qs AS (SELECT i, top + ln(sum(exp(z - top))) AS s FROM q JOIN (SELECT i, max(z) AS top FROM q GROUP BY i) USING (i) GROUP BY i, top),
+best AS (SELECT i, c FROM (SELECT i, c, row_number() OVER (PARTITION BY i ORDER BY z DESC, c) AS o FROM q) WHERE o = 1)
+SELECT y.i AS vec_id, y.label, CAST(best.c AS INTEGER) AS pred, round(qs.s - q.z, 6) AS loss
+FROM y JOIN best USING (i) JOIN qs USING (i) JOIN q ON q.i = y.i AND q.c = y.label
+""".lstrip("\n"))
+
+
+def _report_sql(scored: str, head: str, names: str) -> str:
+    """The report text as (line_no, value): head lines, table, matrix, separator; ``rows`` of
+    ``scored`` has label, pred, loss, batch."""
+    cell = lambda c: f"lpad(printf('%.3f', {c}), 9, ' ')"
+    return scored + "," + _MATRIX + f""",
+lab AS (SELECT l, row_number() OVER (ORDER BY l) - 1 AS o, {names} AS name FROM labs),
+per_line AS (SELECT lab.o, lab.name AS label, r.precision, r.recall, r.f1_score, r.support FROM rep r JOIN lab ON lab.l = r.label
+  UNION ALL SELECT CASE label WHEN 'accuracy' THEN 100001 WHEN 'macro avg' THEN 100002 ELSE 100003 END, label, precision, recall, f1_score, support
+  FROM report WHERE label IN ('accuracy', 'macro avg', 'weighted avg')),
+width AS (SELECT max(greatest(length(label), 12)) AS w FROM per_line),
+digits AS (SELECT max(length(CAST(n AS VARCHAR))) AS d FROM m),
+lines AS (
+  {head}
+  UNION ALL SELECT 2, 'Classification Report'
+  UNION ALL SELECT 3, repeat(' ', w) || '  precision    recall  f1-score   support' FROM width
+  UNION ALL SELECT 4, '' UNION ALL SELECT 100000, '' UNION ALL SELECT 100009, '' UNION ALL SELECT 100010, 'Confusion Matrix'
+  UNION ALL SELECT 10 + o + CASE WHEN o > 100000 THEN -10 ELSE 0 END, lpad(label, CAST(w AS INTEGER), ' ')
+    || CASE WHEN precision IS NULL THEN repeat(' ', 22) ELSE '  ' || {cell('precision')} || ' ' || {cell('recall')} || ' ' END
+    || {cell('f1_score')} || ' ' || lpad(CAST(support AS VARCHAR), 9, ' ') FROM per_line CROSS JOIN width
+  UNION ALL SELECT 200000 + o, CASE WHEN o = 0 THEN '[[' ELSE ' [' END || text || CASE WHEN o = (SELECT max(o) FROM lab) THEN ']]' ELSE ']' END
+    FROM (SELECT a.o, string_agg(lpad(CAST(m.n AS VARCHAR), CAST(d AS INTEGER), ' '), ' ' ORDER BY b.o) AS text
+          FROM m JOIN lab a ON a.l = m.truth JOIN lab b ON b.l = m.pred CROSS JOIN digits GROUP BY a.o)
+  UNION ALL SELECT 900000, '--------------------')
+SELECT row_number() OVER (ORDER BY n) - 1 AS line_no, value FROM lines l(n, value)
+"""
+
+
+_LOSS = "(SELECT avg(bl) FROM (SELECT batch, avg(loss) AS bl FROM rows GROUP BY batch))"
+_RIGHT = "(SELECT avg(CASE WHEN label = pred THEN 1.0 ELSE 0.0 END) FROM rows)"
+ORACLES["report_sink"] = _report_sql(SCORED, f"""SELECT 0 AS n, 'Metrics for the checkpoint: class-mean' AS value
+  UNION ALL SELECT 1, printf('Test Loss: %.3f, Test Accuracy: %.3f', {_LOSS}, {_RIGHT})""", "CAST(l AS VARCHAR)").strip()
+ORACLES["text_report_sink"] = _report_sql(
+    _NB.rstrip() + ",\nrows AS (SELECT t.idx, t.label, best.pred, 0 AS batch, 0.0 AS loss FROM docs t JOIN best USING (idx) WHERE t.label IS NOT NULL)",
+    f"""SELECT 0 AS n, 'Validation Metrics for the checkpoint: bag-of-ids' AS value
+  UNION ALL SELECT 1, printf('Loss: %.3f, Accuracy: %.3f, Avg Batch Duration: %.3f seconds, Duration: %.3f seconds', {_LOSS}, {_RIGHT},
+      (SELECT avg(duration) FROM ({ofx.L_TELE})), (SELECT sum(duration) FROM ({ofx.L_TELE})))""",
+    "CASE l WHEN 0 THEN 'negative' WHEN 1 THEN 'positive' ELSE CAST(l AS VARCHAR) END").strip()

@@ -31,6 +31,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
@@ -43,8 +44,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for reliable checkpoints and scratch files.
 
     Read from the session (``spark.checkpoint.dir`` or an earlier
-    ``setCheckpointDir``). Only when nothing is set -- local tests -- a private
-    temporary folder is created and registered.
+    ``setCheckpointDir``). Only a local session (tests, bench) without one gets a
+    temporary folder of its own; on a cluster an unset folder is an error, since its hosts
+    share no temporary folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,6 +59,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - key absent
             configured = None
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="quarry-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -42,14 +42,14 @@ def parse_edges(lines: DataFrame, comment: str = "#", mode: str = "dropmalformed
                 col: str = "value") -> DataFrame:
     """Edge lines -> ``(src, dst)``.
 
-    Comment lines are skipped; the rest is split on runs of whitespace, at most three
+    Comment lines are skipped; the rest is split on runs of (Unicode) whitespace, at most three
     pieces, and the first two are kept (leading whitespace gives ``src = ''``, a single
     trailing blank gives ``dst = ''``). A line with fewer than two pieces is malformed:
     ``mode="dropmalformed"`` drops it, ``mode="failfast"`` fails the job,
     ``mode="flag"`` keeps every line and adds a boolean ``malformed``.
     """
     body = drop_comments(lines, comment, col) if comment else lines
-    parts = F.split(F.col(col), r"\s+", 3)
+    parts = F.split(F.col(col), r"(?U)\s+", 3)
     parsed = body.select(F.get(parts, 0).alias("src"), F.get(parts, 1).alias("dst"),
                          (F.size(parts) < 2).alias("malformed"))
     if mode == "dropmalformed":

@@ -54,11 +54,29 @@ def test_epoch_summary_skip_first_and_single_batch(spark):
         .select("lr").rdd.map(lambda r: r[0]).collect() == pytest.approx([0.0, 0.5, 1.0, 0.5, 0.005])
 
 
-def _numpy_train(x, y, ids, classes, opt, epochs, batch, world, max_batches, seed_order):
-    """Independent reference: same batches, plain NumPy math."""
+def _sgd(theta, g, state, n):
+    """Momentum SGD written out: the first buffer is the gradient itself."""
+    g = g + 1e-4 * theta
+    state["v"] = g if n == 0 else 0.9 * state["v"] + g
+    return theta - 0.1 * state["v"]
+
+
+def _adamw(theta, g, state, n, lr=1e-2, warmup=2, total=12):
+    """AdamW written out with clipping to norm 1, linear warm-up and decay."""
+    norm = math.sqrt(sum(v * v for v in g))
+    g = g if norm + 1e-6 <= 1 else g / (norm + 1e-6)
+    rate = lr * n / warmup if n < warmup else lr * max(0.0, (total - n) / (total - warmup))
+    m = 0.9 * state.get("m", 0.0) + (1 - 0.9) * g
+    v = 0.999 * state.get("v", 0.0) + (1 - 0.999) * g ** 2
+    state.update(m=m, v=v)
+    theta = theta - rate * 0.01 * theta
+    return theta - rate * (m / (1 - 0.9 ** (n + 1))) / (np.sqrt(v / (1 - 0.999 ** (n + 1))) + 1e-8)
+
+
+def _numpy_train(x, y, ids, classes, update, epochs, batch, world, max_batches, seed_order):
+    """Independent reference: same batches, plain NumPy math and its own update rules."""
     theta = np.zeros(classes * x.shape[1] + classes)
-    state = opt.init(theta)
-    step = 0
+    state, step = {}, 0
     for epoch in range(1, epochs + 1):
         order = seed_order(epoch)
         pos = {i: p for p, i in enumerate(order)}
@@ -80,13 +98,13 @@ def _numpy_train(x, y, ids, classes, opt, epochs, batch, world, max_batches, see
                 p_ = np.exp(z) / np.exp(z).sum(axis=1, keepdims=True)
                 p_[np.arange(len(yb)), yb] -= 1
                 grads.append(np.concatenate([(p_.T @ xb / len(yb)).ravel(), p_.mean(axis=0)]))
-            theta = opt.update(theta, np.mean(grads, axis=0), state, step)
+            theta = update(theta, np.mean(grads, axis=0), state, step)
             step += 1
     return theta
 
 
-@pytest.mark.parametrize("make_opt", [lambda: tr.SGD(), lambda: tr.AdamW(lr=1e-2, warmup=2, total_steps=12)])
-def test_training_matches_numpy_reference(spark, make_opt):
+@pytest.mark.parametrize("opt,update", [(tr.SGD(), _sgd), (tr.AdamW(lr=1e-2, warmup=2, total_steps=12), _adamw)])
+def test_training_matches_numpy_reference(spark, opt, update):
     import hashlib
     rng = np.random.default_rng(0)
     n, d, c = 150, 5, 3
@@ -94,15 +112,27 @@ def test_training_matches_numpy_reference(spark, make_opt):
     y = rng.integers(0, c, size=n)
     ids = list(range(n))
     df = spark.createDataFrame([(i, x[i].tolist(), int(y[i])) for i in ids], "id long, features array<double>, label int")
-    state = tr.TrainState(tr.zero_model(c, d), make_opt().init(np.zeros(c * d + c)))
-    got = tr.train(df, state, make_opt(), epochs=2, batch_size=8, world_size=4, max_batches=3, seed=7, key="id")
+    state = tr.TrainState(tr.zero_model(c, d), opt.init(np.zeros(c * d + c)))
+    got = tr.train(df, state, opt, epochs=2, batch_size=8, world_size=4, max_batches=3, seed=7, key="id")
 
     def order(epoch):
         h = lambda i: int(hashlib.md5(f"7|{epoch}|{i}".encode()).hexdigest()[:8], 16)
         return sorted(ids, key=lambda i: (h(i), i))
 
-    want = _numpy_train(x, y, ids, c, make_opt(), 2, 8, 4, 3, order)
+    want = _numpy_train(x, y, ids, c, update, 2, 8, 4, 3, order)
     assert np.allclose(got.theta, want, rtol=1e-9, atol=1e-12)
+    assert len(got.telemetry) == 6 and all(t[4] > 0 for t in got.telemetry)
+    tele = tr.telemetry_frame(spark, got)
+    assert tm.epoch_summary(tele).count() == 2 and got.loss == pytest.approx(np.mean([t[2] for t in got.telemetry[3:]]))
+
+
+@pytest.mark.parametrize("batch,world", [(16, 4), (1 << 40, 1)])
+def test_a_step_is_worked_on_by_many_tasks(spark, batch, world):
+    from quarry.operators.indexing import assign_batches
+    rows = assign_batches(spark.range(2000), "id", batch, shuffle=True, seed=1, epoch=1, world_size=world)
+    spread = tr.spread_batches(rows, "id", world, 8).select("step", F.spark_partition_id().alias("p")).distinct()
+    per_step = {r.step: r.n for r in spread.groupBy("step").agg(F.count("*").alias("n")).collect()}
+    assert min(per_step.values()) >= (world if batch < 1000 else 8)
 
 
 def test_resume_equals_straight_run(spark):
@@ -120,23 +150,89 @@ def test_resume_equals_straight_run(spark):
 
 
 def test_combiners_with_a_missing_rank(spark):
-    parts = spark.createDataFrame([(1, 0, 0, 2, 0.0, 0, [1.0, 2.0]), (1, 0, 1, 2, 0.0, 0, [3.0, 6.0]),
-                                   (1, 1, 0, 1, 0.0, 0, [5.0, 5.0])], tr.GRAD_SCHEMA)
+    cells = {(0, 0): [1.0, 2.0], (0, 1): [3.0, 6.0], (1, 0): [5.0, 5.0]}
+    rows = [(1, step, rank, j, v, 2) for (step, rank), g in cells.items() for j, v in zip((-2, -1, 0, 1), [9.0, 1.0, *g])]
+    parts = spark.createDataFrame(rows, tr.GRADIENT_SCHEMA)
     gm = {(r["step"], r["j"]): r["grad"] for r in tr.combine_gradients(parts, "gather_mean").collect()}
     ar = {(r["step"], r["j"]): r["grad"] for r in tr.combine_gradients(parts, "allreduce", 2).collect()}
-    assert gm[(0, 0)] == 2.0 and ar[(0, 0)] == 2.0
+    assert gm[(0, 0)] == 2.0 and ar[(0, 0)] == 2.0 and len(gm) == 4
     assert gm[(1, 0)] == 5.0 and ar[(1, 0)] == 2.5  # one rank present: mean over present ranks vs / world
 
 
-def test_large_model_scoring_path_matches_literal_path(spark, monkeypatch):
-    from quarry.operators import scoring
-    rng = np.random.default_rng(3)
-    df = spark.createDataFrame([(i, rng.normal(size=6).tolist(), int(i % 3)) for i in range(40)],
-                               "id long, features array<double>, label int")
-    model = LinearModel(rng.normal(size=(3, 6)), rng.normal(size=3))
-    small = {r["id"]: (r["pred"], r["loss"]) for r in score_linear(df, model).collect()}
-    monkeypatch.setattr(scoring, "MAX_LITERAL_PARAMETERS", 1)
-    big = {r["id"]: (r["pred"], r["loss"]) for r in scoring.score_linear(df, model).collect()}
-    assert small.keys() == big.keys()
-    for k in small:
-        assert small[k][0] == big[k][0] and small[k][1] == pytest.approx(big[k][1], rel=1e-12)
+def test_classes_with_gaps_keep_their_ids(spark):
+    from quarry.operators.scoring import class_mean_model, load_linear, parameter_count
+    rows = [(1, [9.0, 0.0], 3), (2, [0.0, 9.0], 7), (3, [8.0, 1.0], 3)]
+    df = spark.createDataFrame(rows, "id long, features array<double>, label int")
+    table = class_mean_model(df)
+    model = load_linear(table)
+    unseen = df.union(spark.createDataFrame([(4, [0.0, 7.0], 5)], df.schema))
+    out = {r["id"]: r for r in score_linear(unseen, model).collect()}
+    assert [out[i]["pred"] for i in (1, 2, 3, 4)] == [3, 7, 3, 7]
+    assert out[1]["loss"] < 0.1 and out[4]["loss"] is None
+    assert parameter_count(table).first()[0] == 6
+
+
+def test_report_with_text_labels_names_and_many_labels(spark):
+    rows = [(i, t, p, 0.5, 0) for i, (t, p) in enumerate([("pos", "pos"), ("neg", "pos"), ("neg", "neg")])]
+    df = spark.createDataFrame(rows, "id long, label string, pred string, loss double, batch int")
+    rep = ev.classification_report(df).orderBy("order").collect()
+    assert [r["label"] for r in rep] == ["neg", "pos", "accuracy", "macro avg", "weighted avg"]
+    named = ev.classification_report(df, names=["negative", "positive"]).orderBy("order").collect()
+    assert [r["label"] for r in named][:2] == ["negative", "positive"] and named[0]["support"] == 2
+    sparse = {(r.truth, r.pred): r.n for r in ev.confusion_matrix(df, max_labels=1).collect()}
+    assert sparse == {("pos", "pos"): 1, ("neg", "pos"): 1, ("neg", "neg"): 1}
+
+
+def test_report_text_in_both_forms(spark):
+    from quarry.sinks import report_lines
+    rows = [(i, t, p, 0.25, 0) for i, (t, p) in enumerate([(0, 0)] * 12 + [(0, 1)] * 3 + [(1, 1)] * 5)]
+    df = spark.createDataFrame(rows, "id long, label int, pred int, loss double, batch int")
+    image = [r.value for r in report_lines(ev.eval_report(df), "ck.pt").orderBy("line_no").collect()]
+    assert image == [
+        "Metrics for the checkpoint: ck.pt", "Test Loss: 0.250, Test Accuracy: 0.850", "Classification Report",
+        "              precision    recall  f1-score   support", "",
+        "           0      1.000     0.800     0.889        15", "           1      0.625     1.000     0.769         5", "",
+        "    accuracy                          0.850        20", "   macro avg      0.812     0.900     0.829        20",
+        "weighted avg      0.906     0.850     0.859        20", "", "Confusion Matrix", "[[12  3]", " [ 0  5]]", "--------------------"]
+    timing = spark.createDataFrame([(0.5, 2.0)], "avg_batch_duration double, duration double")
+    text = [r.value for r in report_lines(ev.eval_report(df, names=["negative", "positive"]), "ck", "text", timing).orderBy("line_no").collect()]
+    assert text[:2] == ["Validation Metrics for the checkpoint: ck", "Loss: 0.250, Accuracy: 0.850, Avg Batch Duration: 0.500 seconds, Duration: 2.000 seconds"]
+    assert text[5].startswith("    negative ") and text[6].startswith("    positive ")
+
+
+def test_eval_report_reads_the_scored_rows_once(spark):
+    df = _scored(spark, [(0, 0), (1, 0), (1, 1)]).cache()
+    rep = ev.eval_report(df)
+    plan = rep._jdf.queryExecution().executedPlan().toString()
+    assert "InMemoryTableScan" not in plan  # everything comes from the checkpointed sums
+
+
+def test_checkpoint_round_trip_with_loss(spark):
+    from quarry.session import scratch_path
+    from quarry.sinks import save_model
+    from quarry.sources import load_model
+    state = tr.TrainState(LinearModel(np.arange(6.0).reshape(2, 3), np.array([1.0, 2.0])), {"momentum": np.arange(8.0)}, step=5, epoch=2, loss=0.75)
+    path = scratch_path(spark, "ck")
+    for version in (1, 2, 2):
+        save_model(tr.state_frame(spark, state), path, version)
+    back = load_model(spark, path, 2)
+    assert back.count() == 4 and {r.loss for r in back.collect()} == {0.75}
+    loaded = tr.state_from_frame(back, tr.SGD())
+    assert np.array_equal(loaded.theta, state.theta) and np.array_equal(loaded.optimizer_state["momentum"], np.arange(8.0))
+    assert (loaded.step, loaded.epoch, loaded.loss) == (5, 2, 0.75)
+
+
+def test_logs_are_appended_per_rank(spark):
+    from quarry.session import scratch_path
+    from quarry.sinks import append_log
+    rows = [(r, 1, b, 1.0, 0.5, 2.0) for r in (0, 1) for b in range(45)]
+    tele = spark.createDataFrame(rows, "rank int, epoch int, batch_idx int, loss double, accuracy double, duration double")
+    path = scratch_path(spark, "log")
+    for _ in range(2):
+        append_log(tm.train_log(tele, checkpoint="/ck"), path)
+    got = spark.read.text(path).where("rank = 1").groupBy("value").count().collect()
+    lines = {r["value"]: r["count"] for r in got}
+    assert len(lines) == 5 and set(lines.values()) == {2}  # header, batches 0, 20, 40, epoch
+    assert "Logs for the checkpoint stored at: /ck/" in lines
+    assert ("Rank: 1, Epoch: 1, Train Loss: 1.000, Train Accuracy: 0.500, Avg Batch Duration: 2.000 seconds, "
+            "Epoch Duration: 90.000 seconds") in lines

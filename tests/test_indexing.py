@@ -53,3 +53,22 @@ def test_lead_in_group_hot_and_cold_paths_agree(spark):
     got = {r["v"]: r["nxt"] for r in lead_in_group(df, "g", ["a", "v"], "v", "nxt", hot_threshold=50).collect()}
     assert got == want
     assert sum(1 for x in want.values() if x is None) == 17
+
+
+def test_lead_in_group_with_null_groups(spark):
+    """Null is a group like any other, hot or not; no row may go."""
+    from quarry.operators.indexing import lead_in_group
+    for hot, rows in (("null", [(None, i) for i in range(40)] + [(1, 100 + i) for i in range(22)]),
+                      ("one", [(1, i) for i in range(40)] + [(None, 100 + i) for i in range(22)])):
+        df = spark.createDataFrame(rows, "g long, v long")
+        want = sorted(lead_in_group(df, "g", ["v"], "v", "nxt", hot_threshold=10**9).collect(), key=lambda r: r["v"])
+        got = sorted(lead_in_group(df, "g", ["v"], "v", "nxt", hot_threshold=25).collect(), key=lambda r: r["v"])
+        assert len(got) == 62 and got == want, hot
+
+
+def test_a_hot_sort_key_spans_many_ranges(spark):
+    from quarry.operators.sorting import sort_to_ordered_partitions
+    df = spark.range(4000).select(F.when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.col("id").cast("string")).alias("k"), "id")
+    parts = sort_to_ordered_partitions(df, ["k"], num_partitions=8).withColumn("p", F.spark_partition_id())
+    sizes = [r["count"] for r in parts.groupBy("p").count().collect()]
+    assert max(sizes) < 1200  # the null key holds 2000 rows

@@ -82,3 +82,26 @@ def test_ordered_part_files_concatenate_to_sorted(spark):
     assert ordered.rdd.getNumPartitions() == 6
     rows = ordered_position(ordered).orderBy("pos").collect()
     assert [r["k"] for r in rows] == sorted(r["k"] for r in rows)
+
+
+def test_edges_split_at_unicode_blanks(spark):
+    got = [tuple(r) for r in parse_edges(_lines(spark, ["a\u00a0b c", "x\u2003y"])).collect()]
+    assert got == [("a", "b"), ("x", "y")]
+
+
+def test_rank_lines_are_python_tuples(spark):
+    from quarry.sinks import rank_lines
+    names = ["plain", "O'Hare", 'say "hi"', "it's \"both\"", "back\\slash", "tab\there\nline", "nb\u00a0sp", "", "Zürich 日本"]
+    values = [1.0, 0.15, 1.5e7, 12345678.9, 1e16, 1.5e16, 2.5e-4, 1.5e-5, 123456789012345.6, 0.0, -3.25e8, 1e22, 1e-7, 9999999.5]
+    rows = [(n, v) for n in names for v in values]
+    got = {r.value for r in rank_lines(spark.createDataFrame(rows, "id string, rank double")).collect()}
+    assert got == {repr((n, v)) for n, v in rows}
+
+
+def test_typed_csv_sort(spark):
+    from quarry.operators.sorting import with_sorted_position
+    path = scratch_path(spark, "typed")
+    write_csv(spark.createDataFrame([("10",), ("9",), ("100",)], "n string"), path)
+    typed = with_sorted_position(read_table_csv(spark, path, "n int"), ["n"]).orderBy("pos").collect()
+    text = with_sorted_position(read_table_csv(spark, path), ["n"]).orderBy("pos").collect()
+    assert [r.n for r in typed] == [9, 10, 100] and [r.n for r in text] == ["10", "100", "9"]

@@ -1,27 +1,45 @@
-"""Vocabulary and fixed-length encoding golden cases."""
+"""Vocabulary and whole-text encoding golden cases."""
 
 from quarry.operators import text as txt
 
 
 def test_vocab_order_and_ids(spark):
-    docs = spark.createDataFrame([(1, "b a b, C!"), (2, "a b"), (3, "")], "idx long, sentence string")
-    vocab = {r["word"]: (r["id"], r["count"]) for r in txt.build_vocab(docs, max_size=7).collect()}
+    docs = spark.createDataFrame([(1, "b a b, C!"), (2, "a b"), (3, ""), (4, None)], "idx long, sentence string")
+    vocab = {r["word"]: (r["id"], r["count"]) for r in txt.build_vocab(docs).collect()}
     # counts: b=3, a=2, c=1 -> ids 4, 5, 6 (count desc, then word)
     assert vocab == {"b": (4, 3), "a": (5, 2), "c": (6, 1)}
     capped = {r["word"] for r in txt.build_vocab(docs, max_size=6).collect()}
     assert capped == {"b", "a"}
 
 
-def test_encode_short_long_empty_and_unknown(spark):
+def _docs(spark):
+    rows = [(1, "a b", 0), (2, "b zz a a a a a", 1), (3, "...", 0), (4, None, 1), (1, "b", 0)]
+    return spark.createDataFrame(rows, "idx long, sentence string, label int")
+
+
+def test_whole_texts_become_windows(spark):
     vocab = spark.createDataFrame([("a", 4, 5), ("b", 5, 3)], "word string, id int, count long")
-    docs = spark.createDataFrame([(1, "a b", 0), (2, "b zz a a a a a", 1), (3, "...", 0)],
-                                 "idx long, sentence string, label int")
-    enc = {r["idx"]: r for r in txt.encode_text(docs, vocab, max_length=6).collect()}
-    assert enc[1]["input_ids"] == [2, 4, 5, 3, 0, 0]
-    assert enc[1]["attention_mask"] == [1, 1, 1, 1, 0, 0]
-    assert enc[2]["input_ids"] == [2, 5, 1, 4, 4, 3]          # cut to 4 words, unknown -> 1
-    assert enc[2]["attention_mask"] == [1] * 6
-    assert enc[3]["input_ids"] == [2, 3, 0, 0, 0, 0]          # no words: [CLS][SEP] + padding
-    assert all(r["token_type_ids"] == [0] * 6 for r in enc.values())
-    train = txt.encode_text(docs, vocab, max_length=6, keep=("label",))
-    assert set(train.columns) == {"label", "input_ids", "attention_mask", "token_type_ids"}
+    for shipped in (100, 1):  # the dictionary sent along, and the joined way beyond its limit
+        enc = sorted((r["idx"], r["window"], list(r["input_ids"]), sum(r["attention_mask"]))
+                     for r in txt.encode_text(_docs(spark), vocab, max_length=6, shipped=shipped).collect())
+        assert enc == [(1, 0, [2, 4, 5, 3, 0, 0], 4), (1, 0, [2, 5, 3, 0, 0, 0], 3),  # a repeated key keeps its rows apart
+                       (2, 0, [2, 5, 1, 4, 4, 3], 6), (2, 1, [2, 4, 4, 4, 3, 0], 5),
+                       (3, 0, [2, 3, 0, 0, 0, 0], 2), (4, 0, [2, 3, 0, 0, 0, 0], 2)]
+    train = txt.encode_text(_docs(spark), vocab, max_length=6, keep=("label",))
+    assert set(train.columns) == {"label", "window", "input_ids", "attention_mask", "token_type_ids"}
+
+
+def test_encoding_moves_no_tokens(spark):
+    vocab = spark.createDataFrame([("a", 4, 5)], "word string, id int, count long")
+    plan = txt.encode_text(_docs(spark), vocab, max_length=6)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "MapInPandas" in plan
+
+
+def test_scores_use_all_windows(spark):
+    docs = spark.createDataFrame([(1, "x " * 9 + "good good good", 1), (2, "x " * 9 + "bad bad bad", 0)], "idx long, sentence string, label int")
+    vocab = txt.build_vocab(docs)
+    enc = txt.encode_text(docs, vocab, max_length=6, keep=("idx", "label"))
+    stats = txt.fit_token_counts(enc)
+    assert {(r["label"], r["count"]) for r in stats.where("id = -1").collect()} == {(0, 1), (1, 1)}
+    got = {r["idx"]: r["pred"] for r in txt.score_bag_of_ids(enc, stats, [0, 1], id_space=vocab.count() + 4).collect()}
+    assert got == {1: 1, 2: 0}  # the deciding words stand in the last window
