@@ -5,7 +5,6 @@ from quarry.functions.arrays import (
     argmax_index,
     array_dot,
     array_log_softmax,
-    array_round_join,
 )
 
 __all__ = [
@@ -14,5 +13,4 @@ __all__ = [
     "argmax_index",
     "array_dot",
     "array_log_softmax",
-    "array_round_join",
 ]

@@ -23,8 +23,3 @@ def array_log_softmax(z: Column) -> Column:
 def argmax_index(z: Column) -> Column:
     """0-based index of the largest element; the first one wins ties."""
     return (F.array_position(z, F.array_max(z)) - 1).cast("int")
-
-
-def array_round_join(a: Column, digits: int = 6, sep: str = ",") -> Column:
-    """Render a numeric array as text with a fixed number of decimals."""
-    return F.array_join(F.transform(a, lambda v: F.format_string(f"%.{digits}f", F.round(v, digits))), sep)
