@@ -27,9 +27,16 @@ from quarry.llm.textops import LOWER_AZ, Words, mix, signed, slices, span_hashes
 WINDOW = 8
 #: least words of a window that are no placeholder
 LITERALS = 4
-#: least share of an item's windows that must stand in a text on one alignment
+#: least share of an item's windows that must stand in a text on near alignments
 COVERAGE = 0.3
 BITMAP_BITS = 1 << 24
+#: alignments that differ by so many tokens and an eighth of the item's are of one passage
+NEAR_SHIFT = 8
+#: items of fewer tokens are also posted in windows of ``SHORT`` tokens ...
+SHORT_ITEM = 64
+SHORT = 5
+#: ... and found as well if so much of their tokens stands in matched windows on near alignments
+NEARLY = 0.8
 
 #: fixed values: unit words, recognised after a number
 UNITS = """mm cm m km inch inches in ft foot feet yard yards mile miles mg g kg gram grams kilogram kilograms oz ounce ounces lb lbs
@@ -92,8 +99,8 @@ def template_tokens(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.
 
 def _windows(texts: DataFrame, lengths: list[int], bitmap: np.ndarray | None, spans: bool) -> DataFrame:
     """(id, at, len, h, slots) per window of ``lengths`` tokens with enough literal words that
-    passes ``bitmap``; with ``spans``, only windows that are whole texts of that length or
-    have the first (greatest) length. ``slots``: value hashes behind the placeholders."""
+    passes ``bitmap``; with ``spans``, only windows that are whole texts of that length, have
+    the first (greatest) length, or the ``SHORT`` one in texts below ``SHORT_ITEM`` tokens. ``slots``: value hashes behind the placeholders."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offs in slices(batches, "_text"):
@@ -110,7 +117,7 @@ def _windows(texts: DataFrame, lengths: list[int], bitmap: np.ndarray | None, sp
                 h = mix(window_hashes(token, n) + np.uint64(n))
                 at = np.flatnonzero((row[n - 1:] == row[:len(row) - n + 1]) & (literal[n:] - literal[:-n] >= min(LITERALS, n)))
                 if spans and n < WINDOW:
-                    at = at[size[row[at]] == n]
+                    at = at[(size[row[at]] == n) | (n == SHORT) & (size[row[at]] >= WINDOW) & (size[row[at]] < SHORT_ITEM)]
                 if bitmap is not None:
                     bit = (h[at] >> np.uint64(40)).astype(np.int64)
                     at = at[(bitmap[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)]
@@ -128,8 +135,8 @@ def _windows(texts: DataFrame, lengths: list[int], bitmap: np.ndarray | None, sp
 
 
 def _lengths(benchmark: DataFrame) -> list[int]:
-    """Token counts of items shorter than a window, at most ``WINDOW - LITERALS`` of them, after
-    ``WINDOW`` itself."""
+    """``WINDOW``, then ``SHORT`` and the token counts of items shorter than a window, at most
+    ``WINDOW - LITERALS`` of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offs in slices(batches, "_text"):
@@ -137,14 +144,15 @@ def _lengths(benchmark: DataFrame) -> list[int]:
             yield pa.RecordBatch.from_arrays([pa.array(np.bincount(row, minlength=part.num_rows))], ["n"])
 
     short = benchmark.mapInArrow(run, "n bigint").where(F.col("n").between(LITERALS, WINDOW - 1)).distinct().collect()
-    return [WINDOW, *sorted((r.n for r in short), reverse=True)]
+    return [WINDOW, *sorted({SHORT, *(r.n for r in short)}, reverse=True)]
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
                   item_text: str = "text", coverage: float = COVERAGE) -> DataFrame:
     """(key, item_key, coverage, windows, first_token, reparameterised): one row per text and
-    item of which at least ``coverage`` of the windows stand in the text on one alignment
-    with consistent values.
+    item of which at least ``coverage`` of the windows stand in the text on alignments near
+    each other with consistent values, or, for items below ``SHORT_ITEM`` tokens, at least
+    ``NEARLY`` of the tokens in windows of ``WINDOW`` or ``SHORT`` tokens.
 
     ``reparameterised`` tells that some value differs. Null and empty texts, and rows with a
     null key on either side, have no rows; items with fewer than ``LITERALS`` literal words
@@ -165,22 +173,34 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     shared = bitmap.view(np.uint8)
     found = _windows(side(docs, key, text), lengths, shared, False)
     b = wanted.distinct().select(F.col("id").alias("item"), F.col("at").alias("iat"), "len", "h", F.col("slots").alias("islots"))
-    total = b.groupBy("item").agg(F.count(F.lit(1)).alias("total"))
+    # its main windows are the longest ones
+    total = (b.groupBy("item", "len").agg(F.countDistinct("iat").alias("n"), F.max(F.col("iat") + F.col("len")).alias("end")).groupBy("item")
+             .agg(F.max("len").alias("main"), F.max_by("n", "len").alias("total"), F.max("end").alias("tokens")))
     # written, so that the corpus is scanned once
     hits = written(found.join(b, ["h", "len"]).where(F.size("slots") == F.size("islots"))
-            .select("id", "item", (F.col("at") - F.col("iat")).alias("shift"), "iat", F.arrays_zip(F.col("islots").alias("b"), F.col("slots").alias("d")).alias("pairs")), "benchmark-hits")
+            .select("id", "item", (F.col("at") - F.col("iat")).alias("shift"), "iat", "len", F.arrays_zip(F.col("islots").alias("b"), F.col("slots").alias("d")).alias("pairs")), "benchmark-hits")
     # values of one alignment: at most the item's placeholders
     values = (hits.select("id", "item", "shift", F.explode("pairs").alias("p")).groupBy("id", "item", "shift", "p.b")
               .agg(F.min("p.d").alias("d"), F.max("p.d").alias("e"))
               .groupBy("id", "item", "shift").agg(F.max((F.col("d") != F.col("e"))).alias("mixed"), F.max(F.col("d") != F.col("b")).alias("other")))
-    counted = hits.groupBy("id", "item", "shift").agg(
-        F.countDistinct("iat").alias("all"), F.countDistinct(F.when(F.size("pairs") == 0, F.col("iat"))).alias("literal"), F.min("iat").alias("iat"))
-    # placeholder runs of another length shift the rest of a passage: alignments of one item add up
-    judged = (counted.join(values, ["id", "item", "shift"], "left")
-              .select("id", "item", "shift", "iat", F.when(F.coalesce("mixed", F.lit(False)), F.col("literal")).otherwise(F.col("all")).alias("n"),
-                      (F.coalesce("other", F.lit(False)) & ~F.coalesce("mixed", F.lit(False))).alias("other")))
-    best = judged.groupBy("id", "item").agg(F.max(F.struct("n", (F.col("iat") + F.col("shift")).alias("first"), "other")).alias("m"))
-    share = F.col("m.n") / F.col("total")
-    return (best.join(total, "item").where(share >= coverage)
-            .select(F.col("id").cast(kinds[0]).alias(key), F.col("item").cast(kinds[1]).alias(item_key), share.alias("coverage"),
-                    F.col("m.n").alias("windows"), F.col("m.first").alias("first_token"), F.col("m.other").alias("reparameterised")))
+    fits = (hits.join(values, ["id", "item", "shift"], "left").withColumn("mixed", F.coalesce("mixed", F.lit(False)))
+            .where(~F.col("mixed") | (F.size("pairs") == 0))
+            .select("id", "item", "shift", "iat", "len", (F.coalesce("other", F.lit(False)) & ~F.col("mixed")).alias("other")))
+    # an added or missing word shifts the rest of a passage: alignments near each other add up, in
+    # two grids of bands, so that any ``reach`` neighbouring shifts lie in one band
+    reach = NEAR_SHIFT + F.floor(F.col("tokens") / 8)
+    bands = fits.join(total, "item").select(
+        "*", F.explode(F.array(F.floor(F.col("shift") / (2 * reach)) * 2, F.floor((F.col("shift") + reach) / (2 * reach)) * 2 + 1)).alias("band"))
+    # a window that is repeated on one side only counts once
+    near = (bands.groupBy("id", "item", "band", "tokens", "total").agg(
+        F.least(F.countDistinct(F.when(F.col("len") == F.col("main"), F.col("iat"))),
+                F.countDistinct(F.when(F.col("len") == F.col("main"), F.col("iat") + F.col("shift")))).alias("n"),
+        F.size(F.array_distinct(F.flatten(F.collect_set(F.when(F.col("tokens") < SHORT_ITEM, F.expr("sequence(iat, iat + len - 1)")))))).alias("iall"),
+        F.size(F.array_distinct(F.flatten(F.collect_set(F.when(F.col("tokens") < SHORT_ITEM, F.expr("sequence(iat + shift, iat + shift + len - 1)")))))).alias("dall"),
+        F.min(F.col("iat") + F.col("shift")).alias("first"), F.max("other").alias("other"))
+        .withColumn("share", F.col("n") / F.col("total"))
+        .withColumn("near", F.least("iall", "dall") / F.col("tokens")))
+    best = (near.where((F.col("share") >= coverage) | (F.col("near") >= NEARLY))
+            .groupBy("id", "item").agg(F.max(F.struct("share", "near", "n", (-F.col("first")).alias("first"), "other")).alias("m")))
+    return best.select(F.col("id").cast(kinds[0]).alias(key), F.col("item").cast(kinds[1]).alias(item_key), F.col("m.share").alias("coverage"),
+                       F.col("m.n").alias("windows"), (-F.col("m.first")).alias("first_token"), F.col("m.other").alias("reparameterised"))

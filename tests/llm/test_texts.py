@@ -33,6 +33,20 @@ def test_verbatim_reparameterised_and_inconsistent_questions(spark):
     assert got[1, 0].reparameterised and got[1, 0].coverage > 0.9
 
 
+def test_near_copies_with_added_and_dropped_words(spark):
+    long, short, tiny = words(60, 59).split(), words(61, 20).split(), words(62, 13).split()
+    bench = _bench(spark, *(" ".join(x) for x in (long, short, tiny)))
+    docs = _docs(spark, " ".join([words(1, 30), *long[:20], "new", *long[20:40], "new", *long[40:], words(2, 9)]),
+                 " ".join([words(3, 30), *short[:10], "new", *short[10:]]), " ".join([*tiny[:6], "new", *tiny[6:], words(4, 30)]),
+                 " ".join([*long[:20], *long[21:40], *long[41:]]), " ".join([*short[:9], words(5, 200), *short[11:18]]),
+                 " ".join(["ha"] * 12))
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.contamination(docs, bench).collect()}
+    assert set(got) == {(0, 0), (1, 1), (2, 2), (3, 0)}
+    assert got[0, 0].windows == 38 and got[0, 0].first_token == 30
+    # an item that repeats itself is not found by one of its windows
+    assert decontaminate.contamination(docs, _bench(spark, "ha " * 200)).collect() == []
+
+
 def test_partial_short_and_common_lines(spark):
     item, line = words(7, 40), words(8, 9)
     bench = _bench(spark, item, line + " " + words(9, 40), "only five words right here", "two words", None)
