@@ -1,10 +1,13 @@
 """Benchmark decontamination by template canonicalisation.
 
 Numbers, names and units are replaced by typed placeholders, so a question whose values
-were changed keeps its template. Windows of ``WINDOW`` template tokens of the benchmark are
-hash-joined with those of the corpus; each joined window also carries the values behind
+were changed keeps its template. Which words are names can't be told from one text (any
+word may open a sentence, a copy may be wrapped otherwise or lower-cased), so there are
+three template forms of every text. Windows of ``WINDOW`` template tokens of the benchmark
+are hash-joined with those of the corpus; each joined window also carries the values behind
 its placeholders. A re-parameterised copy replaces every value by one other value
-throughout, so matches in which a benchmark value meets two different ones are refused.
+throughout (a number by one for each word it counts), so windows with another value than
+the rest of their alignment don't count.
 
 Only corpus windows whose bit is set in a bitmap of the benchmark's hashes leave the scan
 (``BITMAP_BITS`` bits, whatever the benchmark's size; more hashes only let more through to
@@ -14,6 +17,7 @@ the exact join). Items shorter than a window are one window of their own length.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +34,8 @@ LITERALS = 4
 #: least share of an item's windows that must stand in a text on near alignments
 COVERAGE = 0.3
 BITMAP_BITS = 1 << 24
+#: least share of a role's windows that have its most frequent value
+AGREED = 2 / 3
 #: alignments that differ by so many tokens and an eighth of the item's are of one passage
 NEAR_SHIFT = 8
 #: items of fewer tokens are also posted in windows of ``SHORT`` tokens ...
@@ -59,94 +65,197 @@ def _unit_hashes() -> np.ndarray:
 _UNIT_HASHES = _unit_hashes()
 
 
-def template_tokens(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, token hash, value hash, is placeholder) per template token of a slice.
+def _letters() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(lower case of the same UTF-8 length, is upper, is lower) by code point up to U+FFFF."""
+    low = np.arange(1 << 16, dtype=np.uint32)
+    upper, lower = np.zeros(1 << 16, dtype=bool), np.zeros(1 << 16, dtype=bool)
+    for c in range(1 << 16):
+        ch = chr(c)
+        upper[c], lower[c] = ch.isupper(), ch.islower()
+        if upper[c] and len(ch.lower()) == 1 and len(ch.lower().encode()) == len(ch.encode()):
+            low[c] = ord(ch.lower())
+    return low, upper, lower
 
-    A number is a word of digits and their separators; a unit is a unit word after a
-    number; a name is a run of capitalised words (a capital, then a lower-case letter)
-    of which none begins a sentence or a line, and it is one token.
-    """
+
+_LOWER, _IS_UPPER, _IS_LOWER = _letters()
+
+
+def folded(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(lower-cased bytes, upper, lower): the flags stand at the first byte of a letter."""
+    out = LOWER_AZ[data]
+    upper, lower = (data >= 65) & (data <= 90), (data >= 97) & (data <= 122)
+    for at, width in ((np.flatnonzero((data >= 0xC2) & (data < 0xE0)), 2), (np.flatnonzero((data >= 0xE0) & (data < 0xF0)), 3)):
+        if len(at):
+            code = data[at].astype(np.uint32) & (0x1F if width == 2 else 0x0F)
+            for k in range(1, width):
+                code = code << 6 | data[at + k] & 0x3F
+            upper[at], lower[at] = _IS_UPPER[code], _IS_LOWER[code]
+            low = _LOWER[code]
+            for k in range(width - 1, 0, -1):
+                out[at + k] = 0x80 | low & 0x3F
+                low = low >> 6
+            out[at] = (0xC0 if width == 2 else 0xE0) | low
+    return out, upper, lower
+
+
+@dataclass
+class Form:
+    """One template form of the texts of a slice. Per token: ``row``, ``token`` and ``value`` hash,
+    ``role`` (what has to keep to one value: a number with the word it counts, else the
+    value itself), ``slot`` (is a placeholder). ``before[i]``: words before token ``i`` that
+    the first form takes otherwise."""
+
+    row: np.ndarray
+    token: np.ndarray
+    value: np.ndarray
+    role: np.ndarray
+    slot: np.ndarray
+    before: np.ndarray
+
+
+def bit_set(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
+    bit = (h >> np.uint64(40)).astype(np.int64)
+    return (bitmap[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def template_words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(row, start, end, hash, number, unit, capital, opens, breaks) per word, and the lower-cased
+    bytes: ``capital`` a capital and then a lower-case letter, ``opens`` first of a
+    sentence, a line or a text, ``breaks`` first of a sentence, a paragraph or a text."""
     w = Words(data, offs)
+    low, upper, lower = folded(data)
+    w.data = low
     row, start, end, h = plain_words(w)
-    if not len(row):
-        return row, h, h, np.zeros(0, dtype=bool)
-    lead = data[start]
     odd = np.concatenate(([0], np.cumsum(~_DIGITISH[data])))
+    lead = data[start]
     number = (lead >= 48) & (lead <= 57) & (odd[end] == odd[start])
     after_number = np.zeros(len(row), dtype=bool)
     after_number[1:] = number[:-1] & (row[1:] == row[:-1])
     unit = after_number & np.isin(h, _UNIT_HASHES)
     stops = np.concatenate(([0], np.cumsum(_STOP[data])))
-    opens = np.ones(len(row), dtype=bool)  # first of a sentence, a line or a text
-    opens[1:] = (row[1:] != row[:-1]) | (stops[start[1:]] > stops[end[:-1]])
-    second = data[np.minimum(start + 1, len(data) - 1)]
-    name = (lead >= 65) & (lead <= 90) & (end - start > 1) & (second >= 97) & (second <= 122) & ~opens
-    token, value = h.copy(), h.copy()
-    for flag, kind in ((number, "number"), (unit, "unit"), (name, "name")):
-        token[flag] = _PLACEHOLDER[kind]
-    # names in a row are one token, its value that of the whole run
-    inner = np.zeros(len(row), dtype=bool)
-    inner[1:] = name[1:] & name[:-1]
-    keep = np.flatnonzero(~inner)
-    runs = np.zeros(len(row), dtype=np.uint64)
-    runs[:] = value
-    if inner.any():
+    lines = np.concatenate(([0], np.cumsum(data == 0x0A)))
+    opens, breaks = np.ones(len(row), dtype=bool), np.ones(len(row), dtype=bool)
+    other = row[1:] != row[:-1]
+    stop, line = stops[start[1:]] - stops[end[:-1]], lines[start[1:]] - lines[end[:-1]]
+    opens[1:] = other | (stop > 0)
+    breaks[1:] = other | (stop > line) | (line > 1)
+    second = start + np.where(lead < 0xC2, 1, np.where(lead < 0xE0, 2, 3))
+    capital = upper[start] & (second < end) & lower[np.minimum(second, len(data) - 1)] if len(row) else np.zeros(0, dtype=bool)
+    return row, start, end, h, number, unit, capital, opens, breaks, low
+
+
+def template_forms(data: np.ndarray, offs: np.ndarray, known: np.ndarray) -> list[Form]:
+    """The texts of a slice in three template forms.
+
+    A number is a word of digits and their separators; a unit is a unit word after a
+    number. Names: in the first form capitalised words that don't begin a sentence or a
+    line, in the second one all capitalised words, in the third one the words of the
+    bitmap ``known``, in any case. A run of names in a sentence is one token.
+    """
+    row, start, end, h, number, unit, capital, opens, breaks, low = template_words(data, offs)
+    follows = np.zeros(len(row), dtype=np.uint64)
+    follows[:-1] = np.where(unit[1:], _PLACEHOLDER["unit"], h[1:])
+    forms: list[Form] = []
+    first: tuple[np.ndarray, np.ndarray] | None = None
+    for name in (capital & ~opens, capital & ~unit, bit_set(known, h) & ~number & ~unit):
+        token, value = h.copy(), h.copy()
+        for flag, kind in ((number, "number"), (unit, "unit"), (name, "name")):
+            token[flag] = _PLACEHOLDER[kind]
+        # names in a row are one token, its value that of the whole run
+        inner = np.zeros(len(row), dtype=bool)
+        inner[1:] = name[1:] & name[:-1] & ~breaks[1:]
+        first = first or (token, inner)
+        keep = np.flatnonzero(~inner)
         last = np.append(keep[1:], len(row)) - 1
         multi = np.flatnonzero(last > keep)
-        runs[keep[multi]] = span_hashes(LOWER_AZ[data], start[keep[multi]], end[last[multi]])
-    return row[keep], token[keep], runs[keep], (number | unit | name)[keep]
+        if len(multi):
+            value[keep[multi]] = span_hashes(low, start[keep[multi]], end[last[multi]])
+        role = np.where(number, mix(value + follows * np.uint64(3)), value)
+        differs = np.concatenate(([0], np.cumsum((token != first[0]) | (inner != first[1]))))
+        forms.append(Form(row[keep], token[keep], value[keep], role[keep], (number | unit | name)[keep], differs[np.append(keep, len(row))]))
+    return forms
 
 
-def _windows(texts: DataFrame, lengths: list[int], bitmap: np.ndarray | None, spans: bool) -> DataFrame:
-    """(id, at, len, h, slots) per window of ``lengths`` tokens with enough literal words that
-    passes ``bitmap``; with ``spans``, only windows that are whole texts of that length, have
-    the first (greatest) length, or the ``SHORT`` one in texts below ``SHORT_ITEM`` tokens. ``slots``: value hashes behind the placeholders."""
+def _windows(texts: DataFrame, lengths: list[int], known: np.ndarray, bitmap: np.ndarray | None) -> DataFrame:
+    """(id, at, len, h, tokens, slots, roles) per window of ``lengths`` tokens of every form with
+    enough literal words. Of the texts to be searched, those that pass ``bitmap``, a window
+    that two forms share once; without a bitmap, of the items: windows that are whole texts
+    of that length, have the first (greatest) length, or the ``SHORT`` one in texts below
+    ``SHORT_ITEM`` tokens. ``slots``, ``roles``: value and role hashes of the placeholders."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offs in slices(batches, "_text"):
-            row, token, value, slot = template_tokens(data, offs)
-            first = np.searchsorted(row, np.arange(part.num_rows + 1))
-            size = np.diff(first)
-            literal = np.concatenate(([0], np.cumsum(~slot)))
-            slots_before = np.concatenate(([0], np.cumsum(slot)))
-            slot_values = value[slot].view(np.int64)
-            out = []
-            for n in lengths:
-                if len(row) < n:
-                    continue
-                h = mix(window_hashes(token, n) + np.uint64(n))
-                at = np.flatnonzero((row[n - 1:] == row[:len(row) - n + 1]) & (literal[n:] - literal[:-n] >= min(LITERALS, n)))
-                if spans and n < WINDOW:
+            for i, form in enumerate(template_forms(data, offs, known)):
+                yield found(part, form, bitmap is None or i == 0)
+
+    def found(part: pa.RecordBatch, form: Form, whole: bool) -> pa.RecordBatch:
+        row, slot = form.row, form.slot
+        first = np.searchsorted(row, np.arange(part.num_rows + 1))
+        size = np.diff(first)
+        literal = np.concatenate(([0], np.cumsum(~slot)))
+        slots_before = np.concatenate(([0], np.cumsum(slot)))
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))]
+        for n in lengths:
+            if len(row) < n:
+                continue
+            h = mix(window_hashes(form.token, n) + np.uint64(n))
+            good = (row[n - 1:] == row[:len(row) - n + 1]) & (literal[n:] - literal[:-n] >= min(LITERALS, n))
+            if bitmap is not None:
+                at = np.flatnonzero(good if whole else good & (form.before[n:] > form.before[:-n]))
+                at = at[bit_set(bitmap, h[at])]
+            else:
+                at = np.flatnonzero(good)
+                if n < WINDOW:
                     at = at[(size[row[at]] == n) | (n == SHORT) & (size[row[at]] >= WINDOW) & (size[row[at]] < SHORT_ITEM)]
-                if bitmap is not None:
-                    bit = (h[at] >> np.uint64(40)).astype(np.int64)
-                    at = at[(bitmap[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)]
-                out.append((at, np.full(len(at), n), h[at]))
-            at, n, h = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
-            lo, hi = slots_before[at], slots_before[at + n]
-            ends = np.cumsum(hi - lo)
-            flat = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - (hi - lo), hi - lo) + np.repeat(lo, hi - lo)
-            lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(slot_values[flat]))
-            yield pa.RecordBatch.from_arrays(
-                [part.column("id").take(pa.array(row[at])), pa.array((at - first[row[at]]).astype(np.int64)),
-                 pa.array(n.astype(np.int32)), signed(h), lists], ["id", "at", "len", "h", "slots"])
-
-    return texts.mapInArrow(run, "id bigint, at bigint, len int, h bigint, slots array<bigint>")
-
-
-def _lengths(benchmark: DataFrame) -> list[int]:
+            out.append((at, np.full(len(at), n), h[at]))
+        at, n, h = (np.concatenate(x) for x in zip(*out))
+        lo, hi = slots_before[at], slots_before[at + n]
+        ends = np.cumsum(hi - lo)
+        flat = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - (hi - lo), hi - lo) + np.repeat(lo, hi - lo)
+        lists = [pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(x[slot].view(np.int64)[flat]))
+                 for x in (form.value, form.role)]
+        return pa.RecordBatch.from_arrays(
+            [part.column("id").take(pa.array(row[at])), pa.array((at - first[row[at]]).astype(np.int64)),
+             pa.array(n.astype(np.int32)), signed(h), pa.array(size[row[at]].astype(np.int32)), *lists],
+            ["id", "at", "len", "h", "tokens", "slots", "roles"])
+
+    return texts.mapInArrow(run, "id bigint, at bigint, len int, h bigint, tokens int, slots array<bigint>, roles array<bigint>")
+
+
+def _lengths(benchmark: DataFrame, known: np.ndarray) -> list[int]:
     """``WINDOW``, then ``SHORT`` and the token counts of items shorter than a window, at most
     ``WINDOW - LITERALS`` of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offs in slices(batches, "_text"):
-            row = template_tokens(data, offs)[0]
-            yield pa.RecordBatch.from_arrays([pa.array(np.bincount(row, minlength=part.num_rows))], ["n"])
+            for form in template_forms(data, offs, known):
+                yield pa.RecordBatch.from_arrays([pa.array(np.bincount(form.row, minlength=part.num_rows))], ["n"])
 
     short = benchmark.mapInArrow(run, "n bigint").where(F.col("n").between(LITERALS, WINDOW - 1)).distinct().collect()
     return [WINDOW, *sorted({SHORT, *(r.n for r in short)}, reverse=True)]
 
 
+def _names(benchmark: DataFrame) -> DataFrame:
+    """(h) of the words that stand as names in the items."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, data, offs in slices(batches, "_text"):
+            _, _, _, h, _, unit, capital, opens, _, _ = template_words(data, offs)
+            yield pa.RecordBatch.from_arrays([signed(np.unique(h[capital & ~opens & ~unit]))], ["h"])
+
+    return benchmark.mapInArrow(run, "h bigint")
+
+
+def _bitmap(hashes: DataFrame) -> np.ndarray:
+    """The bits of the column ``h``: at most BITMAP_BITS / 32 words come to the driver."""
+    bit = F.shiftrightunsigned("h", 40)
+    words = (hashes.select(F.shiftright(bit, 5).alias("word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.bitwiseAND(F.lit(31)).cast("int")).alias("bit"))
+             .groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas())
+    bitmap = np.zeros(BITMAP_BITS // 32, dtype=np.uint32)
+    bitmap[words["word"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64).astype(np.uint32)
+    return bitmap.view(np.uint8)
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
                   item_text: str = "text", coverage: float = COVERAGE) -> DataFrame:
     """(key, item_key, coverage, windows, first_token, reparameterised): one row per text and
@@ -162,30 +271,26 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     kinds = dict(docs.dtypes)[key], dict(benchmark.dtypes)[item_key]
     side = lambda df, k, t: df.where(F.col(k).isNotNull()).select(F.col(k).cast("bigint").alias("id"), F.col(t).alias("_text"))
     items = side(benchmark, item_key, item_text)
-    lengths = _lengths(items)
-    wanted = _windows(items, lengths, None, True)
-    # the bitmap: at most BITMAP_BITS / 64 words come to the driver
-    bit = F.shiftrightunsigned("h", 40)
-    words = (wanted.select(F.shiftright(bit, 5).alias("word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.bitwiseAND(F.lit(31)).cast("int")).alias("bit"))
-             .groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas())
-    bitmap = np.zeros(BITMAP_BITS // 32, dtype=np.uint32)
-    bitmap[words["word"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64).astype(np.uint32)
-    shared = bitmap.view(np.uint8)
-    found = _windows(side(docs, key, text), lengths, shared, False)
-    b = wanted.distinct().select(F.col("id").alias("item"), F.col("at").alias("iat"), "len", "h", F.col("slots").alias("islots"))
+    known = _bitmap(_names(items))
+    lengths = _lengths(items, known)
+    wanted = _windows(items, lengths, known, None)
+    found = _windows(side(docs, key, text), lengths, known, _bitmap(wanted))
+    b = wanted.distinct().select(F.col("id").alias("item"), F.col("at").alias("iat"), "len", "h", "tokens", F.col("slots").alias("islots"), F.col("roles").alias("iroles"))
     # its main windows are the longest ones
-    total = (b.groupBy("item", "len").agg(F.countDistinct("iat").alias("n"), F.max(F.col("iat") + F.col("len")).alias("end")).groupBy("item")
-             .agg(F.max("len").alias("main"), F.max_by("n", "len").alias("total"), F.max("end").alias("tokens")))
+    total = (b.groupBy("item", "len").agg(F.countDistinct("iat").alias("n"), F.max("tokens").alias("tokens")).groupBy("item")
+             .agg(F.max("len").alias("main"), F.max_by("n", "len").alias("total"), F.max("tokens").alias("tokens")))
     # written, so that the corpus is scanned once
-    hits = written(found.join(b, ["h", "len"]).where(F.size("slots") == F.size("islots"))
-            .select("id", "item", (F.col("at") - F.col("iat")).alias("shift"), "iat", "len", F.arrays_zip(F.col("islots").alias("b"), F.col("slots").alias("d")).alias("pairs")), "benchmark-hits")
-    # values of one alignment: at most the item's placeholders
-    values = (hits.select("id", "item", "shift", F.explode("pairs").alias("p")).groupBy("id", "item", "shift", "p.b")
-              .agg(F.min("p.d").alias("d"), F.max("p.d").alias("e"))
-              .groupBy("id", "item", "shift").agg(F.max((F.col("d") != F.col("e"))).alias("mixed"), F.max(F.col("d") != F.col("b")).alias("other")))
-    fits = (hits.join(values, ["id", "item", "shift"], "left").withColumn("mixed", F.coalesce("mixed", F.lit(False)))
-            .where(~F.col("mixed") | (F.size("pairs") == 0))
-            .select("id", "item", "shift", "iat", "len", (F.coalesce("other", F.lit(False)) & ~F.col("mixed")).alias("other")))
+    hits = written(found.drop("tokens", "roles").join(b.drop("tokens"), ["h", "len"]).where(F.size("slots") == F.size("islots"))
+            .select("id", "item", (F.col("at") - F.col("iat")).alias("shift"), "iat", "len", F.arrays_zip(F.col("iroles").alias("r"), F.col("islots").alias("b"), F.col("slots").alias("d")).alias("pairs")), "benchmark-hits")
+    # what each role of an alignment goes to (at most the item's placeholders): the value of most
+    # of its windows; windows with another value, or with a role that has none, don't count
+    agreed = (hits.select("id", "item", "shift", F.explode("pairs").alias("p")).groupBy("id", "item", "shift", "p.r", "p.d").agg(F.count(F.lit(1)).alias("k"))
+              .groupBy("id", "item", "shift", "r").agg(F.max_by("d", F.struct("k", "d")).alias("d"), (F.max("k") / F.sum("k")).alias("most"))
+              .where(F.col("most") >= AGREED)
+              .groupBy("id", "item", "shift").agg(F.map_from_entries(F.collect_list(F.struct("r", "d"))).alias("agreed")))
+    fits = (hits.join(agreed, ["id", "item", "shift"], "left")
+            .where(F.coalesce(F.forall("pairs", lambda p: F.col("agreed")[p["r"]] == p["d"]), F.lit(False)))
+            .select("id", "item", "shift", "iat", "len", F.exists("pairs", lambda p: p["b"] != p["d"]).alias("other")))
     # an added or missing word shifts the rest of a passage: alignments near each other add up, in
     # two grids of bands, so that any ``reach`` neighbouring shifts lie in one band
     reach = NEAR_SHIFT + F.floor(F.col("tokens") / 8)

@@ -33,6 +33,21 @@ def test_verbatim_reparameterised_and_inconsistent_questions(spark):
     assert got[1, 0].reparameterised and got[1, 0].coverage > 0.9
 
 
+def test_names_that_open_a_sentence_and_values_with_two_roles(spark):
+    bench = _bench(spark, "Tom has 5 apples. Tom buys 3 more. How many apples does Tom have?",
+                   "A basket on the old table holds 3 apples and 3 pears which were picked early this morning by the farmer",
+                   "Yesterday the painter Émile walked from the big house to Marie Curie before the rain and Émile sang while Marie Curie slept")
+    docs = _docs(spark, "Ann has 7 apples. Ann buys 9 more. How many apples does Ann have?",
+                 words(1, 30) + "\nA basket on the old table holds 4 apples and 7 pears which were picked early this morning by the farmer",
+                 "yesterday the painter émile walked from the big house to marie curie before the rain and émile sang while marie curie slept",
+                 "Yesterday the painter\nOlga walked from the big house\nto Ödön before the rain and\nOlga sang while Ödön\nslept",
+                 "YESTERDAY THE PAINTER ÉMILE WALKED FROM THE BIG HOUSE TO MARIE CURIE", words(2, 90))
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.contamination(docs, bench).collect()}
+    assert set(got) == {(0, 0), (1, 1), (2, 2), (3, 2), (4, 2)}
+    assert got[0, 0].coverage == 1.0 and got[2, 2].coverage == 1.0
+    assert {k: r.reparameterised for k, r in got.items()} == {(0, 0): True, (1, 1): True, (2, 2): False, (3, 2): True, (4, 2): False}
+
+
 def test_near_copies_with_added_and_dropped_words(spark):
     long, short, tiny = words(60, 59).split(), words(61, 20).split(), words(62, 13).split()
     bench = _bench(spark, *(" ".join(x) for x in (long, short, tiny)))
