@@ -29,8 +29,9 @@ from quarry.llm.store import written
 from quarry.llm.textops import LOWER_AZ, Words, mix, signed, slices, span_hashes, window_hashes
 
 WINDOW = 8
-#: least words of a window that are no placeholder
+#: least words of a window that are no placeholder, for it to match with other values
 LITERALS = 4
+EXACT = np.uint64(0x9FB21C651E98DF25)
 #: least share of an item's windows that must stand in a text on near alignments
 COVERAGE = 0.3
 BITMAP_BITS = 1 << 24
@@ -98,11 +99,43 @@ def folded(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out, upper, lower
 
 
+#: scripts written without spaces: a character is a word (ranges of code points)
+UNSEGMENTED = ((0x0E00, 0x0E7F), (0x0E80, 0x0EFF), (0x0F00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3040, 0x30FF),
+               (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F))
+WIDE_PUNCTUATION = ((0x3000, 0x3004), (0x3008, 0x303F), (0xFF01, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65))
+WIDE_STOPS = (0x3002, 0xFF01, 0xFF1A, 0xFF1B, 0xFF1F, 0xFF61)
+_SPLIT = np.zeros(1 << 16, dtype=np.uint8)  # 1 a word of its own, 2 no part of a word, 3 also ends a sentence
+for _kind, _ranges in ((1, UNSEGMENTED), (2, WIDE_PUNCTUATION), (3, [(c, c) for c in WIDE_STOPS])):
+    for _lo, _hi in _ranges:
+        _SPLIT[_lo:_hi + 1] = _kind
+
+
+def split_words(w: Words, stops: np.ndarray) -> None:
+    """Cut the words of ``w`` around each character of an unsegmented script, drop wide
+    punctuation, and mark in ``stops`` the bytes at which such a sentence ends."""
+    data = w.data
+    at = np.flatnonzero((data >= 0xE0) & (data < 0xF0))
+    code = (data[at].astype(np.uint32) & 0x0F) << 12 | (data[at + 1].astype(np.uint32) & 0x3F) << 6 | data[at + 2] & 0x3F
+    kind = _SPLIT[code]
+    rare = np.flatnonzero(data == 0xF0)  # the ideographs beyond U+FFFF
+    rare = rare[data[rare + 1] >= 0xA0]
+    if not kind.any() and not len(rare):
+        return
+    stops[at[kind == 3]] = True
+    cuts = np.unique(np.concatenate((at[kind > 0], at[kind > 0] + 3, rare, rare + 4)))
+    inside = np.searchsorted(w.start, cuts, "right") - 1
+    cuts = cuts[(inside >= 0) & (cuts > w.start[inside]) & (cuts < w.end[inside])]
+    start, end = np.union1d(w.start, cuts), np.union1d(w.end, cuts)
+    row = w.row[np.searchsorted(w.start, start, "right") - 1]
+    keep = ~np.isin(start, at[kind > 1])
+    w.start, w.end, w.row = start[keep], end[keep], row[keep]
+
+
 @dataclass
 class Form:
     """One template form of the texts of a slice. Per token: ``row``, ``token`` and ``value`` hash,
     ``role`` (what has to keep to one value: a number with the word it counts, else the
-    value itself), ``slot`` (is a placeholder). ``before[i]``: words before token ``i`` that
+    value itself), ``slot`` (is a placeholder), ``opens``. ``before[i]``: words before token ``i`` that
     the first form takes otherwise."""
 
     row: np.ndarray
@@ -110,6 +143,7 @@ class Form:
     value: np.ndarray
     role: np.ndarray
     slot: np.ndarray
+    opens: np.ndarray
     before: np.ndarray
 
 
@@ -125,6 +159,8 @@ def template_words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]
     w = Words(data, offs)
     low, upper, lower = folded(data)
     w.data = low
+    ends = _STOP[data]
+    split_words(w, ends)
     row, start, end, h = plain_words(w)
     odd = np.concatenate(([0], np.cumsum(~_DIGITISH[data])))
     lead = data[start]
@@ -132,7 +168,7 @@ def template_words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]
     after_number = np.zeros(len(row), dtype=bool)
     after_number[1:] = number[:-1] & (row[1:] == row[:-1])
     unit = after_number & np.isin(h, _UNIT_HASHES)
-    stops = np.concatenate(([0], np.cumsum(_STOP[data])))
+    stops = np.concatenate(([0], np.cumsum(ends)))
     lines = np.concatenate(([0], np.cumsum(data == 0x0A)))
     opens, breaks = np.ones(len(row), dtype=bool), np.ones(len(row), dtype=bool)
     other = row[1:] != row[:-1]
@@ -172,13 +208,15 @@ def template_forms(data: np.ndarray, offs: np.ndarray, known: np.ndarray) -> lis
             value[keep[multi]] = span_hashes(low, start[keep[multi]], end[last[multi]])
         role = np.where(number, mix(value + follows * np.uint64(3)), value)
         differs = np.concatenate(([0], np.cumsum((token != first[0]) | (inner != first[1]))))
-        forms.append(Form(row[keep], token[keep], value[keep], role[keep], (number | unit | name)[keep], differs[np.append(keep, len(row))]))
+        forms.append(Form(row[keep], token[keep], value[keep], role[keep], (number | unit | name)[keep], opens[keep], differs[np.append(keep, len(row))]))
     return forms
 
 
 def _windows(texts: DataFrame, lengths: list[int], known: np.ndarray, bitmap: np.ndarray | None) -> DataFrame:
-    """(id, at, len, h, tokens, slots, roles) per window of ``lengths`` tokens of every form with
-    enough literal words. Of the texts to be searched, those that pass ``bitmap``, a window
+    """(id, at, len, h, tokens, exact, slots, roles) per window of ``lengths`` tokens of every form.
+    A window without enough literal words is ``exact``: its hash is that of the words
+    themselves. One of fewer than ``LITERALS`` tokens, which could stand anywhere, is only
+    taken if sentence or line borders stand before and after it. Of the texts to be searched, those that pass ``bitmap``, a window
     that two forms share once; without a bitmap, of the items: windows that are whole texts
     of that length, have the first (greatest) length, or the ``SHORT`` one in texts below
     ``SHORT_ITEM`` tokens. ``slots``, ``roles``: value and role hashes of the placeholders."""
@@ -194,12 +232,16 @@ def _windows(texts: DataFrame, lengths: list[int], known: np.ndarray, bitmap: np
         size = np.diff(first)
         literal = np.concatenate(([0], np.cumsum(~slot)))
         slots_before = np.concatenate(([0], np.cumsum(slot)))
-        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))]
+        alone = np.append(form.opens, True)
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool))]
         for n in lengths:
             if len(row) < n:
                 continue
-            h = mix(window_hashes(form.token, n) + np.uint64(n))
-            good = (row[n - 1:] == row[:len(row) - n + 1]) & (literal[n:] - literal[:-n] >= min(LITERALS, n))
+            exact = literal[n:] - literal[:-n] < LITERALS
+            h = mix(np.where(exact, window_hashes(form.value, n) + EXACT, window_hashes(form.token, n)) + np.uint64(n))
+            good = row[n - 1:] == row[:len(row) - n + 1]
+            if n < LITERALS:
+                good &= alone[:-n] & alone[n:]
             if bitmap is not None:
                 at = np.flatnonzero(good if whole else good & (form.before[n:] > form.before[:-n]))
                 at = at[bit_set(bitmap, h[at])]
@@ -207,8 +249,8 @@ def _windows(texts: DataFrame, lengths: list[int], known: np.ndarray, bitmap: np
                 at = np.flatnonzero(good)
                 if n < WINDOW:
                     at = at[(size[row[at]] == n) | (n == SHORT) & (size[row[at]] >= WINDOW) & (size[row[at]] < SHORT_ITEM)]
-            out.append((at, np.full(len(at), n), h[at]))
-        at, n, h = (np.concatenate(x) for x in zip(*out))
+            out.append((at, np.full(len(at), n), h[at], exact[at]))
+        at, n, h, exact = (np.concatenate(x) for x in zip(*out))
         lo, hi = slots_before[at], slots_before[at + n]
         ends = np.cumsum(hi - lo)
         flat = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - (hi - lo), hi - lo) + np.repeat(lo, hi - lo)
@@ -216,22 +258,21 @@ def _windows(texts: DataFrame, lengths: list[int], known: np.ndarray, bitmap: np
                  for x in (form.value, form.role)]
         return pa.RecordBatch.from_arrays(
             [part.column("id").take(pa.array(row[at])), pa.array((at - first[row[at]]).astype(np.int64)),
-             pa.array(n.astype(np.int32)), signed(h), pa.array(size[row[at]].astype(np.int32)), *lists],
-            ["id", "at", "len", "h", "tokens", "slots", "roles"])
+             pa.array(n.astype(np.int32)), signed(h), pa.array(size[row[at]].astype(np.int32)), pa.array(exact), *lists],
+            ["id", "at", "len", "h", "tokens", "exact", "slots", "roles"])
 
-    return texts.mapInArrow(run, "id bigint, at bigint, len int, h bigint, tokens int, slots array<bigint>, roles array<bigint>")
+    return texts.mapInArrow(run, "id bigint, at bigint, len int, h bigint, tokens int, exact boolean, slots array<bigint>, roles array<bigint>")
 
 
 def _lengths(benchmark: DataFrame, known: np.ndarray) -> list[int]:
-    """``WINDOW``, then ``SHORT`` and the token counts of items shorter than a window, at most
-    ``WINDOW - LITERALS`` of them."""
+    """``WINDOW``, then ``SHORT`` and the token counts of items shorter than a window."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offs in slices(batches, "_text"):
             for form in template_forms(data, offs, known):
                 yield pa.RecordBatch.from_arrays([pa.array(np.bincount(form.row, minlength=part.num_rows))], ["n"])
 
-    short = benchmark.mapInArrow(run, "n bigint").where(F.col("n").between(LITERALS, WINDOW - 1)).distinct().collect()
+    short = benchmark.mapInArrow(run, "n bigint").where(F.col("n").between(1, WINDOW - 1)).distinct().collect()
     return [WINDOW, *sorted({SHORT, *(r.n for r in short)}, reverse=True)]
 
 
@@ -264,8 +305,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     ``NEARLY`` of the tokens in windows of ``WINDOW`` or ``SHORT`` tokens.
 
     ``reparameterised`` tells that some value differs. Null and empty texts, and rows with a
-    null key on either side, have no rows; items with fewer than ``LITERALS`` literal words
-    can't be told from chance and match nothing. Rows that repeat a key count as one.
+    null key on either side, have no rows. Windows with fewer than ``LITERALS`` literal words
+    match only word by word; ``coverage`` is the greater of the shares of all windows and
+    of those that can match with other values. An item of fewer than ``LITERALS`` tokens
+    is found where it is a line or a sentence of its own. Rows that repeat a key count as one.
     Other columns are not carried. Keys are integers.
     """
     kinds = dict(docs.dtypes)[key], dict(benchmark.dtypes)[item_key]
@@ -275,13 +318,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     lengths = _lengths(items, known)
     wanted = _windows(items, lengths, known, None)
     found = _windows(side(docs, key, text), lengths, known, _bitmap(wanted))
-    b = wanted.distinct().select(F.col("id").alias("item"), F.col("at").alias("iat"), "len", "h", "tokens", F.col("slots").alias("islots"), F.col("roles").alias("iroles"))
-    # its main windows are the longest ones
-    total = (b.groupBy("item", "len").agg(F.countDistinct("iat").alias("n"), F.max("tokens").alias("tokens")).groupBy("item")
-             .agg(F.max("len").alias("main"), F.max_by("n", "len").alias("total"), F.max("tokens").alias("tokens")))
+    b = wanted.distinct().select(F.col("id").alias("item"), F.col("at").alias("iat"), "len", "h", "tokens", "exact", F.col("slots").alias("islots"), F.col("roles").alias("iroles"))
+    # its main windows are the longest ones; ``free`` of them can match with other values
+    total = (b.groupBy("item", "len", "iat").agg(F.min("exact").alias("exact"), F.max("tokens").alias("tokens"))
+             .groupBy("item", "len").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("exact")).alias("free"), F.max("tokens").alias("tokens")).groupBy("item")
+             .agg(F.max("len").alias("main"), F.max_by("n", "len").alias("total"), F.max_by("free", "len").alias("free"), F.max("tokens").alias("tokens")))
     # written, so that the corpus is scanned once
-    hits = written(found.drop("tokens", "roles").join(b.drop("tokens"), ["h", "len"]).where(F.size("slots") == F.size("islots"))
-            .select("id", "item", (F.col("at") - F.col("iat")).alias("shift"), "iat", "len", F.arrays_zip(F.col("iroles").alias("r"), F.col("islots").alias("b"), F.col("slots").alias("d")).alias("pairs")), "benchmark-hits")
+    hits = written(found.drop("tokens", "exact", "roles").join(b.drop("tokens"), ["h", "len"]).where(F.size("slots") == F.size("islots"))
+            .select("id", "item", (F.col("at") - F.col("iat")).alias("shift"), "iat", "len", "exact", F.arrays_zip(F.col("iroles").alias("r"), F.col("islots").alias("b"), F.col("slots").alias("d")).alias("pairs")), "benchmark-hits")
     # what each role of an alignment goes to (at most the item's placeholders): the value of most
     # of its windows; windows with another value, or with a role that has none, don't count
     agreed = (hits.select("id", "item", "shift", F.explode("pairs").alias("p")).groupBy("id", "item", "shift", "p.r", "p.d").agg(F.count(F.lit(1)).alias("k"))
@@ -290,20 +334,21 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
               .groupBy("id", "item", "shift").agg(F.map_from_entries(F.collect_list(F.struct("r", "d"))).alias("agreed")))
     fits = (hits.join(agreed, ["id", "item", "shift"], "left")
             .where(F.coalesce(F.forall("pairs", lambda p: F.col("agreed")[p["r"]] == p["d"]), F.lit(False)))
-            .select("id", "item", "shift", "iat", "len", F.exists("pairs", lambda p: p["b"] != p["d"]).alias("other")))
+            .select("id", "item", "shift", "iat", "len", "exact", F.exists("pairs", lambda p: p["b"] != p["d"]).alias("other")))
     # an added or missing word shifts the rest of a passage: alignments near each other add up, in
     # two grids of bands, so that any ``reach`` neighbouring shifts lie in one band
     reach = NEAR_SHIFT + F.floor(F.col("tokens") / 8)
     bands = fits.join(total, "item").select(
         "*", F.explode(F.array(F.floor(F.col("shift") / (2 * reach)) * 2, F.floor((F.col("shift") + reach) / (2 * reach)) * 2 + 1)).alias("band"))
     # a window that is repeated on one side only counts once
-    near = (bands.groupBy("id", "item", "band", "tokens", "total").agg(
-        F.least(F.countDistinct(F.when(F.col("len") == F.col("main"), F.col("iat"))),
-                F.countDistinct(F.when(F.col("len") == F.col("main"), F.col("iat") + F.col("shift")))).alias("n"),
-        F.size(F.array_distinct(F.flatten(F.collect_set(F.when(F.col("tokens") < SHORT_ITEM, F.expr("sequence(iat, iat + len - 1)")))))).alias("iall"),
-        F.size(F.array_distinct(F.flatten(F.collect_set(F.when(F.col("tokens") < SHORT_ITEM, F.expr("sequence(iat + shift, iat + shift + len - 1)")))))).alias("dall"),
+    count = lambda flag: F.least(*(F.size(F.collect_set(F.when(flag, x))) for x in (F.col("iat"), F.col("iat") + F.col("shift"))))
+    covered = lambda at: F.size(F.array_distinct(F.flatten(F.collect_set(
+        F.when(F.col("tokens") < SHORT_ITEM, F.expr(f"sequence({at}, {at} + len - 1)"))))))
+    main = F.col("len") == F.col("main")
+    near = (bands.groupBy("id", "item", "band", "tokens", "total", "free").agg(
+        count(main).alias("n"), count(main & ~F.col("exact")).alias("templates"), covered("iat").alias("iall"), covered("iat + shift").alias("dall"),
         F.min(F.col("iat") + F.col("shift")).alias("first"), F.max("other").alias("other"))
-        .withColumn("share", F.col("n") / F.col("total"))
+        .withColumn("share", F.greatest(F.col("n") / F.col("total"), F.try_divide(F.col("templates"), F.col("free"))))
         .withColumn("near", F.least("iall", "dall") / F.col("tokens")))
     best = (near.where((F.col("share") >= coverage) | (F.col("near") >= NEARLY))
             .groupBy("id", "item").agg(F.max(F.struct("share", "near", "n", (-F.col("first")).alias("first"), "other")).alias("m")))

@@ -48,6 +48,18 @@ def test_names_that_open_a_sentence_and_values_with_two_roles(spark):
     assert {k: r.reparameterised for k, r in got.items()} == {(0, 0): True, (1, 1): True, (2, 2): False, (3, 2): True, (4, 2): False}
 
 
+def test_items_with_few_literals_or_without_spaces(spark):
+    zh = "小明有五个苹果，他又买了三个苹果。请问小明现在一共有多少个苹果？"
+    th = "แดงมีแอปเปิ้ลห้าลูกและซื้ออีกสามลูก"
+    bench = _bench(spark, "Compute 12 + 34 - 5 * 6 + 78 / 9", zh, th, "Sum 1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16", "12 + 34", "谁？", "明日は晴れ")
+    docs = _docs(spark, words(1, 30) + " Compute 12 + 34 - 5 * 6 + 78 / 9 " + words(2, 9), "前言。" + zh + "后记，" + zh[:5], words(3, 5) + " " + th + "ครับ",
+                 "sum 1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 of them", "Sum 2 1 4 3 6 5 8 7 10 9 12 11 14 13 16 15", "so\n12 + 34\nand",
+                 "room 12 34 is free", "他说：谁？我说谁都好。", "Compute 13 + 35 - 6 * 7 + 79 / 8", "きっと明日は晴れるよ", "小明有很多书，他又看了几本书。" * 3)
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.contamination(docs, bench).collect()}
+    assert set(got) == {(0, 0), (1, 1), (2, 2), (3, 3), (5, 4), (7, 5), (9, 6)}
+    assert all(r.coverage == 1.0 and not r.reparameterised for r in got.values())
+
+
 def test_near_copies_with_added_and_dropped_words(spark):
     long, short, tiny = words(60, 59).split(), words(61, 20).split(), words(62, 13).split()
     bench = _bench(spark, *(" ".join(x) for x in (long, short, tiny)))
