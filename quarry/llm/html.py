@@ -55,7 +55,7 @@ CLOSED_BY_SAME = frozenset("p li dt dd tr td th option".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                   r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-_NAMED = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=][^\s\"'>/=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?|\"[^\"]*\"|'[^']*'")
 _SPACE = re.compile(r"\s+")
 _DIGITS = re.compile(r"\d+")
 
@@ -81,21 +81,23 @@ class Block:
     text: str
 
 
-def _names(attributes: str, in_article: bool) -> tuple[str, bool]:
+def _attributes(text: str) -> dict[str, str]:
+    """Lower-cased attribute values of a tag by name; the first of a name counts."""
+    found: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(text):
+        if m[1]:
+            found.setdefault(m[1].lower(), (m[2] or m[3] or m[4] or "").lower())
+    return found
+
+
+def _names(attributes: dict[str, str], in_article: bool) -> tuple[str, bool]:
     """(class words without digits, whether a name or attribute marks the element as cut). The
     header of an article is part of it, that of a page is not."""
-    words, cut = [], False
+    cut = "hidden" in attributes or attributes.get("aria-hidden") == "true"
     marks = CUT_NAMES - {"header"} if in_article else CUT_NAMES
-    for m in _NAMED.finditer(attributes):
-        kind, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if kind == "hidden" or kind == "aria-hidden" and value == "true":
-            cut = True
-        elif kind != "aria-hidden":
-            parts = re.split(r"[\s_\-:]+", value)
-            cut |= any(p in marks for p in parts)
-            if kind == "class":
-                words.append(_DIGITS.sub("", value))
-    return ".".join(words), cut
+    for kind in ("class", "id", "role"):
+        cut |= any(p in marks for p in re.split(r"[\s_\-:]+", attributes.get(kind, "")))
+    return _DIGITS.sub("", attributes.get("class", "")), cut
 
 
 def parse(page: str) -> tuple[list[Block], dict[str, str]]:
@@ -150,8 +152,9 @@ def parse(page: str) -> tuple[list[Block], dict[str, str]]:
         if tag in VOID:
             continue
         up = stack[-1]
-        words, named = _names(m[3], up.article)
-        article = up.article or tag in ("article", "main") or "role" in m[3] and re.search(r"role\s*=\s*[\"']?(main|article)\b", m[3]) is not None
+        attributes = _attributes(m[3])
+        words, named = _names(attributes, up.article)
+        article = up.article or tag in ("article", "main") or not {"main", "article"}.isdisjoint(attributes.get("role", "").split())
         cut = up.cut or tag in CUT or named and tag not in ("body", "html") or tag == "header" and not up.article
         if cut and not up.cut:
             flush()

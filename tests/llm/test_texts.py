@@ -165,6 +165,18 @@ def test_main_text_of_one_page(spark):
     assert html.main_text(_pages(spark, [])).collect() == []
 
 
+def _text(page):
+    return "\n".join(b.text for b in html.taken(html.parse(page)[0]))
+
+
+def test_only_whole_attributes_count():
+    assert _text("<article style='overflow:hidden' title=\"Hidden gems\"><p data-id='ad' data-role=\"search\">Kept</p>"
+                 "<p data-text=\"class='ad' hidden\" data-hidden>Also</p><p hidden>A</p><p HIDDEN=''>B</p><p title='x'hidden>C</p>"
+                 "<p aria-hidden=true>D</p><p aria-hidden='false'>E</p><p id = ad>F</p></article>") == "Kept\nAlso\nE"
+    assert _text("<p>Out</p><div data-role='main'><p>In</p></div>") == "Out\nIn"
+    assert _text("<p>Out</p><div class=x role='main'><p>In</p></div>") == "In"
+
+
 def test_style_tree_removes_what_a_host_repeats(spark):
     def page(i, host):
         return (i, f"http://{host}/p{i}", f"<body><div class='strip'><p>Welcome to our site</p><p>Call us now</p></div>"
