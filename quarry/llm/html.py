@@ -4,7 +4,8 @@ The pages of one host are merged into a tree of elements: a node is an element p
 with their class words, digits dropped). Its presentation is the sequence of child tags a
 page shows there, its content the texts it holds. Both are measured by entropy over the
 host's pages: a node that looks alike and says the same on many pages has a low
-importance, and its branch is removed from every page. The counts are Spark aggregations
+importance, and its branch is removed from every page, unless a page has no other text.
+Pages with the same text are one page of evidence. The counts are Spark aggregations
 (host, path, feature), so a host with a third of all pages is summed like any other.
 
 A host with fewer than ``MIN_PAGES`` pages of a node gives no evidence to judge it by, and
@@ -58,6 +59,7 @@ _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=][^\s\"'>/=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?|\"[^\"]*\"|'[^']*'")
 _SPACE = re.compile(r"\s+")
 _DIGITS = re.compile(r"\d+")
+_NUMBERS = re.compile(r"\b\d+\b")
 
 
 @dataclass
@@ -195,14 +197,20 @@ def taken(blocks: list[Block]) -> list[Block]:
     return [b for b in left if b.article] or left
 
 
+def _body(blocks: list[Block]) -> int:
+    """Hash of a page's text as the vocabulary leaves it, without numbers (dates, counters)."""
+    return _hash("\n".join(_NUMBERS.sub("", b.text) for b in taken(blocks)))
+
+
 def _features(pages: DataFrame) -> DataFrame:
-    """(host, path, style, feature), one row per page, node and distinct feature; running text
-    of a marked article is left out."""
+    """(host, path, style, feature), one row per distinct page body of a host, node and distinct
+    feature; running text of a marked article is left out. Copies of a page are one page
+    of evidence: the host repeats itself there, but not its frame."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, paths, kinds, features = [], [], [], []
-            for host, page in zip(batch.column("host").to_pylist(), batch.column("_html").to_pylist()):
+            bodies, features = [], []
+            for page in batch.column("_html").to_pylist():
                 blocks, styles = parse(page or "")
                 found = set()
                 for b in blocks:
@@ -213,15 +221,13 @@ def _features(pages: DataFrame) -> DataFrame:
                         node = _hash(path)
                         found.add((node, False, content))
                         found.add((node, True, _hash(styles.get(path, ""))))
-                for path, kind, feature in found:
-                    hosts.append(host)
-                    paths.append(path)
-                    kinds.append(kind)
-                    features.append(feature)
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.int64()), pa.array(kinds, pa.bool_()), pa.array(features, pa.int64())],
-                                             ["host", "path", "style", "feature"])
+                bodies.append(_body(blocks))
+                features.append([{"path": p, "style": k, "feature": f} for p, k, f in sorted(found)])
+            row = pa.list_(pa.struct([("path", pa.int64()), ("style", pa.bool_()), ("feature", pa.int64())]))
+            yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(bodies, pa.int64()), pa.array(features, row)], ["host", "body", "found"])
 
-    return pages.select("host", "_html").mapInArrow(run, "host string, path bigint, style boolean, feature bigint")
+    each = pages.select("host", "_html").mapInArrow(run, "host string, body bigint, found array<struct<path: bigint, style: boolean, feature: bigint>>")
+    return each.groupBy("host", "body").agg(F.min("found").alias("found")).select("host", F.inline("found"))
 
 
 def node_importance(features: DataFrame) -> DataFrame:
@@ -268,8 +274,8 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
                         return False
                     return any(_hash(path) in gone for path in branches(b.path))
 
-                blocks, _ = parse(page or "")
-                texts.append("\n".join(b.text for b in taken(blocks) if not removed(b)))
+                left = taken(parse(page or "")[0])
+                texts.append("\n".join(b.text for b in [b for b in left if not removed(b)] or left))  # never the whole text
             yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_url"), pa.array(texts, pa.string())], [key, url, "text"])
 
     return judged.select("_id", "_url", "_html", "low").mapInArrow(run, f"`{key}` {kind}, `{url}` {url_kind}, text string")

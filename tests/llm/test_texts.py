@@ -187,6 +187,24 @@ def test_style_tree_removes_what_a_host_repeats(spark):
     assert got[100].startswith("Welcome")  # one page gives no evidence
 
 
+def test_copies_of_a_page_are_one_page_of_evidence(spark):
+    def page(i, host, text, date=""):
+        return (i, f"http://{host}/p{i}", f"<body><div class='story'><p>{text}</p><div>{text[:20]}</div>{date}</div></body>", "", "", "")
+    def framed(i, text):
+        return (i, f"http://frame/p{i}", f"<body><div class='strip'><p>Welcome</p></div><article><div>{text}</div></article><div class='s{i}'></div></body>", "", "", "")
+    texts = [words(300 + i, 30) for i in range(12)]
+    rows = [page(i, "one", texts[0], f"<p>{i}.5.2020</p>") for i in range(10)] + [page(100 + i, "two", texts[i % 2]) for i in range(200)]
+    rows += [framed(1000 + i, texts[i % 2]) for i in range(60)]
+    strip = "<div class='strip'><p>Welcome to us</p></div>"
+    rows += [(2000 + i, "http://many/", f"<body>{strip}<div class='story'><p>{texts[i % 12]}</p></div></body>", "", "", "") for i in range(240)]
+    rows += [(3000, "http://many/", f"<body>{strip}</body>", "", "", "")]
+    got = {r.page_id: r.text for r in html.main_text(_pages(spark, rows)).collect()}
+    assert all(got[i].startswith(texts[0]) for i in range(10)) and all(got[100 + i].startswith(texts[i % 2]) for i in range(200))
+    assert all(got[1000 + i] == texts[i % 2] for i in range(60))
+    assert all(got[2000 + i] == texts[i % 12] for i in range(240))  # what frames 12 distinct texts still goes
+    assert got[3000] == "Welcome to us"
+
+
 def test_importance_is_the_entropy_formula(spark):
     # 4 pages: one style everywhere; texts a on all, b on two pages, c and d on one
     rows = [("h", 1, True, 9)] * 4 + [("h", 1, False, 1)] * 4 + [("h", 1, False, 2)] * 2 + [("h", 1, False, 3), ("h", 1, False, 4)]
