@@ -51,6 +51,14 @@ CUT_NAMES = frozenset("""ad ads adv advert adverts advertisement advertising ban
 nav navbar navigation breadcrumb breadcrumbs footer header masthead topbar cookie cookies consent gdpr notice notices popup modal
 overlay newsletter subscribe subscription signup login share sharing social related recommended comment comments reply replies
 respond disqus widget toolbar pagination pager skip copyright complementary contentinfo search""".split())
+#: parts that say nothing of an element's content: with one of CUT_NAMES they make a compound (ad-slot, share-buttons, site-footer)
+STRUCTURE = frozenset("""area articles bar big block body bottom box btn button buttons cell center col column container desktop
+fixed floating form group holder icon icons inline inner item items large left link links list main media mobile outer page panel post
+posts primary right row secondary section site slot small space sticky stories text thread toggle tools top unit us view wrap wrapper
+zone js wp google""".split())
+#: ids that mark an element inside a marked article as cut, where ids are heading slugs
+ARTICLE_IDS = frozenset("comments respond disqus disqus_thread sidebar breadcrumbs newsletter-signup cookie-banner".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 FRAME = frozenset("html body main article".split())
 CLOSED_BY_SAME = frozenset("p li dt dd tr td th option".split())
 
@@ -92,14 +100,26 @@ def _attributes(text: str) -> dict[str, str]:
     return found
 
 
-def _names(attributes: dict[str, str], in_article: bool) -> tuple[str, bool]:
+def _marked(name: str, marks: frozenset[str]) -> bool:
+    """Whether a name is one of ``marks``, or a compound of them and STRUCTURE words."""
+    parts = {_DIGITS.sub("", p) for p in re.split(r"[_\-:]+", name)}
+    if not parts.isdisjoint(("post", "entry", "article")):
+        marks = marks - {"header"}
+    return not parts.isdisjoint(marks) and all(p in marks or p in STRUCTURE or len(p) < 2 for p in parts)
+
+
+def _names(tag: str, attributes: dict[str, str], in_article: bool) -> tuple[str, bool]:
     """(class words without digits, whether a name or attribute marks the element as cut). The
     header of an article is part of it, that of a page is not."""
     cut = "hidden" in attributes or attributes.get("aria-hidden") == "true"
     marks = CUT_NAMES - {"header"} if in_article else CUT_NAMES
-    for kind in ("class", "id", "role"):
-        cut |= any(p in marks for p in re.split(r"[\s_\-:]+", attributes.get(kind, "")))
-    return _DIGITS.sub("", attributes.get("class", "")), cut
+    named = [*attributes.get("class", "").split(), *attributes.get("role", "").split()]
+    slug = attributes.get("id", "").strip()
+    if in_article:
+        cut |= slug in ARTICLE_IDS
+    elif tag not in HEADINGS:
+        named.append(slug)
+    return _DIGITS.sub("", attributes.get("class", "")), cut or any(_marked(n, marks) for n in named)
 
 
 def parse(page: str) -> tuple[list[Block], dict[str, str]]:
@@ -155,7 +175,7 @@ def parse(page: str) -> tuple[list[Block], dict[str, str]]:
             continue
         up = stack[-1]
         attributes = _attributes(m[3])
-        words, named = _names(attributes, up.article)
+        words, named = _names(tag, attributes, up.article)
         article = up.article or tag in ("article", "main") or not {"main", "article"}.isdisjoint(attributes.get("role", "").split())
         cut = up.cut or tag in CUT or named and tag not in ("body", "html") or tag == "header" and not up.article
         if cut and not up.cut:

@@ -172,7 +172,7 @@ def _text(page):
 def test_only_whole_attributes_count():
     assert _text("<article style='overflow:hidden' title=\"Hidden gems\"><p data-id='ad' data-role=\"search\">Kept</p>"
                  "<p data-text=\"class='ad' hidden\" data-hidden>Also</p><p hidden>A</p><p HIDDEN=''>B</p><p title='x'hidden>C</p>"
-                 "<p aria-hidden=true>D</p><p aria-hidden='false'>E</p><p id = ad>F</p></article>") == "Kept\nAlso\nE"
+                 "<p aria-hidden=true>D</p><p aria-hidden='false'>E</p><p class = ad>F</p></article>") == "Kept\nAlso\nE"
     assert _text("<p>Out</p><div data-role='main'><p>In</p></div>") == "Out\nIn"
     assert _text("<p>Out</p><div class=x role='main'><p>In</p></div>") == "In"
 
@@ -187,6 +187,14 @@ def test_style_tree_removes_what_a_host_repeats(spark):
     assert got[100].startswith("Welcome")  # one page gives no evidence
 
 
+def test_heading_slugs_and_compound_names():
+    body = ("<section id='related-work'><h2 id='social-history'>A</h2></section><section id='search-algorithms'><h2 id='search'>B</h2></section>"
+            "<p class='share-price'>C</p><div class='big comment-syntax'>D</div><h2 class='post-header'>E</h2>")
+    ads = ("<div class='ad-slot ad-300x250'>x</div><div class='share-buttons'>x</div><div class='widget_2'>x</div><div class='post-share'>x</div>"
+           "<div role='search'>x</div><div id='comments'>x</div><ul class='related-posts'><li>x</ul>")
+    assert _text(f"<article>{body}{ads}</article>") == _text(f"<div>{body}{ads}</div>") == "A\nB\nC\nD\nE"
+
+
 def test_copies_of_a_page_are_one_page_of_evidence(spark):
     def page(i, host, text, date=""):
         return (i, f"http://{host}/p{i}", f"<body><div class='story'><p>{text}</p><div>{text[:20]}</div>{date}</div></body>", "", "", "")
