@@ -26,7 +26,7 @@ WORD_PATTERN = r"\p{L}+"
 
 #: vocabulary rows that are sent to the tasks (about 100 bytes each); a larger one is joined
 MAX_SHIPPED_WORDS = 2_000_000
-#: class x word figures that are sent to the tasks (8 bytes each)
+#: class x word figures that are sent to the tasks (8 bytes each); more are joined
 MAX_SHIPPED_SCORES = 16_000_000
 
 
@@ -121,33 +121,14 @@ def fit_token_counts(encoded_train: DataFrame, label: str = "label") -> DataFram
         per_class_tokens.select(label, "id", "count"))
 
 
-def score_bag_of_ids(encoded: DataFrame, stats: DataFrame, classes: Sequence, id_space: int,
-                     key: str = "idx", label: str = "label", keep: Sequence[str] = ()) -> DataFrame:
-    """Multinomial class scores with add-one smoothing over ``id_space`` ids:
-    ``score[c] = ln(docs_c / docs) + sum over tokens ln((count_c(id) + 1) / (tokens_c + id_space))``;
-    ``pred`` = first class with the highest score. One row per ``key`` and ``keep`` columns
-    (their values must be the same in all windows of a key).
-
-    The class figures per id (classes x ids, size-checked) are sent to the tasks; a window's
-    tokens are summed where it lies, and only window sums are shuffled.
-    """
-    if len(classes) * id_space > MAX_SHIPPED_SCORES:
-        raise ValueError(f"{len(classes)} classes x {id_space} ids are more than {MAX_SHIPPED_SCORES} figures")
-    found = stats.select(F.col(label).alias("c"), "id", "count").toPandas()
+def _shipped_sums(encoded: DataFrame, words_of: DataFrame, classes: Sequence, id_space: int, key: str, keep: list[str], sums: list[str]) -> DataFrame:
+    """Per key: ``keep``, ``_n`` tokens, and per class the sum of ln(count + 1) over the tokens."""
+    found = words_of.toPandas()
     table = np.zeros((id_space, len(classes)))
-    docs_of, tokens_of = np.zeros(len(classes)), np.zeros(len(classes))
     place = {c: i for i, c in enumerate(classes)}
-    for c, i, n in zip(found["c"], found["id"], found["count"]):
-        if i == -1:
-            docs_of[place[c]] = n
-        elif i == -2:
-            tokens_of[place[c]] = n
-        else:
-            table[i, place[c]] = n
+    for c, i, n in zip(found["_c"], found["id"], found["count"]):
+        table[i, place[c]] = n
     logs = np.log(table + 1.0)
-    denominators = [math.log(t + id_space) for t in tokens_of]
-    priors = [math.log(d / docs_of.sum()) if d else float("-inf") for d in docs_of]
-    sums = [f"_m{i}" for i in range(len(classes))]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -161,7 +142,43 @@ def score_bag_of_ids(encoded: DataFrame, stats: DataFrame, classes: Sequence, id
 
     schema = StructType([*[encoded.schema[c] for c in (key, *keep)], *StructType.fromDDL("_n bigint, " + ", ".join(f"{m} double" for m in sums)).fields])
     scored = encoded.select(key, *keep, "input_ids").mapInPandas(run, schema)
-    total = scored.groupBy(key).agg(*[F.first(c).alias(c) for c in keep], F.sum("_n").alias("_n"), *[F.sum(m).alias(m) for m in sums])
+    return scored.groupBy(key).agg(*[F.first(c).alias(c) for c in keep], F.sum("_n").alias("_n"), *[F.sum(m).alias(m) for m in sums])
+
+
+def _joined_sums(encoded: DataFrame, words_of: DataFrame, classes: Sequence, id_space: int, key: str, keep: list[str], sums: list[str]) -> DataFrame:
+    """The same without a table in the tasks. An id that a class does not have adds ln(1) = 0."""
+    real = F.filter("input_ids", lambda i: (i >= UNK_ID) & ~i.isin(CLS_ID, SEP_ID))
+    rows = encoded.select(key, *keep, real.alias("_ids"))
+    total = rows.groupBy(key).agg(*[F.first(c).alias(c) for c in keep], F.sum(F.size("_ids")).alias("_n"))
+    tokens = rows.select(F.col(key).alias("_key"), F.explode("_ids").alias("id")).groupBy("_key", "id").agg(F.count(F.lit(1)).alias("_k"))
+    gained = (tokens.join(words_of, "id").groupBy("_key", "_c").agg(F.sum(F.col("_k") * F.log(F.col("count") + 1.0)).alias("_s"))
+              .groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("_c", "_s"))).alias("_of")))
+    kind = words_of.schema["_c"].dataType
+    return total.join(gained, total[key].eqNullSafe(F.col("_key")), "left").select(
+        key, *keep, "_n", *[F.coalesce(F.try_element_at("_of", F.lit(c).cast(kind)), F.lit(0.0)).alias(m) for c, m in zip(classes, sums)])
+
+
+def score_bag_of_ids(encoded: DataFrame, stats: DataFrame, classes: Sequence, id_space: int,
+                     key: str = "idx", label: str = "label", keep: Sequence[str] = (), shipped: int = MAX_SHIPPED_SCORES) -> DataFrame:
+    """Multinomial class scores with add-one smoothing over ``id_space`` ids:
+    ``score[c] = ln(docs_c / docs) + sum over tokens ln((count_c(id) + 1) / (tokens_c + id_space))``;
+    ``pred`` = first class with the highest score. One row per ``key`` and ``keep`` columns
+    (their values must be the same in all windows of a key).
+
+    Up to ``shipped`` class figures (classes x ids) are sent to the tasks: a window's tokens
+    are summed where it lies, and only window sums are shuffled. Beyond, a text's ids are
+    counted and joined with the figures.
+    """
+    place = {c: i for i, c in enumerate(classes)}
+    docs_of, tokens_of = np.zeros(len(classes)), np.zeros(len(classes))
+    for c, i, n in stats.where("id < 0").select(label, "id", "count").collect():
+        (docs_of if i == -1 else tokens_of)[place[c]] = n
+    denominators = [math.log(t + id_space) for t in tokens_of]
+    priors = [math.log(d / docs_of.sum()) if d else float("-inf") for d in docs_of]
+    sums = [f"_m{i}" for i in range(len(classes))]
+    words_of = stats.where("id >= 0").select(F.col(label).alias("_c"), "id", "count")
+    by_key = _shipped_sums if len(classes) * id_space <= shipped else _joined_sums
+    total = by_key(encoded, words_of, classes, id_space, key, list(keep), sums)
     arr = F.array(*[F.lit(p) + F.col(m) - F.col("_n").cast("double") * F.lit(d) for p, m, d in zip(priors, sums, denominators)])
     labels = F.array(*[F.lit(c) for c in classes])
     return (total.withColumn("scores", arr)

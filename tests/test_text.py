@@ -43,3 +43,16 @@ def test_scores_use_all_windows(spark):
     assert {(r["label"], r["count"]) for r in stats.where("id = -1").collect()} == {(0, 1), (1, 1)}
     got = {r["idx"]: r["pred"] for r in txt.score_bag_of_ids(enc, stats, [0, 1], id_space=vocab.count() + 4).collect()}
     assert got == {1: 1, 2: 0}  # the deciding words stand in the last window
+
+
+def test_scores_beyond_the_shipped_figures(spark):
+    rows = [(1, "x " * 9 + "good good good", 1), (2, "x " * 9 + "bad bad bad", 0), (3, "", 1), (4, "bad good " * 7, 0), (None, "good", 1)]
+    docs = spark.createDataFrame(rows, "idx long, sentence string, label int")
+    vocab = txt.build_vocab(docs.where("idx < 3"))
+    enc = txt.encode_text(docs, vocab, max_length=6, keep=("idx", "label"))
+    stats = txt.fit_token_counts(enc)
+    space = vocab.count() + 4
+    sent, joined = (sorted(((r["idx"] or 0, r["label"], r["pred"], [round(x, 9) for x in r["scores"]])
+                            for r in txt.score_bag_of_ids(enc, stats, [0, 1], space, keep=["label"], shipped=n).collect()))
+                    for n in (2 * space, 2 * space - 1))
+    assert sent == joined and len(joined) == 5
