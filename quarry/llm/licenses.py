@@ -6,10 +6,19 @@ runs, so any ``GRAM + WINNOW - 1`` words shared with a text share a fingerprint.
 is as large as the templates (a parameter) and goes to the tasks with the code; texts are
 scanned where they lie, without a shuffle. Around each run of hits the template is aligned
 with the text, word by word, within a band of ``BAND`` words about the hits' diagonal.
+
+In a template of fewer than ``SHORT`` words one changed word can spoil every run, and one word
+makes another license of it. Such a template is posted under its first identifying word
+(license name or version) instead, hits without enough of its words around are dropped,
+and an alignment counts only if all identifying words stand in it, and no word that
+names a variant of the license.
 """
 
 from __future__ import annotations
 
+import math
+import re
+from collections import Counter
 from collections.abc import Iterator, Mapping
 
 import numpy as np
@@ -23,6 +32,14 @@ GRAM = 3
 WINNOW = 2
 BAND = 8
 COVERAGE = 0.8
+SHORT = 15
+
+# fixed values: words of a license statement that don't tell which license it is, and words that make another license of a name
+GENERIC = frozenset("""a an the this that these work works is are be been licensed license licence licenced under released version
+international unported of to in on for and or with terms conditions software file files code project content document documentation
+program page site text distributed available published provided""".split())
+QUALIFIERS = frozenset("""lesser affero library sharealike share alike noncommercial commercial noderivatives noderivs derivatives derivs
+nc nd sa""".split())
 
 #: fixed values: wording of common license statements, by name
 TEMPLATES = {
@@ -64,6 +81,18 @@ def plain_words(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     return w.row[keep], start, end, span_hashes(LOWER_AZ[w.data], start, end)
 
 
+def statement_tokens(text: str) -> list[str]:
+    """Lower-cased words and versions of a statement, hyphens split; v3 and 3.0 are 3."""
+    return [re.sub(r"^v(?=\d)|(?:\.0)+$", "", t) for t in re.findall(r"[^\W_]+(?:\.\d+)*", text.lower())]
+
+
+def identified(statement: str, required: list[str]) -> bool:
+    """Whether the identifying words stand in order in a statement without others' qualifiers."""
+    tokens = statement_tokens(statement)
+    rest = iter(tokens)
+    return all(w in rest for w in required) and QUALIFIERS.isdisjoint(set(tokens) - set(required))
+
+
 def winnowed(words: np.ndarray) -> np.ndarray:
     """(position, hash) of the winnowed word runs of one template; all of a short one's runs."""
     runs = mix(window_hashes(words, GRAM))
@@ -75,24 +104,66 @@ def winnowed(words: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """Inverted index: fingerprint to (template, position)."""
+    """Inverted index: fingerprint to (template, position); ``required`` has the identifying words
+    of each short template, ``anchors`` the (template, position, word) it is posted under."""
 
     def __init__(self, templates: Mapping[str, str]):
         self.names = list(templates)
         self.words: list[np.ndarray] = []
+        self.required: dict[int, list[str]] = {}
+        self.anchors: list[tuple[int, int, np.uint64]] = []
         posts: list[tuple[int, int, int]] = []
+        # the ways to write a version
+        bases = {re.sub(r"(?:\.0)+$", "", v) for text in templates.values() for v in re.findall(r"(?<![\w.])\d+(?:\.\d+)*(?![\w])", text)}
+        ways = sorted((int(h), int(self._hash(base)[0])) for base in bases for h in self._hash(f"{base} {base}.0 v{base} v{base}.0"))
+        self.way = np.array([w for w, _ in ways], dtype=np.uint64)
+        self.base = np.array([b for _, b in ways], dtype=np.uint64)
         for t, text in enumerate(templates.values()):
-            raw = np.frombuffer(text.encode(), dtype=np.uint8)
-            words = plain_words(Words(raw, np.array([0, len(raw)])))[3]
+            words = self.versions(self._hash(text))
             if len(words) < GRAM:
                 raise ValueError(f"template {self.names[t]!r} has fewer than {GRAM} words")
             self.words.append(words)
+            if len(words) < SHORT:
+                self.required[t] = [w for w in statement_tokens(text) if w not in GENERIC]
+                name = [h for w in self.required[t] if w.isalpha() for h in self._hash(w) if h in words][:1]
+                self.anchors += [(t, i, h) for i, h in enumerate(words) if not name or h == name[0]]
+                continue
             posts += [(int(h), t, int(p)) for p, h in zip(*winnowed(words))]
         posts.sort()
         self.hashes = np.array([h for h, _, _ in posts], dtype=np.uint64)
         self.template = np.array([t for _, t, _ in posts])
         self.position = np.array([p for _, _, p in posts])
 
+    @staticmethod
+    def _hash(text: str) -> np.ndarray:
+        raw = np.frombuffer(text.encode(), dtype=np.uint8)
+        return plain_words(Words(raw, np.array([0, len(raw)])))[3]
+
+    def versions(self, words: np.ndarray) -> np.ndarray:
+        """The words with each version of a template in one way of writing."""
+        if not len(self.way):
+            return words
+        at = np.minimum(np.searchsorted(self.way, words), len(self.way) - 1)
+        return np.where(self.way[at] == words, self.base[at], words)
+
+    def short_hits(self, words: np.ndarray, first: np.ndarray, row: np.ndarray, coverage: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(word, template, position) of every anchor with enough words of its template nearby."""
+        out = [(np.zeros(0, np.int64),) * 3]
+        for t, position, anchor in self.anchors:
+            at = np.flatnonzero(words == anchor)
+            if not len(at):
+                continue
+            size = len(self.words[t])
+            lo = np.maximum(first[row[at]], at - position - BAND)
+            hi = np.minimum(first[row[at] + 1], at - position + size + 2 * BAND)
+            near = np.zeros(len(at), dtype=np.int64)
+            for word, times in Counter(self.words[t].tolist()).items():
+                places = np.flatnonzero(words == np.uint64(word))
+                near += np.minimum(np.searchsorted(places, hi) - np.searchsorted(places, lo), times)
+            at = at[near >= math.ceil(coverage * size - 1e-9)]
+            out.append((at, np.full(len(at), t), np.full(len(at), position)))
+        return tuple(np.concatenate(x) for x in zip(*out))
+
     def hits(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(run, template, position) of every text run that is a fingerprint."""
         lo, hi = np.searchsorted(self.hashes, runs, "left"), np.searchsorted(self.hashes, runs, "right")
@@ -137,8 +208,9 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, key
     """One row per license statement found: (key, license, matched_words, coverage,
     first_word, end_word), words counted without those of punctuation alone.
 
-    A statement is reported if ``coverage`` or more of its template's words match in order.
-    Null, empty and short texts, and texts without a fingerprint, have no rows; repeated
+    A statement is reported if ``coverage`` or more of its template's words match in order; one
+    of a short template only if license name and version are among them. Null, empty and
+    short texts, and texts without a fingerprint, have no rows; repeated
     rows and null keys are reported like others. Other columns are not carried.
     """
     index = Index(templates)
@@ -146,12 +218,14 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, key
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offs in slices(batches, "_text"):
-            row, _, _, words = plain_words(Words(data, offs))
+            row, start, end, words = plain_words(Words(data, offs))
+            words = index.versions(words)
             first = np.searchsorted(row, np.arange(part.num_rows + 1))
             inside = row[GRAM - 1:] == row[:len(row) - GRAM + 1] if len(row) >= GRAM else np.zeros(0, dtype=bool)
             at, template, position = index.hits(mix(window_hashes(words, GRAM)))
             good = inside[at]
-            at, template, position = at[good], template[good], position[good]
+            short = index.short_hits(words, first, row, coverage)
+            at, template, position = (np.concatenate((x[good], y)) for x, y in zip((at, template, position), short))
             diagonal = at - position
             out: list[tuple] = []
             order = np.lexsort((at, template, row[at]))
@@ -165,9 +239,15 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, key
                     continue
                 lo = max(taken, d - BAND)
                 hi = min(int(first[r + 1]), d + len(index.words[t]) + 2 * BAND)
-                n, a, b = align(index.words[t], words[lo:hi], d - lo)
-                share = n / len(index.words[t])
-                if share >= coverage:
+                # a short one's neighbour may fit as well: closer about the anchor then
+                for band in (BAND, BAND // 2, BAND // 4) if t in index.required else (BAND,):
+                    n, a, b = align(index.words[t], words[lo:hi], d - lo, band)
+                    share = n / len(index.words[t])
+                    fits = share >= coverage and (t not in index.required or identified(
+                        data[start[lo + a]:end[lo + b - 1]].tobytes().decode(errors="replace"), index.required[t]))
+                    if fits:
+                        break
+                if fits:
                     taken = lo + b
                     out.append((r, index.names[t], n, share, int(lo - first[r] + a), int(lo - first[r] + b)))
                 else:

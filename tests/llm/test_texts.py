@@ -111,6 +111,18 @@ def test_license_spans_and_coverage(spark):
     assert [(r.first_word, r.end_word) for r in got[3:]] == [(0, 5), (5, 10)]
 
 
+def test_short_licenses_by_name_and_version(spark):
+    found = ["Released under an MIT License", "licensed under the apache licence, version 2.0", "Licensed under CC BY NC 4.0",
+             "This book is licensed under the GNU General Public License v3.0", "mit wem mit Released under a GPL License. Released under an MIT License mit",
+             "This work is licensed under the Creative Commons Attribution 4.0 International License"]
+    other = ["Licensed under CC BY 4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+             "This work is licensed under a Creative Commons Attribution Share Alike 4.0 International License", "Released under the BSD License",
+             "Licensed under the Apache License, Version 1.1", "This work is licensed under the GNU Lesser General Public License, version 3",
+             "This work is licensed under the GNU General Public License, version 2", "er kam mit der Bahn " * 50]
+    got = [(r.doc_id, r.license) for r in licenses.scan_licenses(_docs(spark, *found, *other)).collect()]
+    assert sorted(got) == [(0, "MIT"), (1, "Apache-2.0"), (2, "CC-BY-NC-4.0"), (3, "GPL-3.0"), (4, "MIT"), (5, "CC-BY-4.0")]
+
+
 def brute_align(template, text):
     """Best matched words over all local alignments, without a band."""
     best = [[(0, 0)] * (len(text) + 1) for _ in range(len(template) + 1)]
