@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, fingerprint, html, language, licenses, mixing, neardup, quality, substrings, urls
+from quarry.llm import (decontaminate, fingerprint, html, language, licenses, manifest, mixing, neardup, quality, rules, search, substrings,
+                        urls)
 from quarry.llm.store import table
 
 #: production parameters
@@ -89,6 +90,23 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, subroot, root and proof, and the proof after tampering."""
+    return manifest.tampered_documents(table(spark, sf_dir, "documents"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best of all documents for every benchmark item."""
+    return search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=10)
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's base measures and the verdict of the voting rules."""
+    found = rules.quality_rules(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+                        F.round("posterior", 6).alias("posterior"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_quality": op2_quality,
@@ -100,6 +118,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_html_text": op9_html_text,
     "op10_fingerprint": op10_fingerprint,
+    "op11_manifest": op11_manifest,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_quality_rules": op13_quality_rules,
 }
 
 ORACLES: dict[str, str] = {
@@ -179,5 +200,71 @@ kept AS (SELECT f.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY f.p) AS t
 SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
        sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM w LEFT JOIN kept USING (doc_id)
+""",
+    # crc32 is spelled out: a byte a step of the outer fold, a bit a step of the inner one
+    "op11_manifest": r"""
+WITH RECURSIVE base AS (
+  SELECT doc_id, source, lang, n_chars, text, coalesce(CASE WHEN doc_id IS NULL THEN NULL ELSE
+    xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1),
+      lambda i: CAST(ascii(substr(CAST(doc_id AS VARCHAR), i, 1)) AS BIGINT))),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+        lambda x, y: xor(x >> 1, CASE WHEN x % 2 = 1 THEN CAST(3988292384 AS BIGINT) ELSE 0 END)))) END % 5 = 0, false) AS chosen FROM documents),
+head AS (
+  SELECT *, coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || doc_id, '-') || coalesce(octet_length(encode(source)) || ':' || source, '-')
+    || coalesce(octet_length(encode(lang)) || ':' || lang, '-') || coalesce(octet_length(encode(CAST(n_chars AS VARCHAR))) || ':' || n_chars, '-') AS h,
+    CASE WHEN chosen THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS changed FROM base),
+digests AS (
+  SELECT doc_id, coalesce('=' || source, '') AS g, sha256(h || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+    sha256(h || coalesce(octet_length(encode(changed)) || ':' || changed, '-')) AS now FROM head),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM digests),
+low(lvl, g, pos, digest, n) AS (
+  SELECT 0, g, pos, leaf, n FROM leaves
+  UNION ALL
+  SELECT lvl + 1, g, pos // 16, sha256(string_agg(digest, '' ORDER BY pos)), (max(n) + 15) // 16 FROM low WHERE n > 1 GROUP BY lvl, g, pos // 16),
+subroots AS (SELECT g, digest AS subroot, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM low WHERE n = 1),
+high(lvl, pos, digest, n) AS (
+  SELECT 0, pos, subroot, n FROM subroots
+  UNION ALL
+  SELECT lvl + 1, pos // 16, sha256(string_agg(digest, '' ORDER BY pos)), (max(n) + 15) // 16 FROM high WHERE n > 1 GROUP BY lvl, pos // 16),
+steps_low AS (
+  SELECT a.lvl, a.g, a.pos, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (WHERE b.pos < a.pos), '') AS l,
+    coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (WHERE b.pos > a.pos), '') AS r
+  FROM low a JOIN low b ON a.lvl = b.lvl AND a.g = b.g AND a.pos // 16 = b.pos // 16 WHERE a.n > 1 GROUP BY a.lvl, a.g, a.pos),
+steps_high AS (
+  SELECT a.lvl, a.pos, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (WHERE b.pos < a.pos), '') AS l,
+    coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (WHERE b.pos > a.pos), '') AS r
+  FROM high a JOIN high b ON a.lvl = b.lvl AND a.pos // 16 = b.pos // 16 WHERE a.n > 1 GROUP BY a.lvl, a.pos),
+ways AS (
+  SELECT f.g, f.pos, s.lvl, s.l, s.r FROM leaves f JOIN steps_low s ON s.g = f.g AND s.pos = f.pos // CAST(pow(16, s.lvl) AS BIGINT)
+  UNION ALL
+  SELECT f.g, f.pos, 100 + s.lvl, s.l, s.r FROM leaves f JOIN subroots t ON t.g = f.g JOIN steps_high s ON s.pos = t.pos // CAST(pow(16, s.lvl) AS BIGINT)),
+paths AS (
+  SELECT g, pos, list({'l': l, 'r': r} ORDER BY lvl) AS steps, string_agg(l || r, '' ORDER BY lvl) AS way FROM ways GROUP BY g, pos),
+proofs AS (
+  SELECT f.doc_id, f.leaf, t.subroot, (SELECT digest FROM high WHERE n = 1) AS root, sha256(coalesce(p.way, '')) AS proof_sha256,
+    list_reduce(list_prepend({'l': f.now, 'r': ''}, coalesce(p.steps, [])), lambda a, s: {'l': sha256(s.l || a.l || s.r), 'r': ''}).l AS folded_root
+  FROM leaves f JOIN subroots t ON t.g = f.g LEFT JOIN paths p ON p.g = f.g AND p.pos = f.pos)
+SELECT *, folded_root = root AS verified FROM proofs
+""",
+    "op12_ranked_search": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+items AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+asked AS (SELECT item_id, term, count(*) AS repeats FROM items GROUP BY ALL),
+totals AS (SELECT count(*) AS n_docs, CAST(coalesce(sum(len(t)), 0) AS BIGINT) AS n_terms FROM docs WHERE len(t) > 0),
+flat AS (SELECT r, unnest(t) AS term FROM docs),
+postings AS (SELECT r, term, count(*) AS tf FROM flat WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+            FROM (SELECT term, count(*) AS df FROM postings GROUP BY term), totals),
+impacts AS (SELECT p.r, p.term, w.w * ((1000000000 * p.tf) // (1000 * p.tf + 8 * (25 + (75 * len(d.t) * n_docs) // n_terms))) AS x
+            FROM postings p JOIN weights w USING (term) JOIN docs d USING (r), totals),
+scored AS (SELECT a.item_id, i.r, CAST(sum(i.x * a.repeats) AS BIGINT) AS score FROM asked a JOIN impacts i USING (term) GROUP BY ALL),
+ranked AS (SELECT s.item_id, d.doc_id, s.score, CAST(row_number() OVER (PARTITION BY s.item_id ORDER BY s.score DESC, d.doc_id NULLS LAST) AS INTEGER) AS rank
+           FROM scored s JOIN docs d USING (r) WHERE s.score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
 """,
 }
