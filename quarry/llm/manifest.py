@@ -59,42 +59,40 @@ def placed(rows: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
 def _pivot(nodes: DataFrame, payload: Sequence[str]) -> DataFrame:
     """(g, pos, n, s0 ..., digest): the parents of ``nodes`` (g, pos, n, digest, payload), ``n`` being
     the nodes of the group below them. A group's single node is passed on as it is."""
-    slot = F.pmod("pos", F.lit(FANOUT))
-    cell = F.struct("digest", *payload)
-    spread = [F.max(F.when(slot == k, cell)).alias(f"s{k}") for k in range(FANOUT)]
-    parents = nodes.groupBy("g", F.expr(f"pos div {FANOUT}").alias("pos")).agg(F.max("n").alias("n"), *spread)
-    hashed = F.sha2(F.concat_ws("", *[F.col(f"s{k}.digest") for k in range(FANOUT)]), 256)
-    return parents.withColumn("digest", F.when(F.col("n") > 1, hashed).otherwise(F.col("s0.digest")))
+    cell = f"struct({', '.join(['digest', *payload])})"
+    spread = [F.expr(f"max(if(pmod(pos, {FANOUT}) = {k}, {cell}, null)) AS s{k}") for k in range(FANOUT)]
+    parents = nodes.groupBy("g", F.expr(f"pos div {FANOUT} AS pos")).agg(F.max("n").alias("n"), *spread)
+    return parents.selectExpr("*", f"if(n > 1, sha2(concat_ws('', {_slots(range(FANOUT))}), 256), s0.digest) AS digest")
+
+
+def _slots(slots: Sequence[int]) -> str:
+    return ", ".join(f"s{k}.digest" for k in slots) or "''"
 
 
 def _up(nodes: DataFrame, payload: Sequence[str], name: str) -> list[DataFrame]:
     """The levels of pivots over ``nodes``, leaves' parents first; the last has one row a group."""
-    widest = nodes.agg(F.max("n")).first()[0] or 0
     levels = []
     while True:
         levels.append(written(_pivot(nodes, payload), f"{name}-level"))
-        widest = -(-widest // FANOUT)
-        if widest <= 1:
+        if levels[-1].where(f"n > {FANOUT}").isEmpty():
             return levels
         payload = ()
-        nodes = levels[-1].select("g", "pos", F.ceil(F.col("n") / FANOUT).alias("n"), "digest")
+        nodes = levels[-1].selectExpr("g", "pos", f"(n + {FANOUT - 1}) div {FANOUT} AS n", "digest")
 
 
 def _down(parents: DataFrame, above: Sequence[str], payload: Sequence[str]) -> DataFrame:
     """One row a child: (g, pos, digest, payload, above, steps), the child's own step put before
     its parent's ``steps``."""
-    slots = [F.col(f"s{k}.digest") for k in range(FANOUT)]
-    none = F.array().cast(_STEP)
+    more = "".join(f", s{{k}}.{c} AS {c}" for c in payload)
 
-    def child(k: int) -> Column:
-        own = F.struct(F.concat_ws("", *slots[:k]).alias("before"), F.concat_ws("", *slots[k + 1:]).alias("after"))
-        return F.when(F.col(f"s{k}").isNotNull(), F.struct(
-            (F.col("pos") * FANOUT + k).alias("pos"), slots[k].alias("digest"), *[F.col(f"s{k}.{c}").alias(c) for c in payload],
-            F.when(F.col("n") > 1, F.array(own)).otherwise(none).alias("step")))
+    def child(k: int) -> str:
+        own = f"array(struct(concat_ws('', {_slots(range(k))}) AS before, concat_ws('', {_slots(range(k + 1, FANOUT))}) AS after))"
+        return (f"if(s{k} IS NULL, null, struct(pos * {FANOUT} + {k} AS pos, s{k}.digest AS digest{more.format(k=k)}, "
+                f"if(n > 1, {own}, cast(array() AS {_STEP})) AS step))")
 
-    kids = F.explode(F.array_compact(F.array(*[child(k) for k in range(FANOUT)])))
-    rows = parents.select("g", *above, F.col("steps").alias("_up"), kids.alias("_kid"))
-    return rows.select("g", *above, *[F.col(f"_kid.{c}").alias(c) for c in ("pos", "digest", *payload)], F.concat("_kid.step", "_up").alias("steps"))
+    kids = f"explode(array_compact(array({', '.join(child(k) for k in range(FANOUT))}))) AS _kid"
+    rows = parents.selectExpr("g", *above, "steps AS _up", kids)
+    return rows.selectExpr("g", *above, *[f"_kid.{c}" for c in ("pos", "digest", *payload)], "concat(_kid.step, _up) AS steps")
 
 
 def folded(leaf: Column, steps: Column) -> Column:
