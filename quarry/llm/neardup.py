@@ -39,6 +39,8 @@ from quarry.llm.textops import LOWER_AZ, WORD_BASE, Words, mix, signed, slices,
 BINS = 64
 #: standard deviations of the binomial mismatch count that the match threshold leaves room for
 MARGIN = 5.0
+#: document ids that are sent to the tasks (16 bytes each) to pick their texts
+SENT_IDS = 2_000_000
 _BIN_BITS = BINS.bit_length() - 1
 
 
@@ -183,9 +185,23 @@ def _shingles(texts: DataFrame, like: Likeness) -> DataFrame:
     return texts.mapInArrow(run, "doc bigint, c bigint")
 
 
+def _fetched(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (doc, _text) whose ``doc`` is in ``ids``: up to ``SENT_IDS`` ids are sent to
+    the scan, so that other texts stay where they are; more are joined."""
+    ids = written(ids.select("doc").distinct(), "wanted")
+    return written(docs.join(F.broadcast(ids) if ids.count() <= SENT_IDS else ids, "doc"), "texts")
+
+
+def _size_class(n: Column, like: Likeness) -> Column:
+    """Sets whose classes differ by more than one can't be a link."""
+    return F.floor(F.log(n.cast("double")) / math.log(100 / like.percent))
+
+
 def _other_components(texts: DataFrame, facts: DataFrame, labels: DataFrame, like: Likeness) -> DataFrame:
     """Pairs (x, y) of ``labels`` (doc, component) in different components that can be a link,
-    by the exact prefix filter on their full sets."""
+    by the exact prefix filter on their full sets. Lists are cut by size class, and a posting
+    that can't reach the threshold with any member of a list's class is dropped before pairs
+    are formed: members of a large list that share much, but not enough, never meet."""
     t = like.percent
     own = facts.join(labels, "doc").select("doc", "n", "component")
     exact = own.select("doc", "n", (F.col("n") - F.ceil(F.col("n") * t / 100)).alias("room"), F.col("n").alias("filled"))
@@ -197,11 +213,22 @@ def _other_components(texts: DataFrame, facts: DataFrame, labels: DataFrame, lik
              .where("parts > 1").select(splittable("c").alias("k"), F.col("m.component").alias("major")))
     several = posts.join(major, splittable("c") == F.col("k")).drop("k")
     # each list's greatest component meets the others, but not itself
-    left = several.where("component <> major").select("c", F.col("component").alias("cx"), F.col("p").alias("x"))
-    right = several.select("c", F.col("component").alias("cy"), "major", F.col("p").alias("y"))
+    rest = F.col("p.filled") - F.col("p.at")
+    own_class = _size_class(F.col("p.n"), like)
+    left = several.where("component <> major").select("c", F.col("component").alias("cx"), F.col("p").alias("x"), rest.alias("rx"),
+                                                      F.explode(F.array(own_class - 1, own_class, own_class + 1)).alias("size"))
+    right = several.select("c", F.col("component").alias("cy"), "major", F.col("p").alias("y"), rest.alias("ry"), own_class.alias("size"))
+    reach = lambda side, r: side.groupBy("c", "size").agg(F.min(F.col(f"{'x' if r == 'rx' else 'y'}.n")).alias("least"), F.max(r).alias("most")).select(
+        splittable("c").alias("kc"), F.col("size").alias("ks"), "least", "most")
+    hopeful = lambda n, r: F.least(F.col(r), F.col("most")) * (100 + t) >= (F.col(n) + F.col("least")) * t
+    near = lambda side, other: side.join(other, (splittable("c") == F.col("kc")) & (F.col("size") == F.col("ks")))
+    left = near(left, reach(right, "ry")).where(hopeful("x.n", "rx")).select("c", "size", "cx", "x")
+    left = written(left, "left-postings")
+    right = near(right, reach(left.withColumn("rx", F.col("x.filled") - F.col("x.at")), "rx")).where(hopeful("y.n", "ry"))
     enough = _rest("x", "y") * (100 + t) >= (F.col("x.n") + F.col("y.n")) * t
     once = (F.col("cy") == F.col("major")) | (F.col("x.doc") < F.col("y.doc"))
-    return (left.join(right, "c").where((F.col("cx") != F.col("cy")) & once & enough & _sizes_fit("x", "y", like))
+    return (left.join(right.select("c", "size", "cy", "major", "y"), ["c", "size"])
+            .where((F.col("cx") != F.col("cy")) & once & enough & _sizes_fit("x", "y", like))
             .select(F.least("x.doc", "y.doc").alias("x"), F.greatest("x.doc", "y.doc").alias("y")))
 
 
@@ -225,8 +252,8 @@ def near_duplicates(docs: DataFrame, like: Likeness = Likeness(), key: str = "do
         "doc", (F.col("bin") * F.lit(1 << 32) + F.col("value")).alias("c"))
     facts = reps.select("doc", "n", like.allowed(F.col("n")).alias("room"), F.size(F.filter("sig", lambda v: v >= 0)).alias("filled"))
     posts = written(_prefix_lists(coords, facts), "postings")
-    wanted = posts.select("doc").distinct()
-    texts = written(docs.select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("_text")).join(wanted, "doc"), "texts")
+    texts = docs.select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("_text"))
+    both = lambda pairs: pairs.select(F.explode(F.array("x", "y")).alias("doc"))
 
     member = F.struct("lone", "doc", "n", "filled", "room", "at")
     leaders = posts.groupBy("c").agg(F.min(member).alias("y"), F.count(F.lit(1)).alias("members")).where("members > 1")
@@ -236,7 +263,8 @@ def near_duplicates(docs: DataFrame, like: Likeness = Likeness(), key: str = "do
                  .where((F.col("x.doc") != F.col("y.doc")) & enough & _sizes_fit("x", "y", like))
                  .select(F.least("x.doc", "y.doc").alias("x"), F.greatest("x.doc", "y.doc").alias("y")))
     ends = [F.col("x").alias("a"), F.col("y").alias("b")]
-    links = written(_confirmed(_matching(to_leader, reps, like), texts, like).select(*ends), "links")
+    matched = written(_matching(to_leader, reps, like), "matched")
+    links = written(_confirmed(matched, _fetched(texts, both(matched)), like).select(*ends), "links")
     parts = components(links)
 
     # the rest: members of lists that hold several components
@@ -244,8 +272,9 @@ def near_duplicates(docs: DataFrame, like: Likeness = Likeness(), key: str = "do
                        .select("c", "doc", F.coalesce("component", "doc").alias("component")), "labelled")
     several = labelled.groupBy("c").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select(splittable("c").alias("k"))
     open_docs = written(labelled.join(several, splittable("c") == F.col("k")).select("doc", "component").distinct(), "open")
-    rest = _other_components(texts, facts, open_docs, like)
-    more = written(_confirmed(_matching(rest, reps, like), texts, like).select(*ends), "links")
+    texts = _fetched(texts, open_docs)
+    matched = _matching(_other_components(texts, facts, open_docs, like), reps, like)
+    more = written(_confirmed(matched, texts, like).select(*ends), "links")
     parts = components(links.unionByName(more))
 
     classes = reps.join(parts.select(F.col("id").alias("doc"), "component"), "doc", "left").select(
