@@ -1,22 +1,28 @@
 """Text: vocabulary, fixed-length encoding, bag-of-ids class scoring, predictions.
 
 Words are runs of Unicode letters of the lower-cased text, taken from the whole text, and
-the vocabulary holds every word unless a size is asked for. Encoding is row-local: each
-task looks its rows' words up in the vocabulary and cuts them into consecutive windows of
-``max_length`` positions, so no token is shuffled and rows that share a key stay apart.
+the vocabulary holds every word unless a size is asked for. Words are hashed to 64 bits where
+Spark splits the text; tasks see hashes only and look them up in a sorted NumPy dictionary, so
+no string crosses to Python and no Python object is made per word. Encoding is row-local: a
+row's words become consecutive windows of ``max_length`` positions, no frequent word is
+shuffled, and rows that share a key stay apart.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+import re
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
+from quarry.functions.arrays import argmax_index, array_log_softmax
 from quarry.operators.indexing import global_index
 
 # Fixed special-token ids (padding, unknown, sequence start, sequence end).
@@ -24,16 +30,24 @@ PAD_ID, UNK_ID, CLS_ID, SEP_ID = 0, 1, 2, 3
 FIRST_WORD_ID = 4
 WORD_PATTERN = r"\p{L}+"
 
-#: vocabulary rows that are sent to the tasks (about 100 bytes each); a larger one is joined
-MAX_SHIPPED_WORDS = 2_000_000
+#: words whose hash and id are sent to the tasks (12 bytes each), the most frequent ones; the
+#: others, which are rare, are joined
+MAX_SHIPPED_WORDS = 8_000_000
 #: class x word figures that are sent to the tasks (8 bytes each); more are joined
-MAX_SHIPPED_SCORES = 16_000_000
+MAX_SHIPPED_SCORES = 8_000_000
+#: tokens that a task works on at a time; a longer single text is worked on alone
+SLICE_TOKENS = 1 << 17
 
 
 def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD_PATTERN), 0)
 
 
+def word_hashes(text: Column) -> Column:
+    """The words of a text as 64-bit hashes of their UTF-8 bytes."""
+    return F.transform(words(text), lambda w: F.xxhash64(w))
+
+
 def build_vocab(docs: DataFrame, text: str = "sentence", max_size: int | None = None) -> DataFrame:
     """``(word, id, count)`` ordered by count descending then word; ids start after the four
     special ids. All words, or with ``max_size`` the ``max_size - 4`` most frequent. The
@@ -46,30 +60,124 @@ def build_vocab(docs: DataFrame, text: str = "sentence", max_size: int | None =
     return ranked.select("word", (F.col("_pos") + FIRST_WORD_ID).cast("int").alias("id"), "count")
 
 
-def _windows(ids: np.ndarray, max_length: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+@dataclass(frozen=True)
+class Dictionary:
+    """Ids by sorted word hashes; ``whole`` if no word of the vocabulary is left out."""
+
+    hashes: np.ndarray
+    ids: np.ndarray
+    whole: bool
+
+    def look_up(self, tokens: np.ndarray) -> np.ndarray:
+        """The id of each hash, ``UNK_ID`` where there is none."""
+        if not len(self.hashes):
+            return np.full(len(tokens), UNK_ID, dtype=np.int32)
+        place = np.searchsorted(self.hashes, tokens)
+        place[place == len(self.hashes)] = 0
+        return np.where(self.hashes[place] == tokens, self.ids[place], np.int32(UNK_ID))
+
+
+def dictionary(vocab: DataFrame, shipped: int = MAX_SHIPPED_WORDS) -> Dictionary:
+    """The vocabulary's first ``shipped`` ids, which are its most frequent words."""
+    coded = vocab.select(F.xxhash64("word").alias("h"), "id")
+    whole = coded.limit(shipped + 1).count() <= shipped
+    found = (coded if whole else coded.where(F.col("id") < FIRST_WORD_ID + shipped)).toArrow()
+    hashes, ids = found.column("h").to_numpy(), found.column("id").to_numpy()
+    order = np.argsort(hashes, kind="stable")
+    return Dictionary(hashes[order], ids[order].astype(np.int32), whole)
+
+
+def _list_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(values, row offsets) of a list column of numbers; a null list is empty."""
+    lengths = np.diff(column.offsets.to_numpy(zero_copy_only=False))
+    if column.null_count:
+        lengths = np.where(column.is_null().to_numpy(zero_copy_only=False), 0, lengths)
+    return column.flatten().to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(lengths)))
+
+
+def token_slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Cut batches into row slices of about ``SLICE_TOKENS`` tokens: (rows, tokens, offsets)."""
+    for batch in batches:
+        tokens, offs = _list_parts(batch.column(column))
+        lo = 0
+        while lo < batch.num_rows:
+            hi = max(lo + 1, int(np.searchsorted(offs, offs[lo] + SLICE_TOKENS, "right")) - 1)
+            yield batch.slice(lo, hi - lo), tokens[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo]
+            lo = hi
+
+
+def _rare_ids(ids: np.ndarray, tokens: np.ndarray, offs: np.ndarray, rare: pa.Array) -> None:
+    """Fill unknown ``ids`` from the rows' own lists of (hash, id)."""
+    values = rare.flatten()
+    open_ = np.flatnonzero(ids == UNK_ID)
+    if not len(values) or not len(open_):
+        return
+    lengths = np.diff(rare.offsets.to_numpy(zero_copy_only=False))
+    if rare.null_count:
+        lengths = np.where(rare.is_null().to_numpy(zero_copy_only=False), 0, lengths)
+    row = np.repeat(np.arange(len(offs) - 1), np.diff(offs))[open_]
+    h, known = values.field("h").to_numpy(zero_copy_only=False), values.field("id").to_numpy(zero_copy_only=False)
+    names, code = np.unique(np.concatenate((h, tokens[open_])), return_inverse=True)
+    have = np.repeat(np.arange(len(lengths)), lengths) * len(names) + code[:len(h)]
+    want = row * len(names) + code[len(h):]
+    order = np.argsort(have)
+    place = np.minimum(np.searchsorted(have[order], want), len(have) - 1)
+    hit = have[order][place] == want
+    ids[open_[hit]] = known[order][place[hit]]
+
+
+def windows_of(ids: np.ndarray, offs: np.ndarray, max_length: int, cls: int = CLS_ID, sep: int = SEP_ID,
+               pad: int = PAD_ID) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, window number, ids, mask) of every window: ``cls``, up to ``max_length - 2`` ids,
+    ``sep``, padded. A row without ids has one empty window."""
     room = max_length - 2
-    for at in range(0, max(1, len(ids)), room):
-        part = ids[at:at + room]
-        row = np.full(max_length, PAD_ID, dtype=np.int32)
-        row[0], row[1:1 + len(part)], row[1 + len(part)] = CLS_ID, part, SEP_ID
-        mask = np.zeros(max_length, dtype=np.int32)
-        mask[:len(part) + 2] = 1
-        yield at // room, row, mask
-
-
-def _lookup_ids(docs: DataFrame, vocab: DataFrame, text: str, keep: list[str], shipped: int) -> tuple[DataFrame, dict | None]:
-    """Rows with ``_words`` and the dictionary to send along, or, for a vocabulary of more than
-    ``shipped`` words, rows with the joined ids in ``_ids`` and no dictionary."""
-    rows = docs.select(*keep, words(F.col(text)).alias("_words"))
-    found = vocab.select("word", "id").limit(shipped + 1).toPandas()
-    if len(found) <= shipped:
-        return rows, dict(zip(found["word"], found["id"]))
+    count = np.diff(offs)
+    many = np.maximum(1, -(-count // room))
+    first = np.concatenate(([0], np.cumsum(many)))
+    row = np.repeat(np.arange(len(count)), many)
+    number = np.arange(first[-1]) - first[row]
+    size = np.minimum(count[row] - number * room, room)
+    out = np.full((len(row), max_length), pad, dtype=np.int32)
+    out[:, 0] = cls
+    at = np.arange(len(ids)) - np.repeat(offs[:-1], count)
+    out[np.repeat(first[:-1], count) + at // room, 1 + at % room] = ids
+    out[np.arange(len(row)), size + 1] = sep
+    mask = (np.arange(max_length) < (size + 2)[:, None]).astype(np.int32)
+    return row, number.astype(np.int32), out, mask
+
+
+def _window_batch(part: pa.RecordBatch, keep: list[str], ids: np.ndarray, offs: np.ndarray, max_length: int, **special: int) -> pa.RecordBatch:
+    row, number, out, mask = windows_of(ids, offs, max_length, **special)
+    ends = pa.array(np.arange(len(row) + 1, dtype=np.int32) * max_length)
+    lists = [pa.ListArray.from_arrays(ends, pa.array(x.ravel())) for x in (out, mask, np.zeros_like(mask))]
+    origin = pa.array(row)
+    return pa.RecordBatch.from_arrays([*(part.column(c).take(origin) for c in keep), pa.array(number), *lists],
+                                      [*keep, "window", "input_ids", "attention_mask", "token_type_ids"])
+
+
+def _window_schema(docs: DataFrame, keep: Sequence[str]) -> StructType:
+    array = ArrayType(IntegerType())
+    return StructType([*[docs.schema[c] for c in keep], StructField("window", IntegerType()), StructField("input_ids", array),
+                       StructField("attention_mask", array), StructField("token_type_ids", array)])
+
+
+def _with_rare(rows: DataFrame, vocab: DataFrame, known: Dictionary) -> DataFrame:
+    """``rows`` with ``_rare``: the (hash, id) of their words that ``known`` leaves out. Frequent words
+    never move, so no join key is hot."""
+    sent = rows.sparkSession.sparkContext.broadcast(known)
     tagged = rows.withColumn("_row", F.monotonically_increasing_id()).checkpoint()  # fixes the row numbers
-    ids = (tagged.select("_row", F.posexplode("_words").alias("pos", "word")).join(vocab.select("word", "id"), "word", "left")
-           .groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("pos", F.coalesce("id", F.lit(UNK_ID)).alias("id")))).alias("_t")))
-    joined = tagged.join(ids, "_row", "left").withColumn(
-        "_ids", F.coalesce(F.transform("_t", lambda t: t["id"].cast("int")), F.expr("cast(array() as array<int>)")))
-    return joined.drop("_row", "_t", "_words"), None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, tokens, offs in token_slices(batches, "_tokens"):
+            left = np.flatnonzero(sent.value.look_up(tokens) == UNK_ID)
+            row = np.repeat(np.arange(part.num_rows), np.diff(offs))[left]
+            pairs = pd.DataFrame({"row": row, "h": tokens[left]}).drop_duplicates()
+            yield pa.RecordBatch.from_arrays([part.column("_row").take(pa.array(pairs["row"].to_numpy())), pa.array(pairs["h"].to_numpy())], ["_row", "h"])
+
+    asked = tagged.select("_row", "_tokens").mapInArrow(run, "_row bigint, h bigint")
+    found = (asked.join(vocab.select(F.xxhash64("word").alias("h"), F.col("id").cast("int").alias("id")), "h")
+             .groupBy("_row").agg(F.collect_list(F.struct("h", "id")).alias("_rare")))
+    return tagged.join(found, "_row", "left").drop("_row")
 
 
 def encode_text(docs: DataFrame, vocab: DataFrame, max_length: int = 512, text: str = "sentence",
@@ -83,28 +191,76 @@ def encode_text(docs: DataFrame, vocab: DataFrame, max_length: int = 512, text:
     and ``idx`` for training input, keep them for predictions).
     """
     keep = list(keep)
-    rows, ids_of = _lookup_ids(docs, vocab, text, keep, shipped)
-    source = "_words" if ids_of is not None else "_ids"
+    rows = docs.select(*keep, word_hashes(F.col(text)).alias("_tokens"))
+    known = dictionary(vocab, shipped)
+    if not known.whole:
+        rows = _with_rare(rows, vocab, known)
+    sent = docs.sparkSession.sparkContext.broadcast(known)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, tokens, offs in token_slices(batches, "_tokens"):
+            ids = sent.value.look_up(tokens)
+            if not sent.value.whole:
+                _rare_ids(ids, tokens, offs, part.column("_rare"))
+            yield _window_batch(part, keep, ids, offs, max_length)
+
+    return rows.mapInArrow(run, _window_schema(docs, keep))
+
+
+#: characters of a text that are cut into sub-words at a time
+PIECE_CHARS = 1 << 16
+_SPACE = re.compile(r"\s")
+
+
+def _pieces(text: str, size: int) -> Iterator[str]:
+    """``text`` in pieces of ``size`` characters or more that end before white space."""
+    lo = 0
+    while lo < len(text):
+        space = _SPACE.search(text, lo + size) if lo + size < len(text) else None
+        hi = space.start() if space else len(text)
+        yield text[lo:hi]
+        lo = hi
+
+
+def encode_subwords(docs: DataFrame, tokenizer: str, max_length: int = 512, text: str = "sentence", keep: Sequence[str] = ("idx", "label"),
+                    start: str = "<|startoftext|>", end: str = "<|endoftext|>", pad: int = PAD_ID, piece: int = PIECE_CHARS) -> DataFrame:
+    """``encode_text`` with the sub-word units of a public tokenizer file instead of a corpus
+    vocabulary, so that no word is unknown: words that the file lacks are split into units
+    it has. The same columns; ``start`` and ``end`` are the tokens that open and close a window.
+
+    ``tokenizer`` is the path of a JSON file of the ``tokenizers`` library whose units never
+    span white space. It is read once, by the driver, and sent to the tasks (a fixed size,
+    however many documents there are). Texts are encoded in pieces of ``piece`` characters that
+    end before white space, which changes no unit.
+    """
+    from tokenizers import Tokenizer
+
+    with open(tokenizer, encoding="utf-8") as file:
+        content = file.read()
+    own = Tokenizer.from_str(content)
+    special = {"cls": own.token_to_id(start), "sep": own.token_to_id(end), "pad": pad}
+    if None in special.values():
+        raise ValueError(f"the tokenizer has no {start} or {end}")
+    keep = list(keep)
+    sent = docs.sparkSession.sparkContext.broadcast(content)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        zeros = np.zeros(max_length, dtype=np.int32)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units = Tokenizer.from_str(sent.value)
+        units.encode_special_tokens = True  # their strings in a text are ordinary text
+        units.no_truncation()
         for batch in batches:
-            origin, window, ids, masks = [], [], [], []
-            for i, tokens in enumerate(batch[source]):
-                codes = np.asarray([ids_of.get(t, UNK_ID) for t in tokens] if ids_of is not None else tokens, dtype=np.int32)
-                for w, row, mask in _windows(codes, max_length):
-                    origin.append(i)
-                    window.append(w)
-                    ids.append(row)
-                    masks.append(mask)
-            out = batch[keep].iloc[origin].reset_index(drop=True)
-            yield out.assign(window=np.asarray(window, dtype=np.int32), input_ids=ids, attention_mask=masks,
-                             token_type_ids=[zeros] * len(ids))
+            ids, offs, lo = [], [0], 0
+            for i, value in enumerate(batch.column("_text")):
+                offs.append(offs[-1])
+                for part in _pieces(value.as_py() or "", piece):
+                    ids.append(np.asarray(units.encode(part, add_special_tokens=False).ids, dtype=np.int32))
+                    offs[-1] += len(ids[-1])
+                if offs[-1] >= SLICE_TOKENS or i + 1 == batch.num_rows:
+                    yield _window_batch(batch.slice(lo, i + 1 - lo), keep, np.concatenate(ids) if ids else np.empty(0, np.int32),
+                                        np.asarray(offs), max_length, **special)
+                    ids, offs, lo = [], [0], i + 1
 
-    array = ArrayType(IntegerType())
-    schema = StructType([*[docs.schema[c] for c in keep], StructField("window", IntegerType()), StructField("input_ids", array),
-                         StructField("attention_mask", array), StructField("token_type_ids", array)])
-    return rows.mapInPandas(run, schema)
+    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(run, _window_schema(docs, keep))
 
 
 def fit_token_counts(encoded_train: DataFrame, label: str = "label") -> DataFrame:
@@ -186,6 +342,99 @@ def score_bag_of_ids(encoded: DataFrame, stats: DataFrame, classes: Sequence, id
             .drop("_n", *sums))
 
 
+@dataclass(frozen=True)
+class WordModel:
+    """A fitted multinomial classifier of words: per class the log prior and the log of the
+    smoothed size, and ``figures`` (c, h, count), the class counts of the words it has seen."""
+
+    classes: list
+    priors: list[float]
+    sizes: list[float]
+    figures: DataFrame
+    words: int  # rows of ``figures``
+
+
+def fit_words(train: DataFrame, id_space: int, text: str = "sentence", label: str = "label") -> WordModel:
+    """Class counts of every word of the labelled rows, straight from the texts: no vocabulary is
+    sent or joined. Rows with a null label are left out; a null text counts as a document."""
+    rows = train.where(F.col(label).isNotNull()).select(F.col(label).alias("c"), word_hashes(F.col(text)).alias("_tokens"))
+    per_class = rows.groupBy("c").agg(F.count(F.lit(1)).alias("docs"), F.sum(F.size("_tokens")).alias("tokens")).orderBy("c").collect()
+    total = sum(r["docs"] for r in per_class)
+    figures = rows.select("c", F.explode("_tokens").alias("h")).groupBy("c", "h").agg(F.count(F.lit(1)).alias("count")).checkpoint()
+    return WordModel([r["c"] for r in per_class], [math.log(r["docs"] / total) for r in per_class],
+                     [math.log(r["tokens"] + id_space) for r in per_class], figures, figures.count())
+
+
+def _sent_gains(rows: DataFrame, model: WordModel) -> DataFrame:
+    """``rows`` with ``_n`` tokens and ``_gain``, per class the sum of ln(count + 1), summed where the
+    rows lie; the figures are sent along."""
+    found = model.figures.select(F.array_position(F.array(*[F.lit(c) for c in model.classes]), F.col("c")).alias("c"), "h", "count").toArrow()
+    hashes, place = np.unique(found.column("h").to_numpy(), return_inverse=True)
+    logs = np.zeros((len(hashes), len(model.classes)))
+    logs[place, found.column("c").to_numpy() - 1] = np.log(found.column("count").to_numpy() + 1.0)
+    sent = rows.sparkSession.sparkContext.broadcast((hashes, logs))
+    others = [c for c in rows.columns if c != "_tokens"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, logs = sent.value
+        width = logs.shape[1]
+        for part, tokens, offs in token_slices(batches, "_tokens"):
+            n = np.diff(offs)
+            row, gain = np.repeat(np.arange(len(n)), n), np.zeros((len(n), width))
+            if len(hashes):
+                at = np.minimum(np.searchsorted(hashes, tokens), len(hashes) - 1)
+                hit = hashes[at] == tokens
+                for c in range(width):
+                    gain[:, c] = np.bincount(row[hit], weights=logs[at[hit], c], minlength=len(n))
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * width), pa.array(gain.ravel()))
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in others), pa.array(n.astype(np.int64)), lists], [*others, "_n", "_gain"])
+
+    schema = StructType([*[rows.schema[c] for c in others], *StructType.fromDDL("_n bigint, _gain array<double>").fields])
+    return rows.mapInArrow(run, schema)
+
+
+def _joined_gains(rows: DataFrame, model: WordModel) -> DataFrame:
+    """The same by a join of each row's distinct words with the figures. A word's figures are one
+    row, salted, so that a word of every text is not one task's."""
+    salts = 32
+    tagged = rows.withColumn("_row", F.monotonically_increasing_id()).checkpoint()  # fixes the row numbers
+    kinds = F.array(*[F.lit(c) for c in model.classes])
+    gain = F.log(F.col("count") + 1.0)
+    figures = model.figures.select("h", (F.array_position(kinds, F.col("c")) - 1).alias("c"), gain.alias("g")).select(
+        "h", "c", "g", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    tokens = (tagged.select("_row", F.explode("_tokens").alias("h")).groupBy("_row", "h").agg(F.count(F.lit(1)).alias("k"))
+              .withColumn("salt", F.pmod("_row", F.lit(salts)).cast("int")))
+    sums = (tokens.join(figures, ["h", "salt"]).groupBy("_row", "c").agg(F.sum(F.col("k") * F.col("g")).alias("s"))
+            .groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("c", "s"))).alias("_of")))
+    gains = F.array(*[F.coalesce(F.try_element_at("_of", F.lit(c).cast("bigint")), F.lit(0.0)) for c in range(len(model.classes))])
+    return (tagged.join(sums, "_row", "left")
+            .withColumn("_n", F.size("_tokens").cast("bigint")).withColumn("_gain", gains).drop("_row", "_of", "_tokens"))
+
+
+def score_words(docs: DataFrame, model: WordModel, text: str = "sentence", keep: Sequence[str] = ("idx", "sentence", "label"),
+                label: str | None = None, shipped: int = MAX_SHIPPED_SCORES) -> DataFrame:
+    """``keep`` columns, ``scores`` (per class ``log prior + sum of ln(count + 1) - tokens * log size``),
+    ``pred`` (the first class with the highest score) and, with a ``label`` column among ``keep``,
+    the row's cross-entropy ``loss`` (null for a class the model lacks).
+
+    One row per row of ``docs``, in one pass over its texts: up to ``shipped`` figures are sent to
+    the tasks, more are joined. The figures grow with the labelled rows of the fit, not with
+    the documents that are scored.
+    """
+    keep = list(keep)
+    rows = docs.select(*keep, word_hashes(F.col(text)).alias("_tokens"))
+    ways: Callable = _sent_gains if model.words * len(model.classes) <= shipped else _joined_gains
+    found = ways(rows, model)
+    scores = F.array(*[F.lit(p) + F.get(F.col("_gain"), i) - F.col("_n").cast("double") * F.lit(z)
+                       for i, (p, z) in enumerate(zip(model.priors, model.sizes))])
+    kinds = F.array(*[F.lit(c) for c in model.classes])
+    out = found.withColumn("scores", scores).withColumn("pred", F.get(kinds, argmax_index(F.col("scores"))))
+    if label:
+        truth = F.array_position(kinds, F.col(label).cast(docs.schema[label].dataType)) - 1
+        out = out.withColumn("loss", -F.get(array_log_softmax(F.col("scores")), truth.cast("int")))
+    return out.drop("_n", "_gain")
+
+
 def predictions_table(scored: DataFrame, mode: str = "validation") -> DataFrame:
     """``Sentence, GroundTruth, Prediction`` (validation) or ``Sentence, Prediction`` (test)."""
     cols = [F.col("sentence").alias("Sentence")]

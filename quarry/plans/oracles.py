@@ -577,7 +577,11 @@ _RIGHT = "(SELECT avg(CASE WHEN label = pred THEN 1.0 ELSE 0.0 END) FROM rows)"
 ORACLES["report_sink"] = _report_sql(SCORED, f"""SELECT 0 AS n, 'Metrics for the checkpoint: class-mean' AS value
   UNION ALL SELECT 1, printf('Test Loss: %.3f, Test Accuracy: %.3f', {_LOSS}, {_RIGHT})""", "CAST(l AS VARCHAR)").strip()
 ORACLES["text_report_sink"] = _report_sql(
-    _NB.rstrip() + ",\nrows AS (SELECT t.idx, t.label, best.pred, 0 AS batch, 0.0 AS loss FROM docs t JOIN best USING (idx) WHERE t.label IS NOT NULL)",
+    _NB.rstrip() + """,
+held AS (SELECT idx, label, (row_number() OVER (ORDER BY idx) - 1) // 20 AS batch FROM sent WHERE split = 'validation'),
+total AS (SELECT idx, top + ln(sum(exp(score - top))) AS s FROM sc JOIN (SELECT idx, max(score) AS top FROM sc GROUP BY idx) USING (idx) GROUP BY idx, top),
+rows AS (SELECT h.idx, h.label, best.pred, h.batch, total.s - sc.score AS loss
+         FROM held h JOIN best USING (idx) JOIN total USING (idx) LEFT JOIN sc ON sc.idx = h.idx AND sc.c = h.label)""",
     f"""SELECT 0 AS n, 'Validation Metrics for the checkpoint: bag-of-ids' AS value
   UNION ALL SELECT 1, printf('Loss: %.3f, Accuracy: %.3f, Avg Batch Duration: %.3f seconds, Duration: %.3f seconds', {_LOSS}, {_RIGHT},
       (SELECT avg(duration) FROM ({ofx.L_TELE})), (SELECT sum(duration) FROM ({ofx.L_TELE})))""",

@@ -6,6 +6,7 @@ that results that differ only in floating-point summation order compare equal.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 import numpy as np
@@ -344,8 +345,10 @@ def q_report_sink(spark, sf):
 
 @query("text_report_sink")
 def q_text_report_sink(spark, sf):
-    """The written text-form report of the text classifier on the labelled documents."""
-    scored = _text_scored(spark, sf).where("label is not null").withColumn("loss", F.lit(0.0)).withColumn("batch", F.lit(0))
+    """The written text-form report of the text classifier on the held-out validation split, in
+    batches of 20 by ``idx``."""
+    held = fx.s_sent(spark, sf).where(F.col("split") == "validation").select("idx", "sentence", "label")
+    scored = _text_scored(spark, sf, global_index(held, ["idx"], pos="pos")).withColumn("batch", F.floor(F.col("pos") / TEXT_BATCH))
     path = scratch_path(spark, "text_report")
     write_report(ev.eval_report(scored, "batch", names=["negative", "positive"]), path, "bag-of-ids", "text", tm.eval_timing(fx.l_tele(spark, sf)))
     return read_lines_in_order(spark, path)
@@ -469,6 +472,9 @@ def q_random_flip(spark, sf):
 # ------------------------------------------------------------------------------ text
 
 MAX_LENGTH = 512
+TEXT_BATCH = 20
+#: a public tokenizer file; its units don't span white space
+TOKENIZER = os.environ.get("QUARRY_TOKENIZER", "/opt/tokenizers/word_bpe_49k.json")
 
 
 def _vocab(spark, docs) -> DataFrame:
@@ -500,17 +506,19 @@ def q_drop_columns(spark, sf):
     return _encoded(txt.encode_text(docs, _vocab(spark, docs), MAX_LENGTH, keep=("label",)), F.col("label").cast("string").alias("label"))
 
 
-def _text_scored(spark, sf) -> DataFrame:
-    """A classifier of the labelled train split applied to every document."""
-    docs = fx.s_docs(spark, sf)
-    vocab = _vocab(spark, docs)
-    id_space = vocab.count() + txt.FIRST_WORD_ID
-    train = fx.s_sent(spark, sf).where(F.col("split") == "train")
-    stats = txt.fit_token_counts(txt.encode_text(train, vocab, MAX_LENGTH, keep=("label",))).checkpoint(eager=True)
-    classes = ev.label_set(stats.select(F.col("label").alias("truth"), F.col("label").alias("pred")))
-    encoded = txt.encode_text(docs, vocab, MAX_LENGTH, keep=("idx",))
-    scored = txt.score_bag_of_ids(encoded, stats, classes, id_space)
-    return docs.join(scored, "idx")
+@query("encode_subwords")
+def q_encode_subwords(spark, sf):
+    """Every document as windows of 512 sub-word ids of a public tokenizer."""
+    return _encoded(txt.encode_subwords(fx.s_docs(spark, sf), TOKENIZER, MAX_LENGTH, keep=("idx",)), "idx")
+
+
+def _text_scored(spark, sf, docs: DataFrame | None = None) -> DataFrame:
+    """A classifier of the labelled train split applied to every document, or to ``docs``."""
+    every = fx.s_docs(spark, sf)
+    id_space = every.select(F.explode(txt.word_hashes(F.col("sentence")))).distinct().count() + txt.FIRST_WORD_ID
+    model = txt.fit_words(fx.s_sent(spark, sf).where(F.col("split") == "train"), id_space)
+    docs = every if docs is None else docs
+    return txt.score_words(docs, model, keep=docs.columns, label="label")
 
 
 @query("project_predictions")
