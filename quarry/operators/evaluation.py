@@ -12,15 +12,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.operators.indexing import global_index
 from quarry.session import checkpoint_root
 
-#: labels up to which the confusion matrix lists its zero cells as well
+#: labels up to which they are numbered in one task and the confusion matrix lists its zero cells as well
 MAX_LABELS = 2_000
 
 
 def accuracy(scored: DataFrame, truth: str = "label", pred: str = "pred") -> DataFrame:
-    """Share of rows with ``truth = pred`` (one row)."""
-    return scored.agg(F.avg((F.col(truth) == F.col(pred)).cast("double")).alias("accuracy"))
+    """Share of rows with ``truth = pred`` (one row); null is a label like any other."""
+    return scored.agg(F.avg(F.col(truth).eqNullSafe(F.col(pred)).cast("double")).alias("accuracy"))
 
 
 def cells(scored: DataFrame, truth: str = "label", pred: str = "pred") -> DataFrame:
@@ -28,32 +29,31 @@ def cells(scored: DataFrame, truth: str = "label", pred: str = "pred") -> DataFr
         F.count(F.lit(1)).alias("n"))
 
 
-def _labels(counts: DataFrame) -> DataFrame:
-    return counts.select(F.col("truth").alias("label")).union(counts.select("pred")).distinct()
-
-
-def label_set(cell_counts: DataFrame, max_labels: int = MAX_LABELS) -> list:
-    """Sorted union of labels seen as truth or prediction (bounded and checked)."""
-    values = sorted(r[0] for r in _labels(cell_counts).limit(max_labels + 1).collect())
-    if len(values) > max_labels:
-        raise ValueError(f"more than {max_labels} distinct labels")
-    return values
+def label_index(counts: DataFrame, max_labels: int = MAX_LABELS) -> tuple[DataFrame, bool]:
+    """``(label, o)``: every label seen as truth or prediction with its place in their order, null
+    first, and whether there are more than ``max_labels``. Many labels are numbered range by
+    range; they never meet in one task or in the driver."""
+    labels = counts.select(F.col("truth").alias("label")).union(counts.select("pred")).distinct()
+    many = labels.limit(max_labels + 1).count() > max_labels
+    if many:
+        return global_index(labels, [F.col("label").asc_nulls_first()], pos="o"), True
+    return labels.select("label", (F.row_number().over(Window.orderBy(F.col("label").asc_nulls_first())) - 1).cast("bigint").alias("o")), False
 
 
 def _matrix(counts: DataFrame, max_labels: int = MAX_LABELS) -> DataFrame:
-    """``(truth, pred, n)`` from cell counts; with zero cells up to ``max_labels`` labels, sparse
-    beyond."""
-    labels = _labels(counts)
-    if labels.limit(max_labels + 1).count() > max_labels:
-        return counts.select("truth", "pred", F.col("n").cast("bigint").alias("n"))
-    kind = counts.schema["truth"].dataType
-    lits = [F.lit(v).cast(kind) for v in label_set(counts, max_labels)]
-    spark = counts.sparkSession
-    # the label list goes into the plan; the labels^2 grid is generated inside the tasks
-    grid = (spark.range(len(lits)).select(F.get(F.array(*lits), F.col("id").cast("int")).alias("truth"))
-            .select("truth", F.explode(F.array(*lits)).alias("pred"))) if lits else counts.select("truth", "pred")
-    return (grid.join(counts, ["truth", "pred"], "left")
-            .select("truth", "pred", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")))
+    """``(truth, pred, n, ot, op)`` from cell counts, with the labels' places; with zero cells up to
+    ``max_labels`` labels, sparse beyond."""
+    index, many = label_index(counts, max_labels)
+    of = lambda side: index.select(F.col("label").alias(f"_{side}"), F.col("o").alias(f"o{side[0]}"))
+    if many:
+        return (counts.join(of("truth"), F.col("truth").eqNullSafe(F.col("_truth"))).join(of("pred"), F.col("pred").eqNullSafe(F.col("_pred")))
+                .select("truth", "pred", F.col("n").cast("bigint").alias("n"), "ot", "op"))
+    # one row with all labels (at most max_labels); the grid is generated inside the tasks
+    row = index.agg(F.collect_list(F.struct(F.col("o").alias("op"), F.col("label").alias("_pred"))).alias("_all")).withColumn("_one", F.lit(1))
+    grid = of("truth").withColumn("_one", F.lit(1)).join(row, "_one").select("_truth", "ot", F.inline("_all"))
+    found = F.col("truth").eqNullSafe(F.col("_truth")) & F.col("pred").eqNullSafe(F.col("_pred"))
+    return (grid.join(counts, found, "left")
+            .select(F.col("_truth").alias("truth"), F.col("_pred").alias("pred"), F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"), "ot", "op"))
 
 
 def confusion_matrix(scored: DataFrame, truth: str = "label", pred: str = "pred", max_labels: int = MAX_LABELS) -> DataFrame:
@@ -62,7 +62,7 @@ def confusion_matrix(scored: DataFrame, truth: str = "label", pred: str = "pred"
     checkpoint_root(scored.sparkSession)
     # the cell table has labels^2 rows at most; checkpointing it lets the label set and the
     # matrix share one pass over the scored rows
-    return _matrix(cells(scored, truth, pred).checkpoint(eager=True), max_labels)
+    return _matrix(cells(scored, truth, pred).checkpoint(eager=True), max_labels).select("truth", "pred", "n")
 
 
 def _row(order, label, p, r, f, support):
@@ -76,20 +76,22 @@ def _safe(num: Column, den: Column) -> Column:
 
 
 def _report(counts: DataFrame, names: Sequence[str] | None) -> DataFrame:
-    hit = F.sum(F.when(F.col("truth") == F.col("pred"), F.col("n")).otherwise(0))
-    true = counts.groupBy(F.col("truth").alias("label")).agg(hit.alias("tp"), F.sum("n").alias("support"))
-    guessed = counts.groupBy(F.col("pred").alias("label")).agg(F.sum("n").alias("predicted"))
-    per = true.join(guessed, "label", "full").fillna(0, ["tp", "support", "predicted"])
+    same = F.col("truth").eqNullSafe(F.col("pred"))
+    none = F.lit(0).cast("bigint")
+    true = counts.groupBy(F.col("truth").alias("label")).agg(F.sum(F.when(same, F.col("n")).otherwise(0)).alias("tp"), F.sum("n").alias("support"), F.first(none).alias("predicted"))
+    guessed = counts.groupBy(F.col("pred").alias("label")).agg(F.first(none).alias("tp"), F.first(none).alias("support"), F.sum("n").alias("predicted"))
+    per = true.unionByName(guessed).groupBy("label").agg(*[F.sum(c).alias(c) for c in ("tp", "support", "predicted")])
     per = per.select(
         "label", _safe(F.col("tp"), F.col("predicted")).alias("precision"), _safe(F.col("tp"), F.col("support")).alias("recall"),
         _safe(2 * F.col("tp"), F.col("predicted") + F.col("support")).alias("f1_score"),
         F.col("support").cast("bigint").alias("support"), "tp")
-    # one row per label, so the window is as small as the label set
-    order = F.row_number().over(Window.orderBy("label")) - 1
-    text = F.col("label").cast("string")
+    index, _ = label_index(counts)
+    order = F.col("o")
+    text = F.coalesce(F.col("label").cast("string"), F.lit("null"))
     if names is not None:
-        text = F.coalesce(F.get(F.array(*[F.lit(n) for n in names]), order), text)
-    rows = per.select(order.cast("bigint").alias("order"), text.alias("label"), "precision", "recall", "f1_score", "support")
+        text = F.coalesce(F.get(F.array(*[F.lit(n) for n in names]), order.cast("int")), text)
+    placed = per.join(index.withColumnRenamed("label", "_l"), F.col("label").eqNullSafe(F.col("_l")))
+    rows = placed.select(order.alias("order"), text.alias("label"), "precision", "recall", "f1_score", "support")
     tot = per.agg(
         F.sum("support").alias("total"), F.sum("tp").alias("tp"),
         F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1_score").alias("mf"),
@@ -143,19 +145,16 @@ def eval_report(scored: DataFrame, batch_col: str = "batch", truth: str = "label
                          value.cast("double").alias("value"), position.cast("bigint").alias("position"))
 
     loss = sums.groupBy("batch").agg((F.sum("loss") / F.sum("n")).alias("l")).agg(F.avg("l").alias("v"))
-    right = counts.agg(_safe(F.sum(F.when(F.col("truth") == F.col("pred"), F.col("n")).otherwise(0)), F.sum("n")).alias("v"))
+    right = counts.agg(_safe(F.sum(F.when(F.col("truth").eqNullSafe(F.col("pred")), F.col("n")).otherwise(0)), F.sum("n")).alias("v"))
     rep = _report(counts, names)
     metrics = ("precision", "recall", "f1_score", "support")
     long = rep.select("order", "label", F.posexplode(F.array(*[
         F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics])).alias("i", "m")).where("m.value is not null")
-    matrix = _matrix(counts)
-    # one row per label
-    order = _labels(counts).select("label", (F.row_number().over(Window.orderBy("label")) - 1).alias("o"))
-    placed = (matrix.join(order.withColumnsRenamed({"label": "truth", "o": "ot"}), "truth")
-              .join(order.withColumnsRenamed({"label": "pred", "o": "op"}), "pred"))
+    placed = _matrix(counts)
+    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
     out = (part(loss, "summary", F.lit(""), nothing, F.lit("loss"), F.col("v"), F.lit(0))
            .unionByName(part(right, "summary", F.lit(""), nothing, F.lit("accuracy"), F.col("v"), F.lit(1)))
            .unionByName(part(long, "report", F.col("label"), nothing, F.col("m.metric"), F.col("m.value"), F.col("order") * 4 + F.col("i")))
-           .unionByName(part(placed, "matrix", F.col("truth").cast("string"), F.col("pred").cast("string"), F.lit("n"), F.col("n"),
+           .unionByName(part(placed, "matrix", name("truth"), name("pred"), F.lit("n"), F.col("n"),
                              F.col("ot") * F.lit(1 << 31) + F.col("op"))))
     return out.withColumn("version", F.lit(version)) if version is not None else out

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.functions.decimals import printed
+
 # Fixed text of the studied job's log lines (values in natural order of the line).
 EPOCH_LINE = ("Epoch: %d, Train Loss: %.3f, Train Accuracy: %.3f, "
               "Avg Batch Duration: %.3f seconds, Epoch Duration: %.3f seconds")
@@ -22,6 +24,7 @@ TEXT_EPOCH_LINE = ("Epoch: %d, Train Loss: %.3f, Train Accuracy: %.3f, "
                    "Train Duration: %.3f seconds, Avg Train Batch Duration: %.3f seconds")
 TEXT_RUN_LINE = ("Avg Train Loss: %.3f, Avg Train Accuracy: %.3f, "
                  "Avg Train Duration: %.3f seconds, Avg Train Batch Duration: %.3f seconds")
+TEXT_SEPARATOR = "-" * 46
 LOG_HEADER = "Logs for the checkpoint stored at: %s/"
 
 
@@ -79,39 +82,35 @@ def lr_schedule(spark: SparkSession, total: int, warmup: int = 100, base: float
     return spark.range(total).select(F.col("id").alias("step"), lr_at(F.col("id"), total, warmup, base).alias("lr"))
 
 
-def _three(*columns: str) -> list[Column]:
-    return [F.round(c, 3) for c in columns]
-
-
 def format_epoch_log(epochs: DataFrame, rank: Column | None = None) -> DataFrame:
-    """Fixed-format epoch lines; values are rounded to 3 digits before printing."""
-    line = F.format_string(EPOCH_LINE, F.col("epoch"), *_three("train_loss", "train_accuracy", "avg_batch_duration", "epoch_duration"))
+    """Fixed-format epoch lines."""
+    line = printed(EPOCH_LINE, "epoch", "train_loss", "train_accuracy", "avg_batch_duration", "epoch_duration")
     if rank is not None:
         line = F.concat(F.lit("Rank: "), rank.cast("string"), F.lit(", "), line)
     return epochs.select(*[c for c in ("rank", "epoch") if c in epochs.columns], line.alias("value"))
 
 
 def format_batch_log(tele: DataFrame) -> DataFrame:
-    line = F.format_string(BATCH_LINE, F.col("batch_idx"), *_three("loss", "accuracy", "duration"))
+    line = printed(BATCH_LINE, "batch_idx", "loss", "accuracy", "duration")
     return tele.select(*[c for c in ("rank", "epoch") if c in tele.columns], "batch_idx", line.alias("value"))
 
 
 def format_text_batch_log(tele: DataFrame) -> DataFrame:
     """Batch lines of text training."""
-    line = F.format_string(TEXT_BATCH_LINE, F.col("epoch"), F.col("batch_idx"), *_three("loss", "accuracy", "duration"))
+    line = printed(TEXT_BATCH_LINE, "epoch", "batch_idx", "loss", "accuracy", "duration")
     return tele.select("epoch", "batch_idx", line.alias("value"))
 
 
 def format_text_epoch_log(epochs: DataFrame) -> DataFrame:
     """Epoch lines of text training (another order of the fields)."""
-    line = F.format_string(TEXT_EPOCH_LINE, F.col("epoch"), *_three("train_loss", "train_accuracy", "epoch_duration", "avg_batch_duration"))
+    line = printed(TEXT_EPOCH_LINE, "epoch", "train_loss", "train_accuracy", "epoch_duration", "avg_batch_duration")
     return epochs.select("epoch", line.alias("value"))
 
 
 def format_text_run_log(run: DataFrame) -> DataFrame:
     """The closing line of text training."""
-    return run.select(F.format_string(TEXT_RUN_LINE, *_three("avg_train_loss", "avg_train_accuracy", "avg_epoch_duration",
-                                                             "avg_batch_duration")).alias("value"))
+    return run.select(printed(TEXT_RUN_LINE, "avg_train_loss", "avg_train_accuracy", "avg_epoch_duration",
+                                                             "avg_batch_duration").alias("value"))
 
 
 def train_log(tele: DataFrame, every: int = 20, max_batches: int | None = None, checkpoint: str | None = None) -> DataFrame:
@@ -135,3 +134,16 @@ def train_log(tele: DataFrame, every: int = 20, max_batches: int | None = None,
     header = who.select(F.lit(-1).cast("bigint").alias("line_no"), *ranks, F.lit(None).cast("int").alias("epoch"),
                         F.lit(LOG_HEADER % checkpoint).alias("value"))
     return lines.unionByName(header)
+
+
+def text_train_log(tele: DataFrame, every: int = 100) -> DataFrame:
+    """Log lines of a text training run in order: per epoch its sampled batch lines, the epoch line
+    and a separator, then the run line and a separator. ``line_no`` orders them."""
+    epochs = epoch_summary(tele, skip_first=False)
+    at = lambda k: ((F.col("epoch").cast("bigint") * F.lit(1 << 41)) + k).alias("line_no")
+    batches = format_text_batch_log(sample_batches(tele, every)).select(at(F.col("batch_idx").cast("bigint")), "value")
+    closing = format_text_epoch_log(epochs).select(at(F.lit(1 << 40)), "value")
+    # no run line without an epoch
+    run = format_text_run_log(run_summary(epochs).where("epochs > 0")).select(F.lit((1 << 62)).cast("bigint").alias("line_no"), "value")
+    mark = lambda lines: lines.select((F.col("line_no") + 1).alias("line_no"), F.lit(TEXT_SEPARATOR).alias("value"))
+    return batches.unionByName(closing).unionByName(mark(closing)).unionByName(run).unionByName(mark(run))

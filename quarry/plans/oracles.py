@@ -276,8 +276,8 @@ FROM ({ofx.L_TELE})
 """)
 oracle("format_log_line", f"""
 SELECT epoch, printf('Epoch: %d, Train Loss: %.3f, Train Accuracy: %.3f, Avg Batch Duration: %.3f seconds, Epoch Duration: %.3f seconds',
-                     epoch, round(train_loss, 3), round(train_accuracy, 3), round(avg_batch_duration, 3),
-                     round(epoch_duration, 3)) AS value
+                     epoch, train_loss, train_accuracy, avg_batch_duration,
+                     epoch_duration) AS value
 FROM ({_epochs_sql(True)})
 """)
 
@@ -286,17 +286,17 @@ def _printed(columns: str, line: str, values: str, source: str) -> str:
 
 
 _BATCH_FORM = "Batch Idx: %d, Batch Loss: %.3f, Batch Accuracy: %.3f, Batch Duration: %.3f seconds"
-_BATCH_VALUES = "batch_idx, round(loss, 3), round(accuracy, 3), round(duration, 3)"
+_BATCH_VALUES = "batch_idx, loss, accuracy, duration"
 oracle("format_batch_log", _printed("epoch, batch_idx,", _BATCH_FORM, _BATCH_VALUES, ofx.L_TELE))
 oracle("format_text_batch_log", _printed(
     "epoch, batch_idx,", "Epoch: %d, Train Batch Idx: %d, Train Batch Loss: %.3f, Train Batch Accuracy: %.3f, Train Batch Duration: %.3f seconds",
     "epoch, " + _BATCH_VALUES, ofx.L_TELE))
 oracle("format_text_epoch_log", _printed(
     "epoch,", "Epoch: %d, Train Loss: %.3f, Train Accuracy: %.3f, Train Duration: %.3f seconds, Avg Train Batch Duration: %.3f seconds",
-    "epoch, round(train_loss, 3), round(train_accuracy, 3), round(epoch_duration, 3), round(avg_batch_duration, 3)", _epochs_sql(False)))
+    "epoch, train_loss, train_accuracy, epoch_duration, avg_batch_duration", _epochs_sql(False)))
 oracle("format_text_run_log", _printed(
     "", "Avg Train Loss: %.3f, Avg Train Accuracy: %.3f, Avg Train Duration: %.3f seconds, Avg Train Batch Duration: %.3f seconds",
-    "round(avg(train_loss), 3), round(avg(train_accuracy), 3), round(avg(epoch_duration), 3), round(avg(avg_batch_duration), 3)", _epochs_sql(False)))
+    "avg(train_loss), avg(train_accuracy), avg(epoch_duration), avg(avg_batch_duration)", _epochs_sql(False)))
 
 oracle("train_log_sink", f"""
 WITH t AS (SELECT *, CAST(event_id % 4 AS INTEGER) AS rank FROM ({ofx.L_TELE})),
@@ -307,10 +307,23 @@ lines AS (
     SELECT rank, printf('{_BATCH_FORM}', {_BATCH_VALUES}) AS value FROM t WHERE batch_idx % 20 = 0
     UNION ALL
     SELECT rank, 'Rank: ' || rank || ', ' || printf('Epoch: %d, Train Loss: %.3f, Train Accuracy: %.3f, Avg Batch Duration: %.3f seconds, Epoch Duration: %.3f seconds',
-      epoch, round(avg(loss), 3), round(avg(accuracy), 3), round(avg(CASE WHEN batch_idx > 0 THEN duration END), 3), round(sum(duration), 3))
+      epoch, avg(loss), avg(accuracy), avg(CASE WHEN batch_idx > 0 THEN duration END), sum(duration))
     FROM t GROUP BY rank, epoch), (VALUES (1), (2)) twice(n))
 SELECT rank, value, count(*) AS n FROM lines GROUP BY rank, value
 """)
+oracle("text_train_log_sink", f"""
+WITH t AS ({ofx.L_TELE}), e AS ({_epochs_sql(False)}),
+lines(o, k, value) AS (
+  SELECT epoch, batch_idx, printf('Epoch: %d, Train Batch Idx: %d, Train Batch Loss: %.3f, Train Batch Accuracy: %.3f, Train Batch Duration: %.3f seconds',
+    epoch, batch_idx, loss, accuracy, duration) FROM t WHERE batch_idx % 100 = 0
+  UNION ALL SELECT epoch, 1000000000, printf('Epoch: %d, Train Loss: %.3f, Train Accuracy: %.3f, Train Duration: %.3f seconds, Avg Train Batch Duration: %.3f seconds',
+    epoch, train_loss, train_accuracy, epoch_duration, avg_batch_duration) FROM e
+  UNION ALL SELECT epoch, 1000000001, repeat('-', 46) FROM e
+  UNION ALL SELECT 1000, 0, printf('Avg Train Loss: %.3f, Avg Train Accuracy: %.3f, Avg Train Duration: %.3f seconds, Avg Train Batch Duration: %.3f seconds',
+    avg(train_loss), avg(train_accuracy), avg(epoch_duration), avg(avg_batch_duration)) FROM e
+  UNION ALL SELECT 1000, 1, repeat('-', 46))
+SELECT row_number() OVER (ORDER BY o, k) - 1 AS line_no, value FROM lines
+""")
 oracle("warmup_linear_lr", f"""
 WITH t AS (SELECT CAST(3 * ceil(count(*) / 20.0) AS BIGINT) AS total FROM ({ofx.S_SENT}) WHERE split = 'train')
 SELECT step, round(5e-5 * CASE WHEN step < 100 THEN step / 100.0

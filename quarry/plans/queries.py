@@ -437,6 +437,14 @@ def q_train_log_sink(spark, sf):
     return spark.read.text(path).groupBy("rank", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("text_train_log_sink")
+def q_text_train_log_sink(spark, sf):
+    """The written log of a text training run, line by line."""
+    path = scratch_path(spark, "text_train_log")
+    append_log(tm.text_train_log(fx.l_tele(spark, sf)), path)
+    return read_lines_in_order(spark, path)
+
+
 @query("warmup_linear_lr")
 def q_warmup_linear_lr(spark, sf):
     n_train = fx.s_sent(spark, sf).where(F.col("split") == "train").count()

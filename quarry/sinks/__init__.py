@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.decimals import printed
 from quarry.operators.indexing import spread_ties
 
 
@@ -129,11 +130,6 @@ def save_model(model: DataFrame, path: str, version: int) -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(path))
 
 
-def _three(*columns: str) -> list[Column]:
-    """Rounded to 3 digits, ties to even, as C and Python print them."""
-    return [F.bround(c, 3) for c in columns]
-
-
 def report_lines(report: DataFrame, checkpoint: str, form: str = "image", timing: DataFrame | None = None) -> DataFrame:
     """Text of an evaluation report from the tidy ``eval_report`` table, ``(line_no, value)``:
     header, loss and accuracy, per-label table, confusion matrix, separator.
@@ -145,14 +141,14 @@ def report_lines(report: DataFrame, checkpoint: str, form: str = "image", timing
     spark = r.sparkSession
     summary = r.where("section = 'summary'").groupBy().pivot("metric", ["loss", "accuracy"]).agg(F.first("value"))
     if form == "image":
-        head = [F.lit(f"Metrics for the checkpoint: {checkpoint}"), F.format_string("Test Loss: %.3f, Test Accuracy: %.3f", *_three("loss", "accuracy"))]
+        head = [F.lit(f"Metrics for the checkpoint: {checkpoint}"), printed("Test Loss: %.3f, Test Accuracy: %.3f", "loss", "accuracy")]
     elif form == "text":
         if timing is None:
             raise ValueError("the text form needs the timing row")
         summary = summary.withColumn("_one", F.lit(1)).join(timing.withColumn("_one", F.lit(1)), "_one")
         head = [F.lit(f"Validation Metrics for the checkpoint: {checkpoint}"),
-                F.format_string("Loss: %.3f, Accuracy: %.3f, Avg Batch Duration: %.3f seconds, Duration: %.3f seconds",
-                                *_three("loss", "accuracy", "avg_batch_duration", "duration"))]
+                printed("Loss: %.3f, Accuracy: %.3f, Avg Batch Duration: %.3f seconds, Duration: %.3f seconds",
+                        "loss", "accuracy", "avg_batch_duration", "duration")]
     else:
         raise ValueError(f"unknown form {form!r}")
     top = summary.select(F.posexplode(F.array(*head))).select(F.col("pos").cast("bigint").alias("line_no"), F.col("col").alias("value"))
@@ -163,7 +159,7 @@ def report_lines(report: DataFrame, checkpoint: str, form: str = "image", timing
              .pivot("metric", ["precision", "recall", "f1_score", "support"]).agg(F.first("value")))
     # one row: the width of the label column
     width = table.agg(F.greatest(F.max(F.length("label")), F.lit(len("weighted avg"))).alias("w"))
-    cell = lambda c: F.format_string("%9.3f", *_three(c))
+    cell = lambda c: printed("%9.3f", c)
     support = F.format_string("%9d", F.col("support").cast("long"))
     name = F.lpad("label", F.col("w"), " ")
     text = F.when(F.col("precision").isNull(), F.concat(name, F.lit(" " * 21), F.lit(" "), cell("f1_score"), F.lit(" "), support)).otherwise(

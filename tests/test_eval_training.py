@@ -236,3 +236,57 @@ def test_logs_are_appended_per_rank(spark):
     assert "Logs for the checkpoint stored at: /ck/" in lines
     assert ("Rank: 1, Epoch: 1, Train Loss: 1.000, Train Accuracy: 0.500, Avg Batch Duration: 2.000 seconds, "
             "Epoch Duration: 90.000 seconds") in lines
+
+
+def test_printed_numbers_are_pythons(spark):
+    import random
+    from pyspark.sql import functions as F
+    from quarry.functions.decimals import fixed, printed
+    rng = random.Random(9)
+    values = [0.0005, 0.0015, 0.0025, 1.0005, 2.5, -0.0, -0.0004, 0.0, 1e-300, 0.0625, 0.1875, 1e11 + 0.0005, 123456.7895, -7.0005, float("inf"), float("-inf"), float("nan")]
+    values += [rng.uniform(-10, 10) for _ in range(4000)] + [round(rng.uniform(0, 100), 4) for _ in range(4000)] + [rng.randrange(10**7) / 16000 for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    rows = df.select("x", fixed(F.col("x")).alias("t"), fixed(F.col("x"), 1).alias("one"), fixed(F.col("x"), 6).alias("six")).collect()
+    for r in rows:
+        assert (r.t, r.one) == (f"{r.x:.3f}", f"{r.x:.1f}")
+        assert r.six == f"{r.x:.6f}" or 2**52 / 10**6 <= abs(r.x) < float("inf")
+    lines = spark.createDataFrame([(3, 1.0005, None)], "n int, a double, b double").select(printed("%d: %.3f, %9.3f", "n", "a", "b").alias("v"))
+    assert lines.first()[0] == "3: 1.000,      null"
+
+
+def test_text_log_has_separators(spark):
+    from quarry.session import scratch_path
+    from quarry.operators.sorting import read_lines_in_order
+    from quarry.sinks import append_log
+    tele = spark.createDataFrame([(e, b, 1.0005, 0.5, 2.0) for e in (1, 2) for b in range(150)],
+                                 "epoch int, batch_idx int, loss double, accuracy double, duration double")
+    path = scratch_path(spark, "text_log")
+    append_log(tm.text_train_log(tele), path)
+    lines = [r.value for r in read_lines_in_order(spark, path).orderBy("line_no").collect()]
+    epoch = lambda e: [f"Epoch: {e}, Train Batch Idx: {b}, Train Batch Loss: 1.000, Train Batch Accuracy: 0.500, Train Batch Duration: 2.000 seconds"
+                       for b in (0, 100)] + [f"Epoch: {e}, Train Loss: 1.000, Train Accuracy: 0.500, Train Duration: 300.000 seconds, Avg Train Batch Duration: 2.000 seconds", "-" * 46]
+    assert lines == epoch(1) + epoch(2) + [
+        "Avg Train Loss: 1.000, Avg Train Accuracy: 0.500, Avg Train Duration: 300.000 seconds, Avg Train Batch Duration: 2.000 seconds", "-" * 46]
+    assert tm.text_train_log(tele.limit(0)).count() == 0
+
+
+def test_null_truths_are_a_label_of_their_own(spark):
+    rows = [(1, 1), (None, 1), (None, 0), (0, 0), (2, 2)]
+    df = spark.createDataFrame([(t, p, 0.5, 0) for t, p in rows], "label int, pred int, loss double, batch int")
+    matrix = {(r.truth, r.pred): r.n for r in ev.confusion_matrix(df).collect()}
+    assert len(matrix) == 16 and matrix[None, 1] == matrix[None, 0] == 1 and matrix[None, None] == 0
+    report = ev.classification_report(df).orderBy("order").collect()
+    assert [r.label for r in report] == ["null", "0", "1", "2", "accuracy", "macro avg", "weighted avg"] and report[0].support == 2
+    assert ev.accuracy(df).first()[0] == report[4].f1_score == 0.6
+    from quarry.sinks import report_lines
+    text = [r.value for r in report_lines(ev.eval_report(df), "ck").orderBy("line_no").collect()]
+    assert any(line.startswith("        null ") for line in text) and "[[0 1 1 0]" in text
+
+
+def test_five_thousand_labels(spark):
+    df = spark.range(5000).selectExpr("id AS label", "IF(id % 10 = 0, id + 1, id) AS pred", "0.5D AS loss", "0 AS batch")
+    report = ev.eval_report(df)
+    matrix = report.where("section = 'matrix'")
+    assert matrix.count() == 5000 and matrix.where("label <> other").count() == 500
+    order = [r.label for r in report.where("section = 'report' and metric = 'support'").orderBy("position").collect()]
+    assert order[:5000] == [str(i) for i in range(5000)]
