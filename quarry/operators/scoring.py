@@ -5,17 +5,25 @@ trainable boolean)`` with ``weight`` (classes x features, row-major) and ``bias`
 Scoring ships the parameters inside the plan (every task holds the model, as every
 worker does in data-parallel evaluation), so the scored rows never move: no join, no
 shuffle. The parameter count is checked before the model leaves its table.
+
+A larger model is a table of its class rows (:func:`class_mean_rows`), and
+:func:`score_by_class_rows` streams them past chunks of the scored rows.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quarry.functions.arrays import argmax_index, array_dot, array_log_softmax
+from quarry.operators.indexing import global_index
 
 #: documented limit of a model that the driver holds and the plan carries
 MAX_PARAMETERS = 1_000_000
@@ -85,6 +93,116 @@ def load_linear(model: DataFrame, max_parameters: int = MAX_PARAMETERS) -> Linea
     return LinearModel(w, b, labels)
 
 
+def class_mean_rows(train: DataFrame, features: str = "features", label: str = "label") -> DataFrame:
+    """The class-mean model as ``(label, weight array<double>, bias)``, one row per class."""
+    cells = train.select(label, F.posexplode(features).alias("j", "x")).groupBy(label, "j").agg(F.avg("x").alias("w"))
+    return cells.groupBy(F.col(label).alias("label")).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("j", F.col("w").cast("double").alias("w")))), lambda c: c["w"]).alias("weight"),
+        F.lit(0.0).cast("double").alias("bias"))
+
+
+#: feature cells of the rows that a task holds while the model passes by (8 bytes each)
+CHUNK_CELLS = 8_000_000
+#: logits of a chunk that are worked out at a time
+LOGIT_CELLS = 2_000_000
+
+
+class _Chunk:
+    """Rows of a chunk and what the classes seen so far make of them."""
+
+    def __init__(self, parts: list[pa.RecordBatch]):
+        self.rows = pa.Table.from_batches(parts).combine_chunks()
+        x = self.rows.column("_x").chunk(0)
+        self.x = x.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(x), -1)
+        n = len(x)
+        truth = self.rows.column("_truth").to_numpy(zero_copy_only=False).astype(np.float64)  # null: NaN
+        self.truth, self.at, self.loss = truth, np.zeros(n, dtype=np.int64), np.full(n, np.nan)
+        self.top, self.mass = np.full(n, -np.inf), np.zeros(n)
+
+    def see(self, order: np.ndarray, weight: np.ndarray, bias: np.ndarray) -> None:
+        z = self.x @ weight.T + bias
+        best = z.argmax(axis=1)
+        high = z[np.arange(len(z)), best]
+        new = np.maximum(self.top, high)
+        self.mass = self.mass * np.exp(self.top - new) + np.exp(z - new[:, None]).sum(axis=1)
+        self.at = np.where(high > self.top, order[best], self.at)  # classes come in order: a tie keeps the first
+        self.top = new
+        mine = np.flatnonzero((self.truth >= order[0]) & (self.truth <= order[-1]))
+        self.loss[mine] = z[mine, np.searchsorted(order, self.truth[mine])]
+
+    def done(self, keep: list[str]) -> pa.RecordBatch:
+        loss = self.top + np.log(self.mass) - self.loss
+        arrays = [*(self.rows.column(c).combine_chunks() for c in keep), pa.array(self.at), pa.array(loss, mask=np.isnan(loss))]
+        arrays = [a.chunk(0) if isinstance(a, pa.ChunkedArray) else a for a in arrays]
+        return pa.RecordBatch.from_arrays(arrays, [*keep, "_place", "loss"])
+
+
+def score_by_class_rows(df: DataFrame, model: DataFrame, features: str = "features", label: str | None = "label",
+                        keep: Sequence[str] = ("id",), chunk_cells: int = CHUNK_CELLS) -> DataFrame:
+    """``keep`` columns, ``pred`` (the first class, by label, with the highest logit) and ``loss``
+    (cross-entropy; null for a class the model lacks, and without ``label``) under a softmax
+    model of any size, given as ``(label, weight array<double>, bias)`` rows.
+
+    Rows are dealt into chunks of about ``chunk_cells`` feature cells and every chunk is joined by a
+    copy of the model, sorted behind its rows. A task holds one chunk and a batch of
+    class rows: logits are folded into a running maximum and sum as the classes pass, so neither
+    the model nor a row's logits are ever whole in one place. A chunk moves the model once; a
+    larger ``chunk_cells`` moves less. The driver sees two counts.
+    """
+    keep = list(keep)
+    spark = df.sparkSession
+    n_rows, width = df.agg(F.count(F.lit(1)), F.max(F.size(features))).first()
+    chunks = max(1, math.ceil(n_rows * max(width or 0, 1) / chunk_cells), min(spark.sparkContext.defaultParallelism, n_rows // 64))
+    classes = model.select("label", F.col("weight").cast("array<double>").alias("weight"), F.col("bias").cast("double").alias("bias"))
+    index = global_index(classes.select("label"), ["label"], pos="_order")
+    classes = classes.join(index, "label")
+    truth = F.col(label) if label else F.lit(None).cast(model.schema["label"].dataType)
+    rows = (df.select(*keep, F.col(features).cast("array<double>").alias("_x"), truth.alias("_label"))
+            .join(index.select(F.col("label").alias("_label"), F.col("_order").alias("_truth")), "_label", "left")
+            .select(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(chunks)).cast("int").alias("_chunk"),
+                    F.lit(-1).cast("bigint").alias("_order"), *keep, "_x", "_truth", F.lit(None).cast("double").alias("_bias")))
+    copies = classes.select(F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("_chunk"), "_order",
+                            *[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in keep], F.col("weight").alias("_x"),
+                            F.lit(None).cast("bigint").alias("_truth"), F.col("bias").alias("_bias"))
+    stream = rows.unionByName(copies).repartition(chunks, "_chunk").sortWithinPartitions("_chunk", "_order")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        chunk: _Chunk | None = None
+        current = None
+        for batch in batches:
+            of = batch.column("_chunk").to_numpy()
+            order = batch.column("_order").to_numpy()
+            # runs of one chunk and one kind (rows, classes)
+            cuts = np.flatnonzero((of[1:] != of[:-1]) | ((order[1:] < 0) != (order[:-1] < 0))) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, len(of)]):
+                if lo == hi:
+                    continue
+                if of[lo] != current:
+                    if chunk is not None:
+                        yield chunk.done(keep)
+                    held, chunk, current = [], None, of[lo]
+                part = batch.slice(lo, hi - lo)
+                if order[lo] < 0:
+                    held.append(part)
+                    continue
+                if held:
+                    chunk, held = _Chunk(held), []
+                if chunk is not None:
+                    x = part.column("_x")
+                    weight = x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1)
+                    step = max(1, LOGIT_CELLS // len(chunk.x))
+                    for a in range(0, len(weight), step):
+                        chunk.see(order[lo + a:min(lo + a + step, hi)], weight[a:a + step], part.column("_bias").to_numpy()[a:a + step])
+        if chunk is not None:
+            yield chunk.done(keep)
+
+    schema = StructType([*[df.schema[c] for c in keep], *StructType.fromDDL("_place bigint, loss double").fields])
+    found = stream.mapInArrow(run, schema)
+    names = index.select(F.col("label").alias("pred"), F.col("_order").alias("_place"))
+    return found.join(names, "_place").select(*keep, "pred", "loss")
+
+
 def _literal_matrix(m: np.ndarray) -> Column:
     return F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in m])
 

@@ -599,3 +599,4 @@ rows AS (SELECT h.idx, h.label, best.pred, h.batch, total.s - sc.score AS loss
   UNION ALL SELECT 1, printf('Loss: %.3f, Accuracy: %.3f, Avg Batch Duration: %.3f seconds, Duration: %.3f seconds', {_LOSS}, {_RIGHT},
       (SELECT avg(duration) FROM ({ofx.L_TELE})), (SELECT sum(duration) FROM ({ofx.L_TELE})))""",
     "CASE l WHEN 0 THEN 'negative' WHEN 1 THEN 'positive' ELSE CAST(l AS VARCHAR) END").strip()
+ORACLES["score_class_rows"] = ORACLES["batch_score"]

@@ -20,7 +20,8 @@ from quarry.operators import graph
 from quarry.operators import telemetry as tm
 from quarry.operators import text as txt
 from quarry.operators import training as tr
-from quarry.operators.scoring import LinearModel, class_mean_model, load_linear, parameter_count, score_linear
+from quarry.operators.scoring import (LinearModel, class_mean_model, class_mean_rows, load_linear, parameter_count, score_by_class_rows,
+                                      score_linear)
 from quarry.operators.indexing import assign_batches, assign_split, equal_random_buckets, global_index
 from quarry.operators.sorting import (ordered_position, read_lines_in_order, sort_by_keys, sort_csv,
                                       sort_to_ordered_partitions, with_sorted_position)
@@ -301,6 +302,16 @@ def q_batch_score(spark, sf):
     return s.select("vec_id", "batch", "label", "pred", r6("loss").alias("loss"))
 
 
+@query("score_class_rows")
+def q_score_class_rows(spark, sf):
+    """``batch_score`` with the model as a table of class rows instead of plan literals."""
+    x = fx.x_vec(spark, sf)
+    held = global_index(x.where(F.col("split") == "validation").drop("split"), ["vec_id"], pos="pos").withColumn("batch", F.floor(F.col("pos") / 16).cast("int"))
+    model = class_mean_rows(x.where(F.col("split") == "train"))
+    s = score_by_class_rows(held, model, keep=("vec_id", "batch", "label"))
+    return s.select("vec_id", "batch", "label", "pred", r6("loss").alias("loss"))
+
+
 @query("accuracy")
 def q_accuracy(spark, sf):
     return ev.accuracy(_x_scored(spark, sf)).select(r6("accuracy").alias("accuracy"))
