@@ -141,21 +141,29 @@ def x_img(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------------------- text
 
+#: labels (16 bytes each) that are sent to the documents' scan; more are joined
+SENT_LABELS = 2_000_000
+
+
+def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(idx, label)``, to be sent to the texts where the table is small enough: a join would move
+    every text."""
+    lab = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("idx"), F.col("quality").alias("label"))
+    return F.broadcast(lab) if lab.count() <= SENT_LABELS else lab
+
+
 def s_sent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled sentences ``(idx, sentence, label)`` = documents joined to labels,
     with a stable split (80/10/10 by ``idx``)."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
-    lab = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    df = d.join(lab, "doc_id").select(F.col("doc_id").alias("idx"), F.col("text").alias("sentence"),
-                                      F.col("quality").alias("label"))
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("idx"), F.col("text").alias("sentence"))
+    df = d.join(_quality(spark, sf_dir), "idx").select("idx", "sentence", "label")
     return assign_split(df, "idx", (80, 10, 10), seed=42)
 
 
 def s_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as ``(idx, sentence, label)``; the label is null where there is none."""
     d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("idx"), F.col("text").alias("sentence"))
-    lab = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("idx"), F.col("quality").alias("label"))
-    return d.join(lab, "idx", "left")
+    return d.join(_quality(spark, sf_dir), "idx", "left")
 
 
 # ------------------------------------------------------------------------ telemetry

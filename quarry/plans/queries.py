@@ -534,7 +534,8 @@ def q_encode_subwords(spark, sf):
 def _text_scored(spark, sf, docs: DataFrame | None = None) -> DataFrame:
     """A classifier of the labelled train split applied to every document, or to ``docs``."""
     every = fx.s_docs(spark, sf)
-    id_space = every.select(F.explode(txt.word_hashes(F.col("sentence")))).distinct().count() + txt.FIRST_WORD_ID
+    texts = fx.table(spark, sf, "documents")  # no label is needed to count the words
+    id_space = texts.select(F.explode(txt.word_hashes(F.col("text")))).distinct().count() + txt.FIRST_WORD_ID
     model = txt.fit_words(fx.s_sent(spark, sf).where(F.col("split") == "train"), id_space)
     docs = every if docs is None else docs
     return txt.score_words(docs, model, keep=docs.columns, label="label")
