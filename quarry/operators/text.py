@@ -14,6 +14,7 @@ import math
 import re
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -209,7 +210,9 @@ def encode_text(docs: DataFrame, vocab: DataFrame, max_length: int = 512, text:
 
 #: characters of a text that are cut into sub-words at a time
 PIECE_CHARS = 1 << 16
-_SPACE = re.compile(r"\s")
+#: words whose units a task remembers
+KNOWN_WORDS = 1 << 18
+_SPACE = re.compile("[ \t\n\r]")
 
 
 def _pieces(text: str, size: int) -> Iterator[str]:
@@ -230,8 +233,9 @@ def encode_subwords(docs: DataFrame, tokenizer: str, max_length: int = 512, text
 
     ``tokenizer`` is the path of a JSON file of the ``tokenizers`` library whose units never
     span white space. It is read once, by the driver, and sent to the tasks (a fixed size,
-    however many documents there are). Texts are encoded in pieces of ``piece`` characters that
-    end before white space, which changes no unit.
+    however many documents there are). Texts are cut before white space into pieces of about
+    ``piece`` characters and these into words, which changes no unit; a task encodes a word
+    when it first meets it.
     """
     from tokenizers import Tokenizer
 
@@ -248,12 +252,23 @@ def encode_subwords(docs: DataFrame, tokenizer: str, max_length: int = 512, text
         units = Tokenizer.from_str(sent.value)
         units.encode_special_tokens = True  # their strings in a text are ordinary text
         units.no_truncation()
+        known: dict[str, list[int]] = {}
+
+        def encoded(part: str) -> np.ndarray:
+            found = _SPACE.sub(" ", part).split(" ")
+            new = [w for w in set(found) if w not in known]
+            if len(known) + len(new) > KNOWN_WORDS:
+                known.clear()
+                new = list(set(found))
+            known.update((w, e.ids) for w, e in zip(new, units.encode_batch(new, add_special_tokens=False)))
+            return np.fromiter(chain.from_iterable(map(known.__getitem__, found)), dtype=np.int32)
+
         for batch in batches:
             ids, offs, lo = [], [0], 0
             for i, value in enumerate(batch.column("_text")):
                 offs.append(offs[-1])
                 for part in _pieces(value.as_py() or "", piece):
-                    ids.append(np.asarray(units.encode(part, add_special_tokens=False).ids, dtype=np.int32))
+                    ids.append(encoded(part))
                     offs[-1] += len(ids[-1])
                 if offs[-1] >= SLICE_TOKENS or i + 1 == batch.num_rows:
                     yield _window_batch(batch.slice(lo, i + 1 - lo), keep, np.concatenate(ids) if ids else np.empty(0, np.int32),
