@@ -48,9 +48,9 @@ def _matrix(counts: DataFrame, max_labels: int = MAX_LABELS) -> DataFrame:
     if many:
         return (counts.join(of("truth"), F.col("truth").eqNullSafe(F.col("_truth"))).join(of("pred"), F.col("pred").eqNullSafe(F.col("_pred")))
                 .select("truth", "pred", F.col("n").cast("bigint").alias("n"), "ot", "op"))
-    # one row with all labels (at most max_labels); the grid is generated inside the tasks
-    row = index.agg(F.collect_list(F.struct(F.col("o").alias("op"), F.col("label").alias("_pred"))).alias("_all")).withColumn("_one", F.lit(1))
-    grid = of("truth").withColumn("_one", F.lit(1)).join(row, "_one").select("_truth", "ot", F.inline("_all"))
+    # one row with all labels (at most max_labels) becomes the grid
+    row = index.agg(F.collect_list(F.struct("o", "label")).alias("_all"))
+    grid = row.selectExpr("_all", "inline(_all) AS (ot, _truth)").selectExpr("ot", "_truth", "inline(_all) AS (op, _pred)")
     found = F.col("truth").eqNullSafe(F.col("_truth")) & F.col("pred").eqNullSafe(F.col("_pred"))
     return (grid.join(counts, found, "left")
             .select(F.col("_truth").alias("truth"), F.col("_pred").alias("pred"), F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"), "ot", "op"))

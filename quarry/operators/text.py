@@ -278,6 +278,47 @@ def encode_subwords(docs: DataFrame, tokenizer: str, max_length: int = 512, text
     return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(run, _window_schema(docs, keep))
 
 
+def decode_subwords(encoded: DataFrame, tokenizer: str, key: str = "idx") -> DataFrame:
+    """``(key, text)``: the texts that windows of :func:`encode_subwords` stand for, as the tokenizer
+    spells them (lower case, its own white space).
+
+    Reads ``encoded`` as that function leaves it: the windows of a text follow each other in
+    order, so nothing is moved and a task holds one text's ids.
+    """
+    from tokenizers import Tokenizer, decoders
+
+    with open(tokenizer, encoding="utf-8") as file:
+        sent = encoded.sparkSession.sparkContext.broadcast(file.read())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units = Tokenizer.from_str(sent.value)
+        if units.decoder is None:  # byte-level units; a word's last one ends in </w>
+            units.decoder = decoders.Sequence([decoders.Replace("</w>", "\u0120"), decoders.ByteLevel()])
+        kind, keys, ids = None, [], []
+
+        def texts(whole: list) -> pa.RecordBatch:
+            spelled = units.decode_batch([np.concatenate(parts).tolist() for parts in whole], skip_special_tokens=False)
+            return pa.RecordBatch.from_arrays([pa.array(keys[:len(whole)], type=kind), pa.array(spelled, type=pa.string())], [key, "text"])
+
+        for batch in batches:
+            kind = batch.schema.field(key).type
+            flat, offs = _list_parts(batch.column("input_ids"))
+            real = np.add.reduceat(_list_parts(batch.column("attention_mask"))[0], offs[:-1]) if batch.num_rows else []
+            for name, number, at, n in zip(batch.column(key).to_pylist(), batch.column("window").to_pylist(), offs, real):
+                if number == 0:
+                    keys.append(name)
+                    ids.append([])
+                ids[-1].append(flat[at + 1:at + n - 1])
+            if len(ids) > 1:  # the last text may go on
+                yield texts(ids[:-1])
+                keys, ids = keys[-1:], ids[-1:]
+        if ids:
+            yield texts(ids)
+
+    schema = StructType([encoded.schema[key], *StructType.fromDDL("text string").fields])
+    return encoded.select(key, "window", "input_ids", "attention_mask").mapInArrow(run, schema)
+
+
 def fit_token_counts(encoded_train: DataFrame, label: str = "label") -> DataFrame:
     """Class statistics of a bag-of-ids classifier: ``(label, id, count)`` plus, per
     class, ``docs`` and ``tokens`` (as rows with ``id = -1`` and ``-2``). Bounded by

@@ -600,3 +600,4 @@ rows AS (SELECT h.idx, h.label, best.pred, h.batch, total.s - sc.score AS loss
       (SELECT avg(duration) FROM ({ofx.L_TELE})), (SELECT sum(duration) FROM ({ofx.L_TELE})))""",
     "CASE l WHEN 0 THEN 'negative' WHEN 1 THEN 'positive' ELSE CAST(l AS VARCHAR) END").strip()
 ORACLES["score_class_rows"] = ORACLES["batch_score"]
+ORACLES["encode_subwords"] = f"SELECT idx, regexp_replace(lower(coalesce(sentence, '')), '\\s+', '', 'g') AS spelled FROM ({ofx.S_DOCS})"

@@ -527,8 +527,11 @@ def q_drop_columns(spark, sf):
 
 @query("encode_subwords")
 def q_encode_subwords(spark, sf):
-    """Every document as windows of 512 sub-word ids of a public tokenizer."""
-    return _encoded(txt.encode_subwords(fx.s_docs(spark, sf), TOKENIZER, MAX_LENGTH, keep=("idx",)), "idx")
+    """Every document as windows of 512 sub-word ids of a public tokenizer, and what they spell: the
+    round trip gives each text in lower case; white space is the tokenizer's own and left out."""
+    encoded = txt.encode_subwords(fx.s_docs(spark, sf), TOKENIZER, MAX_LENGTH, keep=("idx",))
+    back = txt.decode_subwords(encoded, TOKENIZER)
+    return back.select("idx", F.regexp_replace("text", r"\s+", "").alias("spelled"))
 
 
 def _text_scored(spark, sf, docs: DataFrame | None = None) -> DataFrame:

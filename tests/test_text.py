@@ -121,3 +121,6 @@ def test_subwords_are_whole_and_exact(spark):
         for idx, text in rows:
             ids = [i for _, part in sorted(got[idx, text].items()) for i in part]
             assert ids == units.encode(text or "", add_special_tokens=False).ids
+        back = sorted((r["idx"], r["text"].replace(" ", "")) for r in
+                      txt.decode_subwords(txt.encode_subwords(docs, TOKENIZER, max_length=32, keep=("idx",), piece=piece), TOKENIZER).collect())
+        assert back == sorted((i, (t or "").lower().replace(" ", "")) for i, t in rows)
