@@ -211,7 +211,7 @@ def encode_text(docs: DataFrame, vocab: DataFrame, max_length: int = 512, text:
 #: characters of a text that are cut into sub-words at a time
 PIECE_CHARS = 1 << 16
 #: words whose units a task remembers
-KNOWN_WORDS = 1 << 18
+KNOWN_WORDS = 1 << 17
 _SPACE = re.compile("[ \t\n\r]")
 
 
@@ -278,42 +278,67 @@ def encode_subwords(docs: DataFrame, tokenizer: str, max_length: int = 512, text
     return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(run, _window_schema(docs, keep))
 
 
+#: windows whose texts are spelled at a time
+SPELLED_ROWS = 256
+
+
+def _spelling(units) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, length, bytes) of every id. Byte-level units write a byte as one character: printable
+    Latin-1 as itself, the others from U+0100 on; ``</w>`` ends a word."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte_of = {chr(c): c for c in plain} | {chr(256 + i): c for i, c in enumerate(sorted(set(range(256)) - set(plain)))}
+    spelled = []
+    for i in range(units.get_vocab_size()):
+        token = units.id_to_token(i) or ""
+        body = token.removesuffix("</w>")
+        known = all(c in byte_of for c in body)
+        spelled.append((bytes(byte_of[c] for c in body) if known else body.encode()) + b" " * (body != token))
+    length = np.array([len(t) for t in spelled], dtype=np.int64)
+    return np.cumsum(length) - length, length, np.frombuffer(b"".join(spelled), dtype=np.uint8)
+
+
 def decode_subwords(encoded: DataFrame, tokenizer: str, key: str = "idx") -> DataFrame:
-    """``(key, text)``: the texts that windows of :func:`encode_subwords` stand for, as the tokenizer
-    spells them (lower case, its own white space).
+    """``(key, text)``: the texts that windows of :func:`encode_subwords` stand for, as a byte-level
+    tokenizer spells them (lower case, a space behind every word).
 
     Reads ``encoded`` as that function leaves it: the windows of a text follow each other in
-    order, so nothing is moved and a task holds one text's ids.
+    order, so nothing is moved and a task holds one text. Ids become bytes by a table, without
+    an object per unit.
     """
-    from tokenizers import Tokenizer, decoders
+    from tokenizers import Tokenizer
 
     with open(tokenizer, encoding="utf-8") as file:
         sent = encoded.sparkSession.sparkContext.broadcast(file.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = Tokenizer.from_str(sent.value)
-        if units.decoder is None:  # byte-level units; a word's last one ends in </w>
-            units.decoder = decoders.Sequence([decoders.Replace("</w>", "\u0120"), decoders.ByteLevel()])
-        kind, keys, ids = None, [], []
+        start, length, data = _spelling(Tokenizer.from_str(sent.value))
+        kind, current, held = None, [], []  # key and parts of the text that may go on
 
-        def texts(whole: list) -> pa.RecordBatch:
-            spelled = units.decode_batch([np.concatenate(parts).tolist() for parts in whole], skip_special_tokens=False)
-            return pa.RecordBatch.from_arrays([pa.array(keys[:len(whole)], type=kind), pa.array(spelled, type=pa.string())], [key, "text"])
+        def texts(names: list, whole: list[bytes]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(names, type=kind), pa.array([t.decode("utf-8", "replace") for t in whole], type=pa.string())],
+                                              [key, "text"])
 
         for batch in batches:
             kind = batch.schema.field(key).type
-            flat, offs = _list_parts(batch.column("input_ids"))
-            real = np.add.reduceat(_list_parts(batch.column("attention_mask"))[0], offs[:-1]) if batch.num_rows else []
-            for name, number, at, n in zip(batch.column(key).to_pylist(), batch.column("window").to_pylist(), offs, real):
-                if number == 0:
-                    keys.append(name)
-                    ids.append([])
-                ids[-1].append(flat[at + 1:at + n - 1])
-            if len(ids) > 1:  # the last text may go on
-                yield texts(ids[:-1])
-                keys, ids = keys[-1:], ids[-1:]
-        if ids:
-            yield texts(ids)
+            for lo in range(0, batch.num_rows, SPELLED_ROWS):
+                part = batch.slice(lo, SPELLED_ROWS)
+                flat, offs = _list_parts(part.column("input_ids"))
+                count = np.add.reduceat(_list_parts(part.column("attention_mask"))[0], offs[:-1]) - 2
+                at = np.arange(len(flat)) - np.repeat(offs[:-1], np.diff(offs))
+                ids = flat[(at > 0) & (at <= np.repeat(count, np.diff(offs)))]
+                ends = np.cumsum(length[ids])
+                raw = data[np.arange(ends[-1] if len(ends) else 0) + np.repeat(start[ids] - ends + length[ids], length[ids])]
+                border = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(count)))]
+                names, first = part.column(key).to_pylist(), np.flatnonzero(part.column("window").to_numpy() == 0)
+                cuts = [border[i] for i in first] + [border[-1]]
+                held.append(raw[:cuts[0]].tobytes())
+                if len(first):
+                    done = list(zip(current, [b"".join(held)])) + [(names[i], raw[a:z].tobytes()) for i, a, z in zip(first[:-1], cuts, cuts[1:])]
+                    if done:
+                        yield texts(*map(list, zip(*done)))
+                    current, held = [names[first[-1]]], [raw[cuts[-2]:].tobytes()]
+        if current:
+            yield texts(current, [b"".join(held)])
 
     schema = StructType([encoded.schema[key], *StructType.fromDDL("text string").fields])
     return encoded.select(key, "window", "input_ids", "attention_mask").mapInArrow(run, schema)
