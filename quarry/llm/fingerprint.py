@@ -3,11 +3,11 @@
 A paragraph is a non-empty line. Each paragraph is hashed to a wide vector of two parts:
 
 * ``EXACT_LANES`` uniform 64-bit lanes drawn from the hash of the whole paragraph, and
-* ``SKETCH_LANES`` 16-bit lanes to which each run of up to three words of the paragraph
+* ``SKETCH_LANES`` 32-bit lanes to which each run of up to three words of the paragraph
   adds +1 or -1 at one lane.
 
 A document's fingerprint is the lane-wise sum over its paragraphs, modulo 2**64 and
-2**16. Paragraph order is irrelevant, and inserting or deleting a paragraph adds or
+2**32 (a lane wraps only beyond 2**31 words of one sign, more than a text can hold). Paragraph order is irrelevant, and inserting or deleting a paragraph adds or
 subtracts its vector (`combine`), without the rest of the document. The exact lanes
 decide equality; the sketch keeps inner products, so `likeness` of two fingerprints
 estimates how much of their paragraphs' content is shared.
@@ -26,7 +26,7 @@ from quarry.llm.textops import Words, mix, slices, string_buffers
 
 EXACT_LANES = 8
 SKETCH_LANES = 128
-_WIDTH = EXACT_LANES * 8 + SKETCH_LANES * 2
+_WIDTH = EXACT_LANES * 8 + SKETCH_LANES * 4
 _LANE_SEEDS = mix(np.arange(1, EXACT_LANES + 1, dtype=np.uint64) * np.uint64(0x9FB21C651E98DF25))
 _NEWLINE = np.zeros(256, dtype=bool)
 _NEWLINE[0x0A] = True
@@ -50,21 +50,21 @@ def vectors(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     run = mix(run)
     cell = words.row * SKETCH_LANES + (run & np.uint64(SKETCH_LANES - 1)).astype(np.int64)
     sign = 1.0 - 2.0 * (run >> np.uint64(63)).astype(np.float64)
-    sketch = np.bincount(cell, weights=sign, minlength=rows * SKETCH_LANES).astype(np.int64).astype(np.uint16)
+    sketch = np.bincount(cell, weights=sign, minlength=rows * SKETCH_LANES).astype(np.int64).astype(np.uint32)
     return np.concatenate((exact.view(np.uint8).reshape(rows, -1), sketch.view(np.uint8).reshape(rows, -1)), axis=1)
 
 
 def combine(a: np.ndarray, b: np.ndarray, sign: int = 1) -> np.ndarray:
     """Fingerprints of the union (``sign`` 1) or difference (-1) of two paragraph multisets."""
     exact = [x[:, :EXACT_LANES * 8].copy().view(np.uint64) for x in (a, b)]
-    sketch = [x[:, EXACT_LANES * 8:].copy().view(np.uint16) for x in (a, b)]
+    sketch = [x[:, EXACT_LANES * 8:].copy().view(np.uint32) for x in (a, b)]
     out = [(x + y if sign > 0 else x - y) for x, y in (exact, sketch)]
     return np.concatenate([x.view(np.uint8) for x in out], axis=1)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """0 to 1 per row: 1 for equal fingerprints, else the sketches' cosine (at least 0)."""
-    x, y = (v[:, EXACT_LANES * 8:].copy().view(np.int16).astype(np.float64) for v in (a, b))
+    x, y = (v[:, EXACT_LANES * 8:].copy().view(np.int32).astype(np.float64) for v in (a, b))
     norm = np.sqrt((x * x).sum(1) * (y * y).sum(1))
     cosine = np.where(norm > 0, (x * y).sum(1) / np.where(norm > 0, norm, 1), 0.0)
     return np.where((a == b).all(1), 1.0, np.clip(cosine, 0.0, 1.0))
@@ -108,33 +108,41 @@ def _partition_of(key: Column, bounds: list[int]) -> Column:
 
 def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text", out: str = "next_text") -> DataFrame:
     """(key, text, ``out``): the text of the next document in descending ``key`` order, the
-    first document's after the last. Null keys come last; equal keys are ordered by text.
+    first document's after the last. Null keys come last; equal keys follow in an order of
+    their texts' hashes, equal texts in any.
 
     Rows are dealt by key ranges (bounds from an approximate percentile over the keys
-    alone, one range or more per task). The head of each range, one row, is also sent to
-    the range before it, so no window spans two ranges and none holds the whole table.
+    alone, one range or more per task). A key that fills several ranges, null included, is
+    dealt over as many by the hash of the text, so rows are gathered in one task only if
+    key and text are equal. The head of each range, one row, is also sent to the range
+    before it, so no window spans two ranges and none holds the whole table.
     """
     spark = docs.sparkSession
     least = -(1 << 63)
     rows = docs.select(F.col(key), F.col(text).alias("_t"),
-                       F.coalesce(F.col(key).cast("bigint"), F.lit(least)).alias("_key"))
+                       F.coalesce(F.col(key).cast("bigint"), F.lit(least)).alias("_key"),
+                       F.xxhash64(F.col(text)).alias("_hash"))
     ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     shares = [i / ranges for i in range(1, ranges)]
     found = rows.agg(F.percentile_approx("_key", shares, 20 * ranges)).first()[0] or []
     bounds = sorted(set(found), reverse=True)
-    placed = rows.withColumn("_range", _partition_of(F.col("_key"), bounds))
+    # a range ends with its bound, so the pieces of a bound's key are the last of its range
+    pieces = F.lit(1)
+    if heavy := [x for b in bounds if found.count(b) > 1 for x in (F.lit(b).cast("bigint"), F.lit(found.count(b)))]:
+        pieces = F.coalesce(F.try_element_at(F.create_map(*heavy), F.col("_key")), pieces)
+    placed = (rows.withColumn("_piece", F.pmod("_hash", pieces))
+              .withColumn("_range", (_partition_of(F.col("_key"), bounds) * ranges + F.col("_piece")).cast("int")))
     # one row per range, at most 4 x shuffle partitions of them
-    heads = placed.groupBy("_range").agg(F.max("_key").alias("head")).orderBy("_range").collect()
-    before = {h["head"]: heads[i - 1]["_range"] for i, h in enumerate(heads)}
-    if not before:
-        before = {least: 0}
-    halo = F.broadcast(spark.createDataFrame(list(before.items()), "_head bigint, _before int"))
-    dealt = placed.join(halo, F.col("_key") == F.col("_head"), "left")
-    dealt = dealt.withColumn("_to", F.explode(F.when(F.col("_head").isNull(), F.array(F.struct(
-        F.col("_range").alias("r"), F.lit(False).alias("h")))).otherwise(F.array(
-            F.struct(F.col("_range").alias("r"), F.lit(False).alias("h")),
-            F.struct(F.col("_before").alias("r"), F.lit(True).alias("h"))))))
-    order = Window.partitionBy("_to.r").orderBy(F.col("_to.h"), F.col("_key").desc(), F.col("_t"))
+    first = F.min(F.struct((-1 - F.col("_key")).alias("k"), F.col("_hash").alias("h"))).alias("head")
+    heads = placed.groupBy("_range").agg(first).orderBy("_range").select("_range", "head.*").collect()
+    before = [(-1 - h["k"], h["h"], h["_range"], heads[i - 1]["_range"]) for i, h in enumerate(heads)]
+    halo = F.broadcast(spark.createDataFrame(before, "_k bigint, _h bigint, _r int, _before int"))
+    dealt = placed.join(halo, (F.col("_range") == F.col("_r")) & (F.col("_key") == F.col("_k"))
+                        & (F.col("_hash") == F.col("_h")), "left")
+    stay = F.struct(F.col("_range").alias("r"), F.lit(False).alias("h"))
+    ahead = F.struct(F.col("_before").alias("r"), F.lit(True).alias("h"))
+    dealt = dealt.withColumn("_to", F.explode(F.when(F.col("_r").isNull(), F.array(stay)).otherwise(F.array(stay, ahead))))
+    order = Window.partitionBy("_to.r").orderBy(F.col("_to.h"), F.col("_key").desc(), "_hash", "_t")
     return (dealt.withColumn(out, F.lead("_t").over(order)).where(~F.col("_to.h"))
             .select(F.col(key), F.col("_t").alias(text), F.col(out)))
 
@@ -144,8 +152,7 @@ def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text"
     replaced by as many of the next document's first (or all of them).
 
     Returns (key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
-    near_next). A null text is empty; rows with equal keys are each other's successors in
-    text order; a table of one row is its own successor; an empty table gives no rows.
+    near_next). A null text is empty; rows with equal keys are each other's successors; a table of one row is its own successor; an empty table gives no rows.
     """
     pairs = with_next(docs, key, text)
     own, following = F.coalesce(F.col(text), F.lit("")), F.coalesce(F.col("next_text"), F.lit(""))

@@ -98,4 +98,5 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, *, alpha: flo
                                                       F.col("mix_copy").cast("string"))))
            .withColumnRenamed("_mix_rate", "mix_rate")
            .drop("_mix_source", "_mix_parts", "_mix_cdf", "_mix_n"))
-    return out.repartition("mix_order").sortWithinPartitions("mix_order")
+    # equal and null keys have equal hashes: the text's own spreads them over the tasks
+    return out.repartition("mix_order", F.xxhash64(F.col(text))).sortWithinPartitions("mix_order")

@@ -106,8 +106,11 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules: list[Rule], *, key:
         bit = _bit(F.col("canonical"), i)
         possible = possible & (F.col(f"w{i}").bitwiseAND(bit) == bit)
     probe = probe.withColumn("_maybe", F.coalesce(possible, F.lit(False))).drop("_block", *[f"w{i}" for i in range(8)])
-    exact = blocked.withColumn("listed", F.lit(True))
-    hits = probe.where("_maybe").join(exact, "canonical", "left")
+    # a second key: on the bare one the list would stay as its distinct dealt it, and Spark splits
+    # a hot address only if both sides are dealt for the join
+    spread = F.xxhash64("canonical").alias("_spread")
+    exact = blocked.select("canonical", spread, F.lit(True).alias("listed"))
+    hits = probe.where("_maybe").select("*", spread).join(exact, ["canonical", "_spread"], "left").drop("_spread")
     rest = probe.where("not _maybe").withColumn("listed", F.lit(False))
     return hits.unionByName(rest).select(
         F.col("_id").alias(key), "host", "path", "canonical", "rule", F.coalesce("listed", F.lit(False)).alias("listed"),

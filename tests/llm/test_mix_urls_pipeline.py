@@ -35,6 +35,18 @@ def test_native_queries_run_no_python(spark):
         assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin"))
 
 
+def test_copies_of_documents_without_a_key_are_spread(spark):
+    docs = spark.range(4000).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit("a").alias("source"),
+                                    F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in mixing.mix_sources(docs, epochs=3.0).groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(sizes) >= 4000 and max(sizes) <= 1.5 * sum(sizes) / n
+
+
 def test_counts_follow_the_poisson_law_and_the_weights(spark):
     docs = spark.range(30000).select(F.col("id").alias("doc_id"), F.lit("abcd").alias("text"),
                                      F.when(F.col("id") % 10 == 0, "rare").otherwise("hot").alias("source"))

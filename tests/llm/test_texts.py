@@ -3,6 +3,7 @@
 import hashlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from quarry.llm import decontaminate, fingerprint, html, licenses
 from quarry.llm.textops import string_buffers
@@ -248,6 +249,17 @@ def test_fingerprints_are_homomorphic_multisets():
     assert near[0] == 1 and near[1] < 0.5 and near[2] == 1 and near[3] == 0
 
 
+def test_likeness_of_long_repetitive_texts():
+    """Sums above 2**15 in one lane; beside the cosine over the run counts themselves."""
+    texts = ["ha " * n for n in (20_000, 32_000, 40_000, 70_000, 100_000)]
+    v = _vectors(*texts)
+    for i in range(len(texts)):
+        near = fingerprint.likeness(v[[i] * len(texts)], v)
+        assert near.min() > 0.999 and near[i] == 1
+    other = _vectors("ho " * 40_000 + words(3, 4000))
+    assert fingerprint.likeness(v[2:3], other)[0] < 0.5
+
+
 def test_edited_texts_and_successors_equal_brute_force(spark):
     docs = edge_docs(spark, clashing=True).repartition(6)
     rows = sorted(((r[0], r[1] or "") for r in edge_rows()), key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
@@ -273,6 +285,27 @@ def test_successors_over_many_ranges(spark):
     assert got == {k: f"t{ordered[(i + 1) % len(ordered)]}" for i, k in enumerate(ordered)}
 
 
+def test_successors_where_one_key_fills_many_ranges(spark):
+    rows = [(None, f"n{i}") for i in range(1500)] + [(7, f"s{i}") for i in range(1500)] + [(i, f"t{i}") for i in range(100, 1100)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(9)
+    linked = fingerprint.with_next(docs)
+    got = linked.collect()
+    assert sorted(map(str, [(r.doc_id, r.text) for r in got])) == sorted(map(str, rows))
+    # one cycle over all texts, keys descending along it and null last
+    after, key = {r.text: r.next_text for r in got}, {t: (k is None, -(k or 0)) for k, t in rows}
+    walk = ["t1099"]
+    while after[walk[-1]] != "t1099" and len(walk) <= len(rows):
+        walk.append(after[walk[-1]])
+    assert len(walk) == len(rows) and [key[t] for t in walk] == sorted(key.values())
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        sizes = [r["count"] for r in fingerprint.with_next(docs).groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert max(sizes) <= 2.5 * len(rows) / n
+
+
 def test_fingerprint_column_keeps_the_others(spark):
     got = fingerprint.fingerprints(edge_docs(spark, clashing=True))
     assert got.columns[-1] == "fingerprint" and got.count() == len(edge_rows())
