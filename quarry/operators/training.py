@@ -15,15 +15,17 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.indexing import assign_batches
+from quarry.operators.indexing import assign_batches, global_index
 from quarry.operators.scoring import MAX_PARAMETERS, LinearModel
 from quarry.session import shuffle_partitions
 
@@ -115,16 +117,111 @@ def combine_check(parts: DataFrame, world_size: int) -> DataFrame:
     return a.join(b, ["epoch", "step", "j"]).agg(F.max(F.abs(F.col("a") - F.col("b"))).alias("max_abs_diff"))
 
 
-def collate_batches(batched: DataFrame, key: str = "id") -> DataFrame:
-    """One record per ``(epoch, rank, step)`` with row-aligned ``ids``, ``labels`` and
-    ``features`` lists in key order (a batch holds at most ``batch_size`` rows)."""
-    g = batched.groupBy("epoch", "rank", "step").agg(
-        F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), F.col("label").alias("y"),
-                                             F.col("features").alias("x")))).alias("_rows"))
-    return g.select("epoch", "rank", "step",
-                    F.transform("_rows", lambda r: r["k"]).alias("ids"),
-                    F.transform("_rows", lambda r: r["y"]).alias("labels"),
-                    F.transform("_rows", lambda r: r["x"]).alias("features"))
+#: bytes of one collated record; a larger batch becomes several
+RECORD_BYTES = 64 << 20
+_BATCH = ("epoch", "rank", "step")
+
+
+def _row_bytes() -> Column:
+    return (F.lit(16) + 8 * F.coalesce(F.size("features"), F.lit(0))).cast("bigint")
+
+
+def _collate_fn(limit: int):
+    """Per task: rows come sorted by batch and key, and leave as one record a batch, or as
+    pieces of at most ``limit`` bytes (one row at least). Only the record that is still open
+    is kept between Arrow batches."""
+    names = [*_BATCH, "chunk"]
+
+    def records(rows: pa.RecordBatch, begins: list[int], pieces: list[int], end: int) -> pa.RecordBatch:
+        heads = rows.take(pa.array(begins, pa.int64()))
+        offsets = pa.array([*begins, end], pa.int32())
+        lists = [pa.ListArray.from_arrays(offsets, rows.column(c)) for c in ("_k", "label", "features")]
+        return pa.RecordBatch.from_arrays([*[heads.column(c) for c in names], pa.array(pieces, pa.int32()), *lists],
+                                          [*names, "piece", "ids", "labels", "features"])
+
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, piece = None, 0  # rows of the open record, and its number in its batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if held is not None:
+                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            ids = np.stack([batch.column(c).to_numpy() for c in names])
+            total = np.concatenate(([0], np.cumsum(batch.column("_bytes").to_numpy())))
+            borders = np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0)) + 1
+            begins, pieces = [], []
+            for first, last in zip([0, *borders], [*borders, batch.num_rows]):
+                at = int(first)
+                piece = piece if first == 0 else 0
+                while at < last:
+                    begins.append(at)
+                    pieces.append(piece)
+                    at = min(int(last), max(at + 1, int(np.searchsorted(total, total[at] + limit, "right")) - 1))
+                    piece += 1
+            piece = pieces[-1]
+            if len(begins) > 1:
+                yield records(batch, begins[:-1], pieces[:-1], begins[-1])
+            held = batch.slice(begins[-1])
+        if held is not None:
+            held = pa.Table.from_batches([held]).take(list(range(held.num_rows))).combine_chunks().to_batches()[0]
+            yield records(held, [0], [piece], held.num_rows)
+
+    return fn
+
+
+def collate_batches(batched: DataFrame, key: str = "id", record_bytes: int = RECORD_BYTES) -> DataFrame:
+    """Batches as records: ``epoch``, ``rank``, ``step``, ``chunk``, ``piece`` with row-aligned
+    ``ids``, ``labels`` and ``features`` lists in key order.
+
+    A batch of at most ``record_bytes`` is one record (chunk 0, piece 0). A larger one is
+    several, in key order by (chunk, piece): its rows are numbered and dealt in chunks, so it
+    is worked on by many tasks, and no task holds more than a record. Null labels, keys and
+    features stay; an empty table gives no record.
+    """
+    rows = batched.select(*_BATCH, F.col(key).alias("_k"), "label", "features", _row_bytes().alias("_bytes"))
+    sizes = rows.groupBy(*_BATCH).agg(F.sum("_bytes").alias("_total"), F.count(F.lit(1)).alias("_n"))
+    large = sizes.where(F.col("_total") > record_bytes)
+    found = large.count()  # at most the table's bytes / record_bytes
+    if not found:
+        dealt = rows.withColumn("chunk", F.lit(0))
+    else:
+        per_chunk = F.greatest(F.floor(F.lit(record_bytes) / (F.col("_total") / F.col("_n"))), F.lit(1)).alias("_per")
+        large = large.select(*_BATCH, per_chunk)
+        large = F.broadcast(large) if found <= 100_000 else large
+        ordinary = rows.join(large, list(_BATCH), "left_anti").withColumn("chunk", F.lit(0))
+        numbered = global_index(rows.join(large, list(_BATCH)), [*_BATCH, "_k"], pos="_pos")
+        starts = numbered.groupBy(*_BATCH).agg(F.min("_pos").alias("_start"))
+        starts = F.broadcast(starts) if found <= 100_000 else starts
+        cut = numbered.join(starts, list(_BATCH)).withColumn(
+            "chunk", F.floor((F.col("_pos") - F.col("_start")) / F.col("_per")).cast("int"))
+        dealt = ordinary.unionByName(cut.select(*ordinary.columns))
+    place = [*_BATCH, "chunk"]
+    dealt = dealt.repartition(*place).sortWithinPartitions(*place, "_k")
+    types = {f.name: f.dataType.simpleString() for f in dealt.schema.fields}
+    schema = ", ".join([f"{c} {types[c]}" for c in place] + ["piece int"] + [
+        f"{out} array<{types[c]}>" for out, c in (("ids", "_k"), ("labels", "label"), ("features", "features"))])
+    return dealt.mapInArrow(_collate_fn(record_bytes), schema)
+
+
+def uncollate_batches(batches: DataFrame, columns: Mapping[str, str], pos: str | None = None) -> DataFrame:
+    """Column-of-lists batches to rows: the inverse of :func:`collate_batches`.
+
+    ``columns`` names the list column of each row column (``{"ids": "id", ...}``); other
+    columns are repeated, and ``pos`` (if given) is the row's place in its record. Records
+    without rows give none; a record with lists of different lengths is an error, also where
+    one list is null and another is not.
+    """
+    lists = list(columns)
+    first = F.coalesce(F.size(lists[0]), F.lit(-1))
+    even = F.lit(True)
+    for c in lists[1:]:
+        even = even & (F.coalesce(F.size(c), F.lit(-1)) == first)
+    zipped = F.when(even, F.arrays_zip(*lists)).otherwise(F.raise_error(F.lit("batch with lists of different lengths")))
+    keep = [c for c in batches.columns if c not in columns]
+    # one row a record element, no exchange; the outer form works the lists out once
+    rows = batches.select(*keep, F.posexplode_outer(zipped).alias("_pos", "_row")).where("_pos is not null")
+    return rows.select(*keep, *([F.col("_pos").alias(pos)] if pos else []),
+                       *[F.col("_row")[c].alias(out) for c, out in columns.items()])
 
 
 # ------------------------------------------------------------------------- optimizers

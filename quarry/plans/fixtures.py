@@ -125,18 +125,16 @@ def x_vec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def x_img(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All 64 embedding values as a raw 8x8 RGB image (H x W x C ints 0..255): a pixel's three
-    channels are its value, the negative value and half the value."""
+    """All 64 embedding values as a raw 8x8 RGB image (flat, H x W x C ints 0..255): a pixel's
+    three channels are its value, the negative value and half the value."""
     e = table(spark, sf_dir, "embeddings")
 
-    def px(h, w, factor):
-        x = F.get(F.col("embedding"), h * 8 + w).cast("double") * factor
-        return F.least(F.greatest(F.floor((x + 1.0) * 127.5), F.lit(0)), F.lit(255)).cast("int")
+    def channel(x, factor):
+        return F.least(F.greatest(F.floor((x.cast("double") * factor + 1.0) * 127.5), F.lit(0)), F.lit(255)).cast("int")
 
-    axis = F.sequence(F.lit(0), F.lit(7))
-    factors = F.array(*[F.lit(f) for f in (1.0, -1.0, 0.5)])
-    hwc = F.transform(axis, lambda h: F.transform(axis, lambda w: F.transform(factors, lambda f: px(h, w, f))))
-    return e.select(F.col("vec_id").alias("id"), hwc.alias("pixels"), "label")
+    cells = F.flatten(F.transform("embedding", lambda x: F.array(*[channel(x, f) for f in (1.0, -1.0, 0.5)])))
+    image = F.struct(F.lit(8).alias("height"), F.lit(8).alias("width"), F.lit(3).alias("channels"), cells.alias("cells"))
+    return e.select(F.col("vec_id").alias("id"), image.alias("pixels"), "label")
 
 
 # ---------------------------------------------------------------------------- text

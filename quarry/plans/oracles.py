@@ -428,6 +428,12 @@ SELECT 1 AS epoch, rank, step, CAST(count(*) AS INTEGER) AS size, min(vec_id) AS
 FROM b GROUP BY rank, step
 """)
 
+oracle("uncollate_batches", _BATCHED + """
+z AS (SELECT 1)
+SELECT 1 AS epoch, rank, step, vec_id, label, CAST(len(features) AS INTEGER) AS n_features,
+       round(features[1], 6) AS first_feature FROM b
+""")
+
 # gradient of the mean cross-entropy at zero weights: softmax is 1/C for every class
 _ZERO_GRAD_BODY = """
 k AS (SELECT max(label) + 1 AS nc, max(len(features)) AS nd FROM b),

@@ -595,6 +595,15 @@ def q_collate_batches(spark, sf):
                     F.aggregate("labels", F.lit(0).cast("bigint"), lambda a, y: a + y).alias("label_sum"))
 
 
+@query("uncollate_batches")
+def q_uncollate_batches(spark, sf):
+    """Every row back from records of at most 16 kB, beside its own batch."""
+    c = tr.collate_batches(_x_batched(spark, sf), key="vec_id", record_bytes=16 << 10)
+    rows = tr.uncollate_batches(c, {"ids": "vec_id", "labels": "label", "features": "features"})
+    return rows.select("epoch", "rank", "step", "vec_id", "label", F.size("features").alias("n_features"),
+                       r6(F.get("features", F.lit(0))).alias("first_feature"))
+
+
 @query("combine_gather_mean")
 def q_combine_gather_mean(spark, sf):
     g = tr.combine_gradients(_zero_parts(spark, sf), "gather_mean")
