@@ -36,7 +36,7 @@ def label_index(counts: DataFrame, max_labels: int = MAX_LABELS) -> tuple[DataFr
     labels = counts.select(F.col("truth").alias("label")).union(counts.select("pred")).distinct()
     many = labels.limit(max_labels + 1).count() > max_labels
     if many:
-        return global_index(labels, [F.col("label").asc_nulls_first()], pos="o"), True
+        return global_index(labels, ["label"], pos="o"), True
     return labels.select("label", (F.row_number().over(Window.orderBy(F.col("label").asc_nulls_first())) - 1).cast("bigint").alias("o")), False
 
 

@@ -1,23 +1,29 @@
 """Global positions, seeded splits, equal buckets and mini-batch numbering.
 
 ``global_index`` gives every row its 0-based position in a total order without a
-single-task window: rows are range-partitioned on the order keys, sorted inside each
-partition, tagged with (partition id, row-in-partition), checkpointed so the layout
-is fixed, and shifted by per-partition offsets computed from a table with one row per
-partition (its size is bounded by the partition count, so broadcasting it is safe).
+single-task window and without a copy of the table: range bounds come from a hash sample
+and are constants of the plan, one job counts the rows of each range, and a row's position
+is the number of rows in earlier ranges plus its place in its own. Nothing depends on where
+a row was computed, so a lost executor's rows get the same positions again.
 """
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.hashing import hash_int, hash_mod
-from quarry.session import checkpoint_root, shuffle_partitions
+from quarry.session import shuffle_partitions
 
-_LOW33 = (1 << 33) - 1
+#: ranges per shuffle partition: several to a task level out what hashing them deals unevenly
+RANGES_PER_PARTITION = 3
+#: sampled rows per range, and least rows that are worth a range
+SAMPLED, LEAST_ROWS = 16, 64
+_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
 def _cols(keys: Sequence) -> list[Column]:
@@ -31,43 +37,62 @@ def spread_ties(df: DataFrame, order: Sequence[Column]) -> list[Column]:
     return [*order, F.xxhash64(*hashable)] if hashable else list(order)
 
 
+def _with_range(df: DataFrame, key: str, sample: DataFrame, ranges: int, col: str) -> DataFrame:
+    """Add the number of the range that the struct ``key`` falls in: how many of ``ranges - 1``
+    bounds are not above it. ``sample`` has the same struct as its column ``k``.
+
+    The bounds are every so-manieth row of the sorted sample. They stand in the plan as one
+    constant, in blocks of about the square root of their number, so that a row is compared with the first
+    bounds of the blocks and then with those of one block. Any bounds give right
+    positions; it does not matter that their JSON form may round a value.
+    """
+    rows = [r.k for r in sample.orderBy("k").select(F.to_json("k", _JSON).alias("k")).collect()] if ranges > 1 else []
+    bounds = list(dict.fromkeys(rows[len(rows) * i // ranges] for i in range(1, ranges))) if rows else []
+    if not bounds:
+        return df.withColumn(col, F.lit(0))
+    width = math.isqrt(len(bounds)) + 1
+    blocks = [bounds[i:i + width] for i in range(0, len(bounds), width)]
+    kind = sample.schema["k"].dataType.simpleString()
+    array = lambda texts: "[" + ",".join(texts) + "]"
+    heads = F.from_json(F.lit(array(x[0] for x in blocks)), f"array<{kind}>", _JSON)
+    table = F.from_json(F.lit(array(map(array, blocks))), f"array<array<{kind}>>", _JSON)
+    # the key as the bounds' type, and the block, are columns: not worked out again per comparison
+    below = lambda bound: F.size(F.filter(bound, lambda x: x <= F.col("_gi_bound")))
+    blocked = df.withColumn("_gi_bound", F.col(key).cast(kind)).withColumn("_gi_block", below(heads) - 1)
+    place = F.when(F.col("_gi_block") < 0, 0).otherwise(F.col("_gi_block") * width + below(F.get(table, F.col("_gi_block"))))
+    return blocked.withColumn(col, place).drop("_gi_bound", "_gi_block")
+
+
 def global_index(df: DataFrame, keys: Sequence, pos: str = "pos", total: str | None = None,
                  num_partitions: int | None = None) -> DataFrame:
-    """Append ``pos`` = 0-based rank of each row under ``ORDER BY keys``.
+    """Append ``pos`` = 0-based rank of each row under ascending ``keys``, nulls first.
 
     ``keys`` should form a total order (add a unique column as the last key); rows that
-    tie completely are interchangeable, so the result is still well defined for them.
-    With ``total`` set, the row count is appended as well (taken from the same small
-    offsets table, no extra pass over the data).
+    tie on them are ordered by a hash of the whole row, so one value that holds much of
+    the table spans many ranges, and rows that tie completely are interchangeable.
+    With ``total`` set, the row count is appended as well.
+
+    The rows of ``df`` are computed four times (counted, sampled, counted by range, placed), so
+    ``df`` must give the same rows again; nothing is written. A range holds about 1 /
+    (``RANGES_PER_PARTITION`` x partitions) of the rows.
     """
     spark = df.sparkSession
-    checkpoint_root(spark)
-    order = spread_ties(df, _cols(keys))
-    # Without an explicit count AQE may merge adjacent (small) range partitions, which
-    # keeps the global order and avoids hundreds of near-empty tasks on small inputs.
-    by_range = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
-    ranged = (
-        by_range
-        .sortWithinPartitions(*order)
-        .withColumn("_gi_pid", F.spark_partition_id())
-        .withColumn("_gi_mid", F.monotonically_increasing_id())
-    )
-    # Reliable checkpoint: fixes the layout that (pid, mid) describe, and survives
-    # executor loss without re-sampling range bounds.
-    ranged = ranged.checkpoint(eager=True)
-    counts = ranged.groupBy("_gi_pid").agg(F.count(F.lit(1)).alias("_gi_n"))
-    before = Window.orderBy("_gi_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "_gi_pid",
-        F.coalesce(F.sum("_gi_n").over(before), F.lit(0)).alias("_gi_off"),
-        F.sum("_gi_n").over(Window.partitionBy()).alias("_gi_total"),
-    )
-    out = ranged.join(F.broadcast(offsets), "_gi_pid").withColumn(
-        pos, (F.col("_gi_off") + F.col("_gi_mid").bitwiseAND(F.lit(_LOW33))).cast("bigint")
-    )
+    parts = num_partitions or shuffle_partitions(spark)
+    order = {f"k{i}": c for i, c in enumerate(spread_ties(df, _cols(keys)))}
+    keyed = df.withColumn("_gi_key", F.struct(*[c.alias(k) for k, c in order.items()]))
+    rows = df.count()
+    ranges = max(1, min(parts * RANGES_PER_PARTITION, rows // LEAST_ROWS))
+    draw = F.pmod(F.xxhash64("_gi_key"), F.lit(max(1, rows // (ranges * SAMPLED))))
+    placed = _with_range(keyed, "_gi_key", keyed.where(draw == 0).select(F.col("_gi_key").alias("k")), ranges, "_gi_range")
+    counts = [(r._gi_range, r.n) for r in placed.groupBy("_gi_range").agg(F.count(F.lit(1)).alias("n")).collect()]
+    sizes = dict(counts)
+    before = [0, *itertools.accumulate(sizes.get(i, 0) for i in range(max(sizes, default=0)))]
+    offset = F.get(F.from_json(F.lit(str(before)), "array<bigint>"), F.col("_gi_range"))
+    place = F.row_number().over(Window.partitionBy("_gi_range").orderBy(*[f"_gi_key.{k}" for k in order]))
+    out = placed.withColumn(pos, (offset + place - 1).cast("bigint"))
     if total:
-        out = out.withColumnRenamed("_gi_total", total)
-    return out.drop("_gi_pid", "_gi_mid", "_gi_off", "_gi_total")
+        out = out.withColumn(total, F.lit(sum(sizes.values())).cast("bigint"))
+    return out.drop("_gi_key", "_gi_range")
 
 
 def assign_split(df: DataFrame, key: str, fractions: Sequence[int] = (80, 10, 10),

@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.indexing import global_index, spread_ties
+from quarry.session import checkpoint_root
 from quarry.sinks import write_csv
 from quarry.sources import read_table_csv
 
 
 def sort_by_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Ascending sort, nulls first (range-partition exchange + per-partition sort)."""
-    return df.orderBy(*keys)
+    """Ascending sort, nulls first (range-partition exchange + per-partition sort). Rows that
+    tie on ``keys`` are ordered by a hash of the whole row, so a key value that holds much
+    of the table is dealt over many ranges in proportion to its rows."""
+    return df.orderBy(*spread_ties(df, [F.col(k) for k in keys]))
 
 
 def with_sorted_position(df: DataFrame, keys: Sequence[str], pos: str = "pos") -> DataFrame:
@@ -44,8 +47,10 @@ def sort_to_ordered_partitions(df: DataFrame, keys: Sequence[str], num_partition
 
 def ordered_position(df: DataFrame, pos: str = "pos") -> DataFrame:
     """0-based position of each row in partition order (partition id, row in partition),
-    from per-partition counts -- the layout is checkpointed first so it is fixed."""
-    tagged = df.select("*", F.spark_partition_id().alias("_op_pid"), F.monotonically_increasing_id().alias("_op_mid"))
+    from per-partition counts. Partition numbers are no property of a row, so the tagged
+    rows are checkpointed before they are counted."""
+    checkpoint_root(df.sparkSession)
+    tagged = df.select("*", F.spark_partition_id().alias("_op_pid"), F.monotonically_increasing_id().alias("_op_mid")).checkpoint()
     return global_index(tagged, ["_op_pid", "_op_mid"], pos=pos).drop("_op_pid", "_op_mid")
 
 

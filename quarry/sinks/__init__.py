@@ -96,8 +96,8 @@ def write_predictions(predictions: DataFrame, directory: str, order_col: str | N
     (range-partitioned, sorted part files; the column itself is not written)."""
     path = directory.rstrip("/") + "/output.csv"
     if order_col:
-        n = int(predictions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        out = predictions.repartitionByRange(n, order_col).sortWithinPartitions(order_col).drop(order_col)
+        order = spread_ties(predictions, [F.col(order_col)])
+        out = predictions.repartitionByRange(*order).sortWithinPartitions(*order).drop(order_col)
     else:
         out = predictions
     _csv_writer(out.write.mode(mode)).csv(path)

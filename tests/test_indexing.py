@@ -72,3 +72,48 @@ def test_a_hot_sort_key_spans_many_ranges(spark):
     parts = sort_to_ordered_partitions(df, ["k"], num_partitions=8).withColumn("p", F.spark_partition_id())
     sizes = [r["count"] for r in parts.groupBy("p").count().collect()]
     assert max(sizes) < 1200  # the null key holds 2000 rows
+
+
+def test_positions_equal_a_sort_in_the_driver_for_keys_of_many_types(spark):
+    """Null, NaN, quotes, microseconds, ties and a value on two thirds of the rows; hot values
+    span ranges, and several hundred rows make many ranges."""
+    rows = [(None if i % 3 else f'k"{i % 7}\\', [float("nan"), -0.5, None, 1e300][i % 4], i % 11, 1_700_000_000_000_000 + i * 7919 % 1501, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "a string, b double, c int, us long, id long").withColumn("t", F.timestamp_micros("us"))
+    got = global_index(df, ["a", "b", "t", "c", "id"], pos="pos", total="n", num_partitions=16).collect()
+
+    def order(r):
+        rank = lambda v: (v is not None, 0 if v is None else (v != v, 0 if v != v else v))
+        return ((r.a is not None, r.a or ""), rank(r.b), r.us, r.c, r.id)
+
+    want = {r.id: i for i, r in enumerate(sorted(got, key=order))}
+    assert {r.id: r.pos for r in got} == want and {r.n for r in got} == {3000}
+
+
+def test_positions_of_empty_tables_and_repeated_rows(spark):
+    assert global_index(spark.range(0), ["id"], total="n").collect() == []
+    same = global_index(spark.range(500).select(F.lit("x").alias("k")), ["k"]).collect()
+    assert sorted(r.pos for r in same) == list(range(500))
+
+
+def test_positions_write_nothing(spark, tmp_path):
+    """The layout is in the plan, not in a copy of the table, and ranges share a hot key."""
+    out = global_index(spark.range(6000).select((F.col("id") % 2 * F.col("id")).alias("k"), "id"), ["k"], num_partitions=8)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Scan ExistingRDD" not in plan and "LogicalRDD" not in plan
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 3000  # 3000 rows have the key 0
+    assert sorted(r.pos for r in out.where("k = 0").collect()) == list(range(3000))
+
+
+def test_sort_by_keys_deals_a_hot_key_over_tasks(spark):
+    """One key on half of the rows: the largest task has at most twice the mean."""
+    from quarry.operators.sorting import sort_by_keys
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(40000).select(F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
+        out = sort_by_keys(df, ["k"]).select("k", "id", F.spark_partition_id().alias("p")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [r.k for r in out] == sorted(r.k for r in out) and len({r.id for r in out}) == 40000
+    sizes = Counter(r.p for r in out)
+    assert max(sizes.values()) <= 2 * 40000 / 8, sizes
