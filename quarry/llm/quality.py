@@ -28,6 +28,7 @@ DIMENSIONS = 32
 NONZEROS = 4
 REACH = 2  # neighbours on each side
 FEATURES = 2 * DIMENSIONS + 2
+BLOCK = 1 << 16  # tokens whose vectors are held at once, however long a text is
 
 _KIND = np.arange(256, dtype=np.uint8)  # a punctuation sign is a kind of its own
 _KIND[[*range(97, 123), *range(128, 256)]] = 1
@@ -77,16 +78,18 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
             row, bucket = tokens(data, offs)
             if len(bucket) < 2:
                 continue
-            near = np.zeros((len(bucket), DIMENSIONS), dtype=np.int16)
-            own = index[bucket]
-            for step in range(1, REACH + 1):
-                if len(bucket) > step:
-                    same = (row[step:] == row[:-step])[:, None]
+            for lo in range(0, len(bucket), BLOCK):  # a block of tokens and its neighbours outside
+                a, z = max(lo - REACH, 0), min(lo + BLOCK + REACH, len(bucket))
+                near = np.zeros((z - a, DIMENSIONS), dtype=np.int16)
+                own = index[bucket[a:z]]
+                for step in range(1, min(REACH, z - a - 1) + 1):
+                    same = (row[a + step:z] == row[a:z - step])[:, None]
                     near[step:] += own[:-step] * same
                     near[:-step] += own[step:] * same
-            order = np.argsort(bucket, kind="stable")
-            found, first = np.unique(bucket[order], return_index=True)
-            total[found] += np.add.reduceat(near[order].astype(np.int32), first, axis=0)
+                inner = bucket[lo:lo + BLOCK]
+                order = np.argsort(inner, kind="stable")
+                found, first = np.unique(inner[order], return_index=True)
+                total[found] += np.add.reduceat(near[lo - a:lo - a + len(inner)][order].astype(np.int32), first, axis=0)
         used = np.flatnonzero(total.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(used), *[pa.array(total[used, i]) for i in range(DIMENSIONS)]],
                                          ["bucket", *[f"v{i}" for i in range(DIMENSIONS)]])
@@ -116,11 +119,15 @@ def pooled(docs: DataFrame, vectors: np.ndarray, key: str = "doc_id", text: str
             out = np.zeros((rows, FEATURES), dtype=np.float64)
             some = np.flatnonzero(count)
             if len(some):
-                first = np.searchsorted(row, some)
-                v = table[bucket]
+                sums, squares = np.zeros((rows, DIMENSIONS)), np.zeros((rows, DIMENSIONS))
+                for lo in range(0, len(bucket), BLOCK):
+                    found, first = np.unique(row[lo:lo + BLOCK], return_index=True)
+                    v = table[bucket[lo:lo + BLOCK]]
+                    sums[found] += np.add.reduceat(v, first, axis=0, dtype=np.float64)
+                    squares[found] += np.add.reduceat(v * v, first, axis=0, dtype=np.float64)
                 n = count[some][:, None]
-                mean = np.add.reduceat(v, first, axis=0, dtype=np.float64) / n
-                spread = np.sqrt(np.maximum(np.add.reduceat(v * v, first, axis=0, dtype=np.float64) / n - mean ** 2, 0))
+                mean = sums[some] / n
+                spread = np.sqrt(np.maximum(squares[some] / n - mean ** 2, 0))
                 pair = np.unique(row * BUCKETS + bucket)
                 distinct = np.bincount(pair // BUCKETS, minlength=rows)[some]
                 out[some, :DIMENSIONS], out[some, DIMENSIONS:2 * DIMENSIONS] = mean, spread

@@ -50,6 +50,30 @@ def test_word_vectors_cover_all_batches(spark):
     assert np.allclose(one[a], want / np.linalg.norm(want), atol=1e-6)
 
 
+def test_a_long_text_is_pooled_like_its_whole(spark):
+    """Texts of several blocks: neighbours across a block border count, and mean and spread are
+    those of all tokens."""
+    rng = np.random.default_rng(5)
+    words = [f"w{chr(97 + i)}x" for i in range(26)]
+    texts = [" ".join(words[i] for i in rng.integers(0, 26, n)) for n in (quality.BLOCK - 1, 2 * quality.BLOCK + 3, 10)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    vectors = quality.word_vectors(docs)
+    index, want = quality.index_vectors().astype(np.int64), np.zeros_like(vectors, dtype=np.float64)
+    buckets = []
+    for text in texts:
+        data = np.frombuffer(text.encode(), dtype=np.uint8)
+        b = quality.tokens(data, np.array([0, len(data)]))[1]
+        buckets.append(b)
+        for step in range(1, quality.REACH + 1):
+            np.add.at(want, b[step:], index[b[:-step]])
+            np.add.at(want, b[:-step], index[b[step:]])
+    norms = np.linalg.norm(want, axis=1, keepdims=True)
+    assert np.allclose(vectors, want / np.maximum(norms, 1e-9), atol=1e-6)
+    for r in quality.pooled(docs, vectors).collect():
+        v = vectors[buckets[r.doc_id]].astype(np.float64)
+        assert np.allclose(r.features[:64], np.concatenate((v.mean(axis=0), v.std(axis=0))), atol=1e-5)
+
+
 def test_language_held_out_accuracy(spark):
     got = queries.QUERIES["op3_language"](spark, SF01).join(spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "lang"), "doc_id")
     rows = got.where("held_out").collect()
