@@ -34,6 +34,10 @@ GRADIENT_SCHEMA = "epoch int, step int, rank int, j int, value double, rows long
 _FIRST = -2
 #: bytes of partial sums that a task holds before it emits them
 _FLUSH_BYTES = 64 << 20
+#: feature cells (8 bytes each) of an epoch that are worth a partition, and so a task of every step
+PARTITION_CELLS = 1 << 18
+#: partial sums (of all ranks and partitions of a step) that are worth a summing task
+SUMS_PER_TASK = 1 << 17
 
 
 def _partial_fn(weight: np.ndarray, bias: np.ndarray):
@@ -76,17 +80,21 @@ def _partial_fn(weight: np.ndarray, bias: np.ndarray):
     return fn
 
 
-def partial_gradients(batched: DataFrame, model: LinearModel) -> DataFrame:
+def partial_gradients(batched: DataFrame, model: LinearModel, sum_partitions: int | None = None) -> DataFrame:
     """``(epoch, step, rank, j, value, rows)``: each rank's mean loss (j = -2), mean correct
     (-1) and mean gradient (weights row by row, then biases), and its batch size.
 
     Each task sums the rows it has per batch; the model-sized partial sums are added up by
     a grouped aggregation, so no batch is ever gathered into one task, however large
-    ``batch_size`` is, and no gradient becomes one record.
+    ``batch_size`` is, and no gradient becomes one record. ``sum_partitions`` deals the
+    partial sums into so many by ``j`` alone, so that a combination by ``j`` needs no second
+    exchange (for a few batches; the sums of many are dealt by batch and ``j``).
     """
     cols = batched.select("epoch", "step", "rank", F.col("features").cast("array<double>").alias("features"),
                           F.col("label").cast("long").alias("label"))
     partial = cols.mapInPandas(_partial_fn(model.weight, model.bias), GRADIENT_SCHEMA)
+    if sum_partitions:
+        partial = partial.repartition(sum_partitions, "j")
     return partial.groupBy("epoch", "step", "rank", "j").agg(
         (F.sum("value") / F.sum("rows")).alias("value"), F.sum("rows").alias("rows"))
 
@@ -313,6 +321,13 @@ def spread_batches(batched: DataFrame, key: str, world_size: int, partitions: in
     return batched.repartitionByRange(partitions, slot).sortWithinPartitions("step")
 
 
+def epoch_partitions(rows: int, features: int, world_size: int, most: int) -> int:
+    """Partitions of an epoch's cached rows, each a task of every step: one a rank at least, then
+    one per ``PARTITION_CELLS`` feature cells, up to ``most``. A step of a few hundred rows is not
+    dealt over as many tasks as the session has shuffle partitions."""
+    return max(world_size, min(most, -(-rows * max(1, features) // PARTITION_CELLS)))
+
+
 def train(df: DataFrame, state: TrainState, optimizer, epochs: int = 1, batch_size: int = 64,
           world_size: int = 4, max_batches: int | None = 41, seed: int = 42, key: str = "id",
           how: str = "gather_mean", on_epoch_end=None) -> TrainState:
@@ -320,12 +335,19 @@ def train(df: DataFrame, state: TrainState, optimizer, epochs: int = 1, batch_si
 
     Each epoch re-shuffles with a seeded permutation, shards it over ``world_size`` ranks,
     keeps the first ``max_batches`` steps (the documented bound on the rows a run fits on;
-    None: all), and caches the rows spread by :func:`spread_batches`. A step's job returns
-    the combined gradient, loss and correct share. ``on_epoch_end(state)`` is called after
-    every epoch (e.g. to save a checkpoint).
+    None: all), and caches the rows spread by :func:`spread_batches` over
+    :func:`epoch_partitions`. A step's job has a task for each of those and returns the
+    combined gradient, loss and correct share. ``on_epoch_end(state)`` is called after every
+    epoch (e.g. to save a checkpoint).
     """
     spark = df.sparkSession
-    partitions = max(world_size, spark.sparkContext.defaultParallelism, shuffle_partitions(spark))
+    rows = df.count()
+    if max_batches is not None:
+        rows = min(rows, max_batches * batch_size * world_size)
+    partitions = epoch_partitions(rows, state.model.weight.shape[1], world_size,
+                                  max(spark.sparkContext.defaultParallelism, shuffle_partitions(spark)))
+    sums = partitions * state.theta.size
+    summing = max(1, min(shuffle_partitions(spark), -(-sums // SUMS_PER_TASK)))
     for _ in range(epochs):
         epoch = state.epoch + 1
         batched = assign_batches(df, key, batch_size, shuffle=True, seed=seed, epoch=epoch,
@@ -337,7 +359,7 @@ def train(df: DataFrame, state: TrainState, optimizer, epochs: int = 1, batch_si
         losses = []
         for s in range(0 if last is None else last + 1):
             began = time.perf_counter()
-            parts = partial_gradients(batched.where(F.col("step") == s), state.model)
+            parts = partial_gradients(batched.where(F.col("step") == s).coalesce(partitions), state.model, summing)
             cells = parts.groupBy("j").agg(_combiner(how, world_size).alias("g"), F.avg("value").alias("mean"),
                                            (F.sum(F.col("value") * F.col("rows")) / F.sum("rows")).alias("share")).toPandas()
             cells = cells.sort_values("j")

@@ -135,6 +135,31 @@ def test_a_step_is_worked_on_by_many_tasks(spark, batch, world):
     assert min(per_step.values()) >= (world if batch < 1000 else 8)
 
 
+def test_a_step_of_a_small_batch_is_few_tasks(spark, monkeypatch):
+    asked, spread = [], tr.spread_batches
+    monkeypatch.setattr(tr, "spread_batches", lambda b, key, world, n: asked.append(n) or spread(b, key, world, n))
+    rng = np.random.default_rng(2)
+    df = spark.createDataFrame([(i, rng.normal(size=4).tolist(), i % 3) for i in range(60)], "id long, features array<double>, label int")
+    fresh = lambda: tr.TrainState(tr.zero_model(3, 4), tr.SGD().init(None))
+    run = lambda: tr.train(df, fresh(), tr.SGD(), epochs=1, batch_size=8, world_size=2, max_batches=2).theta
+    few = run()
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        many = run()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert asked == [2, 2] and np.allclose(few, many, rtol=1e-12)
+    assert tr.epoch_partitions(10**9, 64, 4, 600) == 600 and tr.epoch_partitions(41 * 256, 64, 4, 600) == 4
+
+
+def test_partial_sums_dealt_by_parameter(spark):
+    rows = [(i, 1, i % 2, i % 3, [float(i), 1.0], i % 2) for i in range(30)]
+    df = spark.createDataFrame(rows, "id long, epoch int, step int, rank int, features array<double>, label int").repartition(5)
+    sums = lambda n: sorted((*r[:4], round(r[4], 12), r[5]) for r in tr.partial_gradients(df, tr.zero_model(2, 2), n).collect())
+    assert sums(None) == sums(1) == sums(3)
+
+
 def test_resume_equals_straight_run(spark):
     rng = np.random.default_rng(1)
     n, d, c = 120, 4, 3
