@@ -16,8 +16,9 @@ exceeds ``R / (2n)`` (``R`` distinct edges, ``n`` partitions); their edges are s
 over several salts so one huge source cannot fill one task. Each pass replicates the
 rank row of a hot source once per salt (a broadcast of fewer than ``2n`` rows tells
 which), shuffles the rank table -- vertex-sized -- to the cached edges' partitioning,
-joins without moving the edges, and aggregates contributions by ``dst`` with a
-map-side partial sum, so a hot destination is combined before it is shuffled.
+joins without moving or sorting the edges (a hash table of a partition's ranks), and
+aggregates contributions by ``dst`` with a map-side partial sum, so a hot destination is
+combined before it is shuffled.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import math
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.session import checkpoint_root, shuffle_partitions
@@ -112,11 +113,12 @@ class PreparedEdges:
     """De-duplicated, weighted, salted edge table reused by every pass."""
 
     def __init__(self, table: DataFrame, hot: DataFrame, sources: DataFrame,
-                 num_partitions: int, cached: list[DataFrame]):
+                 num_partitions: int, cached: list[DataFrame], hashed: bool = False):
         self.table = table          # (src, salt, dst, weight), hash-partitioned on (src, salt)
         self.hot = hot              # (src, n_salt) for hot sources (< 2n rows), None if none
         self.sources = sources      # (src) distinct sources
         self.num_partitions = num_partitions
+        self.hashed = hashed        # a partition's ranks are few enough for a hash table
         self._cached = cached
 
     def release(self) -> None:
@@ -125,6 +127,8 @@ class PreparedEdges:
 
 
 EDGES_PER_PARTITION = 250_000
+#: distinct edges a partition, and so sources at most, up to which its ranks are hashed
+HASHED_EDGES = 2_000_000
 
 
 def edge_partitions(spark, distinct_edges: int) -> int:
@@ -134,8 +138,23 @@ def edge_partitions(spark, distinct_edges: int) -> int:
     return max(shuffle_partitions(spark), spark.sparkContext.defaultParallelism, math.ceil(distinct_edges / EDGES_PER_PARTITION))
 
 
+def _distinct_edges(edges: DataFrame) -> DataFrame:
+    return edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("mult"))
+
+
+def _degrees(dedup: DataFrame) -> DataFrame:
+    return dedup.groupBy("src").agg(F.sum("mult").alias("out_degree"), F.count(F.lit(1)).alias("fanout"))
+
+
+def _sizes(degree: DataFrame) -> tuple[int, int]:
+    """Distinct edges and the largest fan-out."""
+    edges, fanout = degree.agg(F.sum("fanout"), F.max("fanout")).first()
+    return edges or 0, fanout or 0
+
+
 def salted_edges(edges: DataFrame, num_partitions: int | None = None,
-                 hot_threshold: int | None = None, degree: DataFrame | None = None):
+                 hot_threshold: int | None = None, dedup: DataFrame | None = None,
+                 sizes: tuple[int, int] | None = None, sum_partitions: int | None = None):
     """De-duplicate and salt an edge multiset.
 
     Returns ``(table, hot, degree)``: ``table`` is ``(src, salt, dst, mult, out_degree)``
@@ -147,22 +166,23 @@ def salted_edges(edges: DataFrame, num_partitions: int | None = None,
     hash, so no partition holds more than about ``hot_threshold`` of its edges. The
     default threshold ``ceil(R / (2n))`` (``R`` distinct edges, ``n`` partitions)
     guarantees fewer than ``2n`` hot sources, which bounds every broadcast of ``hot``.
+    ``dedup`` and ``sizes`` (distinct edges, largest fan-out) are given if they are there;
+    without hot sources the degrees are summed in ``sum_partitions`` (default ``n``).
     """
     spark = edges.sparkSession
-    dedup = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("mult"))
-    if degree is None:
-        degree = dedup.groupBy("src").agg(
-            F.sum("mult").alias("out_degree"), F.count(F.lit(1)).alias("fanout"))
-    distinct_edges, max_fanout = degree.agg(F.sum("fanout"), F.max("fanout")).first()
-    distinct_edges, max_fanout = distinct_edges or 0, max_fanout or 0
+    if dedup is None:
+        dedup = _distinct_edges(edges)
+    degree = _degrees(dedup)
+    distinct_edges, max_fanout = sizes or _sizes(degree)
     n = num_partitions or edge_partitions(spark, distinct_edges)
     if hot_threshold is None:
         hot_threshold = max(1, math.ceil(distinct_edges / (2 * n)))
     if max_fanout <= hot_threshold:
-        # no hot source: one salt for everyone, nothing to broadcast
-        table = (dedup.join(degree.select("src", "out_degree"), "src")
-                 .select("src", F.lit(0).alias("salt"), "dst", "mult", "out_degree")
-                 .repartition(n, "src"))
+        # no hot source: one salt for everyone, nothing to broadcast, and a source's edges
+        # are together anyway; a null source joins with no rank, as in the join below
+        table = (dedup.where(F.col("src").isNotNull()).repartition(sum_partitions or n, "src")
+                 .withColumn("out_degree", F.sum("mult").over(Window.partitionBy("src")))
+                 .select("src", F.lit(0).alias("salt"), "dst", "mult", "out_degree"))
         return table, None, degree
     # Fewer than 2n rows with the default threshold (each has > R / 2n distinct edges); a
     # smaller threshold makes more, and Catalyst then chooses the join by their size.
@@ -189,22 +209,31 @@ def weighted_edges(edges: DataFrame, num_partitions: int | None = None,
     """Cached ``(src, salt, dst, weight)`` with ``weight = multiplicity / out_degree``
     (see :func:`salted_edges`)."""
     spark = edges.sparkSession
-    dedup = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("mult"))
-    degree = dedup.groupBy("src").agg(
-        F.sum("mult").alias("out_degree"), F.count(F.lit(1)).alias("fanout"))
     level = StorageLevel.MEMORY_AND_DISK
-    cached: list[DataFrame] = []
-    if persist:
-        degree = degree.persist(level)
-        cached.append(degree)
-    n = num_partitions or edge_partitions(spark, degree.agg(F.sum("fanout")).first()[0] or 0)
-    full, hot, degree = salted_edges(edges, n, hot_threshold, degree)
+    dedup = _distinct_edges(edges)
+    if persist:  # the edges are derived once; held until the table is there
+        dedup = dedup.persist(level)
+    sizes = _sizes(_degrees(dedup))
+    n = num_partitions or edge_partitions(spark, sizes[0])
+    full, hot, degree = salted_edges(edges, n, hot_threshold, dedup, sizes, None if persist else n + 1)
     table = full.select("src", "salt", "dst", (F.col("mult") / F.col("out_degree")).alias("weight"))
+    sources = degree.select("src")
+    cached: list[DataFrame] = []
     if persist:
         with _cache_keeps_partitioning(spark):
             table = table.persist(level)
-        cached.append(table)
-    return PreparedEdges(table, None if hot is None else hot.select("src", "n_salt"), degree.select("src"), n, cached)
+        sources = sources.persist(level)
+        hot = None if hot is None else hot.select("src", "n_salt").persist(level)
+        cached = [table, sources] if hot is None else [table, sources, hot]
+        for df in cached:
+            df.count()
+        dedup.unpersist()
+    elif hot is None:
+        # the last step is an exchange, which the passes reuse; into as many partitions as the sum
+        # it would be dropped as redundant, and every pass would sort and sum anew
+        table = table.repartition(n, "src")
+    return PreparedEdges(table, None if hot is None else hot.select("src", "n_salt"), sources, n, cached,
+                         hashed=sizes[0] <= n * HASHED_EDGES)
 
 
 def expand_ranks(ranks: DataFrame, hot: DataFrame | None) -> DataFrame:
@@ -216,16 +245,18 @@ def expand_ranks(ranks: DataFrame, hot: DataFrame | None) -> DataFrame:
         F.explode(F.sequence(F.lit(0), F.coalesce(F.col("n_salt"), F.lit(1)) - 1)).alias("salt"))
 
 
-def join_ranks_salted(table: DataFrame, ranks: DataFrame, hot: DataFrame | None) -> DataFrame:
-    """Skew-safe edge-rank join: salted edges meet the salt-expanded rank rows."""
+def join_ranks_salted(table: DataFrame, ranks: DataFrame, hot: DataFrame | None, hashed: bool = False) -> DataFrame:
+    """Skew-safe edge-rank join: salted edges meet the salt-expanded rank rows, of which each
+    task builds a hash table if ``hashed`` (else both sides are sorted)."""
+    side = (lambda df: df.hint("shuffle_hash")) if hashed else (lambda df: df)
     if hot is None:  # a constant salt would be folded away, and with it the table's partitioning
-        return table.join(ranks.select("src", "rank"), "src")
-    return table.join(expand_ranks(ranks, hot), ["src", "salt"])
+        return table.join(side(ranks.select("src", "rank")), "src")
+    return table.join(side(expand_ranks(ranks, hot)), ["src", "salt"])
 
 
 def _pass(prepared: PreparedEdges, ranks: DataFrame, d: float) -> DataFrame:
     """One pass; ``ranks`` is referenced once, so unrolled passes grow the plan linearly."""
-    contribs = join_ranks_salted(prepared.table, ranks, prepared.hot).select(
+    contribs = join_ranks_salted(prepared.table, ranks, prepared.hot, prepared.hashed).select(
         "dst", (F.col("rank") * F.col("weight")).alias("contribution"))
     return contribs.groupBy("dst").agg(
         (F.lit(1.0 - d) + F.lit(d) * F.sum("contribution")).alias("rank")

@@ -103,6 +103,42 @@ def test_no_exchange_on_cached_edges_per_pass(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def _counted(spark, rows, schema):
+    """The rows as a table, and how many of them have been computed so far."""
+    seen = spark.sparkContext.accumulator(0)
+    return spark.createDataFrame(spark.sparkContext.parallelize(rows, 2).map(lambda r: (seen.add(1), r)[1]), schema), seen
+
+
+def test_cached_edges_are_derived_once(spark):
+    edges, seen = _counted(spark, PAIRS, "src string, dst string")
+    got = {r["id"]: r["rank"] for r in graph.pagerank(edges, 0.85, 4).collect()}
+    assert seen.value == len(PAIRS)
+    assert {k: round(v, 12) for k, v in got.items()} == {k: round(v, 12) for k, v in _reference(PAIRS, 0.85, 4).items()}
+
+
+@pytest.mark.parametrize("hot_threshold", [None, 1])
+def test_passes_hash_the_ranks_and_sort_no_edges(spark, hot_threshold):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    prepared = graph.weighted_edges(_edges(spark, PAIRS), hot_threshold=hot_threshold)
+    try:
+        ranks = prepared.sources.withColumn("rank", F.lit(1.0))
+        plan = graph._pass(prepared, ranks, 0.85)._jdf.queryExecution().executedPlan().toString()
+        above = plan[:plan.index("InMemoryTableScan")]
+        assert "ShuffledHashJoin" in above and "Sort" not in above
+    finally:
+        prepared.release()
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("kwargs", [{}, dict(hot_threshold=1)])
+def test_null_ends(spark, kwargs):
+    pairs = [("a", "b"), ("a", None), (None, "a"), (None, "b"), ("b", "a")]
+    assert sorted(map(tuple, graph.adjacency(_edges(spark, pairs), **kwargs).select("src", "dst", "out_degree").fillna("-").collect())) == [
+        ("a", "-", 2), ("a", "b", 2), ("b", "a", 1)]
+    assert {r["id"] for r in graph.pagerank(_edges(spark, pairs), 0.85, 0, **kwargs).collect()} == {"a", "b", None}
+    assert {r["id"] for r in graph.pagerank(_edges(spark, pairs), 0.85, 2, **kwargs).collect()} == {"a", "b", None}
+
+
 def test_pagerank_frees_its_caches(spark):
     spark.catalog.clearCache()
     graph.pagerank(_edges(spark, PAIRS), 0.85, 3).collect()
