@@ -63,8 +63,34 @@ def _with_range(df: DataFrame, key: str, sample: DataFrame, ranges: int, col: st
     return blocked.withColumn(col, place).drop("_gi_bound", "_gi_block")
 
 
+#: a range of hashed keys with more than so many times the mean's rows (and so many rows at
+#: least) makes the ranges be sampled: one key value holds much of the table
+UNEVEN, UNEVEN_ROWS = 8, 100_000
+
+
+def _index_by_hash(df: DataFrame, keys: Sequence[Column], pos: str, total: str | None, parts: int) -> DataFrame | None:
+    """:func:`global_index` by a first key that is a hash from 0 to 2^32 - 1: ranges of equal
+    width need no sample, and a row's range is arithmetic whatever their number. The rows are
+    computed twice. None if a range is far above the others."""
+    ranges = parts * RANGES_PER_PARTITION
+    placed = df.withColumn("_gi_hash", keys[0]).withColumn(
+        "_gi_range", F.shiftright(F.col("_gi_hash") * F.lit(ranges).cast("bigint"), 32).cast("int"))
+    sizes = {r._gi_range: r.n for r in placed.groupBy("_gi_range").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = sum(sizes.values())
+    if max(sizes.values(), default=0) > max(UNEVEN * rows // ranges, UNEVEN_ROWS):
+        return None
+    before = [0, *itertools.accumulate(sizes.get(i, 0) for i in range(ranges))]
+    offset = F.get(F.from_json(F.lit(str(before)), "array<bigint>"), F.col("_gi_range"))
+    ties = spread_ties(df, [])
+    place = F.row_number().over(Window.partitionBy("_gi_range").orderBy("_gi_hash", *keys[1:], *ties))
+    out = placed.withColumn(pos, (offset + place - 1).cast("bigint"))
+    if total:
+        out = out.withColumn(total, F.lit(rows).cast("bigint"))
+    return out.drop("_gi_hash", "_gi_range")
+
+
 def global_index(df: DataFrame, keys: Sequence, pos: str = "pos", total: str | None = None,
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None, hashed: bool = False) -> DataFrame:
     """Append ``pos`` = 0-based rank of each row under ascending ``keys``, nulls first.
 
     ``keys`` should form a total order (add a unique column as the last key); rows that
@@ -74,10 +100,15 @@ def global_index(df: DataFrame, keys: Sequence, pos: str = "pos", total: str | N
 
     The rows of ``df`` are computed four times (counted, sampled, counted by range, placed), so
     ``df`` must give the same rows again; nothing is written. A range holds about 1 /
-    (``RANGES_PER_PARTITION`` x partitions) of the rows.
+    (``RANGES_PER_PARTITION`` x partitions) of the rows. ``hashed``: the first key is a
+    :func:`hash_int`; then two times are enough, unless one key holds much of the table.
     """
     spark = df.sparkSession
     parts = num_partitions or shuffle_partitions(spark)
+    if hashed:
+        out = _index_by_hash(df, _cols(keys), pos, total, parts)
+        if out is not None:
+            return out
     order = {f"k{i}": c for i, c in enumerate(spread_ties(df, _cols(keys)))}
     keyed = df.withColumn("_gi_key", F.struct(*[c.alias(k) for k, c in order.items()]))
     rows = df.count()
@@ -129,7 +160,7 @@ def equal_random_buckets(df: DataFrame, n: int = 20, key: str | Sequence[str] =
     """
     keys = [key] if isinstance(key, str) else list(key)
     order = [hash_int(seed, *[F.col(k) for k in keys])] + [F.col(k) for k in keys]
-    ranked = global_index(df, order, pos="_eb_pos", total="_eb_n")
+    ranked = global_index(df, order, pos="_eb_pos", total="_eb_n", hashed=True)
     size = F.floor(F.col("_eb_n") / F.lit(n))
     bucket = F.when(F.col("_eb_pos") < F.lit(n) * size, F.floor(F.col("_eb_pos") / size)).otherwise(
         F.col("_eb_pos") - F.lit(n) * size
@@ -148,7 +179,7 @@ def assign_batches(df: DataFrame, key: str, batch_size: int, shuffle: bool = Fal
     Adds ``epoch``, ``pos``, ``rank``, ``step``.
     """
     order = seeded_order(key, seed, epoch) if shuffle else [F.col(key)]
-    ranked = global_index(df, order, pos="pos")
+    ranked = global_index(df, order, pos="pos", hashed=shuffle)
     local = F.floor(F.col("pos") / F.lit(world_size))
     return ranked.select(
         "*",

@@ -2,6 +2,7 @@
 
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from quarry.operators.indexing import assign_batches, assign_split, equal_random_buckets, global_index
@@ -117,3 +118,24 @@ def test_sort_by_keys_deals_a_hot_key_over_tasks(spark):
     assert [r.k for r in out] == sorted(r.k for r in out) and len({r.id for r in out}) == 40000
     sizes = Counter(r.p for r in out)
     assert max(sizes.values()) <= 2 * 40000 / 8, sizes
+
+
+@pytest.mark.parametrize("least", [0, 100_000])
+def test_hashed_positions_are_the_sorted_ones(spark, monkeypatch, least):
+    from quarry.functions.hashing import hash_int
+    from quarry.operators import indexing
+    monkeypatch.setattr(indexing, "UNEVEN_ROWS", least)
+    rows = [(i // 3 if i % 2 else 7, None if i % 5 == 0 else str(i % 11)) for i in range(1500)]  # one key has half of the rows
+    df = spark.createDataFrame(rows, "k long, v string").repartition(4)
+    order = [hash_int(3, F.col("k")), F.col("k"), F.col("v")]
+    fast = indexing.global_index(df, order, total="n", hashed=True)
+    plain = indexing.global_index(df, order, total="n")
+    assert sorted(map(str, fast.collect())) == sorted(map(str, plain.collect()))
+    assert indexing.global_index(df.limit(0), order, total="n", hashed=True).count() == 0
+
+
+def test_buckets_compute_their_rows_twice(spark):
+    seen = spark.sparkContext.accumulator(0)
+    rows = spark.sparkContext.parallelize(range(1000), 2).map(lambda i: (seen.add(1), (i,))[1])
+    assert len(equal_random_buckets(spark.createDataFrame(rows, "id long"), 20).collect()) == 1000
+    assert seen.value == 2000
