@@ -3,11 +3,12 @@
 * rows get ``(epoch, rank, step)`` from :func:`assign_batches` (disjoint rank shards) and
   are spread by (rank, step, chunk), so the ranks of a step, and the chunks of a rank, are
   worked on at once;
-* every task sums the cross-entropy gradient of its rows per ``(step, rank)`` batch in
-  one pandas function over Arrow batches (NumPy inside; the only Python that runs in
-  tasks), and a grouped aggregation adds the model-sized partial sums;
-* the rank gradients are combined by a grouped aggregation (``gather_mean``: average
-  over the ranks present; ``allreduce``: sum of ``g / world_size``), in the same job;
+* every task sums the cross-entropy gradient of its rows per ``(step, rank)`` batch in NumPy,
+  over Arrow batches or over cached blocks of rows (the only Python that runs in tasks);
+* the model-sized partial sums are added and the rank gradients combined (``gather_mean``:
+  average over the ranks present; ``allreduce``: sum of ``g / world_size``) by grouped
+  aggregations in the same job, or, up to ``SUMS_PER_TASK`` sums, by the driver: a step is
+  then a job of one stage on blocks (:func:`row_blocks`) that no plan is made for;
 * the driver holds the model (classes x features + classes values, size-checked) and
   applies the optimizer update; data never passes through it.
 """
@@ -21,7 +22,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +39,23 @@ _FLUSH_BYTES = 64 << 20
 PARTITION_CELLS = 1 << 18
 #: partial sums (of all ranks and partitions of a step) that are worth a summing task
 SUMS_PER_TASK = 1 << 17
+BLOCK_SCHEMA = "step int, rank int, rows int, features binary, label binary"
+
+
+def _sums(w: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Sum over rows of loss, correct predictions and the cross-entropy gradient."""
+    z = x @ w.T + b
+    z = z - z.max(axis=1, keepdims=True)
+    logp = z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+    rows = np.arange(len(y))
+    p = np.exp(logp)
+    head = [float(-logp[rows, y].sum()), float((np.argmax(logp, axis=1) == y).sum())]
+    p[rows, y] -= 1.0
+    return np.concatenate([head, (p.T @ x).ravel(), p.sum(axis=0)])
+
+
+def _rows_of(g: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    return np.stack(g["features"].to_numpy()).astype(np.float64), g["label"].to_numpy().astype(np.int64)
 
 
 def _partial_fn(weight: np.ndarray, bias: np.ndarray):
@@ -59,19 +77,10 @@ def _partial_fn(weight: np.ndarray, bias: np.ndarray):
             if pdf.empty:
                 continue
             for key, g in pdf.groupby(["epoch", "step", "rank"], sort=False):
-                x = np.stack(g["features"].to_numpy()).astype(np.float64)
-                y = g["label"].to_numpy().astype(np.int64)
-                z = x @ w.T + b
-                z = z - z.max(axis=1, keepdims=True)
-                logp = z - np.log(np.exp(z).sum(axis=1, keepdims=True))
-                rows = np.arange(len(y))
-                p = np.exp(logp)
-                head = [float(-logp[rows, y].sum()), float((np.argmax(logp, axis=1) == y).sum())]
-                p[rows, y] -= 1.0
-                vec = np.concatenate([head, (p.T @ x).ravel(), p.sum(axis=0)])
+                x, y = _rows_of(g)
                 key = tuple(int(k) for k in key)
                 n, held = acc.get(key, (0, 0.0))
-                acc[key] = (n + len(y), held + vec)
+                acc[key] = (n + len(y), held + _sums(w, b, x, y))
             if len(acc) * (width - _FIRST) * 8 > _FLUSH_BYTES:  # they are summed later anyway
                 yield from emit(acc)
                 acc = {}
@@ -80,6 +89,11 @@ def _partial_fn(weight: np.ndarray, bias: np.ndarray):
     return fn
 
 
+def _training_columns(batched: DataFrame) -> DataFrame:
+    return batched.select("epoch", "step", "rank", F.col("features").cast("array<double>").alias("features"),
+                          F.col("label").cast("long").alias("label"))
+
+
 def partial_gradients(batched: DataFrame, model: LinearModel, sum_partitions: int | None = None) -> DataFrame:
     """``(epoch, step, rank, j, value, rows)``: each rank's mean loss (j = -2), mean correct
     (-1) and mean gradient (weights row by row, then biases), and its batch size.
@@ -90,9 +104,7 @@ def partial_gradients(batched: DataFrame, model: LinearModel, sum_partitions: in
     partial sums into so many by ``j`` alone, so that a combination by ``j`` needs no second
     exchange (for a few batches; the sums of many are dealt by batch and ``j``).
     """
-    cols = batched.select("epoch", "step", "rank", F.col("features").cast("array<double>").alias("features"),
-                          F.col("label").cast("long").alias("label"))
-    partial = cols.mapInPandas(_partial_fn(model.weight, model.bias), GRADIENT_SCHEMA)
+    partial = _training_columns(batched).mapInPandas(_partial_fn(model.weight, model.bias), GRADIENT_SCHEMA)
     if sum_partitions:
         partial = partial.repartition(sum_partitions, "j")
     return partial.groupBy("epoch", "step", "rank", "j").agg(
@@ -232,6 +244,62 @@ def uncollate_batches(batches: DataFrame, columns: Mapping[str, str], pos: str |
                        *[F.col("_row")[c].alias(out) for c, out in columns.items()])
 
 
+# ------------------------------------------------------------------------ row blocks
+
+def _block_fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Per task: the rows of an Arrow batch that share a (step, rank) as one record."""
+    for pdf in batches:
+        records = []
+        for (step, rank), g in pdf.groupby(["step", "rank"]):
+            x, y = _rows_of(g)
+            records.append((step, rank, len(y), x.tobytes(), y.tobytes()))
+        if records:
+            yield pd.DataFrame(records, columns=["step", "rank", "rows", "features", "label"])
+
+
+def row_blocks(batched: DataFrame) -> RDD:
+    """The rows as ``(step, rank, rows, features, label)`` records in the partitions they are in:
+    features and labels are the bytes of row-major doubles and of longs."""
+    return _training_columns(batched).mapInPandas(_block_fn, BLOCK_SCHEMA).rdd
+
+
+def block_gradients(blocks: RDD, step: int, model: LinearModel) -> list[tuple[int, int, np.ndarray]]:
+    """``(rank, rows, sums)`` of one step for each rank in each partition of :func:`row_blocks`, in
+    partition order: a job of one stage, without a plan. Meant for up to ``SUMS_PER_TASK`` sums."""
+    w, b = np.asarray(model.weight, dtype=np.float64), np.asarray(model.bias, dtype=np.float64)
+
+    def fn(records):
+        acc: dict = {}
+        for at, rank, rows, features, label in records:
+            if at == step:
+                x = np.frombuffer(features).reshape(rows, -1)
+                n, held = acc.get(rank, (0, 0.0))
+                acc[rank] = (n + rows, held + _sums(w, b, x, np.frombuffer(label, dtype=np.int64)))
+        return [(rank, n, vec) for rank, (n, vec) in acc.items()]
+
+    return blocks.mapPartitions(fn).collect()
+
+
+def combine_sums(parts: list[tuple[int, int, np.ndarray]], how: str, world_size: int | None) -> tuple[np.ndarray, float, float]:
+    """Gradient, mean loss and correct share of a step from :func:`block_gradients`, as
+    :func:`partial_gradients` and :func:`combine_gradients` work them out."""
+    ranks: dict = {}
+    for rank, n, vec in parts:
+        rows, held = ranks.get(rank, (0, 0.0))
+        ranks[rank] = (rows + n, held + vec)
+    rows = np.array([n for n, _ in ranks.values()])
+    means = np.stack([vec / n for n, vec in ranks.values()])
+    if how == "gather_mean":
+        g = means.mean(axis=0)
+    elif how == "allreduce":
+        if not world_size:
+            raise ValueError("allreduce needs world_size")
+        g = (means / float(world_size)).sum(axis=0)
+    else:
+        raise ValueError(f"unknown combiner {how!r}")
+    return g[-_FIRST:], float(means[:, 0].mean()), float((means[:, 1] * rows).sum() / rows.sum())
+
+
 # ------------------------------------------------------------------------- optimizers
 
 @dataclass
@@ -315,10 +383,11 @@ def spread_batches(batched: DataFrame, key: str, world_size: int, partitions: in
     """Rows dealt by (rank, chunk of the key): every step lies in at least ``world_size``
     partitions (rows permitting), a full-batch step in all of them. Sorted by step, so a
     cached scan for one step skips the others."""
-    # several chunks a partition, so ranges of them come out even
+    # several chunks a partition, so runs of them come out even
     chunks = max(1, -(-4 * partitions // world_size))
     slot = F.col("rank") * F.lit(chunks) + F.pmod(F.xxhash64(F.col(key)), F.lit(chunks))
-    return batched.repartitionByRange(partitions, slot).sortWithinPartitions("step")
+    place = F.floor(slot * F.lit(partitions) / F.lit(world_size * chunks)).cast("int")
+    return batched.repartitionById(partitions, place).sortWithinPartitions("step")
 
 
 def epoch_partitions(rows: int, features: int, world_size: int, most: int) -> int:
@@ -328,6 +397,15 @@ def epoch_partitions(rows: int, features: int, world_size: int, most: int) -> in
     return max(world_size, min(most, -(-rows * max(1, features) // PARTITION_CELLS)))
 
 
+def _summed_step(batch: DataFrame, model: LinearModel, how: str, world_size: int,
+                 summing: int) -> tuple[np.ndarray, float, float]:
+    """Gradient, mean loss and correct share of a step whose sums are added by ``summing`` tasks."""
+    cells = partial_gradients(batch, model, summing).groupBy("j").agg(
+        _combiner(how, world_size).alias("g"), F.avg("value").alias("mean"),
+        (F.sum(F.col("value") * F.col("rows")) / F.sum("rows")).alias("share")).toPandas().sort_values("j")
+    return cells["g"].to_numpy()[-_FIRST:], float(cells["mean"].iloc[0]), float(cells["share"].iloc[1])
+
+
 def train(df: DataFrame, state: TrainState, optimizer, epochs: int = 1, batch_size: int = 64,
           world_size: int = 4, max_batches: int | None = 41, seed: int = 42, key: str = "id",
           how: str = "gather_mean", on_epoch_end=None) -> TrainState:
@@ -337,17 +415,23 @@ def train(df: DataFrame, state: TrainState, optimizer, epochs: int = 1, batch_si
     keeps the first ``max_batches`` steps (the documented bound on the rows a run fits on;
     None: all), and caches the rows spread by :func:`spread_batches` over
     :func:`epoch_partitions`. A step's job has a task for each of those and returns the
-    combined gradient, loss and correct share. ``on_epoch_end(state)`` is called after every
-    epoch (e.g. to save a checkpoint).
+    combined gradient, loss and correct share, or, if these are few, the sums they are worked
+    out from. The steps then take their rows from blocks, which are made for a window of steps
+    at a time: about ``PARTITION_CELLS`` cells a partition, as a task reads them all. Steps so
+    large that no two fit a window read the cached rows themselves.
+    ``on_epoch_end(state)`` is called after every epoch (e.g. to save a checkpoint).
     """
     spark = df.sparkSession
     rows = df.count()
     if max_batches is not None:
         rows = min(rows, max_batches * batch_size * world_size)
-    partitions = epoch_partitions(rows, state.model.weight.shape[1], world_size,
+    features = state.model.weight.shape[1]
+    partitions = epoch_partitions(rows, features, world_size,
                                   max(spark.sparkContext.defaultParallelism, shuffle_partitions(spark)))
     sums = partitions * state.theta.size
     summing = max(1, min(shuffle_partitions(spark), -(-sums // SUMS_PER_TASK)))
+    window = partitions * PARTITION_CELLS // (batch_size * world_size * max(1, features))  # steps
+    in_blocks = sums <= SUMS_PER_TASK and window > 1
     for _ in range(epochs):
         epoch = state.epoch + 1
         batched = assign_batches(df, key, batch_size, shuffle=True, seed=seed, epoch=epoch,
@@ -356,18 +440,25 @@ def train(df: DataFrame, state: TrainState, optimizer, epochs: int = 1, batch_si
             batched = batched.where(F.col("step") < max_batches)
         batched = spread_batches(batched, key, world_size, partitions).persist(StorageLevel.MEMORY_AND_DISK)
         last = batched.agg(F.max("step")).first()[0]
-        losses = []
+        losses, blocks = [], None
         for s in range(0 if last is None else last + 1):
+            if in_blocks and s % window == 0:
+                if blocks is not None:
+                    blocks.unpersist()
+                blocks = row_blocks(batched.where(F.col("step").between(s, s + window - 1)))
+                blocks.persist(StorageLevel.MEMORY_AND_DISK).count()
             began = time.perf_counter()
-            parts = partial_gradients(batched.where(F.col("step") == s).coalesce(partitions), state.model, summing)
-            cells = parts.groupBy("j").agg(_combiner(how, world_size).alias("g"), F.avg("value").alias("mean"),
-                                           (F.sum(F.col("value") * F.col("rows")) / F.sum("rows")).alias("share")).toPandas()
-            cells = cells.sort_values("j")
-            theta = optimizer.update(state.theta, cells["g"].to_numpy()[-_FIRST:], state.optimizer_state, state.step)
+            if in_blocks:
+                grad, loss, share = combine_sums(block_gradients(blocks, s, state.model), how, world_size)
+            else:
+                grad, loss, share = _summed_step(batched.where(F.col("step") == s), state.model, how, world_size, summing)
+            theta = optimizer.update(state.theta, grad, state.optimizer_state, state.step)
             state.model = _set_theta(state.model, theta)
-            losses.append(float(cells["mean"].iloc[0]))
-            state.telemetry.append((epoch, s, losses[-1], float(cells["share"].iloc[1]), time.perf_counter() - began))
+            losses.append(loss)
+            state.telemetry.append((epoch, s, loss, share, time.perf_counter() - began))
             state.step += 1
+        if blocks is not None:
+            blocks.unpersist()
         batched.unpersist()
         state.epoch = epoch
         state.loss = float(np.mean(losses)) if losses else None

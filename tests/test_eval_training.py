@@ -153,6 +153,44 @@ def test_a_step_of_a_small_batch_is_few_tasks(spark, monkeypatch):
     assert tr.epoch_partitions(10**9, 64, 4, 600) == 600 and tr.epoch_partitions(41 * 256, 64, 4, 600) == 4
 
 
+def _small_run(spark, how="gather_mean", max_batches=None):
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([(i, rng.normal(size=4).tolist(), i % 3) for i in range(150)], "id long, features array<double>, label int")
+    state = tr.TrainState(tr.zero_model(3, 4), tr.SGD().init(None))
+    return tr.train(df, state, tr.SGD(), epochs=1, batch_size=8, world_size=3, max_batches=max_batches, how=how)
+
+
+def test_a_small_step_is_one_job(spark):
+    def jobs(steps):
+        spark.sparkContext.setJobGroup(f"steps-{steps}", "")
+        try:
+            assert len(_small_run(spark, max_batches=steps).telemetry) == steps
+        finally:
+            spark.sparkContext.setJobGroup("", "")
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"steps-{steps}"))
+
+    assert jobs(6) - jobs(2) == 4
+
+
+@pytest.mark.parametrize("how", ["gather_mean", "allreduce"])
+def test_steps_on_blocks_equal_steps_summed_by_tasks(spark, monkeypatch, how):
+    # the last of 7 steps has 6 rows in all, so fewer rows a rank
+    runs, summed, made = [], [], []
+    step, blocks = tr._summed_step, tr.row_blocks
+    monkeypatch.setattr(tr, "_summed_step", lambda *a: summed.append(1) or step(*a))
+    monkeypatch.setattr(tr, "row_blocks", lambda b: made.append(1) or blocks(b))
+    for sums, cells in ((1 << 17, 1 << 18), (1 << 17, 64), (1, 1 << 18), (1 << 17, 1)):
+        monkeypatch.setattr(tr, "SUMS_PER_TASK", sums)
+        monkeypatch.setattr(tr, "PARTITION_CELLS", cells)
+        state = _small_run(spark, how)
+        runs.append((len(summed), len(made), state.theta, np.array([t[:4] for t in state.telemetry])))
+        summed.clear(), made.clear()
+    # one window, several windows, large sums, large steps
+    assert [r[0] for r in runs] == [0, 0, 7, 7] and runs[0][1] == 1 and runs[1][1] > 1 and not runs[2][1] + runs[3][1]
+    for r in runs[1:]:
+        assert np.allclose(r[2], runs[0][2], rtol=1e-12) and np.allclose(r[3], runs[0][3], rtol=1e-12)
+
+
 def test_partial_sums_dealt_by_parameter(spark):
     rows = [(i, 1, i % 2, i % 3, [float(i), 1.0], i % 2) for i in range(30)]
     df = spark.createDataFrame(rows, "id long, epoch int, step int, rank int, features array<double>, label int").repartition(5)
