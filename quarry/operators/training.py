@@ -380,12 +380,12 @@ def _set_theta(model: LinearModel, theta: np.ndarray) -> LinearModel:
 
 
 def spread_batches(batched: DataFrame, key: str, world_size: int, partitions: int) -> DataFrame:
-    """Rows dealt by (rank, chunk of the key): every step lies in at least ``world_size``
+    """Rows dealt by (rank, chunk of key and position): every step lies in at least ``world_size``
     partitions (rows permitting), a full-batch step in all of them. Sorted by step, so a
     cached scan for one step skips the others."""
     # several chunks a partition, so runs of them come out even
     chunks = max(1, -(-4 * partitions // world_size))
-    slot = F.col("rank") * F.lit(chunks) + F.pmod(F.xxhash64(F.col(key)), F.lit(chunks))
+    slot = F.col("rank") * F.lit(chunks) + F.pmod(F.xxhash64(F.col(key), F.col("pos")), F.lit(chunks))
     place = F.floor(slot * F.lit(partitions) / F.lit(world_size * chunks)).cast("int")
     return batched.repartitionById(partitions, place).sortWithinPartitions("step")
 

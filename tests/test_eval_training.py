@@ -135,6 +135,14 @@ def test_a_step_is_worked_on_by_many_tasks(spark, batch, world):
     assert min(per_step.values()) >= (world if batch < 1000 else 8)
 
 
+def test_rows_of_one_key_are_spread(spark):
+    from quarry.operators.indexing import assign_batches
+    rows = spark.range(2000).select(F.lit(7).alias("id"), F.col("id").alias("x"))
+    batched = assign_batches(rows, "id", 1 << 40, shuffle=True, seed=1, epoch=1, world_size=1)
+    sizes = [r["count"] for r in tr.spread_batches(batched, "id", 1, 8).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 8 and sum(sizes) == 2000 and max(sizes) <= 2 * 2000 / 8
+
+
 def test_a_step_of_a_small_batch_is_few_tasks(spark, monkeypatch):
     asked, spread = [], tr.spread_batches
     monkeypatch.setattr(tr, "spread_batches", lambda b, key, world, n: asked.append(n) or spread(b, key, world, n))
