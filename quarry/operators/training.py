@@ -35,8 +35,10 @@ GRADIENT_SCHEMA = "epoch int, step int, rank int, j int, value double, rows long
 _FIRST = -2
 #: bytes of partial sums that a task holds before it emits them
 _FLUSH_BYTES = 64 << 20
-#: feature cells (8 bytes each) of an epoch that are worth a partition, and so a task of every step
+#: feature cells (8 bytes each) that are worth a partition, and so a task of every step that reads it
 PARTITION_CELLS = 1 << 18
+#: steps that a window is dealt for at least, however large they are
+WINDOW_STEPS = 4
 #: partial sums (of all ranks and partitions of a step) that are worth a summing task
 SUMS_PER_TASK = 1 << 17
 BLOCK_SCHEMA = "step int, rank int, rows int, features binary, label binary"
@@ -263,9 +265,10 @@ def row_blocks(batched: DataFrame) -> RDD:
     return _training_columns(batched).mapInPandas(_block_fn, BLOCK_SCHEMA).rdd
 
 
-def block_gradients(blocks: RDD, step: int, model: LinearModel) -> list[tuple[int, int, np.ndarray]]:
+def block_gradients(blocks: RDD, step: int, model: LinearModel, partitions: list[int] | None = None) -> list[tuple[int, int, np.ndarray]]:
     """``(rank, rows, sums)`` of one step for each rank in each partition of :func:`row_blocks`, in
-    partition order: a job of one stage, without a plan. Meant for up to ``SUMS_PER_TASK`` sums."""
+    partition order: a job of one stage, without a plan, over all ``partitions`` or those that
+    the step lies in. Meant for up to ``SUMS_PER_TASK`` sums."""
     w, b = np.asarray(model.weight, dtype=np.float64), np.asarray(model.bias, dtype=np.float64)
 
     def fn(records):
@@ -277,7 +280,7 @@ def block_gradients(blocks: RDD, step: int, model: LinearModel) -> list[tuple[in
                 acc[rank] = (n + rows, held + _sums(w, b, x, np.frombuffer(label, dtype=np.int64)))
         return [(rank, n, vec) for rank, (n, vec) in acc.items()]
 
-    return blocks.mapPartitions(fn).collect()
+    return blocks.ctx.runJob(blocks, fn, partitions)
 
 
 def combine_sums(parts: list[tuple[int, int, np.ndarray]], how: str, world_size: int | None) -> tuple[np.ndarray, float, float]:
@@ -379,21 +382,24 @@ def _set_theta(model: LinearModel, theta: np.ndarray) -> LinearModel:
     return LinearModel(theta[: c * d].reshape(c, d).copy(), theta[c * d:].copy())
 
 
-def spread_batches(batched: DataFrame, key: str, world_size: int, partitions: int) -> DataFrame:
+def spread_batches(batched: DataFrame, key: str, world_size: int, partitions: int, window: int | None = None, windows: int = 1) -> DataFrame:
     """Rows dealt by (rank, chunk of key and position): every step lies in at least ``world_size``
     partitions (rows permitting), a full-batch step in all of them. Sorted by step, so a
-    cached scan for one step skips the others."""
+    cached scan for one step skips the others. With a ``window`` of so many steps, each of the
+    ``windows`` has ``partitions`` of its own, one window's after the other's."""
     # several chunks a partition, so runs of them come out even
     chunks = max(1, -(-4 * partitions // world_size))
     slot = F.col("rank") * F.lit(chunks) + F.pmod(F.xxhash64(F.col(key), F.col("pos")), F.lit(chunks))
     place = F.floor(slot * F.lit(partitions) / F.lit(world_size * chunks)).cast("int")
-    return batched.repartitionById(partitions, place).sortWithinPartitions("step")
+    if window:
+        place = place + F.floor(F.col("step") / F.lit(window)).cast("int") * F.lit(partitions)
+    return batched.repartitionById(partitions * windows, place).sortWithinPartitions("step")
 
 
 def epoch_partitions(rows: int, features: int, world_size: int, most: int) -> int:
-    """Partitions of an epoch's cached rows, each a task of every step: one a rank at least, then
-    one per ``PARTITION_CELLS`` feature cells, up to ``most``. A step of a few hundred rows is not
-    dealt over as many tasks as the session has shuffle partitions."""
+    """Partitions of an epoch's (or a window's) cached rows, each a task of every step: one a rank
+    at least, then one per ``PARTITION_CELLS`` feature cells, up to ``most``. A step of a few
+    hundred rows is not dealt over as many tasks as the session has shuffle partitions."""
     return max(world_size, min(most, -(-rows * max(1, features) // PARTITION_CELLS)))
 
 
@@ -413,43 +419,53 @@ def train(df: DataFrame, state: TrainState, optimizer, epochs: int = 1, batch_si
 
     Each epoch re-shuffles with a seeded permutation, shards it over ``world_size`` ranks,
     keeps the first ``max_batches`` steps (the documented bound on the rows a run fits on;
-    None: all), and caches the rows spread by :func:`spread_batches` over
-    :func:`epoch_partitions`. A step's job has a task for each of those and returns the
+    None: all), and caches the rows spread by :func:`spread_batches`. A step's job returns the
     combined gradient, loss and correct share, or, if these are few, the sums they are worked
     out from. The steps then take their rows from blocks, which are made for a window of steps
-    at a time: about ``PARTITION_CELLS`` cells a partition, as a task reads them all. Steps so
-    large that no two fit a window read the cached rows themselves.
+    at a time: about ``PARTITION_CELLS`` cells a partition, as a task reads them all. A window
+    has partitions of its own, which alone its steps' jobs read, so a step costs the same
+    however many steps an epoch has. Steps so large that no two fit a window read the cached
+    rows themselves, in :func:`epoch_partitions` of the whole epoch.
     ``on_epoch_end(state)`` is called after every epoch (e.g. to save a checkpoint).
     """
     spark = df.sparkSession
+    sc = spark.sparkContext
     rows = df.count()
+    step_rows = batch_size * world_size
     if max_batches is not None:
-        rows = min(rows, max_batches * batch_size * world_size)
+        rows = min(rows, max_batches * step_rows)
     features = state.model.weight.shape[1]
-    partitions = epoch_partitions(rows, features, world_size,
-                                  max(spark.sparkContext.defaultParallelism, shuffle_partitions(spark)))
-    sums = partitions * state.theta.size
-    summing = max(1, min(shuffle_partitions(spark), -(-sums // SUMS_PER_TASK)))
-    window = partitions * PARTITION_CELLS // (batch_size * world_size * max(1, features))  # steps
-    in_blocks = sums <= SUMS_PER_TASK and window > 1
+    most = max(sc.defaultParallelism, shuffle_partitions(spark))
+    partitions = epoch_partitions(min(rows, WINDOW_STEPS * step_rows), features, world_size, most)
+    window = partitions * PARTITION_CELLS // (step_rows * max(1, features))  # steps
+    in_blocks = partitions * state.theta.size <= SUMS_PER_TASK and window > 1
+    windows = max(1, -(-rows // (window * step_rows))) if in_blocks else 1
+    if not in_blocks:
+        partitions = epoch_partitions(rows, features, world_size, most)
+    summing = max(1, min(shuffle_partitions(spark), -(-partitions * state.theta.size // SUMS_PER_TASK)))
+    spread = (partitions,) if windows == 1 else (partitions, window, windows)
     for _ in range(epochs):
         epoch = state.epoch + 1
         batched = assign_batches(df, key, batch_size, shuffle=True, seed=seed, epoch=epoch,
                                  world_size=world_size)
         if max_batches is not None:
             batched = batched.where(F.col("step") < max_batches)
-        batched = spread_batches(batched, key, world_size, partitions).persist(StorageLevel.MEMORY_AND_DISK)
-        last = batched.agg(F.max("step")).first()[0]
-        losses, blocks = [], None
+        batched = spread_batches(batched, key, world_size, *spread).persist(StorageLevel.MEMORY_AND_DISK)
+        last, there = batched.agg(F.max("step"), F.count(F.lit(1))).first()
+        losses, blocks, blocked = [], None, 0
         for s in range(0 if last is None else last + 1):
             if in_blocks and s % window == 0:
                 if blocks is not None:
                     blocks.unpersist()
+                own = [s // window * partitions + i for i in range(partitions)]
                 blocks = row_blocks(batched.where(F.col("step").between(s, s + window - 1)))
-                blocks.persist(StorageLevel.MEMORY_AND_DISK).count()
+                blocks.persist(StorageLevel.MEMORY_AND_DISK)
+                blocked += sum(sc.runJob(blocks, lambda records: [sum(r.rows for r in records)], own))
+                if blocked != there and s + window > last:
+                    raise RuntimeError(f"{blocked} of an epoch's {there} rows are in its blocks: its input changed between two readings")
             began = time.perf_counter()
             if in_blocks:
-                grad, loss, share = combine_sums(block_gradients(blocks, s, state.model), how, world_size)
+                grad, loss, share = combine_sums(block_gradients(blocks, s, state.model, own), how, world_size)
             else:
                 grad, loss, share = _summed_step(batched.where(F.col("step") == s), state.model, how, world_size, summing)
             theta = optimizer.update(state.theta, grad, state.optimizer_state, state.step)

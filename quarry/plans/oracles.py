@@ -544,14 +544,64 @@ def _train_sql(epochs: int, steps: int = 2, adamw: bool = False) -> str:
 
 
 oracle("train_sgd", _train_sql(1) + "SELECT CAST(j AS INTEGER) AS j, round(w, 6) AS value FROM p2")
+
+
+def _fit_sql(epochs: int, adamw: bool = False) -> str:
+    """As :func:`_train_sql`, over every step of an epoch, however many the table has: ``p`` has
+    the parameters ``(n, j, w, a, b)`` after n steps, and ``l``, the mean rank loss of the
+    last of them; ``size`` the steps of an epoch and of the run."""
+    if adamw:
+        clip = "SELECT j, g * least(1.0, 1.0 / ((SELECT sqrt(sum(g * g)) FROM g) + 1e-6)) AS g FROM g"
+        update = f"""SELECT q.n + 1, q.j, q.w * (1 - q.lr * 0.01) - q.lr * (q.a / (1 - pow(0.9, q.n + 1))) / (sqrt(q.b / (1 - pow(0.999, q.n + 1))) + 1e-8), q.a, q.b, q.l
+    FROM (SELECT p.n, p.j, p.w, 0.9 * p.a + 0.1 * h.g AS a, 0.999 * p.b + 0.001 * h.g * h.g AS b, loss.l,
+                 5e-3 * CASE WHEN p.n < 2 THEN p.n / 2.0::DOUBLE ELSE greatest(0.0, (total - p.n)::DOUBLE / greatest(1, total - 2)) END AS lr
+          FROM p JOIN h ON h.j = p.j CROSS JOIN loss CROSS JOIN size WHERE p.n < total) q"""
+    else:
+        clip = "SELECT j, g FROM g"
+        update = """SELECT q.n + 1, q.j, q.w - 0.1 * q.a, q.a, q.b, q.l
+    FROM (SELECT p.n, p.j, p.w, 0.9 * p.a + (h.g + 1e-4 * p.w) AS a, p.b, loss.l
+          FROM p JOIN h ON h.j = p.j CROSS JOIN loss CROSS JOIN size WHERE p.n < total) q"""
+    return f"""WITH RECURSIVE x AS ({ofx.X_VEC}),
+t AS MATERIALIZED (SELECT vec_id AS i, label, features FROM x WHERE split = 'train'),
+k AS MATERIALIZED (SELECT max(label) + 1 AS nc, max(len(features)) AS nd FROM t),
+cls AS MATERIALIZED (SELECT unnest(range(nc)) AS c FROM k),
+o AS MATERIALIZED (SELECT e, i, p % 4 AS rank, (p // 4) // 64 AS step FROM
+  (SELECT e, i, row_number() OVER (PARTITION BY e ORDER BY {ofx.hash_int(42, 'e', 'i')}, i) - 1 AS p
+   FROM t CROSS JOIN (SELECT unnest(range(1, {epochs + 1})) AS e))),
+size AS MATERIALIZED (SELECT max(step) + 1 AS steps, {epochs} * (max(step) + 1) AS total FROM o),
+per_rank AS (SELECT e, step, rank, count(*) AS n FROM o GROUP BY e, step, rank),
+per_step AS (SELECT e, step, count(*) AS ranks FROM per_rank GROUP BY e, step),
+m AS MATERIALIZED (SELECT (o.e - 1) * size.steps + o.step AS n, o.i, 1.0::DOUBLE / r.n / s.ranks AS share FROM o
+  JOIN per_rank r ON r.e = o.e AND r.step = o.step AND r.rank = o.rank JOIN per_step s ON s.e = o.e AND s.step = o.step CROSS JOIN size),
+p(n, j, w, a, b, l) AS (
+  SELECT 0::BIGINT, unnest(range(nc * nd + nc))::BIGINT, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, NULL::DOUBLE FROM k
+  UNION ALL
+  (WITH now AS MATERIALIZED (SELECT t.i, t.label, t.features, m.share FROM m JOIN t ON t.i = m.i WHERE m.n = (SELECT max(n) FROM p)),
+  c AS MATERIALIZED (SELECT i, unnest(features) AS v, generate_subscripts(features, 1) - 1 AS d FROM now),
+  zw AS (SELECT c.i, cls.c, sum(c.v * p.w) AS zw FROM c CROSS JOIN cls CROSS JOIN k JOIN p ON p.j = cls.c * k.nd + c.d GROUP BY c.i, cls.c),
+  z AS MATERIALIZED (SELECT zw.i, zw.c, zw.zw + p.w AS z FROM zw CROSS JOIN k JOIN p ON p.j = k.nc * k.nd + zw.c),
+  zm AS (SELECT i, max(z) AS top FROM z GROUP BY i),
+  s AS (SELECT z.i, zm.top + ln(sum(exp(z.z - zm.top))) AS s FROM z JOIN zm ON zm.i = z.i GROUP BY z.i, zm.top),
+  r AS MATERIALIZED (SELECT z.i, z.c, now.share * (exp(z.z - s.s) - CASE WHEN now.label = z.c THEN 1.0 ELSE 0.0 END) AS e,
+    CASE WHEN now.label = z.c THEN now.share * (s.s - z.z) ELSE 0.0 END AS l FROM z JOIN s ON s.i = z.i JOIN now ON now.i = z.i),
+  loss AS (SELECT sum(l) AS l FROM r),
+  g AS MATERIALIZED (SELECT CAST(r.c * k.nd + c.d AS BIGINT) AS j, sum(r.e * c.v) AS g FROM r JOIN c ON c.i = r.i CROSS JOIN k GROUP BY r.c, c.d, k.nd
+    UNION ALL SELECT CAST(k.nc * k.nd + r.c AS BIGINT), sum(r.e) FROM r CROSS JOIN k GROUP BY r.c, k.nc, k.nd),
+  h AS ({clip})
+  {update}))
+"""
+
+
 oracle("train_adamw", _train_sql(3, adamw=True) + "SELECT CAST(j AS INTEGER) AS j, round(w, 6) AS value FROM p6")
 oracle("train_resume", _train_sql(2) + "SELECT CAST(j AS INTEGER) AS j, round(w, 6) AS resumed, 0.0::DOUBLE AS max_abs_diff_to_straight FROM p4")
-oracle("checkpoint_sink", _train_sql(2) + """
+oracle("checkpoint_sink", _fit_sql(2) + """,
+losses AS (SELECT (n - 1) // steps + 1 AS version, avg(l) AS loss FROM (SELECT DISTINCT n, l FROM p WHERE n > 0) CROSS JOIN size GROUP BY 1)
 SELECT v.version, n.name, sl.slot, CASE WHEN n.name = 'weight' THEN k.nc || 'x' || k.nd ELSE CAST(k.nc AS VARCHAR) END AS shape,
-       CAST(CASE WHEN n.name = 'weight' THEN k.nc * k.nd ELSE k.nc END AS INTEGER) AS n_values, CAST(2 * v.version AS BIGINT) AS step, v.version AS epoch,
-       round(CASE v.version WHEN 1 THEN ((SELECT l FROM loss0) + (SELECT l FROM loss1)) / 2 ELSE ((SELECT l FROM loss2) + (SELECT l FROM loss3)) / 2 END, 6) AS loss
-FROM (VALUES (1), (2)) v(version), (VALUES ('weight'), ('bias')) n(name), (VALUES ('value'), ('momentum')) sl(slot), k
-""")
+       CAST(CASE WHEN n.name = 'weight' THEN k.nc * k.nd ELSE k.nc END AS INTEGER) AS n_values, CAST(size.steps * v.version AS BIGINT) AS step, v.version AS epoch,
+       round(losses.loss, 6) AS loss
+FROM (VALUES (1), (2)) v(version) JOIN losses ON losses.version = v.version,
+     (VALUES ('weight'), ('bias')) n(name), (VALUES ('value'), ('momentum')) sl(slot), k, size
+""".lstrip("\n"))
 oracle("checkpoint_load", _train_sql(1) + """,
 y AS (SELECT vec_id AS i, label, features FROM x WHERE split = 'validation'),
 yc AS (SELECT i, unnest(features) AS v, generate_subscripts(features, 1) - 1 AS d FROM y),

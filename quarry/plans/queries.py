@@ -649,7 +649,7 @@ def _fit(spark, sf, optimizer_factory, epochs: int = 1, state=None, on_epoch_end
         model = tr.zero_model(classes, dim)
         state = tr.TrainState(model, opt.init(np.concatenate([model.weight.ravel(), model.bias])))
     return tr.train(train_df, state, opt, epochs=epochs, batch_size=RANK_BATCH, world_size=WORLD,
-                    max_batches=41, seed=42, key="vec_id", on_epoch_end=on_epoch_end), opt
+                    max_batches=None, seed=42, key="vec_id", on_epoch_end=on_epoch_end), opt
 
 
 def _adamw(train_df):

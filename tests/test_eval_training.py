@@ -199,6 +199,20 @@ def test_steps_on_blocks_equal_steps_summed_by_tasks(spark, monkeypatch, how):
         assert np.allclose(r[2], runs[0][2], rtol=1e-12) and np.allclose(r[3], runs[0][3], rtol=1e-12)
 
 
+def test_a_window_of_steps_has_partitions_of_its_own(spark, monkeypatch):
+    from quarry.operators.indexing import assign_batches
+    rows = assign_batches(spark.range(150), "id", 8, shuffle=True, seed=1, epoch=1, world_size=3)
+    spread = tr.spread_batches(rows, "id", 3, 3, 2, 4).select("id", "step", F.spark_partition_id().alias("p")).collect()
+    assert len({r.id for r in spread}) == 150 and {r.p // 3 for r in spread} == {0, 1, 2, 3}
+    assert all(r.step // 2 == r.p // 3 for r in spread)
+    read, steps = [], tr.block_gradients
+    monkeypatch.setattr(tr, "PARTITION_CELLS", 64)
+    monkeypatch.setattr(tr, "block_gradients", lambda b, s, m, own: read.append((s, own, b.getNumPartitions())) or steps(b, s, m, own))
+    assert len(_small_run(spark).telemetry) == 7
+    (_, first, held), (_, final, _) = read[0], read[-1]
+    assert not set(first) & set(final) and held == 2 * len(first)  # a step reads its window, not the epoch
+
+
 def test_partial_sums_dealt_by_parameter(spark):
     rows = [(i, 1, i % 2, i % 3, [float(i), 1.0], i % 2) for i in range(30)]
     df = spark.createDataFrame(rows, "id long, epoch int, step int, rank int, features array<double>, label int").repartition(5)
@@ -361,3 +375,35 @@ def test_five_thousand_labels(spark):
     assert matrix.count() == 5000 and matrix.where("label <> other").count() == 500
     order = [r.label for r in report.where("section = 'report' and metric = 'support'").orderBy("position").collect()]
     assert order[:5000] == [str(i) for i in range(5000)]
+
+
+#: 600 vectors of 3 classes by 2 values, in batches of 4 x 2 rows: more than 41 steps an epoch
+VECTORS, FIT_BATCH = 600, 2
+
+
+@pytest.fixture
+def vectors(spark, tmp_path, monkeypatch):
+    """The folder of a small table, and its training rows as (ids, features, labels)."""
+    from quarry.plans import fixtures as fx
+    from quarry.plans import queries as q
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=2).tolist(), i % 3) for i in range(VECTORS)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    monkeypatch.setattr(q, "RANK_BATCH", FIT_BATCH)
+    train = fx.x_vec(spark, str(tmp_path)).where("split = 'train'").orderBy("vec_id").collect()
+    assert 41 < -(-len(train) // (4 * FIT_BATCH))
+    return str(tmp_path), [r.vec_id for r in train], np.array([r.features for r in train]), np.array([r.label for r in train])
+
+
+def _whole_fit(ids, x, y, update, epochs):
+    import hashlib
+    h = lambda e, i: int(hashlib.md5(f"42|{e}|{i}".encode()).hexdigest()[:8], 16)
+    return _numpy_train(x, y, ids, 3, update, epochs, FIT_BATCH, 4, None, lambda e: sorted(ids, key=lambda i: (h(e, i), i)))
+
+
+def test_checkpoint_sink_fits_every_step(spark, vectors):
+    from quarry.plans.queries import QUERIES
+    folder, ids, _, _ = vectors
+    steps = -(-len(ids) // (4 * FIT_BATCH))
+    rows = QUERIES["checkpoint_sink"](spark, folder).collect()
+    assert len(rows) == 8 and {(r.version, r.step) for r in rows} == {(1, steps), (2, 2 * steps)}

@@ -1,5 +1,7 @@
 """Every registered query against its DuckDB oracle on the sf0.001 tables."""
 
+import math
+
 import duckdb
 import pytest
 
@@ -47,6 +49,16 @@ def test_query_matches_oracle(spark, con, key):
     assert _canon(got) == _canon(want)
 
 
+@pytest.mark.parametrize("key", ["checkpoint_sink"])
+def test_training_oracles_cover_every_step(spark, tmp_path, key):
+    # 900 vectors: more training rows than two steps of 4 x 64
+    rows = [(i, [math.sin(i), math.cos(3 * i)], i % 2) for i in range(900)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    assert _canon(entry.queries()[key](spark, str(tmp_path)).toPandas()) == _canon(c.sql(entry.oracle_sql()[key]).df())
+
+
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES) <= set(entry.queries())
 
