@@ -654,7 +654,7 @@ def _fit(spark, sf, optimizer_factory, epochs: int = 1, state=None, on_epoch_end
 
 def _adamw(train_df):
     n = train_df.count()
-    steps = min(41, -(-(-(-n // WORLD)) // RANK_BATCH))
+    steps = -(-(-(-n // WORLD)) // RANK_BATCH)
     return tr.AdamW(lr=5e-3, warmup=2, total_steps=3 * steps)
 
 

@@ -407,3 +407,12 @@ def test_checkpoint_sink_fits_every_step(spark, vectors):
     steps = -(-len(ids) // (4 * FIT_BATCH))
     rows = QUERIES["checkpoint_sink"](spark, folder).collect()
     assert len(rows) == 8 and {(r.version, r.step) for r in rows} == {(1, steps), (2, 2 * steps)}
+
+
+def test_train_adamw_fits_every_step(spark, vectors):
+    from quarry.plans.queries import QUERIES
+    folder, ids, x, y = vectors
+    total = 3 * -(-len(ids) // (4 * FIT_BATCH))
+    want = _whole_fit(ids, x, y, lambda *a: _adamw(*a, lr=5e-3, warmup=2, total=total), 3)
+    got = [r.value for r in QUERIES["train_adamw"](spark, folder).orderBy("j").collect()]
+    assert np.allclose(got, want, atol=2e-6)
