@@ -593,7 +593,7 @@ p(n, j, w, a, b, l) AS (
 
 
 oracle("train_adamw", _fit_sql(3, adamw=True) + "SELECT CAST(j AS INTEGER) AS j, round(w, 6) AS value FROM p JOIN size ON n = total")
-oracle("train_resume", _train_sql(2) + "SELECT CAST(j AS INTEGER) AS j, round(w, 6) AS resumed, 0.0::DOUBLE AS max_abs_diff_to_straight FROM p4")
+oracle("train_resume", _fit_sql(2) + "SELECT CAST(j AS INTEGER) AS j, round(w, 6) AS resumed, 0.0::DOUBLE AS max_abs_diff_to_straight FROM p JOIN size ON n = total")
 oracle("checkpoint_sink", _fit_sql(2) + """,
 losses AS (SELECT (n - 1) // steps + 1 AS version, avg(l) AS loss FROM (SELECT DISTINCT n, l FROM p WHERE n > 0) CROSS JOIN size GROUP BY 1)
 SELECT v.version, n.name, sl.slot, CASE WHEN n.name = 'weight' THEN k.nc || 'x' || k.nd ELSE CAST(k.nc AS VARCHAR) END AS shape,

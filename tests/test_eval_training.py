@@ -416,3 +416,11 @@ def test_train_adamw_fits_every_step(spark, vectors):
     want = _whole_fit(ids, x, y, lambda *a: _adamw(*a, lr=5e-3, warmup=2, total=total), 3)
     got = [r.value for r in QUERIES["train_adamw"](spark, folder).orderBy("j").collect()]
     assert np.allclose(got, want, atol=2e-6)
+
+
+def test_train_resume_fits_every_step(spark, vectors):
+    from quarry.plans.queries import QUERIES
+    folder, ids, x, y = vectors
+    rows = QUERIES["train_resume"](spark, folder).orderBy("j").collect()
+    assert np.allclose([r.resumed for r in rows], _whole_fit(ids, x, y, _sgd, 2), atol=2e-6)
+    assert {r.max_abs_diff_to_straight for r in rows} == {0.0}

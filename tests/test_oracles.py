@@ -49,7 +49,7 @@ def test_query_matches_oracle(spark, con, key):
     assert _canon(got) == _canon(want)
 
 
-@pytest.mark.parametrize("key", ["checkpoint_sink", "train_adamw"])
+@pytest.mark.parametrize("key", ["checkpoint_sink", "train_adamw", "train_resume"])
 def test_training_oracles_cover_every_step(spark, tmp_path, key):
     # 900 vectors: more training rows than two steps of 4 x 64
     rows = [(i, [math.sin(i), math.cos(3 * i)], i % 2) for i in range(900)]
